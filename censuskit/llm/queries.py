@@ -7,11 +7,35 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from censuskit.llm.common import documents
+from censuskit.llm.common import crc_mod, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from censuskit.llm.bpe import encode_documents
+
+    return encode_documents(documents(spark, sf_dir), with_ids=False)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from censuskit.llm.toxicity import evidence_of, train
+
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = crc_mod("doc_id", 5) == 0
+    learn = labels.filter(~held_out).select("doc_id", "toxic").join(docs.select("doc_id", "text"), "doc_id")
+    scored = evidence_of(docs, train(learn), (held_out.alias("held_out"),))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from censuskit.llm.language_id import identify, train_dictionaries
+
+    docs = documents(spark, sf_dir)
+    held_out = crc_mod("doc_id", 4) == 2
+    return identify(docs, train_dictionaries(docs.filter(~held_out)), extra=(held_out.alias("held_out"),))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from censuskit.llm.exact_dedup import exact_dedup
 
@@ -33,7 +57,7 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_exact_dedup, op10_source_mixing)}
+    return {f.__name__: f for f in (op4_byte_bpe, op6_toxicity, op7_exact_dedup, op8_language_id, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
