@@ -12,6 +12,12 @@ from censuskit.llm.common import crc_mod, documents
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from censuskit.llm.licenses import scan_licenses
+
+    return scan_licenses(documents(spark, sf_dir)).drop("detections")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from censuskit.llm.bpe import encode_documents
 
@@ -57,7 +63,7 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_byte_bpe, op6_toxicity, op7_exact_dedup, op8_language_id, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_license_scan, op4_byte_bpe, op6_toxicity, op7_exact_dedup, op8_language_id, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
