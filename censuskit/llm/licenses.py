@@ -38,12 +38,12 @@ FAMILIES = [
     ("gpl", r"(?:gnu )?(?:general public licen[sc]e|gpl)", "gpl|general public", ["1.0", "2.0", "3.0"]),
     ("gfdl", r"(?:gnu )?(?:free documentation licen[sc]e|gfdl)", "gfdl|free documentation", ["1.1", "1.2", "1.3"]),
     ("apache", r"apache(?: software)? licen[sc]e", "apache", ["1.0", "1.1", "2.0"]),
-    ("mpl", r"(?:mozilla public licen[sc]e|mpl)", "mozilla|mpl", ["1.0", "1.1", "2.0"]),
-    ("epl", r"(?:eclipse public licen[sc]e|epl)", "eclipse|epl", ["1.0", "2.0"]),
+    ("mpl", r"(?:mozilla public licen[sc]e|mpl(?=-[0-9]))", "mozilla|mpl", ["1.0", "1.1", "2.0"]),
+    ("epl", r"(?:eclipse public licen[sc]e|epl(?=-[0-9]))", "eclipse|epl", ["1.0", "2.0"]),
     ("cddl", r"(?:common development and distribution licen[sc]e|cddl)", "common development|cddl", ["1.0", "1.1"]),
     ("eupl", r"(?:european union public licen[sc]e|eupl)", "european union|eupl", ["1.0", "1.1", "1.2"]),
-    ("osl", r"(?:open software licen[sc]e|osl)", "open software|osl", ["1.0", "2.0", "3.0"]),
-    ("afl", r"(?:academic free licen[sc]e|afl)", "academic free|afl", ["2.0", "2.1", "3.0"]),
+    ("osl", r"(?:open software licen[sc]e|osl(?=-[0-9]))", "open software|osl", ["1.0", "2.0", "3.0"]),
+    ("afl", r"(?:academic free licen[sc]e|afl(?=-[0-9]))", "academic free|afl", ["2.0", "2.1", "3.0"]),
     ("artistic", r"artistic licen[sc]e", "artistic", ["1.0", "2.0"]),
     ("boost", r"boost software licen[sc]e", "boost", ["1.0"]),
     ("ms-pl", r"microsoft public licen[sc]e", "microsoft public", []),
@@ -85,8 +85,11 @@ PHRASINGS = [
     (r"(?:released|distributed|published|available|provided) under (?:the )?(?:terms of (?:the )?)?", r"", 0.9),
     (r"", r"", 0.7),
 ]
-#: Rows without any of these hold no detection at all.
-ROOTS = "licen[sc]e|agpl|lgpl|gpl|gfdl|mpl|epl|cddl|eupl|osl|afl|odbl|pddl|cecill|wtfpl|cc0|cc[- ](?:by|zero)|creative commons|permission (?:is hereby|to use)|redistribution and use|as-is|unencumbered|public domain|all rights reserved|proprietary"
+#: Rows that hold none of these (with letters lowered) hold no detection at all.
+ROOTS = [
+    "licen", "gpl", "gfdl", "mpl-", "epl-", "cddl", "eupl", "osl-", "afl-", "odbl", "pddl", "cecill", "wtfpl", "cc0", "cc zero", "cc-by", "cc by", "creative commons",
+    "permission is", "permission to", "redistribution and", "as-is", "unencumbered", "public domain", "all rights reserved", "proprietary",
+]
 
 
 @dataclass(frozen=True)
@@ -163,9 +166,12 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     labels, score, detections (places in the text with blanks and comment marks folded)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     counted = F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long")
-    # Java's (?i) folds A-Z only; a base phrase always passes by one of its words
-    gate = text.rlike(rf"(?i){ROOTS}|cc{GAP}+by")
-    rows = docs.select(F.col(id_col).alias("doc_id"), counted.alias("n_words"), F.when(gate, lowered(text)).alias("low"))
+    # a base phrase always passes the gate: it holds "license", or "cc" and "by" with a gap
+    gate = F.col("folded").rlike(f"cc{GAP}+by")
+    for root in ROOTS:
+        gate = gate | F.col("folded").contains(root)
+    rows = docs.select(F.col(id_col).alias("doc_id"), counted.alias("n_words"), text.alias("whole"), F.lower(text).alias("folded"))
+    rows = rows.select("doc_id", "n_words", F.when(gate, lowered(F.col("whole"))).alias("low"))
     rows = rows.withColumn("words", F.coalesce(F.regexp_extract_all("low", F.lit(WORDS), F.lit(0)), F.array().cast("array<string>")))
     rows = rows.withColumn("flat", F.regexp_replace("low", r"[\s*#>/]+", " "))
 
