@@ -18,6 +18,12 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir)).drop("detections")
 
 
+def op3_iblt_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from censuskit.llm.iblt import fingerprint_documents
+
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from censuskit.llm.bpe import encode_documents
 
@@ -63,7 +69,7 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_license_scan, op4_byte_bpe, op6_toxicity, op7_exact_dedup, op8_language_id, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_license_scan, op3_iblt_fingerprint, op4_byte_bpe, op6_toxicity, op7_exact_dedup, op8_language_id, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
