@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from censuskit.llm.common import crc_mod, documents
+from censuskit.llm.common import crc_mod, documents, stash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(documents(spark, sf_dir), with_ids=False)
 
 
+def op5_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from censuskit.llm.warc_zip import read_archives, write_archives
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    records = read_archives(stash(write_archives(pages), "warc-zip"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from censuskit.llm.toxicity import evidence_of, train
 
@@ -69,7 +77,7 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_license_scan, op3_iblt_fingerprint, op4_byte_bpe, op6_toxicity, op7_exact_dedup, op8_language_id, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_license_scan, op3_iblt_fingerprint, op4_byte_bpe, op5_warc_zip, op6_toxicity, op7_exact_dedup, op8_language_id, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
