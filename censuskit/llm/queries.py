@@ -62,6 +62,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).drop("row_key")
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from censuskit.llm.ngram_join import ngram_components
+
+    return ngram_components(documents(spark, sf_dir))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from censuskit.llm.mixing import mix_sources
 
@@ -77,7 +83,7 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_license_scan, op3_iblt_fingerprint, op4_byte_bpe, op5_warc_zip, op6_toxicity, op7_exact_dedup, op8_language_id, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_license_scan, op3_iblt_fingerprint, op4_byte_bpe, op5_warc_zip, op6_toxicity, op7_exact_dedup, op8_language_id, op9_ngram_join, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
