@@ -18,6 +18,12 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir)).drop("detections")
 
 
+def op2_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from censuskit.llm.katz import score_documents
+
+    return score_documents(documents(spark, sf_dir), crc_mod("doc_id", 5) == 1)[0]
+
+
 def op3_iblt_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     from censuskit.llm.iblt import fingerprint_documents
 
@@ -83,7 +89,7 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_license_scan, op3_iblt_fingerprint, op4_byte_bpe, op5_warc_zip, op6_toxicity, op7_exact_dedup, op8_language_id, op9_ngram_join, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_license_scan, op2_katz_backoff, op3_iblt_fingerprint, op4_byte_bpe, op5_warc_zip, op6_toxicity, op7_exact_dedup, op8_language_id, op9_ngram_join, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
