@@ -88,9 +88,20 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)
 """
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return import_module("corpus_pipeline").run(spark, sf_dir)
+
+
+ALL = [
+    op1_license_scan, op2_katz_backoff, op3_iblt_fingerprint, op4_byte_bpe, op5_warc_zip, op6_toxicity,
+    op7_exact_dedup, op8_language_id, op9_ngram_join, op10_source_mixing, pipeline,
+]
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_license_scan, op2_katz_backoff, op3_iblt_fingerprint, op4_byte_bpe, op5_warc_zip, op6_toxicity, op7_exact_dedup, op8_language_id, op9_ngram_join, op10_source_mixing)}
+    return {f.__name__: f for f in ALL}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL}
+    pipeline_sql = import_module("corpus_pipeline").ORACLE_SQL
+    return {"op7_exact_dedup": OP7_SQL} | ({"pipeline": pipeline_sql} if pipeline_sql else {})
