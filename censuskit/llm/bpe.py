@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 #: Pieces that a worker remembers; the cache starts afresh when it is full.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 600_000
 
 
 class Vocabulary:
@@ -42,7 +42,7 @@ class Vocabulary:
         self.bytes_of = {r: b for b, r in ranks.items()}
         self.longest = max(map(len, ranks))
         self.parts: dict[int, tuple[int, int] | None] = {}
-        self._stands: dict[tuple[int, int], bool] = {}
+        self.known_pairs: dict[int, bool] = {}
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -67,18 +67,21 @@ class Vocabulary:
 
     def stands(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both ends with just these two tokens."""
-        known = self._stands.get((left, right))
+        key = left << 32 | right
+        known = self.known_pairs.get(key)
         if known is None:
             known = self._decide(left, right)
-            if len(self._stands) > 1_000_000:
-                self._stands.clear()
-            self._stands[left, right] = known
+            if len(self.known_pairs) > 1_000_000:
+                self.known_pairs.clear()
+            self.known_pairs[key] = known
         return known
 
     def _decide(self, left: int, right: int) -> bool:
         # l and r are the pieces that touch at the border at some moment of the merging;
         # ``until`` is the rank of the merge that ends that moment.
         l, r, until = left, right, 1 << 60
+        if len(self.bytes_of[right]) > 1 and self.split(right) is None:
+            return False  # merging never makes this token
         while True:
             across = self.ranks.get(self.bytes_of[l] + self.bytes_of[r])
             # a merge over the border wins if it comes before the moment ends
@@ -117,11 +120,20 @@ class PrefixEncoder:
     def append(self, more: bytes) -> PrefixEncoder:
         """Exact at once: what is stored for earlier prefixes stays as it is."""
         start, self.data = len(self.data), self.data + more
-        data, last, ranks, v = self.data, self.last, self.v.ranks, self.v
+        data, last, v, longest = self.data, self.last, self.v, self.v.longest
+        rank_of, pair_known = v.ranks.get, v.known_pairs.get
         for end in range(start + 1, len(data) + 1):
-            for begin in range(max(0, end - v.longest), end):
-                token = ranks.get(data[begin:end])
-                if token is not None and (begin == 0 or v.stands(last[begin - 1], token)) and (v.split(token) is not None or end - begin == 1):
+            for begin in range(end - longest if end > longest else 0, end):
+                token = rank_of(data[begin:end])
+                if token is None:
+                    continue
+                if begin:
+                    stands = pair_known(last[begin - 1] << 32 | token)
+                    if stands is None:
+                        stands = v.stands(last[begin - 1], token)
+                else:
+                    stands = end == 1 or v.split(token) is not None
+                if stands:
                     last.append(token)
                     break
             else:
@@ -163,30 +175,31 @@ def encode_piece(v: Vocabulary, piece: bytes) -> list[int]:
 
 
 class TextEncoder:
-    """Encodes whole texts piece by piece, as the pattern cuts them."""
+    """Encodes whole texts piece by piece, as the pattern cuts them. For each piece it knows
+    the number of ids, the ids in decimal and the bytes that they decode to."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.v, self.find = vocabulary, regex.compile(pattern).findall
-        self.known: dict[str, tuple[list[int], str, bytes]] = {}
+        self.known: dict[str, tuple[int, str, bytes]] = {}
 
-    def _learn(self, piece: str) -> tuple[list[int], str, bytes]:
+    def _learn(self, piece: str) -> tuple[int, str, bytes]:
         ids = encode_piece(self.v, piece.encode())
         if len(self.known) >= CACHE_PIECES:
             self.known.clear()
-        got = ids, " ".join(map(str, ids)), b"".join(self.v.bytes_of[i] for i in ids)
+        got = len(ids), " ".join(map(str, ids)), self.decode(ids)
         if len(piece) <= 64:
             self.known[piece] = got
         return got
 
-    def pieces(self, text: str) -> list[tuple[list[int], str, bytes]]:
+    def pieces(self, text: str) -> list[tuple[int, str, bytes]]:
         known, learn = self.known.get, self._learn
         return [known(p) or learn(p) for p in self.find(text)]
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids, _, _ in self.pieces(text) for i in ids]
+        return [int(i) for _, ids, _ in self.pieces(text) for i in ids.split(" ")]
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(self.v.bytes_of[i] for i in ids)
+        return b"".join([self.v.bytes_of[i] for i in ids])
 
 
 _encoders: dict[tuple[str, str], TextEncoder] = {}
@@ -210,11 +223,10 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
         for batch in batches:
             out = []
             for text in batch.text:
-                got = enc.pieces(text)
-                ids = hashlib.sha256(" ".join([s for _, s, _ in got]).encode()).hexdigest()
-                whole = hashlib.sha256(b"".join([b for _, _, b in got])).hexdigest()
-                row = (sum([len(i) for i, _, _ in got]), ids, whole)
-                out.append(([i for ids_, _, _ in got for i in ids_], *row) if with_ids else row)
+                counts, ids, decoded = zip(*enc.pieces(text), strict=True) if text else ((), (), ())
+                line = " ".join(ids)
+                row = (sum(counts), hashlib.sha256(line.encode()).hexdigest(), hashlib.sha256(b"".join(decoded)).hexdigest())
+                out.append(([int(i) for i in line.split()], *row) if with_ids else row)
             frame = pd.DataFrame(out, columns=["ids"] * with_ids + ["n_tokens", "ids_sha256", "decoded_sha256"])
             frame.insert(0, "doc_id", batch.doc_id.to_numpy())
             yield frame
