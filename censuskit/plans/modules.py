@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-NAMES = ["flagship"]
+NAMES = ["flagship", "bitemporal"]
 
 
 def load() -> None:
