@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-NAMES = ["flagship", "bitemporal"]
+NAMES = ["flagship", "bitemporal", "joins", "aggregates"]
 
 
 def load() -> None:
