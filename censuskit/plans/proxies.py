@@ -26,7 +26,7 @@ def events(spark: SparkSession, d: str) -> DataFrame:
     told = F.date_add(day, (F.col("event_id") % 4).cast("int"))
     return table(spark, d, "events").select(
         "event_id", F.col("user_id").alias("pid"), (F.col("user_id") % 5).alias("fac"), F.col("event_type").alias("kind"), day.alias("e"), told.alias("r"),
-        F.when(F.col("event_id") % 7 == 0, F.date_add(told, 10)).alias("x"), "value", "ts",
+        F.when(F.col("event_id") % 7 == 0, F.date_add(told, 10)).alias("x"), "value", F.col("ts").cast("timestamp").alias("ts"),
     )
 
 
