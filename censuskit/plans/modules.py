@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-NAMES = ["flagship", "bitemporal", "joins", "aggregates", "timeseries", "cleaning", "scalars", "texts", "evaluation"]
+NAMES = ["flagship", "bitemporal", "joins", "aggregates", "timeseries", "cleaning", "scalars", "texts", "evaluation", "groups"]
 
 
 def load() -> None:
