@@ -6,7 +6,9 @@ import re
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from censuskit.operators.scale import running_sums
 
 
 def read_quoted_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -146,16 +148,16 @@ def profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def average_ranks(df: DataFrame, name: str) -> DataFrame:
-    """value -> average rank, by distinct values: the window never sees single rows."""
-    counts = df.groupBy(F.col(name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("v", (F.sum("n").over(W.orderBy("v")) - (F.col("n") - 1) / 2.0).alias("rank"))
+    """value -> average rank, by distinct values and over ranges of them."""
+    counts = df.groupBy(F.col(name).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    return running_sums(counts, "v", {"upto": "n"}).select("v", (F.col("upto") - (F.col("n") - 1) / 2.0).alias("rank"))
 
 
 def spearman(df: DataFrame, names: Sequence[str], target: str) -> DataFrame:
     ranked = df
     for c in [*names, target]:
         r = average_ranks(df, c).withColumnsRenamed({"v": f"v_{c}", "rank": f"r_{c}"})
-        ranked = ranked.join(r, F.col(c) == F.col(f"v_{c}"))
+        ranked = ranked.join(r, F.col(c).cast("double") == F.col(f"v_{c}"))
     one = ranked.agg(*[F.round(F.corr(f"r_{c}", f"r_{target}"), 5).alias(c) for c in names])
     return one.unpivot([], list(names), "col", "rho")
 

@@ -6,12 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from censuskit.operators.scale import running_sums
+
 
 def by_score(df: DataFrame, score: str = "score", label: str = "label", groups: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score, falling, with running true and false positives (tp, fp) and
     the totals (pos, neg): every curve below is a window over this, not over single rows."""
     y = F.col(label).cast("long")
     counts = df.groupBy(*groups, F.col(score).alias("s")).agg(F.sum(y).alias("p"), F.sum(1 - y).alias("n"))
+    if not groups:  # no partition key: sums run over ranges of the score
+        ends = counts.agg(F.sum("p").alias("pos"), F.sum("n").alias("neg"))
+        return running_sums(counts, "s", {"tp": "p", "fp": "n"}, descending=True).crossJoin(F.broadcast(ends))  # one row
     down, whole = W.partitionBy(*groups).orderBy(F.desc("s")), W.partitionBy(*groups)
     return counts.select(*groups, "s", "p", "n", F.sum("p").over(down).alias("tp"), F.sum("n").over(down).alias("fp"), F.sum("p").over(whole).alias("pos"), F.sum("n").over(whole).alias("neg"))
 
@@ -33,10 +38,11 @@ def roc_points(df: DataFrame, score: str = "score", label: str = "label") -> Dat
 
 
 def partial_auc(df: DataFrame, most: float, score: str = "score", label: str = "label") -> DataFrame:
-    """Standardised area where the false positive rate is at most ``most``, with the last step interpolated."""
-    rows = by_score(df, score, label).select((F.col("fp") / F.col("neg")).alias("x"), (F.col("tp") / F.col("pos")).alias("y"), "s")
-    w = W.orderBy(F.desc("s"))
-    rows = rows.withColumns({"x0": F.coalesce(F.lag("x").over(w), F.lit(0.0)), "y0": F.coalesce(F.lag("y").over(w), F.lit(0.0))}).filter(F.col("x0") < most)
+    """Standardised area where the false positive rate is at most ``most``, with the last step
+    interpolated. The point before a score is the running count less the score's own."""
+    c = by_score(df, score, label)
+    rows = c.select((F.col("fp") / F.col("neg")).alias("x"), (F.col("tp") / F.col("pos")).alias("y"), ((F.col("fp") - F.col("n")) / F.col("neg")).alias("x0"), ((F.col("tp") - F.col("p")) / F.col("pos")).alias("y0"))
+    rows = rows.filter(F.col("x0") < most)
     x1 = F.least("x", F.lit(most))
     y1 = F.when(F.col("x") > F.col("x0"), F.col("y0") + (F.col("y") - F.col("y0")) * (x1 - F.col("x0")) / (F.col("x") - F.col("x0"))).otherwise(F.col("y"))
     area = F.sum((x1 - F.col("x0")) * (F.col("y0") + y1) / 2)

@@ -1,6 +1,11 @@
 """Aggregations (inventory 2.4) that are plain rollups."""
 
-from censuskit.plans.sqlviews import sql_query as q
+from pyspark.sql import functions as F
+
+from censuskit.operators.scale import global_rank
+from censuskit.plans import proxies as p
+from censuskit.plans.registry import register
+from censuskit.plans.sqlviews import duck_text, sql_query as q
 
 KINDS = ["click", "error", "purchase", "signup", "view"]
 q("pivot_event_count", "SELECT pid, e AS day, " + ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS cnt_{k}, CAST(max(CASE WHEN kind = '{k}' THEN 1 ELSE 0 END) AS INT) AS any_{k}" for k in KINDS) + " FROM ev GROUP BY pid, e")
@@ -14,8 +19,15 @@ q("best_rank_rollup", """WITH r AS (SELECT *, CAST(row_number() OVER (PARTITION
   SELECT t.okey, t.line, min(r.rnk) AS best, coalesce(bool_or(r.rnk <= 2), FALSE) AS shown, count(r.okey) AS n FROM tr t LEFT JOIN r ON r.pid = t.pid AND DD(r.day, t.day) BETWEEN 0 AND 60 GROUP BY t.okey, t.line""")
 q("bool_and_group", "SELECT pid, bool_and(status = 'F') AS all_f, bool_and(score > 1000) AS all_large FROM pr GROUP BY pid")
 q("conditional_min", "SELECT p.okey, p.day, min(CASE WHEN t.day >= p.day THEN t.day END) AS first_transfer FROM pr p LEFT JOIN tr t ON t.pid = p.pid GROUP BY p.okey, p.day")
-q("having_filter", "WITH r AS (SELECT pid, row_number() OVER (ORDER BY score DESC, okey) AS rnk FROM pr) SELECT pid, CAST(min(rnk) AS INT) AS best FROM r GROUP BY pid HAVING min(rnk) <= 1000",
-  "WITH r AS (SELECT pid, (SELECT count(*) FROM pr q WHERE q.score > p.score OR (q.score = p.score AND q.okey <= p.okey)) AS rnk FROM pr p) SELECT pid, CAST(min(rnk) AS INT) AS best FROM r GROUP BY pid HAVING min(rnk) <= 1000")
+
+
+@register("having_filter", duck_text("WITH r AS (SELECT pid, row_number() OVER (ORDER BY score DESC, okey) AS rnk FROM pr) SELECT pid, CAST(min(rnk) AS INT) AS best FROM r GROUP BY pid HAVING min(rnk) <= 1000"))
+def having_filter(spark, d):
+    """Best rank of all predictions; the global order runs over ranges of the score."""
+    ranked = global_rank(p.predictions(spark, d), "score", "okey")
+    return ranked.groupBy("pid").agg(F.min("rnk").cast("int").alias("best")).filter("best <= 1000")
+
+
 q("monthly_density", """WITH a AS (SELECT fac, CAST(date_trunc('month', day) AS DATE) AS mon, count(*) AS n FROM pr GROUP BY fac, CAST(date_trunc('month', day) AS DATE)),
   b AS (SELECT p.fac, CAST(date_trunc('month', t.day) AS DATE) AS mon, count(*) AS m FROM tr t JOIN pr p ON p.okey = t.okey GROUP BY p.fac, CAST(date_trunc('month', t.day) AS DATE))
   SELECT coalesce(a.fac, b.fac) AS fac, coalesce(a.mon, b.mon) AS mon, a.n, b.m, round(CAST(b.m AS DOUBLE) / a.n, 3) AS density FROM a FULL OUTER JOIN b ON a.fac = b.fac AND a.mon = b.mon""")

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import SparkSession, functions as F
 
 from censuskit.operators import frames
 from censuskit.plans import proxies as p
@@ -198,7 +197,7 @@ def normalize_column_names(spark, d):
 
 SPLIT = """WITH c AS (SELECT day, count(*) AS n FROM pr GROUP BY day), s AS (SELECT day, sum(n) OVER (ORDER BY day DESC) AS newer, sum(n) OVER () AS total FROM c), b AS (SELECT min(CASE WHEN newer <= total * CAST(0.125 AS DOUBLE) THEN day END) AS test_from, min(CASE WHEN newer <= total * CAST(0.25 AS DOUBLE) THEN day END) AS valid_from FROM s)"""
 q("train_valid_test_split", SPLIT + " SELECT p.okey, CASE WHEN p.day >= test_from THEN 'test' WHEN p.day >= valid_from THEN 'valid' ELSE 'train' END AS split FROM pr p CROSS JOIN b")
-q("train_start_date", "WITH r AS (SELECT day, row_number() OVER (ORDER BY day DESC, okey) AS rn FROM pr) SELECT least(max(CASE WHEN rn = 500 THEN day END), DADD(max(day), -516)) AS start_day FROM r".replace("DADD(max(day), -516)", "max(DADD(day, -516))"),
+q("train_start_date", "WITH c AS (SELECT day, count(*) AS n FROM pr GROUP BY day), s AS (SELECT day, sum(n) OVER (ORDER BY day DESC) AS newer FROM c) SELECT least(max(CASE WHEN newer >= 500 THEN day END), max(DADD(day, -516))) AS start_day FROM s",
   "WITH d AS (SELECT day FROM pr ORDER BY day DESC LIMIT 500) SELECT least(min(d.day), CAST((SELECT max(day) FROM pr) - 516 AS DATE)) AS start_day FROM d")
 q("long_short_label", "SELECT c_custkey, CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'long' WHEN c_mktsegment = 'BUILDING' THEN 'no payer info' ELSE 'short' END AS stay FROM customer")
 q("shift_prediction_day", "SELECT pid, day, DADD(day, 1) AS prediction_day FROM sp")
