@@ -1,6 +1,11 @@
 """Joins (inventory 2.3), set operations (2.7) and sorts and limits (2.6)."""
 
-from censuskit.plans.sqlviews import sql_query as q
+from pyspark.sql import functions as F
+
+from censuskit.operators import asof
+from censuskit.plans import proxies as p
+from censuskit.plans.registry import register
+from censuskit.plans.sqlviews import duck_text, sql_query as q
 
 # ---- joins
 q("crosswalk_join", "SELECT o.o_orderkey, o.o_custkey, c.c_nationkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey")
@@ -17,12 +22,18 @@ q("interval_overlap_join", "SELECT t.okey, t.line, t.day, p.okey AS prediction,
 q("interval_exclude_same_day", "SELECT t.okey, t.line, t.day, p.okey AS prediction FROM tr t LEFT JOIN pr p ON p.pid = t.pid AND DD(p.day, t.day) BETWEEN 0 AND 3 AND DD(p.day, t.day) <> 0")
 q("interval_exact_offset", """WITH j AS (SELECT p.client, DD(p.day, t.day) AS days FROM pr p JOIN tr t ON p.pid = t.pid AND t.day >= p.day AND t.day <= DADD(p.day, 3))
   SELECT client, days, count(*) AS n FROM j GROUP BY client, days""")
-q("asof_last_before", """WITH u AS (SELECT pid, day, okey, CAST(NULL AS BIGINT) AS line, CAST(NULL AS DATE) AS was FROM pr UNION ALL SELECT pid, day, CAST(NULL AS BIGINT), line, day FROM tr),
-  w AS (SELECT *, max(was) OVER (PARTITION BY pid ORDER BY day RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_day FROM u) SELECT okey, pid, day, last_day FROM w WHERE okey IS NOT NULL""",
-  "SELECT p.okey, p.pid, p.day, (SELECT max(t.day) FROM tr t WHERE t.pid = p.pid AND t.day <= p.day) AS last_day FROM pr p")
-q("asof_next_after", """WITH u AS (SELECT pid, day, okey, CAST(NULL AS DATE) AS nxt FROM pr UNION ALL SELECT pid, DADD(day, -1), CAST(NULL AS BIGINT), day FROM tr),
-  w AS (SELECT *, min(nxt) OVER (PARTITION BY pid ORDER BY day RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_day FROM u) SELECT okey, pid, day, next_day FROM w WHERE okey IS NOT NULL""",
-  "SELECT p.okey, p.pid, p.day, (SELECT min(t.day) FROM tr t WHERE t.pid = p.pid AND t.day > p.day) AS next_day FROM pr p")
+@register("asof_last_before", duck_text("SELECT p.okey, p.pid, p.day, (SELECT max(t.day) FROM tr t WHERE t.pid = p.pid AND t.day <= p.day) AS last_day FROM pr p"))
+def asof_last_before(spark, d):
+    told = p.transfers(spark, d).select("pid", "day", F.col("day").alias("moved"))
+    return asof.last_before(p.predictions(spark, d).select("okey", "pid", "day"), told, {"last_day": "moved"})
+
+
+@register("asof_next_after", duck_text("SELECT p.okey, p.pid, p.day, (SELECT min(t.day) FROM tr t WHERE t.pid = p.pid AND t.day > p.day) AS next_day FROM pr p"))
+def asof_next_after(spark, d):
+    told = p.transfers(spark, d).select("pid", "day", F.col("day").alias("moved"))
+    return asof.next_after(p.predictions(spark, d).select("okey", "pid", "day"), told, {"next_day": "moved"})
+
+
 q("stab_point_in_interval", """WITH i AS (SELECT pid, okey, day AS b, lead(day) OVER (PARTITION BY pid ORDER BY day, okey) AS e FROM pr)
   SELECT pid, okey, b, e FROM i WHERE b < DATE '1998-07-01' AND (e IS NULL OR e >= DATE '1998-07-01')""")
 q("semi_join_in_subquery", "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT pid FROM tr WHERE planned)")

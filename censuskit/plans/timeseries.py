@@ -2,9 +2,10 @@
 
 from pyspark.sql import Window as W, functions as F
 
+from censuskit.operators import asof, ranking, spine as sp_
 from censuskit.plans import proxies as p
 from censuskit.plans.registry import register
-from censuskit.plans.sqlviews import sql_query as q
+from censuskit.plans.sqlviews import duck_text, sql_query as q
 from censuskit.sources.tables import table
 
 q("dedupe_keep_last", """WITH r AS (SELECT pid, e, kind, event_id, row_number() OVER (PARTITION BY pid, e, kind ORDER BY ts DESC, event_id DESC) AS rn FROM ev) SELECT pid, e, kind, event_id FROM r WHERE rn = 1""")
@@ -16,28 +17,19 @@ UNROLL_DUCK = f"""WITH {IV}, f AS (SELECT *, last_value(action IGNORE NULLS) OVE
 
 
 def _intervals(spark, d):
-    pr = p.predictions(spark, d)
-    by = W.partitionBy("pid").orderBy("day", "okey")
-    action = F.when(F.col("status") != "P", F.col("status"))
-    return pr.select(
-        "pid", "fac", "okey", F.col("day").alias("b"), F.coalesce(F.date_sub(F.lead("day").over(by), 1), F.to_date(F.lit("2001-08-01"))).alias("e"),
-        F.last(action, ignorenulls=True).over(by).alias("act"),
-    ).filter("act IS NOT NULL")
-
-
-def _unrolled(spark, d):
-    return _intervals(spark, d).filter("e >= b").withColumn("day", F.explode(F.sequence("b", "e")))
+    pr = p.predictions(spark, d).select("pid", "fac", "okey", "day", "status")
+    return sp_.close_intervals(pr, "day", ["okey"], "2001-08-01", F.when(F.col("status") != "P", F.col("status")))
 
 
 @register("census_unroll", f"""{UNROLL_DUCK.replace('FROM pr)', 'FROM pr)')} , u AS (SELECT pid, okey, act, CAST(unnest(generate_series(b, e, INTERVAL 1 DAY)) AS DATE) AS day FROM g WHERE e >= b AND pid % 10 = 1) SELECT pid, okey, act, day FROM u""".replace("WITH iv", f"WITH {p.PR}, iv"))
 def census_unroll(spark, d):
-    return _unrolled(spark, d).filter("pid % 10 = 1").select("pid", "okey", "act", "day")
+    return sp_.unroll(_intervals(spark, d).filter("pid % 10 = 1")).select("pid", "okey", "act", "day")
 
 
 @register("census_unroll_conditional", f"""{UNROLL_DUCK} , u AS (SELECT pid, okey, act, b, CAST(unnest(generate_series(b, e, INTERVAL 1 DAY)) AS DATE) AS day FROM g WHERE e >= b AND pid % 10 = 1) SELECT pid, okey, act, day FROM u WHERE day >= b + CAST(okey % 4 AS INT)""".replace("WITH iv", f"WITH {p.PR}, iv"))
 def census_unroll_conditional(spark, d):
     known = F.date_add("b", (F.col("okey") % 4).cast("int"))
-    return _unrolled(spark, d).filter("pid % 10 = 1").filter(F.col("day") >= known).select("pid", "okey", "act", "day")
+    return sp_.unroll(_intervals(spark, d).filter("pid % 10 = 1"), known).select("pid", "okey", "act", "day")
 
 
 @register("facility_cutoff", f"""{UNROLL_DUCK}, c AS (SELECT fac, CASE WHEN extract(DAY FROM max(day)) <= 3 THEN CAST(date_trunc('month', max(day)) AS DATE) ELSE CAST(date_trunc('month', max(day)) + INTERVAL 1 MONTH AS DATE) END - 1 AS cutoff FROM pr GROUP BY fac)
@@ -46,7 +38,7 @@ def facility_cutoff(spark, d):
     last = F.max("day")
     month = F.trunc(last, "MM")
     cut = p.predictions(spark, d).groupBy("fac").agg(F.date_sub(F.when(F.day(last) <= 3, month).otherwise(F.add_months(month, 1)), 1).alias("cutoff"))
-    return _intervals(spark, d).join(cut, "fac").filter("b <= cutoff").select("okey", "pid", "b", F.least("e", "cutoff").alias("e"))
+    return sp_.cut_at(_intervals(spark, d), cut, "fac").select("okey", "pid", "b", "e")
 
 
 @register("calendar_spine", f"""WITH {p.EV}, cal AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-05', INTERVAL 1 DAY)) AS DATE) AS day), c AS (SELECT DISTINCT pid, e AS day FROM ev WHERE kind = 'view'), t AS (SELECT DISTINCT pid, e AS day FROM ev WHERE kind = 'error'),
@@ -93,11 +85,32 @@ q("rolling_mean_std_rows", f"WITH {DAILY} SELECT pid, kind, day, " + ", ".join(f
 # ---- stays: runs of consecutive days with an event
 ISL = "isl AS (SELECT pid, day, DADD(day, -rn) AS grp FROM (SELECT pid, day, CAST(row_number() OVER (PARTITION BY pid ORDER BY day) AS INT) AS rn FROM (SELECT DISTINCT pid, e AS day FROM ev WHERE kind <> 'view') z) y)"
 STAYS = ISL + ", st AS (SELECT pid, min(day) AS b, max(day) AS e, count(*) AS days FROM isl GROUP BY pid, grp)"
-q("patient_stays", f"WITH {STAYS} SELECT pid, b, e, days FROM st")
-q("bed_change_streak", """WITH x AS (SELECT pid, e AS day, max(event_id) % 3 AS bed FROM ev GROUP BY pid, e), c AS (SELECT *, CASE WHEN lag(bed) OVER (PARTITION BY pid ORDER BY day) = bed AND DD(prev, day) = 1 THEN 0 ELSE 1 END AS fresh FROM (SELECT *, lag(day) OVER (PARTITION BY pid ORDER BY day) AS prev FROM x) z),
-  g AS (SELECT *, sum(fresh) OVER (PARTITION BY pid ORDER BY day) AS grp FROM c) SELECT pid, day, bed, CAST(row_number() OVER (PARTITION BY pid, grp ORDER BY day) - 1 AS INT) AS streak FROM g""")
-q("split_stays_by_event", f"""WITH {STAYS}, t AS (SELECT DISTINCT pid, e AS day FROM ev WHERE kind = 'error'), cuts AS (SELECT st.pid, st.b, st.e, st.b AS moment FROM st UNION SELECT st.pid, st.b, st.e, t.day FROM st JOIN t ON t.pid = st.pid AND t.day > st.b AND t.day <= DADD(st.e, 1)),
-  n AS (SELECT *, lead(moment) OVER (PARTITION BY pid, b ORDER BY moment) AS nxt FROM cuts) SELECT pid, moment AS b, coalesce(DADD(nxt, -1), e) AS e FROM n WHERE moment <= e""")
+def _stays(spark, d):
+    return sp_.stays(p.events(spark, d).filter("kind <> 'view'").select("pid", F.col("e").alias("day")).distinct())
+
+
+@register("patient_stays", duck_text(f"WITH {STAYS} SELECT pid, b, e, days FROM st"))
+def patient_stays(spark, d):
+    return _stays(spark, d)
+
+
+
+
+@register("bed_change_streak", duck_text("""WITH x AS (SELECT pid, e AS day, max(event_id) % 3 AS bed FROM ev GROUP BY pid, e), c AS (SELECT *, CASE WHEN lag(bed) OVER (PARTITION BY pid ORDER BY day) = bed AND DD(prev, day) = 1 THEN 0 ELSE 1 END AS fresh FROM (SELECT *, lag(day) OVER (PARTITION BY pid ORDER BY day) AS prev FROM x) z),
+  g AS (SELECT *, sum(fresh) OVER (PARTITION BY pid ORDER BY day) AS grp FROM c) SELECT pid, day, bed, CAST(row_number() OVER (PARTITION BY pid, grp ORDER BY day) - 1 AS INT) AS streak FROM g"""))
+def bed_change_streak(spark, d):
+    beds = p.events(spark, d).groupBy("pid", F.col("e").alias("day")).agg((F.max("event_id") % 3).alias("bed"))
+    return sp_.streaks(beds, "bed")
+
+
+
+@register("split_stays_by_event", duck_text(f"""WITH {STAYS}, t AS (SELECT DISTINCT pid, e AS day FROM ev WHERE kind = 'error'), cuts AS (SELECT st.pid, st.b, st.e, st.b AS moment FROM st UNION SELECT st.pid, st.b, st.e, t.day FROM st JOIN t ON t.pid = st.pid AND t.day > st.b AND t.day <= DADD(st.e, 1)),
+  n AS (SELECT *, lead(moment) OVER (PARTITION BY pid, b ORDER BY moment) AS nxt FROM cuts) SELECT pid, moment AS b, coalesce(DADD(nxt, -1), e) AS e FROM n WHERE moment <= e"""))
+def split_stays_by_event(spark, d):
+    cuts = p.events(spark, d).filter("kind = 'error'").select("pid", F.col("e").alias("day"))
+    return sp_.split_stays(_stays(spark, d), cuts)
+
+
 q("prior_stay_features", f"""WITH {STAYS}, j AS (SELECT a.pid, a.b, count(o.b) AS prior_stays, CAST(sum(CASE WHEN o.days <= 2 THEN 1 ELSE 0 END) AS BIGINT) AS prior_short FROM st a LEFT JOIN st o ON o.pid = a.pid AND o.b < a.b AND o.e >= DADD(a.b, -90) GROUP BY a.pid, a.b),
   l AS (SELECT pid, b, lag(days) OVER (PARTITION BY pid ORDER BY b) AS prev_days, lag(e) OVER (PARTITION BY pid ORDER BY b) AS prev_end FROM st) SELECT j.pid, j.b, prior_stays, prior_short, prev_days, DD(prev_end, l.b) AS gap FROM j JOIN l ON j.pid = l.pid AND j.b = l.b""")
 q("prediction_timestamps", f"WITH {STAYS} SELECT i.pid, st.b, i.day, CAST(CAST(i.day AS VARCHAR(10)) || ' 07:00:00' AS TIMESTAMP) AS moment FROM isl i JOIN st ON st.pid = i.pid AND i.day > st.b AND i.day <= st.e")
@@ -160,8 +173,13 @@ for key, what, order, kinds in (
     ("transfer_reason_asof", "CASE event_id % 4 WHEN 0 THEN 'Fall' WHEN 1 THEN 'Fever' ELSE 'Pain' END", "ts DESC, event_id DESC", "'error'"),
     ("asof_ffill_attribute", "CASE WHEN value > 100 THEN 'high' ELSE 'low' END", "ts DESC, event_id DESC", "'view'"),
 ):
-    spark_last, duck_last = "last_value(what) IGNORE NULLS OVER (PARTITION BY pid ORDER BY day, asked)", "last_value(what IGNORE NULLS) OVER (PARTITION BY pid ORDER BY day, asked)"
-    q(key, ASOF.format(what=what, order=order, kinds=kinds, last=spark_last), ASOF.format(what=what, order=order, kinds=kinds, last=duck_last))
+    def _carry(spark, d, what=what, order=order, kinds=kinds):
+        rank = F.expr(f"row_number() OVER (PARTITION BY pid, e ORDER BY {order})")
+        told = p.events(spark, d).filter(f"kind IN ({kinds})").withColumns({"what": F.expr(what), "rn": rank}).filter("rn = 1")
+        return asof.carried(p.spine(spark, d).select("pid", "day"), told.select("pid", F.col("e").alias("day"), "what"), "what", "Unknown")
+
+    _carry.__name__ = key
+    register(key, duck_text(ASOF.format(what=what, order=order, kinds=kinds, last="last_value(what IGNORE NULLS) OVER (PARTITION BY pid ORDER BY day, asked)")))(_carry)
 
 
 @register("ewm_halflife", f"""WITH {p.EV}, r AS (SELECT pid, event_id, value, row_number() OVER (PARTITION BY pid ORDER BY ts, event_id) AS i FROM ev WHERE kind = 'view')
@@ -183,12 +201,34 @@ def ewm_halflife(spark, d):
 
 
 # ---- ranks
-q("rank_first", "SELECT okey, client, day, CAST(row_number() OVER (PARTITION BY client, day ORDER BY score DESC, pid, okey) AS INT) AS rnk FROM pr")
+
+@register("rank_first", duck_text("SELECT okey, client, day, CAST(row_number() OVER (PARTITION BY client, day ORDER BY score DESC, pid, okey) AS INT) AS rnk FROM pr"))
+def rank_first(spark, d):
+    return ranking.rank_first(p.predictions(spark, d), ["client", "day"], "score", ["pid", "okey"]).select("okey", "client", "day", "rnk")
+
+
 q("group_rank", "SELECT okey, CAST(row_number() OVER (PARTITION BY fac, day ORDER BY score DESC, okey) AS INT) AS facility_rank, CAST(row_number() OVER (PARTITION BY client, fac, day ORDER BY score DESC, okey) AS INT) AS unit_rank FROM pr")
 RK = "WITH r AS (SELECT okey, client, fac, pid, day, score, status, CAST(row_number() OVER (PARTITION BY client, day ORDER BY score DESC, okey) AS INT) AS rnk FROM pr)"
-q("relative_group_rank", RK + " SELECT okey, round(CAST(rnk AS DOUBLE) / max(rnk) OVER (PARTITION BY client, day), 6) AS relative FROM r")
-q("rank_average_ties", "SELECT l_orderkey, l_linenumber, rank() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC) + (count(*) OVER (PARTITION BY l_orderkey, l_quantity) - 1) / CAST(2 AS DOUBLE) AS avg_rank FROM lineitem")
-q("topk_cutoff_flag", RK + " SELECT okey, rnk, rnk <= least(2, max(rnk) OVER (PARTITION BY client, day)) AS by_number, rnk <= greatest(1, CAST(floor(max(rnk) OVER (PARTITION BY client, day) * CAST(0.15 AS DOUBLE)) AS INT)) AS by_share FROM r")
+
+@register("relative_group_rank", duck_text(RK + " SELECT okey, round(CAST(rnk AS DOUBLE) / max(rnk) OVER (PARTITION BY client, day), 6) AS relative FROM r"))
+def relative_group_rank(spark, d):
+    ranked = ranking.rank_first(p.predictions(spark, d), ["client", "day"], "score", ["okey"])
+    return ranked.select("okey", F.round(ranking.relative(["client", "day"]), 6).alias("relative"))
+
+
+
+@register("rank_average_ties", duck_text("SELECT l_orderkey, l_linenumber, rank() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC) + (count(*) OVER (PARTITION BY l_orderkey, l_quantity) - 1) / CAST(2 AS DOUBLE) AS avg_rank FROM lineitem"))
+def rank_average_ties(spark, d):
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", ranking.average_rank(["l_orderkey"], "l_quantity").alias("avg_rank"))
+
+
+
+@register("topk_cutoff_flag", duck_text(RK + " SELECT okey, rnk, rnk <= least(2, max(rnk) OVER (PARTITION BY client, day)) AS by_number, rnk <= greatest(1, CAST(floor(max(rnk) OVER (PARTITION BY client, day) * CAST(0.15 AS DOUBLE)) AS INT)) AS by_share FROM r"))
+def topk_cutoff_flag(spark, d):
+    ranked = ranking.rank_first(p.predictions(spark, d), ["client", "day"], "score", ["okey"])
+    return ranked.select("okey", "rnk", ranking.shown(["client", "day"], 2).alias("by_number"), ranking.shown(["client", "day"], 0.15).alias("by_share"))
+
+
 q("threshold_per_group", "SELECT DISTINCT client, day, CAST(floor(count(*) OVER (PARTITION BY client, day) * CAST(0.5 AS DOUBLE)) AS INT) AS threshold FROM pr")
 q("reverse_cumsum", "WITH g AS (SELECT fac, count(*) AS n FROM pr GROUP BY fac) SELECT fac, CAST(sum(n) OVER (ORDER BY fac) AS BIGINT) AS forward_sum, CAST(sum(n) OVER (ORDER BY fac DESC) AS BIGINT) AS reverse_sum FROM g")
 
