@@ -8,14 +8,18 @@ when ``share`` percent of their union is shared. The join finds every link class
    them, then all others by hash. A link needs a common token among the first
    n - ceil(share * n) + 1 of both documents, so only those prefix tokens matter, and of
    these only tokens that two nodes hold. Passages that many documents share are last.
-3. Groups: a document goes to the smallest node that shares one of its prefix tokens. The
-   matrix has a row for each token in a group's token union, once, however many members
-   hold it. Multiplying a query's prefix with it bounds the query's overlap with every
-   group; a bound of 0, or sizes too far apart, closes the group.
-4. Open groups are first answered by the group's smallest member: a query that links to
-   it is in its component, as are all members that do. Only where that leaves queries and
-   members with a common prefix token in different components are those members compared
-   one by one. Links inside a component that is already known need no comparison.
+3. Groups: for each token and band of sizes, its holder whose tokens are the most widely
+   held leads a group; the group's token union is all tokens it leads for. The matrix has
+   one row per token and group, however many documents hold the token. Multiplying a
+   query's prefix with it bounds the query's overlap with every group; a bound of 0, or
+   sizes too far apart, closes the group, and its leader answers for an open one: a query
+   that links to it is in its component, as are all others that do.
+4. Documents that still share a prefix token with one in another component stay open. For
+   these alone filter and groups are repeated on all of their tokens instead of a quarter,
+   counted among them: a text with many words of its own has them first in its order, and
+   nothing left in its prefix to share. What then remains in different components, with
+   sizes and places in both orders that leave room for enough common tokens, is compared
+   one by one. Links inside a known component need no comparison.
 
 Verification counts common tokens of whole sets. Components are found by repeated minimum
 labels with shortcuts, in written tables.
@@ -34,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from censuskit.llm.common import stash
 
@@ -105,9 +109,9 @@ def ngram_sets(texts: list[str | None], n: int, hasher: WordHasher) -> Iterator[
 
 
 def _tokens(docs: DataFrame, n: int, share: int) -> DataFrame:
-    """doc_id, n (set size), s1, s2 (order-free hashes of the set), slack and tokens: those of
-    the first quarter of the hash range, then, where these are fewer than the prefix, the
-    smallest others up to its length. slack is the prefix length less the quarter's tokens."""
+    """doc_id, n (set size), s1, s2 (order-free hashes of the set), quarter and tokens: those of
+    the first quarter of the hash range, ``quarter`` of them, then, where these are fewer than
+    the prefix, the smallest others up to its length."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()
@@ -118,12 +122,12 @@ def _tokens(docs: DataFrame, n: int, share: int) -> DataFrame:
                     prefix = len(s) - (share * len(s) + 99) // 100 + 1 if len(s) else 0
                     quarter = int(np.searchsorted(s, np.uint64(1 << 62)))
                     kept = s[: max(quarter, prefix)]
-                    out.append((doc_id, len(s), int(s.sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(_mix(s)).astype(np.int64)) if len(s) else 0, prefix - quarter, kept.astype(np.int64)))
-                frame = pd.DataFrame(out, columns=["doc_id", "n", "s1", "s2", "slack", "tokens"])
+                    out.append((doc_id, len(s), int(s.sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(_mix(s)).astype(np.int64)) if len(s) else 0, quarter, kept.astype(np.int64)))
+                frame = pd.DataFrame(out, columns=["doc_id", "n", "s1", "s2", "quarter", "tokens"])
                 frame["doc_id"] = frame.doc_id.astype("Int64")
                 yield frame
 
-    return docs.mapInPandas(work, "doc_id long, n long, s1 long, s2 long, slack int, tokens array<long>")
+    return docs.mapInPandas(work, "doc_id long, n long, s1 long, s2 long, quarter int, tokens array<long>")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -173,48 +177,86 @@ def _with_component(rows: DataFrame, node: str, comps: DataFrame) -> DataFrame:
     return rows.join(named, node, "left").withColumn("label", F.coalesce("label", node))
 
 
+def _prefix(held: DataFrame, share: int) -> DataFrame:
+    """The prefix tokens that two nodes or more hold: token, doc_id, n, place, weight.
+
+    held: doc_id, n, quarter, token and first (whether the token is one of those counted
+    first, of which the node has ``quarter``)."""
+    counts = held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    by_doc = W.partitionBy("doc_id")
+    ranked = held.join(counts, "token").withColumns(
+        {
+            "rank": F.row_number().over(by_doc.orderBy(F.desc("first"), "df", "token")),
+            # tokens that only this node holds come before in its order
+            "alone": F.col("quarter") - F.count_if("first").over(by_doc),
+            "weight": F.sum(F.when(F.col("first"), F.col("df")).otherwise(0)).over(by_doc),
+        }
+    )
+    length = F.col("n") - F.ceil(F.col("n") * share / 100) + 1
+    # a token's place in the node's order; for tokens outside the quarter the least it can be
+    place = F.when(F.col("first"), F.col("rank") + F.col("alone")).otherwise(1).cast("int")
+    return ranked.withColumn("place", place).filter(~F.col("first") | (F.col("place") <= length)).select("token", "doc_id", "n", "place", "weight")
+
+
+def _near(share: int) -> Column:
+    """Whether the sizes n and m are close enough for a link."""
+    return (share * F.col("n") <= 100 * F.col("m")) & (share * F.col("m") <= 100 * F.col("n"))
+
+
+def _room(share: int) -> Column:
+    """Whether a first common token at these places leaves enough common tokens for a link."""
+    enough = F.ceil((F.col("n") + F.col("m")) * share / (100 + share))
+    return (F.col("place") <= F.col("n") - enough + 1) & (F.col("place_b") <= F.col("m") - enough + 1)
+
+
+def _led(prefix: DataFrame, share: int) -> DataFrame:
+    """Pairs (a, b) of a document and the leader of a group that is open to it.
+
+    The matrix has the tokens of each group's union; its product with the documents' prefixes
+    counts the tokens shared with each group."""
+    labelled = "label" in prefix.columns
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / share)))
+    kept = [c for c in ("n", "place", "label") if c in prefix.columns]
+    lead = prefix.groupBy("token", band.alias("band")).agg(F.max(F.struct("weight", F.bitwise_not("doc_id").alias("inverse"), *kept)).alias("top"))
+    matrix = lead.select("token", F.bitwise_not("top.inverse").alias("leader"), F.col("top.n").alias("m"), F.col("top.place").alias("place_b"), *([F.col("top.label").alias("label_b")] if labelled else []))
+    matrix = stash(matrix, "ngram-matrix")
+    met = prefix.join(matrix, "token").filter(_near(share) & _room(share) & (F.col("doc_id") != F.col("leader")))
+    if labelled:
+        met = met.filter("label <> label_b")
+    bound = met.groupBy("doc_id", "leader").agg(F.count(F.lit(1)).alias("overlap")).filter("overlap > 0")
+    return bound.select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
+
+
+def _unsettled(placed: DataFrame) -> DataFrame:
+    """Rows of tokens whose holders are in more than one component (label)."""
+    mixed = placed.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
+    return placed.join(mixed, "token", "left_semi")
+
+
 def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = stash(_tokens(docs, n, share), "ngram-rows")
     classes = stash(rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep")), "ngram-classes")
     nodes = rows.filter("n > 0").join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    held = nodes.select("doc_id", "slack", F.explode("tokens").alias("token"))
+    held = nodes.select("doc_id", F.col("n").cast("int").alias("n"), "quarter", F.explode("tokens").alias("token"))
+    held = held.withColumn("first", F.shiftrightunsigned("token", 62) == 0)
+    prefix = stash(_prefix(held, share), "ngram-prefix")
 
-    # tokens of two nodes or more, with their count; others can never be shared
-    counts = held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    shared = held.join(counts, "token")
-    in_quarter = F.shiftrightunsigned("token", 62) == 0
-    by_doc = W.partitionBy("doc_id")
-    ranked = (
-        shared.withColumn("quarter", in_quarter)
-        .withColumn("rank", F.row_number().over(by_doc.orderBy(F.desc("quarter"), "df", "token")))
-        .withColumn("n_quarter", F.count_if("quarter").over(by_doc))
-    )
-    # the quarter's tokens of one node come first in its order and take up slots of the prefix
-    prefix = stash(ranked.filter(~F.col("quarter") | (F.col("rank") <= F.col("slack") + F.col("n_quarter"))).select("token", "doc_id"), "ngram-prefix")
-    sizes = rows.select(F.col("doc_id").alias("node"), "n")
-
-    # groups, and the token-group matrix
-    centre = prefix.groupBy("token").agg(F.min("doc_id").alias("centre"))
-    member = stash(prefix.join(centre, "token").groupBy("doc_id").agg(F.min("centre").alias("group")).join(sizes.withColumnRenamed("node", "doc_id").dropDuplicates(["doc_id"]), "doc_id"), "ngram-members")
-    groups = member.groupBy("group").agg(F.min("doc_id").alias("first"), F.min("n").alias("least"), F.max("n").alias("most"))
-    matrix = stash(prefix.join(member, "doc_id").select("token", "group").distinct(), "ngram-matrix")
-    bound = prefix.join(matrix, "token").groupBy("doc_id", "group").agg(F.count(F.lit(1)).alias("overlap"))
-    sized = bound.join(member.select("doc_id", F.col("n").alias("q")), "doc_id").join(groups, "group")
-    opened = sized.filter((share * F.col("q") <= 100 * F.col("most")) & (share * F.col("least") <= 100 * F.col("q")))
-    firsts = opened.filter("doc_id <> first").select(F.least("doc_id", "first").alias("a"), F.greatest("doc_id", "first").alias("b")).distinct()
-    links = _links(docs, firsts, n, share)
+    links = _links(docs, _led(prefix, share), n, share)
     comps = components(links)
 
-    # what the firsts did not settle: members of open groups in different components
-    placed = stash(_with_component(prefix, "doc_id", comps).join(member.select("doc_id", "n"), "doc_id"), "ngram-placed")
-    mixed = placed.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
-    open_rows = stash(placed.join(mixed, "token", "left_semi"), "ngram-open")
-    other = open_rows.select("token", F.col("doc_id").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("m"))
-    rest = open_rows.join(other, "token").filter((F.col("doc_id") < F.col("b")) & (F.col("label") != F.col("label_b")))
-    rest = rest.filter((share * F.col("n") <= 100 * F.col("m")) & (share * F.col("m") <= 100 * F.col("n"))).select(F.col("doc_id").alias("a"), "b").distinct()
-    more = _links(docs, rest, n, share)
+    # what the leaders did not settle, by all tokens of the documents that are still open
+    opened = stash(_unsettled(_with_component(prefix, "doc_id", comps)).select("doc_id").distinct(), "ngram-open")
+    whole = _sets(docs, opened, n).dropDuplicates(["doc_id"])
+    held = whole.select("doc_id", F.size("tokens").alias("n"), F.size("tokens").alias("quarter"), F.explode("tokens").alias("token"), F.lit(True).alias("first"))
+    prefix = stash(_prefix(held, share), "ngram-rest")
+    links = stash(links.unionByName(_links(docs, _led(_unsettled(_with_component(prefix, "doc_id", comps)), share), n, share)), "ngram-links")
+    comps = components(links)
+    rest = stash(_unsettled(_with_component(prefix, "doc_id", comps)), "ngram-rest")
+    other = rest.select("token", F.col("doc_id").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("m"), F.col("place").alias("place_b"))
+    pairs = rest.join(other, (rest.token == other.token) & (F.col("doc_id") < F.col("b")) & (F.col("label") != F.col("label_b")) & _near(share) & _room(share))
+    more = _links(docs, pairs.select(F.col("doc_id").alias("a"), "b").distinct(), n, share)
     if not more.isEmpty():
         comps = components(links.unionByName(more))
     found = rows.select("doc_id", "n", "s1", "s2").join(stash(_with_component(classes, "rep", comps), "ngram-classes"), ["s1", "s2", "n"], "left")
