@@ -36,7 +36,7 @@ def rug_parts(rug: Column) -> dict[str, Column]:
     return {
         "category": F.coalesce(F.try_element_at(names, group), F.lit("Unknown")),
         "depression": F.when(group.isin("H", "L", "C"), last == "2"),
-        "nursing": F.when(group.isin("B", "P"), F.expr(f"try_cast(substring(rug, 3, 1) AS INT)")),
+        "nursing": F.when(group.isin("B", "P"), last.try_cast("int")),
     }
 
 

@@ -8,7 +8,6 @@ import uuid
 from pyspark.sql import SparkSession, functions as F
 
 from censuskit.operators import frames
-from censuskit.plans import proxies as p
 from censuskit.plans.registry import register
 from censuskit.plans.sqlviews import sql_query as q
 from censuskit.sources.tables import table

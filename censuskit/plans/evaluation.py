@@ -8,7 +8,6 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import functions as F
 
 from censuskit.operators import metrics as m
-from censuskit.plans import proxies as p
 from censuskit.plans.registry import register
 from censuskit.plans.sqlviews import sql_query as q
 from censuskit.sources.tables import table

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from censuskit.functions import codes
-from censuskit.plans import proxies as p
 from censuskit.plans.registry import register
 from censuskit.plans.sqlviews import sql_query as q
 from censuskit.sources.tables import table
