@@ -25,13 +25,16 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, functions as F
 
 #: Pieces that a worker remembers; the cache starts afresh when it is full.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 150_000
+#: Rows that a worker hands back at once.
+SLICE_ROWS = 256
 
 
 class Vocabulary:
@@ -71,7 +74,7 @@ class Vocabulary:
         known = self.known_pairs.get(key)
         if known is None:
             known = self._decide(left, right)
-            if len(self.known_pairs) > 1_000_000:
+            if len(self.known_pairs) > 300_000:
                 self.known_pairs.clear()
             self.known_pairs[key] = known
         return known
@@ -221,15 +224,16 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path, pattern)
         for batch in batches:
-            out = []
-            for text in batch.text:
-                counts, ids, decoded = zip(*enc.pieces(text), strict=True) if text else ((), (), ())
-                line = " ".join(ids)
-                row = (sum(counts), hashlib.sha256(line.encode()).hexdigest(), hashlib.sha256(b"".join(decoded)).hexdigest())
-                out.append(([int(i) for i in line.split()], *row) if with_ids else row)
-            frame = pd.DataFrame(out, columns=["ids"] * with_ids + ["n_tokens", "ids_sha256", "decoded_sha256"])
-            frame.insert(0, "doc_id", batch.doc_id.to_numpy())
-            yield frame
+            for start in range(0, len(batch), SLICE_ROWS):
+                part, out = batch.iloc[start : start + SLICE_ROWS], []
+                for text in part.text:
+                    counts, ids, decoded = zip(*enc.pieces(text), strict=True) if text else ((), (), ())
+                    line = " ".join(ids)
+                    row = (sum(counts), hashlib.sha256(line.encode()).hexdigest(), hashlib.sha256(b"".join(decoded)).hexdigest())
+                    out.append((np.fromstring(line, np.int32, sep=" "), *row) if with_ids else row)
+                frame = pd.DataFrame(out, columns=["ids"] * with_ids + ["n_tokens", "ids_sha256", "decoded_sha256"])
+                frame.insert(0, "doc_id", part.doc_id.to_numpy())
+                yield frame
 
     ids = "ids array<int>, " if with_ids else ""
     return chosen.mapInPandas(work, f"doc_id {schema}, {ids}n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model predicts toxic go. It learns from the labelled rows that op6 learns from."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(crc_mod("doc_id", 5) != 0).select("doc_id", "toxic")
     model = toxicity.train(labels.join(docs.select("doc_id", "text"), "doc_id"))
-    columns = [F.col(c) for c in docs.columns if c != "doc_id"]
-    return toxicity.evidence_of(docs, model, tuple(columns)).filter("score < 0.5").select(*docs.columns)
+    columns = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    return toxicity.evidence_of(docs, model, tuple(columns), with_text=True).filter("score < 0.5").select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
