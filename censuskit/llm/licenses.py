@@ -38,12 +38,12 @@ FAMILIES = [
     ("gpl", r"(?:gnu )?(?:general public licen[sc]e|gpl)", "gpl|general public", ["1.0", "2.0", "3.0"]),
     ("gfdl", r"(?:gnu )?(?:free documentation licen[sc]e|gfdl)", "gfdl|free documentation", ["1.1", "1.2", "1.3"]),
     ("apache", r"apache(?: software)? licen[sc]e", "apache", ["1.0", "1.1", "2.0"]),
-    ("mpl", r"(?:mozilla public licen[sc]e|mpl(?=-[0-9]))", "mozilla|mpl", ["1.0", "1.1", "2.0"]),
-    ("epl", r"(?:eclipse public licen[sc]e|epl(?=-[0-9]))", "eclipse|epl", ["1.0", "2.0"]),
+    ("mpl", r"(?:mozilla public licen[sc]e|mpl)", "mozilla|mpl", ["1.0", "1.1", "2.0"]),
+    ("epl", r"(?:eclipse public licen[sc]e|epl)", "eclipse|epl", ["1.0", "2.0"]),
     ("cddl", r"(?:common development and distribution licen[sc]e|cddl)", "common development|cddl", ["1.0", "1.1"]),
     ("eupl", r"(?:european union public licen[sc]e|eupl)", "european union|eupl", ["1.0", "1.1", "1.2"]),
-    ("osl", r"(?:open software licen[sc]e|osl(?=-[0-9]))", "open software|osl", ["1.0", "2.0", "3.0"]),
-    ("afl", r"(?:academic free licen[sc]e|afl(?=-[0-9]))", "academic free|afl", ["2.0", "2.1", "3.0"]),
+    ("osl", r"(?:open software licen[sc]e|osl)", "open software|osl", ["1.0", "1.1", "2.0", "2.1", "3.0"]),
+    ("afl", r"(?:academic free licen[sc]e|afl)", "academic free|afl", ["1.1", "1.2", "2.0", "2.1", "3.0"]),
     ("artistic", r"artistic licen[sc]e", "artistic", ["1.0", "2.0"]),
     ("boost", r"boost software licen[sc]e", "boost", ["1.0"]),
     ("ms-pl", r"microsoft public licen[sc]e", "microsoft public", []),
@@ -56,7 +56,7 @@ FAMILIES = [
     ("wtfpl", r"(?:do what the fuck you want to public licen[sc]e|wtfpl)", "wtfpl|do what the", ["2.0"]),
     ("unlicense", r"(?:the )?unlicense", "unlicense", []),
     ("isc", r"isc licen[sc]e", "isc", []),
-    ("zlib", r"zlib(?:/libpng)? licen[sc]e", "zlib", []),
+    ("zlib", r"zlib(?: libpng)? licen[sc]e", "zlib", []),
     ("mit", r"(?:mit|expat|x11) licen[sc]e", "mit|expat|x11", []),
     ("bsd", r"(?:(?:[234]|two|three|four)[- ]clause )?bsd(?: (?:[234]|two|three|four)[- ]clause)? licen[sc]e", "bsd", []),
     ("cc0", r"(?:creative commons zero|cc0|cc zero)", "cc0|commons zero|cc zero", ["1.0"]),
@@ -70,7 +70,7 @@ FAMILIES = [
 # Declarations and texts that need no name: (label, pattern, keyword, relevance).
 TEXTS = [
     ("mit", r"permission is hereby granted,? free of charge,? to any person obtaining a copy", "permission is hereby granted", 0.9),
-    ("isc", r"permission to use, copy, modify,? and(?:/or)? distribute this software", "permission to use", 0.85),
+    ("isc", r"permission to use, copy, modify,? and(?: or)? distribute this software", "permission to use", 0.85),
     ("bsd", r"redistribution and use in source and binary forms", "redistribution and use", 0.85),
     ("zlib", r"this software is provided 'as-is', without any express or implied warranty", "as-is", 0.8),
     ("unlicense", r"this is free and unencumbered software released into the public domain", "unencumbered", 0.95),
@@ -78,6 +78,20 @@ TEXTS = [
     ("proprietary", r"all rights reserved", "all rights reserved", 0.4),
     ("proprietary", r"(?:proprietary and confidential|confidential and proprietary)", "proprietary", 0.6),
 ]
+# SPDX identifiers as (label, identifiers as patterns); -only, -or-later and + may follow.
+SPDX = [
+    ("mit", "mit"), ("mit-0", "mit-0"), ("isc", "isc"), ("zlib", "zlib"), ("x11", "x11"), ("0bsd", "0bsd"), ("bsd-2-clause", "bsd-2-clause"), ("bsd-3-clause", "bsd-3-clause"), ("bsd-4-clause", "bsd-4-clause"),
+    *[(f"apache-{v}", rf"apache-{v}") for v in ("1.0", "1.1", "2.0")], *[(f"agpl-{v}", rf"agpl-{v}") for v in ("1.0", "3.0")], *[(f"lgpl-{v}", rf"lgpl-{v}") for v in ("2.0", "2.1", "3.0")],
+    *[(f"gpl-{v}", rf"gpl-{v}") for v in ("1.0", "2.0", "3.0")], *[(f"gfdl-{v}", rf"gfdl-{v}") for v in ("1.1", "1.2", "1.3")], *[(f"mpl-{v}", rf"mpl-{v}") for v in ("1.0", "1.1", "2.0")],
+    *[(f"epl-{v}", rf"epl-{v}") for v in ("1.0", "2.0")], *[(f"cddl-{v}", rf"cddl-{v}") for v in ("1.0", "1.1")], *[(f"eupl-{v}", rf"eupl-{v}") for v in ("1.0", "1.1", "1.2")],
+    *[(f"osl-{v}", rf"osl-{v}") for v in ("1.0", "1.1", "2.0", "2.1", "3.0")], *[(f"afl-{v}", rf"afl-{v}") for v in ("1.1", "1.2", "2.0", "2.1", "3.0")], *[(f"artistic-{v}", rf"artistic-{v}") for v in ("1.0", "2.0")],
+    ("boost-1.0", "bsl-1.0"), ("ms-pl", "ms-pl"), ("ms-rl", "ms-rl"), ("odbl-1.0", "odbl-1.0"), ("pddl-1.0", "pddl-1.0"), ("psf-2.0", "psf-2.0"), ("psf-2.0", "python-2.0"), *[(f"zpl-{v}", rf"zpl-{v}") for v in ("1.1", "2.0", "2.1")],
+    *[(f"cecill-{v}", rf"cecill-{v}") for v in ("1.0", "2.0", "2.1")], ("cecill", "cecill-b"), ("cecill", "cecill-c"), ("wtfpl", "wtfpl"), ("unlicense", "unlicense"), ("cc0-1.0", "cc0-1.0"),
+    *[(f"{cc}-{v}", f"{cc}-{v}") for cc in ("cc-by", "cc-by-sa", "cc-by-nd", "cc-by-nc", "cc-by-nc-sa", "cc-by-nc-nd") for v in ("2.0", "2.5", "3.0", "4.0")],
+]
+#: What an identifier follows: the tag, then other identifiers of the same expression.
+TAGGED = r"(?<=spdx-licen[sc]e-identifier:[ (]{0,3}" + r"(?:[a-z0-9.+-]{1,40}[ )]{1,3}(?:or|and|with)[ (]{1,3})?" * 8
+BARE = r"(?:mit|apache|gpl|gfdl|mpl|epl|cddl|eupl|osl|afl|artistic|bsl|odbl|pddl|psf|zpl|cecill|cc0)-[0-9]|cecill-[bc]|bsd-[234]-clause|0bsd|ms-[pr]l|cc-by"
 # How a name is declared, most exact first: (prefix pattern, suffix pattern, relevance).
 PHRASINGS = [
     (r"spdx-licen[sc]e-identifier: ?", r"", 1.0),
@@ -85,11 +99,16 @@ PHRASINGS = [
     (r"(?:released|distributed|published|available|provided) under (?:the )?(?:terms of (?:the )?)?", r"", 0.9),
     (r"", r"", 0.7),
 ]
-#: Rows that hold none of these (with letters lowered) hold no detection at all.
+#: Characters that the rules read as one blank, with blanks: marks of comments.
+FOLDED = r"[\s*#>/]+"
+#: Rows that hold none of these (with letters lowered) hold no detection at all. A blank stands
+#: for FOLDED, as in the text that the rules read.
 ROOTS = [
-    "licen", "gpl", "gfdl", "mpl-", "epl-", "cddl", "eupl", "osl-", "afl-", "odbl", "pddl", "cecill", "wtfpl", "cc0", "cc zero", "cc-by", "cc by", "creative commons",
+    "licen", "gpl", "gfdl", "cddl", "eupl", "odbl", "pddl", "cecill", "wtfpl", "cc0", "cc zero", "cc-by", "creative commons",
     "permission is", "permission to", "redistribution and", "as-is", "unencumbered", "public domain", "all rights reserved", "proprietary",
 ]
+#: Short names that are parts of common words: words of their own, or before a number.
+SHORT = r"(?<![\p{L}0-9])(?:(?:mpl|epl|osl|afl)(?!\p{L})|(?:apache|artistic|bsl|psf|zpl)-[0-9]|bsd-[234]-clause|0bsd|ms-[pr]l|mit-0)"
 
 
 @dataclass(frozen=True)
@@ -104,6 +123,9 @@ class Rule:
 def rules() -> list[Rule]:
     """Families with each of their versions, then without one, by phrasing; then texts."""
     found: list[tuple[str, str, str, float]] = []
+    for label, name in SPDX:
+        whole = name.replace(".", r"\.") + r"(?:-only|-or-later|\+)?"
+        found.append((label, rf"(?={whole}){TAGGED}){whole}", "spdx", 1.0))
     for prefix, suffix, relevance in PHRASINGS:
         for label, name, keyword, versions in FAMILIES:
             for version in versions:
@@ -114,6 +136,12 @@ def rules() -> list[Rule]:
                 found.append((f"{label}-{version}", prefix + name + spoken + suffix, keyword, relevance))
             found.append((label, prefix + name + suffix, keyword, relevance - 0.05))
     found += [(label, pattern, keyword, relevance) for label, pattern, keyword, relevance in TEXTS]
+    for label, name in SPDX:
+        # without the tag: declared, or where the identifier is no common word
+        whole = name.replace(".", r"\.") + r"(?:-only|-or-later|\+)?"
+        found.append((label, PHRASINGS[1][0] + whole, "licen[sc]ed under", 0.95))
+        if ("-" in name or name == "0bsd") and not name.startswith("python"):
+            found.append((label, whole, BARE, 0.7))
     edged = ((label, rf"(?<![\p{{L}}0-9])(?:{pattern})(?![\p{{L}}0-9])", keyword, relevance) for label, pattern, keyword, relevance in found)
     return [Rule(i, label, keyword, pattern, relevance) for i, (label, pattern, keyword, relevance) in enumerate(edged)]
 
@@ -169,11 +197,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # a base phrase always passes the gate: it holds "license", or "cc" and "by" with a gap
     gate = F.col("folded").rlike(f"cc{GAP}+by")
     for root in ROOTS:
-        gate = gate | F.col("folded").contains(root)
+        first, *more = root.split(" ")
+        held = F.col("folded").contains(first)
+        gate = gate | (held & F.col("folded").rlike(root.replace(" ", FOLDED)) if more else held)
+    gate = gate | F.col("folded").rlike(SHORT)
     rows = docs.select(F.col(id_col).alias("doc_id"), counted.alias("n_words"), text.alias("whole"), F.lower(text).alias("folded"))
     rows = rows.select("doc_id", "n_words", F.when(gate, lowered(F.col("whole"))).alias("low"))
     rows = rows.withColumn("words", F.coalesce(F.regexp_extract_all("low", F.lit(WORDS), F.lit(0)), F.array().cast("array<string>")))
-    rows = rows.withColumn("flat", F.regexp_replace("low", r"[\s*#>/]+", " "))
+    rows = rows.withColumn("flat", F.regexp_replace("low", FOLDED, " "))
 
     def starts(phrase: str) -> Column:
         each = " and ".join(f"get(words, i + {k}) = '{word}'" for k, word in enumerate(phrase.split(" ")))

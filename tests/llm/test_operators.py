@@ -224,6 +224,33 @@ def test_licenses(awkward, empty, spark):
     assert scan_licenses(empty).count() == 0
 
 
+def test_licenses_in_wrapped_and_short_forms(spark):
+    from censuskit.llm.licenses import SPDX, scan_licenses
+
+    cases = {
+        "Copyright 2020. All rights\n * reserved.": "proprietary",
+        "released into the public\n# domain": "public-domain",
+        "Creative\n// Commons Attribution 4.0": "cc-by-4.0",
+        "this is CC\n * Zero": "cc0",
+        "Permission to use, copy, modify, and/or distribute this software": "isc",
+        "Permission\n# to use, copy, modify, and\n# distribute this software": "isc",
+        "under the zlib/libpng license": "zlib",
+        "MPL 2.0": "mpl-2.0",
+        "licensed under the EPL": "epl",
+        "dual: OSL version 3.0": "osl-3.0",
+        "AFL v2.1": "afl-2.1",
+        "SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause": "apache-2.0,bsd-3-clause,mit",
+        "licensed under MIT": "mit",
+        "see Apache-2.0 for it": "apache-2.0",
+        "a simple example, deplorable and the oslo flat": "",
+        "they commit or emit": "",
+    }
+    cases |= {f"// SPDX-License-Identifier: {name.upper()}{end}\nint main()": label for label, name in SPDX for end in ("", "-or-later")}
+    got = [r.labels for r in scan_licenses(frame(spark, list(enumerate(cases)))).orderBy("doc_id").collect()]
+    # the loose scan names "cc by" without a version as well
+    assert [(c, ",".join(x for x in g.split(",") if x != "cc-by" or label == x)) for c, g, label in zip(cases, got, cases.values())] == list(cases.items())
+
+
 def test_iblt(awkward, empty, spark):
     from censuskit.llm.iblt import compare, fingerprint_documents
 
