@@ -223,7 +223,7 @@ def _pair_keys(packed: DataFrame, partitions: int) -> DataFrame:
 
 
 def _pair_counts(keys: DataFrame, least: int) -> DataFrame:
-    """Three kinds of rows: pairs (u, w, c) of the table; counts of counts (c, how many in u);
+    """Three kinds of rows: pairs of the table, packed (see _pair_rows); counts of counts (c, how many in u);
     answers (batch, part, blob) with the table's count, or 0, for each of a batch's pairs."""
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
@@ -239,19 +239,34 @@ def _pair_counts(keys: DataFrame, least: int) -> DataFrame:
         small = np.bincount(c[(c > 0) & (c <= K + 1)], minlength=K + 2)[1:]
 
         def block(kind: str, size: int, **columns) -> pd.DataFrame:
-            whole = {n: pd.array(columns[n], "Int64") if n in columns else pd.array([pd.NA] * size, "Int64") for n in ("u", "w", "c", "batch", "part")}
+            whole = {n: pd.array(columns[n], "Int64") if n in columns else pd.array([pd.NA] * size, "Int64") for n in ("u", "c", "batch", "part")}
             return pd.DataFrame({"kind": [kind] * size, **whole, "blob": columns.get("blob", [None] * size)})
 
         return pd.concat(
             [
-                block("pair", int(kept.sum()), u=u[first[kept]].astype(np.int64), w=w[first[kept]].astype(np.int64), c=c[kept]),
+                block("pair", 1, blob=[pack48(u[first[kept]]) + pack48(w[first[kept]]) + c[kept].astype("<u4").tobytes()]),
                 block("counts", K + 1, u=small.astype(np.int64), c=np.arange(1, K + 2)),
                 block("answer", len(rows), batch=rows.batch.to_numpy(), part=rows.part.to_numpy(), blob=blobs),
             ],
             ignore_index=True,
         )
 
-    return keys.groupBy("part").applyInPandas(add, "kind string, u long, w long, c long, batch long, part int, blob binary")
+    return keys.groupBy("part").applyInPandas(add, "kind string, u long, c long, batch long, part int, blob binary")
+
+
+def _pair_rows(counted: DataFrame) -> DataFrame:
+    """u, w, c: the pairs of the table, from rows that hold many."""
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for blob in f.blob:
+                n = len(blob) // 16
+                for s in range(0, n, 1 << 16):
+                    e = min(n, s + (1 << 16))
+                    u, w = (unpack48(blob[6 * (k * n + s) : 6 * (k * n + e)]).astype(np.int64) for k in (0, 1))
+                    yield pd.DataFrame({"u": u, "w": w, "c": np.frombuffer(blob[12 * n + 4 * s : 12 * n + 4 * e], "<u4").astype(np.int64)})
+
+    return counted.filter("kind = 'pair'").select("blob").mapInPandas(work, "u long, w long, c long")
 
 
 def _word_answers(keys: DataFrame, table: DataFrame, partitions: int) -> DataFrame:
@@ -339,7 +354,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     counted = stash(_pair_counts(_pair_keys(packed, partitions), min_count), "katz-pairs")
     n = {r.c: int(r.n) for r in counted.filter("kind = 'counts'").groupBy("c").agg(F.sum("u").alias("n")).collect()}
     totals.pair_d = discounts(n, min_count)
-    pairs = counted.filter("kind = 'pair'").select("u", "w", "c")
+    pairs = _pair_rows(counted)
     p_word = words.select(F.col("word").alias("w"), (discounted(F.col("c"), totals.word_d) * (totals.word_keep / max(totals.tokens, 1))).alias("p"))
     kept = pairs.select("u", "w", discounted(F.col("c"), totals.pair_d).alias("mass")).join(p_word, "w").groupBy("u").agg(F.sum("mass").alias("mass"), F.sum("p").alias("p"))
     kept = stash(kept, "katz-contexts")

@@ -21,7 +21,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     from censuskit.llm.katz import score_documents
 
-    return score_documents(documents(spark, sf_dir), crc_mod("doc_id", 5) == 1)[0]
+    return score_documents(documents(spark, sf_dir), crc_mod("doc_id", 5) == 1, min_count=1)[0]
 
 
 def op3_iblt_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -199,6 +199,31 @@ def test_katz(awkward, empty, spark):
     assert discounts({}) and all(0 < d <= 1 for d in discounts({1: 5, 2: 1}).values())
 
 
+def test_katz_query_uses_pairs_seen_once(spark, tmp_path):
+    from zlib import crc32
+
+    from censuskit.llm.common import crc_mod
+    from censuskit.llm.katz import score_documents
+    from censuskit.llm.queries import op2_katz_backoff
+
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(300)]
+    ids = [i for i in range(400) if crc32(str(i).encode()) % 5 != 1][:60]
+    a, b = [i for i in range(400) if crc32(str(i).encode()) % 5 == 1][:2]
+    passages = [rng.sample(words, 40) for _ in ids]
+    other = sorted(passages[0])
+    # half of the texts occur twice, so that the discount of pairs seen once is one that prose has
+    train = [(i, p) for i, p in zip(ids, passages)] + list(zip(ids[30:], passages[30:]))
+    docs = frame(spark, [*[(i, " ".join(p)) for i, p in train], (a, " ".join(passages[0])), (b, " ".join(other))])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    score = {r.doc_id: r.score for r in op2_katz_backoff(spark, str(tmp_path)).collect()}
+    # the same words: only the pairs of one training text tell them apart
+    assert score[a] > score[b] + 10
+    model = score_documents(docs, crc_mod("doc_id", 5) == 1, min_count=1)[1]
+    pairs = collections.Counter(x for _, p in train for x in zip(["^", *p], [*p, "$"]))
+    assert collections.Counter(r.c for r in model.pairs.collect()) == collections.Counter(pairs.values()) and model.totals.pair_d[1] > 0
+
+
 def test_licenses(awkward, empty, spark):
     from censuskit.llm.licenses import BASE as PHRASES, rules, scan_licenses
 
