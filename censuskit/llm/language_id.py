@@ -6,9 +6,10 @@ language with the smallest total is chosen. Chunks keep long texts from becoming
 best dictionary. The margin is the share of bytes saved against the second best; narrow
 margins are marked as rejected (the choice is still returned).
 
-Learning takes a bounded sample of labelled rows: about ``sample_docs`` documents of each
-language, chosen by a hash of the id with a share that follows from the language's count,
-and at most ``dict_bytes`` bytes of text per dictionary. Prediction reads whole texts.
+Learning reads all labelled rows and takes pieces of ``piece_chars`` characters from all
+over their texts, chosen by a hash with a share that follows from the language's bytes; a
+dictionary is at most ``dict_bytes`` of them. Languages with less text are taken whole. Every
+language has a dictionary. Prediction reads whole texts.
 
 Defined results: a text that is null or has no letter gets ``und``, score 0, rejected. If
 nothing can be learned, every text gets ``und``. With one language learned, it is chosen
@@ -31,21 +32,26 @@ LETTER = re.compile(r"[^\W\d_]")
 MIN_MATCH, STRATEGY = 3, zstandard.STRATEGY_BTOPT
 
 
-def train_dictionaries(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = 400, dict_bytes: int = 65_536, most_langs: int = 500) -> list[tuple[str, bytes]]:
-    """(language, dictionary) by falling count; bounded by most_langs * dict_bytes."""
-    usable = rows.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text_col)).alias("b")).orderBy(F.desc("n"), "lang").limit(most_langs)
+def train_dictionaries(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", dict_bytes: int = 65_536, piece_chars: int = 256) -> list[tuple[str, bytes]]:
+    """(language, dictionary) by falling count; at most dict_bytes for each language."""
+    usable = rows.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).orderBy(F.desc("n"), "lang")
     counts = [r for r in counts.collect() if r.b]
     if not counts:
         return []
-    u = F.pmod(F.xxhash64(F.lit(5), F.col(id_col)), F.lit(1 << 20)) / float(1 << 20)
-    share = F.create_map(*[x for r in counts for x in (F.lit(r.lang), F.lit(min(1.0, sample_docs / r.n)))])
-    chosen = usable.filter(u < F.coalesce(F.element_at(share, F.col(lang_col)), F.lit(0.0)))
-    parts = chosen.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, 2 * dict_bytes // sample_docs + 64).alias("text"), F.xxhash64(F.lit(6), F.col(id_col)).alias("u")).collect()
+    # twice what a dictionary holds is asked for, so that chance does not leave it short
+    shares = rows.sparkSession.createDataFrame([(r.lang, min(1.0, 2 * dict_bytes / r.b)) for r in counts], "lang string, share double")
+    # the places are chosen before any text is cut
+    u = "pmod(xxhash64(6, doc_id, whole, i), 1048576) / 1048576D"
+    places = F.expr(f"filter(sequence(0, greatest(cast(ceil(char_length(text) / {piece_chars}) as int) - 1, 0)), i -> {u} < share)")
+    chosen = usable.join(F.broadcast(shares), "lang").withColumn("whole", F.xxhash64("text")).withColumn("i", F.explode(places))
+    parts: dict[str, list[tuple[int, str]]] = {}
+    for r in chosen.select("lang", F.expr("xxhash64(7, doc_id, whole, i)").alias("u"), F.expr(f"substring(text, i * {piece_chars} + 1, {piece_chars})").alias("piece")).collect():
+        parts.setdefault(r.lang, []).append((r.u, r.piece))
     out = []
     for r in counts:
-        texts = [p.text for p in sorted((p for p in parts if p.lang == r.lang), key=lambda p: (p.u, p.text))]
-        out.append((r.lang, "\n".join(texts).lower().encode()[-dict_bytes:]))
+        pieces = dict.fromkeys(piece for _, piece in sorted(parts.get(r.lang, [])))
+        out.append((r.lang, "\n".join(pieces).lower().encode()[-dict_bytes:]))
     return [(lang, data) for lang, data in out if len(data) >= 8]
 
 

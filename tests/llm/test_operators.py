@@ -399,3 +399,21 @@ def test_language_id(spark, awkward, empty):
     assert {r.doc_id for r in rows if r.lang_pred == "und"} == {1, 2, 3}
     assert all(0 <= r.score <= 1 for r in rows) and identify(empty, dictionaries).count() == 0
     assert train_dictionaries(empty) == [] and {r.lang_pred for r in identify(awkward, []).collect()} == {"und"}
+
+
+def test_language_dictionaries_come_from_all_over_the_texts(spark):
+    from censuskit.llm.language_id import identify, train_dictionaries
+
+    rng = random.Random(12)
+    header = "this notice and the terms that follow apply to every copy of the text below " * 10
+    words = {lang: ["".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(200)] for lang, letters in (("xa", "abcdefghi"), ("xb", "klmnopqrs"))}
+    text = lambda lang, n: " ".join(rng.choices(words[lang], k=n))
+    schema = "doc_id long, text string, lang string"
+    docs = spark.createDataFrame([(i, header + text(lang, 400), lang) for i in range(600) for lang in (("xa", "xb")[i % 2],)], schema)
+    dictionaries = train_dictionaries(docs)
+    assert all(60_000 < len(data) <= 65_536 and data.count(b"this notice") * 40 < len(data) / 20 for _, data in dictionaries)
+    got = by_id(identify(spark.createDataFrame([(1, text("xa", 60), None), (2, text("xb", 60), None)], schema), dictionaries))
+    assert (got[1].lang_pred, got[2].lang_pred) == ("xa", "xb") and not got[1].rejected and not got[2].rejected
+    # no language is left out
+    many = spark.createDataFrame([(i, f"words of language {i}", f"l{i:03}") for i in range(520)], schema)
+    assert len(train_dictionaries(many)) == 520
