@@ -1,34 +1,38 @@
 """ZIP-packaged web archives: WARC records and an index, stored in ZIP files.
 
 Writing: records with equal payloads (SHA-1, length and a second hash) of at least
-``min_revisit_bytes`` bytes become revisits of the one with the smallest id. Records are
-packed, in tasks, into ZIP files of about ``archive_bytes`` with stored members: one or
-more ``archive/*.warc`` and ``indexes/index.cdx``, which has each record's member, offset
-and length. All members carry ZIP64 fields.
-
-Reading: the end record, the ZIP64 locator and end record and the central directory are
-parsed by range reads; the index member is read, and each record is read by its range
-within a stored member. Nothing is extracted; a compressed member is refused.
-
-Archives are rows of (archive, content); ``archive_files`` gives the same for files in any
-store that Spark reads.
+``min_revisit_bytes`` bytes become revisits of the one with the smallest id. Tasks write
+ZIP files of about ``archive_bytes`` (before compression) to a shared folder, with stored
+members: one or more ``archive/*.warc.gz``, each record a gzip member of its own, and
+``indexes/index.cdx``, which has each record's member, offset and length. All members
+carry ZIP64 fields. A task that is run again writes files of other names; the table of
+paths that comes out names those of the run that counts.
+
+Reading: a table of paths is dealt to tasks, and each archive is only reached by range
+reads through its file system, so its size does not matter: the end record, the ZIP64
+locator and end record, the central directory, the index member, then each record by its
+range within a stored member, in order. Nothing is extracted; a compressed member is refused.
 
 Defined results: null html is an empty payload; a null url or id is left out of the record
 and read back as null. Rows that repeat id and html are records of their own, all of the
-same type. An empty table gives no archive and an empty result.
+same type. Ids are exact beside nulls. An empty table gives no archive and an empty result.
 """
 
 from __future__ import annotations
 
 import base64
-import io
+import gzip
 import struct
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from censuskit.llm.common import shared_dir
+
 END, END64, LOCATOR, ENTRY, LOCAL = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04"
 URN = "urn:page:"
 RECORDS = "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, archive string, member string, record_offset long, record_length long"
@@ -145,48 +149,76 @@ class ZipDirectory:
         return self.read(start + offset, length)
 
 
+# ---- files
+
+
+class ArchiveWriter:
+    """One ZIP file in a folder, written as records come; at most one member is in memory."""
+
+    def __init__(self, files: fs.FileSystem, folder: str, member_bytes: int):
+        self.path = f"{folder}/pages-{uuid.uuid4().hex}.zip"
+        self.out = files.open_output_stream(self.path)
+        self.zip = zipfile.ZipFile(self.out, "w", zipfile.ZIP_STORED)
+        self.member_bytes, self.members, self.total = member_bytes, 0, 0
+        self.buffer, self.index = bytearray(), []
+
+    def add(self, record: bytes) -> None:
+        packed = gzip.compress(record, 1, mtime=0)
+        self.index.append(f"{self._member()} {len(self.buffer)} {len(packed)}")
+        self.buffer += packed
+        self.total += len(record)
+        if len(self.buffer) >= self.member_bytes:
+            self._close_member()
+
+    def _member(self) -> str:
+        return f"archive/part-{self.members:03d}.warc.gz"
+
+    def _store(self, name: str, data: bytes) -> None:
+        with self.zip.open(zipfile.ZipInfo(name, (2024, 1, 1, 0, 0, 0)), "w", force_zip64=True) as f:
+            f.write(data)
+
+    def _close_member(self) -> None:
+        if self.buffer:
+            self._store(self._member(), bytes(self.buffer))
+            self.buffer, self.members = bytearray(), self.members + 1
+
+    def close(self) -> str:
+        self._close_member()
+        self._store("indexes/index.cdx", "\n".join(self.index).encode())
+        self.zip.close()
+        self.out.close()
+        return self.path
+
+
+def open_archive(uri: str) -> ZipDirectory:
+    """The directory of an archive in any store that Arrow's file systems read."""
+    files, path = fs.FileSystem.from_uri(uri)
+    source = files.open_input_file(path)
+
+    def read(offset: int, length: int) -> bytes:
+        source.seek(offset)
+        return source.read(length)
+
+    return ZipDirectory(read, source.size())
+
+
+def records_of(uri: str) -> Iterator[dict]:
+    """Each record of an archive, read by its range."""
+    zipped = open_archive(uri)
+    places = {m: zipped.place(m)[0] for m in zipped.members}
+    start, size = zipped.place("indexes/index.cdx")
+    for line in zipped.read(start, size).decode().splitlines():
+        member, offset, length = line.split(" ")
+        record = parse_record(gzip.decompress(zipped.read(places[member] + int(offset), int(length))))
+        yield record | {"archive": uri, "member": member, "record_offset": int(offset), "record_length": int(length)}
+
+
 # ---- Spark
 
 
-def _write(archive: str, members: list[tuple[str, bytes]]) -> tuple[str, bytes]:
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
-        for name, data in members:
-            with z.open(zipfile.ZipInfo(name, (2024, 1, 1, 0, 0, 0)), "w", force_zip64=True) as f:
-                f.write(data)
-    return archive, out.getvalue()
-
-
-def _packed(rows: Iterator[tuple[int | None, bytes]], archive_bytes: int, member_bytes: int) -> Iterator[tuple[str, bytes]]:
-    """Records in order, as archives of about archive_bytes."""
-    members: list[tuple[str, bytes]] = []
-    index: list[str] = []
-    buffer, total, first = bytearray(), 0, ""
-
-    def close_member() -> None:
-        nonlocal buffer
-        if buffer:
-            members.append((f"archive/part-{len(members):03d}.warc", bytes(buffer)))
-            buffer = bytearray()
-
-    for page_id, record in rows:
-        first = first or f"pages-{'none' if page_id is None else page_id}-{len(record)}.zip"
-        index.append(f"archive/part-{len(members):03d}.warc {len(buffer)} {len(record)}")
-        buffer += record
-        total += len(record)
-        if len(buffer) >= member_bytes:
-            close_member()
-        if total >= archive_bytes:
-            close_member()
-            yield _write(first, [*members, ("indexes/index.cdx", "\n".join(index).encode())])
-            members, index, total, first = [], [], 0, ""
-    close_member()
-    if members:
-        yield _write(first, [*members, ("indexes/index.cdx", "\n".join(index).encode())])
-
-
-def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit_bytes: int = 0, archive_bytes: int = 4 << 20, member_bytes: int = 1 << 20) -> DataFrame:
-    """Archives as rows: archive, content."""
+def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit_bytes: int = 0, archive_bytes: int = 64 << 20, member_bytes: int = 4 << 20) -> DataFrame:
+    """Writes the archives when it is run: one row per archive, with its path."""
+    folder = (folder or f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}").rstrip("/")
     payload = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("html"), F.sha1(payload.cast("binary")).alias("sha1"), F.octet_length(payload).alias("n"), F.xxhash64(payload).alias("h"))
     firsts = rows.groupBy("sha1", "n", "h").agg(F.min("page_id").alias("first_id"))
@@ -194,43 +226,48 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     both = rows.join(firsts.hint("merge"), ["sha1", "n", "h"]).withColumn("refers_to", F.when((F.col("n") >= min_revisit_bytes) & (F.col("page_id") != F.col("first_id")), F.col("first_id")))
     both = both.select("page_id", "url", "html", "sha1", "refers_to")
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def records() -> Iterator[tuple[int | None, bytes]]:
-            for b in batches:
-                for page_id, url, html, sha1, refers_to in zip(b.page_id, b.url, b.html, b.sha1, b.refers_to, strict=True):
-                    page_id, refers_to = (None if pd.isna(v) else int(v) for v in (page_id, refers_to))
-                    yield page_id, warc_record(page_id, url, html.encode(), base64.b32encode(bytes.fromhex(sha1)).decode(), refers_to)
-
-        for archive in _packed(records(), archive_bytes, member_bytes):
-            yield pd.DataFrame([archive], columns=["archive", "content"])
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, base = fs.FileSystem.from_uri(folder)
+        files.create_dir(base)
+        scheme = folder.removesuffix(base)
+        writer, done = None, []
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                for r in batch.slice(start, 1024).to_pylist():
+                    writer = writer or ArchiveWriter(files, base, member_bytes)
+                    writer.add(warc_record(r["page_id"], r["url"], r["html"].encode(), base64.b32encode(bytes.fromhex(r["sha1"])).decode(), r["refers_to"]))
+                    if writer.total >= archive_bytes:
+                        done, writer = [*done, writer.close()], None
+        if writer:
+            done.append(writer.close())
+        yield pa.RecordBatch.from_arrays([pa.array([scheme + path for path in done], pa.string())], ["archive"])
 
-    return both.mapInPandas(work, "archive string, content binary")
+    return both.mapInArrow(work, "archive string")
 
 
 def archive_files(spark: SparkSession, path: str) -> DataFrame:
-    """Archives that lie as files in any store that Spark reads."""
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("archive"), "content")
+    """Paths of archives that lie in any store that Spark lists; their content is not read."""
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("archive"))
 
 
 def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
     """One row per record of the archives, with its place; with_payload adds the payload."""
-    columns = [c.split()[0] for c in RECORDS.split(", ")] + ["payload"] * with_payload
+    kinds = {"long": pa.int64(), "string": pa.string()}
+    fields = [(c.split()[0], kinds[c.split()[1]]) for c in RECORDS.split(", ")] + [("payload", pa.binary())] * with_payload
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sheet(rows: list[dict]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[name] for r in rows], kind) for name, kind in fields], [name for name, _ in fields])
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, content in zip(batch.archive, batch.content, strict=True):
-                view = memoryview(content)
-                zipped = ZipDirectory(lambda offset, length, v=view: bytes(v[offset : offset + length]), len(view))
-                places = {m: zipped.place(m)[0] for m in zipped.members}
-                start, size = zipped.place("indexes/index.cdx")
-                found = []
-                for line in zipped.read(start, size).decode().splitlines():
-                    member, offset, length = line.split(" ")
-                    record = parse_record(zipped.read(places[member] + int(offset), int(length)))
-                    found.append(record | {"archive": name, "member": member, "record_offset": int(offset), "record_length": int(length)})
-                frame = pd.DataFrame(found, columns=[*columns, *["payload"] * (not with_payload)])[columns]
-                for c in ("page_id", "refers_to"):
-                    frame[c] = frame[c].astype("Int64")
-                yield frame
-
-    return archives.mapInPandas(work, RECORDS + (", payload binary" if with_payload else ""))
+            for uri in batch.column("archive").to_pylist():
+                rows: list[dict] = []
+                for record in records_of(uri):
+                    rows.append(record)
+                    if len(rows) >= 256:
+                        yield sheet(rows)
+                        rows = []
+                yield sheet(rows)
+
+    # one archive is a task's least share
+    return archives.mapInArrow(work, RECORDS + (", payload binary" if with_payload else ""))
