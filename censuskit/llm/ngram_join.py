@@ -5,31 +5,32 @@ when ``share`` percent of their union is shared. The join finds every link class
 
 1. Documents with equal sets form a class and are one node from here on.
 2. The token order is: tokens of a fixed quarter of the hash range by how many nodes hold
-   them, then all others by hash. A link needs a common token among the first
-   n - ceil(share * n) + 1 of both documents, so only those prefix tokens matter, and of
-   these only tokens that two nodes hold. Passages that many documents share are last.
-3. Groups: for each token and band of sizes, its holder whose tokens are the most widely
-   held leads a group; the group's token union is all tokens it leads for. The matrix has
-   one row per token and group, however many documents hold the token. Multiplying a
-   query's prefix with it bounds the query's overlap with every group; a bound of 0, or
-   sizes too far apart, closes the group, and its leader answers for an open one: a query
-   that links to it is in its component, as are all others that do.
-4. Documents that still share a prefix token with one in another component stay open. For
-   these alone filter and groups are repeated on all of their tokens instead of a quarter,
-   counted among them: a text with many words of its own has them first in its order, and
-   nothing left in its prefix to share. What then remains in different components, with
-   sizes and places in both orders that leave room for enough common tokens, is compared
-   one by one. Links inside a known component need no comparison.
-
-Verification counts common tokens of whole sets. Components are found by repeated minimum
-labels with shortcuts, in written tables.
-
-Defined results: null and empty texts have no tokens and link with nothing; a text with
-fewer words than n has one token, its whole sequence. Ids should be unique: rows repeated
-whole are read once, and rows of one id with different texts count as linked. A row
-without an id is in the component of its equal texts, or has none (null). Extra columns
-are never read. An empty table gives an empty result. Hashes of 64 bits stand for n-grams;
-two of one document collide with a chance of about n * n / 2 ** 65.
+   them, then all others by hash. Only tokens that two nodes hold matter, so passages that
+   many documents share are last.
+3. Nodes are partitioned into groups: a node is in the group of its smallest shared token
+   (by another hash, so that similar nodes meet) and its band of sizes. The token-group
+   matrix has a row for each token of a group's union, with the sizes of its holders.
+4. The smaller node of a pair is the query. Of the first n - ceil(share n) + 1 tokens of its
+   order it can miss n - o in a partner, where o is the common number that a link with the
+   smallest partner not below n needs. So a group is open only if its union has at least the
+   rest of them; for every other group the bound rules a link out, whoever is in it.
+5. The leader of an open group (its node with the most widely held tokens) is compared with
+   the query, set against set: most of a large class is linked by its leaders.
+6. The components so far, by band, are groups in turn: a second matrix bounds queries
+   against the unions of the other components. What is open now is compared in blocks of
+   queries and members inside tasks, and a query gives at most one link per block. Every
+   link between components is between such a query and such a member, so the result is exact.
+
+Comparisons count common tokens of whole sets. Components are found by repeated minimum
+labels with shortcuts, in written tables. Keys that many rows have (a shared passage, a
+leader) are dealt to several tasks: see ``salted``.
+
+Defined results: null and empty texts, and texts of blanks, have no tokens and are linked
+with nothing; their component is their own id. Rows with equal sets are in one component, whether they repeat
+an id or not, and each row keeps its own place; a component is named by the smallest id in
+it, null if none has one. Extra columns are never read (``key_col`` names one to keep). An
+empty table gives an empty result. Hashes of 64 bits stand for n-grams; two of one document
+collide with a chance of about n * n / 2 ** 65.
 """
 
 from __future__ import annotations
@@ -38,12 +39,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from censuskit.llm.common import stash
 
 #: Ids to verify are broadcast up to this number (8 MB); beyond it texts are joined by id.
 BROADCAST_IDS = 1_000_000
+_ROWS = 1024
 _STEP, _CHUNK = np.uint64(0x9E3779B97F4A7C15), 1 << 20
 _BLANKS = np.zeros(256, bool)
 _BLANKS[[9, 10, 11, 12, 13, 32]] = True
@@ -108,156 +111,223 @@ def ngram_sets(texts: list[str | None], n: int, hasher: WordHasher) -> Iterator[
         at = stop
 
 
+def _set_hashes(s: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a set."""
+    return int(s.sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(_mix(s)).astype(np.int64)) if len(s) else 0
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.zeros(0, np.uint64)]).astype(np.int64)))
+
+
 def _tokens(docs: DataFrame, n: int, share: int) -> DataFrame:
-    """doc_id, n (set size), s1, s2 (order-free hashes of the set), quarter and tokens: those of
-    the first quarter of the hash range, ``quarter`` of them, then, where these are fewer than
+    """doc_id, key, n (set size), s1, s2 (order-free hashes of the set), quarter and tokens: those
+    of the first quarter of the hash range, ``quarter`` of them, then, where these are fewer than
     the prefix, the smallest others up to its length."""
+    names = ["doc_id", "key", "n", "s1", "s2", "quarter", "tokens"]
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         with np.errstate(over="ignore"):
             for batch in batches:
-                out = []
-                for doc_id, s in zip(batch.doc_id, ngram_sets(list(batch.text), n, hasher), strict=True):
-                    prefix = len(s) - (share * len(s) + 99) // 100 + 1 if len(s) else 0
-                    quarter = int(np.searchsorted(s, np.uint64(1 << 62)))
-                    kept = s[: max(quarter, prefix)]
-                    out.append((doc_id, len(s), int(s.sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(_mix(s)).astype(np.int64)) if len(s) else 0, quarter, kept.astype(np.int64)))
-                frame = pd.DataFrame(out, columns=["doc_id", "n", "s1", "s2", "quarter", "tokens"])
-                frame["doc_id"] = frame.doc_id.astype("Int64")
-                yield frame
-
-    return docs.mapInPandas(work, "doc_id long, n long, s1 long, s2 long, quarter int, tokens array<long>")
-
-
-def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """doc_id and the whole set of the documents with these ids."""
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    chosen = docs.join(ids, "doc_id", "left_semi")
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                for start in range(0, batch.num_rows, _ROWS):
+                    part, sums, kept = batch.slice(start, _ROWS), [], []
+                    for s in ngram_sets(part.column("text").to_pylist(), n, hasher):
+                        prefix = len(s) - (share * len(s) + 99) // 100 + 1 if len(s) else 0
+                        quarter = int(np.searchsorted(s, np.uint64(1 << 62)))
+                        sums.append((len(s), *_set_hashes(s), quarter))
+                        kept.append(s[: max(quarter, prefix)])
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), *[pa.array(c, pa.int64()) for c in zip(*sums, strict=True)], _lists(kept)], names)
+
+    return docs.mapInArrow(work, "doc_id long, key long, n long, s1 long, s2 long, quarter long, tokens array<long>")
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """node and tokens, the whole set, of the wanted nodes (node, rep, s1, s2, n)."""
+    wanted = stash(wanted.distinct(), "ngram-wanted")
+    ids = wanted.select(F.col("rep").alias("id")).distinct()
+    if wanted.count() <= BROADCAST_IDS:
+        ids, wanted = F.broadcast(ids), F.broadcast(wanted)
+    chosen = docs.join(ids, docs.doc_id.eqNullSafe(F.col("id")), "left_semi").select("text")
+    names = ["s1", "s2", "n", "tokens"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         with np.errstate(over="ignore"):
             for batch in batches:
-                yield pd.DataFrame({"doc_id": batch.doc_id, "tokens": [s.astype(np.int64) for s in ngram_sets(list(batch.text), n, hasher)]})
+                for start in range(0, batch.num_rows, _ROWS):
+                    found = list(ngram_sets(batch.slice(start, _ROWS).column("text").to_pylist(), n, hasher))
+                    sums = zip(*[(*_set_hashes(s), len(s)) for s in found], strict=True)
+                    yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in sums], _lists(found)], names)
+
+    found = chosen.mapInArrow(work, "s1 long, s2 long, n long, tokens array<long>")
+    return stash(found.join(wanted, ["s1", "s2", "n"]).select("node", "tokens").dropDuplicates(["node"]), "ngram-sets")
+
 
-    return chosen.mapInPandas(work, "doc_id long, tokens array<long>")
+def hot_keys(counts: DataFrame, keys: list[str], limit: int = 500, most: int = 50_000) -> DataFrame:
+    """Of counts (keys, rows), keys with many rows and the number of parts to deal them to. There
+    are at most ``most`` of them, as the least number of rows rises with the total."""
+    total = counts.agg(F.sum("rows")).first()[0] or 0
+    least = max(limit, total // most + 1)
+    return F.broadcast(stash(counts.filter(F.col("rows") > least).select(*keys, F.ceil(F.col("rows") / least).cast("int").alias("parts")), "ngram-hot"))
 
 
-def _links(docs: DataFrame, pairs: DataFrame, n: int, share: int) -> DataFrame:
-    """The pairs (a, b) that link."""
+def salted(big: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame | None = None) -> DataFrame:
+    """big joined with small on keys. Rows of big with a hot key go to several tasks by a hash
+    of the row, and small's rows for that key are repeated, once for each."""
+    if hot is None:
+        hot = hot_keys(big.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")), keys)
+    deal = F.coalesce(F.pmod(F.xxhash64(*big.columns), F.col("parts")), F.lit(0)).cast("int")
+    left = big.join(hot, keys, "left").withColumn("salt", deal).drop("parts")
+    right = small.join(hot, keys, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    return left.join(right, [*keys, "salt"]).drop("salt")
+
+
+def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, share: int) -> DataFrame:
+    """The pairs (a, b) that link; b may be in very many."""
     pairs = stash(pairs, "ngram-pairs")
-    ids = stash(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ngram-ids")
-    sets = stash(_sets(docs, ids, n), "ngram-sets")
-    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x")), "a")
-    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y")), "b")
+    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _sets(docs, nodes.join(ids, "node", "left_semi"), n)
+    hot = hot_keys(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("rows")), ["b"])
+    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
+    both = salted(left, sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), ["b"], hot)
     common = both.select("a", "b", F.size("x").alias("p"), F.size("y").alias("q"), F.size(F.array_intersect("x", "y")).alias("c"))
-    return stash(common.filter(100 * F.col("c") >= share * (F.col("p") + F.col("q") - F.col("c"))).select("a", "b").distinct(), "ngram-links")
+    return stash(common.filter(100 * F.col("c") >= share * (F.col("p") + F.col("q") - F.col("c"))).select("a", "b"), "ngram-links")
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, label: the smallest node that links (a, b) lead to, for each node with a link."""
     both = stash(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "ngram-edges")
+    hot = hot_keys(both.groupBy("b").agg(F.count(F.lit(1)).alias("rows")), ["b"])
     labels = stash(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "ngram-labels")
     while True:
         # the smallest label among the neighbours, then the label of that label
-        near = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("near")), "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
-        least = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
-        least = stash(least, "ngram-least")
+        near = salted(both, labels.select(F.col("node").alias("b"), F.col("label").alias("near")), ["b"], hot).groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
+        least = stash(labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label")), "ngram-least")
         jump = least.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        labels = stash(least.join(jump, "label", "left").select("node", "was", F.least("label", "further").alias("label")), "ngram-labels")
+        labels = stash(salted(least, jump, ["label"]).select("node", "was", F.least("label", "further").alias("label")), "ngram-labels")
         if labels.filter("was <> label").isEmpty():
             return labels.select("node", "label")
         labels = labels.select("node", "label")
 
 
-def _with_component(rows: DataFrame, node: str, comps: DataFrame) -> DataFrame:
-    named = comps.select(F.col("node").alias(node), "label")
-    return rows.join(named, node, "left").withColumn("label", F.coalesce("label", node))
-
+def _with_label(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """rows with the label of their node; a node without links is its own."""
+    return rows.join(comps, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
-def _prefix(held: DataFrame, share: int) -> DataFrame:
-    """The prefix tokens that two nodes or more hold: token, doc_id, n, place, weight.
 
-    held: doc_id, n, quarter, token and first (whether the token is one of those counted
-    first, of which the node has ``quarter``)."""
-    counts = held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    by_doc = W.partitionBy("doc_id")
-    ranked = held.join(counts, "token").withColumns(
+def _placed(nodes: DataFrame, share: int) -> DataFrame:
+    """The tokens that two nodes or more hold, of all nodes: node, n, token, first (of the
+    quarter), place (in the node's order), length (of its prefix), quarter, band; and, the same
+    in all rows of a node, weight and pivot."""
+    held = nodes.select("node", "n", "quarter", F.posexplode("tokens").alias("pos", "token"))
+    held = held.withColumn("first", F.shiftrightunsigned("token", 62) == 0)
+    counts = stash(held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "ngram-counts")
+    shared = salted(held, counts, ["token"], hot_keys(counts.withColumnRenamed("df", "rows"), ["token"]))
+    by_node = W.partitionBy("node")
+    ranked = shared.withColumns(
         {
-            "rank": F.row_number().over(by_doc.orderBy(F.desc("first"), "df", "token")),
+            "rank": F.row_number().over(by_node.orderBy(F.desc("first"), "df", "token")),
             # tokens that only this node holds come before in its order
-            "alone": F.col("quarter") - F.count_if("first").over(by_doc),
-            "weight": F.sum(F.when(F.col("first"), F.col("df")).otherwise(0)).over(by_doc),
+            "alone": F.col("quarter") - F.count_if("first").over(by_node),
+            "weight": F.sum("df").over(by_node),
+            "pivot": F.min(F.xxhash64("token")).over(by_node),
         }
     )
-    length = F.col("n") - F.ceil(F.col("n") * share / 100) + 1
-    # a token's place in the node's order; for tokens outside the quarter the least it can be
-    place = F.when(F.col("first"), F.col("rank") + F.col("alone")).otherwise(1).cast("int")
-    return ranked.withColumn("place", place).filter(~F.col("first") | (F.col("place") <= length)).select("token", "doc_id", "n", "place", "weight")
-
-
-def _near(share: int) -> Column:
-    """Whether the sizes n and m are close enough for a link."""
-    return (share * F.col("n") <= 100 * F.col("m")) & (share * F.col("m") <= 100 * F.col("n"))
-
-
-def _room(share: int) -> Column:
-    """Whether a first common token at these places leaves enough common tokens for a link."""
-    enough = F.ceil((F.col("n") + F.col("m")) * share / (100 + share))
-    return (F.col("place") <= F.col("n") - enough + 1) & (F.col("place_b") <= F.col("m") - enough + 1)
-
-
-def _led(prefix: DataFrame, share: int) -> DataFrame:
-    """Pairs (a, b) of a document and the leader of a group that is open to it.
-
-    The matrix has the tokens of each group's union; its product with the documents' prefixes
-    counts the tokens shared with each group."""
-    labelled = "label" in prefix.columns
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / share)))
-    kept = [c for c in ("n", "place", "label") if c in prefix.columns]
-    lead = prefix.groupBy("token", band.alias("band")).agg(F.max(F.struct("weight", F.bitwise_not("doc_id").alias("inverse"), *kept)).alias("top"))
-    matrix = lead.select("token", F.bitwise_not("top.inverse").alias("leader"), F.col("top.n").alias("m"), F.col("top.place").alias("place_b"), *([F.col("top.label").alias("label_b")] if labelled else []))
-    matrix = stash(matrix, "ngram-matrix")
-    met = prefix.join(matrix, "token").filter(_near(share) & _room(share) & (F.col("doc_id") != F.col("leader")))
-    if labelled:
-        met = met.filter("label <> label_b")
-    bound = met.groupBy("doc_id", "leader").agg(F.count(F.lit(1)).alias("overlap")).filter("overlap > 0")
-    return bound.select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
-
-
-def _unsettled(placed: DataFrame) -> DataFrame:
-    """Rows of tokens whose holders are in more than one component (label)."""
-    mixed = placed.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
-    return placed.join(mixed, "token", "left_semi")
-
-
-def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    place = F.when(F.col("first"), F.col("rank") + F.col("alone")).otherwise(F.col("pos") + 1).cast("long")
+    # wider by a trifle, so that sizes of a link are in the same or the next band
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / share + 1e-6)))
+    return ranked.select("node", "n", "token", "first", place.alias("place"), (F.col("n") - F.ceil(F.col("n") * share / 100) + 1).alias("length"), "quarter", band.alias("band"), "weight", "pivot", (F.col("rank") == 1).alias("head"))
+
+
+def _open_groups(placed: DataFrame, group: str, share: int) -> DataFrame:
+    """Query nodes and the groups (group, band) that are open to them: node, n, group, band.
+
+    placed has a column ``group``, by which, with the band, its nodes are partitioned. The
+    matrix of tokens and groups gives the bound on what a query and a group's members share."""
+    matrix = placed.groupBy("token", "band", group).agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    own = [F.col(group).alias("own")] if group == "label" else []
+    asked = placed.filter("place <= length").select("node", "n", "first", "length", "quarter", "token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), *own)
+    met = salted(asked, stash(matrix, "ngram-matrix"), ["token", "band"]).filter("hi >= n")
+    if own:
+        met = met.filter(F.col("own") != F.col(group))
+    met = met.groupBy("node", "n", "band", group, F.least("length", "quarter").alias("asked"), *["own"] * len(own)).agg(F.count_if("first").alias("found"), F.min("lo").alias("lo"))
+    needed = F.ceil((F.col("n") + F.greatest("n", "lo")) * share / (100 + share))
+    return met.filter(F.col("found") >= F.col("asked") - (F.col("n") - needed)).select("node", "n", group, "band", *["own"] * len(own))
+
+
+def _block_links(docs: DataFrame, nodes: DataFrame, opened: DataFrame, members: DataFrame, n: int, share: int) -> DataFrame:
+    """Links (a, b) of queries (node, label, band) with members of the groups open to them; one
+    for each block of members in which a query has any. members: node, n, label, band."""
+    key = ["label", "band"]
+    limit = lambda size, name: F.ceil(F.greatest(F.count(F.lit(1)) / 256, F.sum(size) / 2_000_000.0)).cast("int").alias(name)
+    groups = opened.groupBy(*key).agg(limit("n", "q_blocks")).join(members.groupBy(*key).agg(limit("n", "m_blocks")), key)
+    groups = stash(groups, "ngram-groups")
+    asking, asked = salted(opened.select("node", *key), groups, key), salted(members.select("node", *key), groups, key)
+    block = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
+    each = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    asking = stash(asking.select("node", *key, block("q_blocks").alias("qb"), each("m_blocks").alias("mb")), "ngram-asking")
+    asked = stash(asked.select("node", *key, each("q_blocks").alias("qb"), block("m_blocks").alias("mb")), "ngram-asked")
+    sets = _sets(docs, nodes.join(asking.select("node").unionByName(asked.select("node")).distinct(), "node", "left_semi"), n)
+
+    def compare(queries: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(queries) and len(held):
+            sizes = held.held.map(len).to_numpy()
+            tokens, owner = np.concatenate(list(held.held)), np.repeat(np.arange(len(held)), sizes)
+            order = np.argsort(tokens, kind="stable")
+            tokens, owner = tokens[order], owner[order]
+            for node, own in zip(queries.node, queries.tokens, strict=True):
+                lo, hi = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+                runs = hi - lo
+                at = np.repeat(lo - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
+                common = np.bincount(owner[at], minlength=len(held))
+                linked = np.flatnonzero(100 * common >= share * (sizes + len(own) - common))
+                if len(linked):
+                    out.append((node, held.member.iloc[linked[0]]))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    place = [*key, "qb", "mb"]
+    # columns of their own, or Spark could not tell the two sides' apart
+    asked = asked.join(sets, "node").select(*[F.col(c).alias(f"m_{c}") for c in place], F.col("node").alias("member"), F.col("tokens").alias("held"))
+    both = asking.join(sets, "node").groupBy(*place).cogroup(asked.groupBy(*[f"m_{c}" for c in place]))
+    return stash(both.applyInPandas(compare, "a long, b long"), "ngram-links")
+
+
+def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the smallest id reachable by
+    links), key, component (a number for each component; null without words)."""
+    key = F.col(key_col).cast("long") if key_col else F.lit(None).cast("long")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), F.col(text_col).alias("text"))
     rows = stash(_tokens(docs, n, share), "ngram-rows")
-    classes = stash(rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep")), "ngram-classes")
-    nodes = rows.filter("n > 0").join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    held = nodes.select("doc_id", F.col("n").cast("int").alias("n"), "quarter", F.explode("tokens").alias("token"))
-    held = held.withColumn("first", F.shiftrightunsigned("token", 62) == 0)
-    prefix = stash(_prefix(held, share), "ngram-prefix")
-
-    links = _links(docs, _led(prefix, share), n, share)
+    classes = rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("quarter").alias("quarter"), F.first("tokens").alias("tokens"))
+    nodes = stash(classes.withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
+    names = nodes.select("node", "rep", "s1", "s2", "n")
+    placed = stash(_placed(nodes, share), "ngram-placed")
+    members = stash(placed.filter("head").select("node", "n", "weight", "pivot", "band"), "ngram-members")
+
+    # each open group's leader
+    opened = stash(_open_groups(placed, "pivot", share), "ngram-open")
+    leaders = members.groupBy("pivot", "band").agg(F.max(F.struct("weight", F.bitwise_not("node").alias("inverse"), F.col("n").alias("m"))).alias("top"))
+    led = salted(opened, leaders.select("pivot", "band", F.bitwise_not("top.inverse").alias("leader"), F.col("top.m").alias("m")), ["pivot", "band"])
+    close = (share * F.col("n") <= 100 * F.col("m")) & (share * F.col("m") <= 100 * F.col("n")) & (F.col("node") != F.col("leader"))
+    links = _links(docs, names, led.filter(close).select(F.col("node").alias("a"), F.col("leader").alias("b")), n, share)
     comps = components(links)
 
-    # what the leaders did not settle, by all tokens of the documents that are still open
-    opened = stash(_unsettled(_with_component(prefix, "doc_id", comps)).select("doc_id").distinct(), "ngram-open")
-    whole = _sets(docs, opened, n).dropDuplicates(["doc_id"])
-    held = whole.select("doc_id", F.size("tokens").alias("n"), F.size("tokens").alias("quarter"), F.explode("tokens").alias("token"), F.lit(True).alias("first"))
-    prefix = stash(_prefix(held, share), "ngram-rest")
-    links = stash(links.unionByName(_links(docs, _led(_unsettled(_with_component(prefix, "doc_id", comps)), share), n, share)), "ngram-links")
-    comps = components(links)
-    rest = stash(_unsettled(_with_component(prefix, "doc_id", comps)), "ngram-rest")
-    other = rest.select("token", F.col("doc_id").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("m"), F.col("place").alias("place_b"))
-    pairs = rest.join(other, (rest.token == other.token) & (F.col("doc_id") < F.col("b")) & (F.col("label") != F.col("label_b")) & _near(share) & _room(share))
-    more = _links(docs, pairs.select(F.col("doc_id").alias("a"), "b").distinct(), n, share)
-    if not more.isEmpty():
-        comps = components(links.unionByName(more))
-    found = rows.select("doc_id", "n", "s1", "s2").join(stash(_with_component(classes, "rep", comps), "ngram-classes"), ["s1", "s2", "n"], "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id"))
+    # components as groups, for what their leaders did not settle
+    opened = stash(_open_groups(_with_label(placed, comps), "label", share), "ngram-open")
+    if not opened.isEmpty():
+        others = _with_label(members, comps).join(opened.select("label", "band").distinct(), ["label", "band"], "left_semi")
+        more = _block_links(docs, names, opened, stash(others.select("node", "n", "label", "band"), "ngram-others"), n, share)
+        if not more.isEmpty():
+            comps = components(links.unionByName(more))
+
+    labelled = _with_label(nodes.select("s1", "s2", "n", "node", "rep", "rows"), comps)
+    named = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
+    final = stash(salted(labelled, named, ["label"]), "ngram-final")
+    hot = hot_keys(final.select("s1", "s2", "n", "rows"), ["s1", "s2", "n"])
+    with_words = salted(rows.filter("n > 0").select("doc_id", "key", "n", "s1", "s2"), final.select("s1", "s2", "n", "label", "component_id"), ["s1", "s2", "n"], hot)
+    out = with_words.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "key", F.col("label").alias("component"))
+    without = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "key", F.lit(None).cast("long").alias("component"))
+    return out.unionByName(without)

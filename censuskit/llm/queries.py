@@ -65,19 +65,19 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from censuskit.llm.exact_dedup import exact_dedup
 
-    return exact_dedup(documents(spark, sf_dir)).drop("row_key")
+    return exact_dedup(documents(spark, sf_dir)).drop("key")
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from censuskit.llm.ngram_join import ngram_components
 
-    return ngram_components(documents(spark, sf_dir))
+    return ngram_components(documents(spark, sf_dir)).drop("key", "component")
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from censuskit.llm.mixing import mix_sources
 
-    return mix_sources(documents(spark, sf_dir)).drop("u", "t")
+    return mix_sources(documents(spark, sf_dir)).drop("key")
 
 
 OP7_SQL = r"""
