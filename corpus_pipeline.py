@@ -4,7 +4,10 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the las
 rows with the columns of documents. ORACLE_SQL is None: scoring, n-gram components and
 byte-pair encoding have no SQL form, so a brute-force version tests the pipeline.
 
-Rows without an id keep their place: they take part in every stage.
+Rows are told apart by a number that a stage gives them, never by their id: rows without an
+id, with an id that others have, or equal in everything take part like all others. Columns
+are passed on as they are, whatever their names; only doc_id, text and source are read. An
+empty table gives an empty result in every stage.
 """
 
 from __future__ import annotations
@@ -17,42 +20,64 @@ from censuskit.llm.common import crc_mod, documents, stash
 ORACLE_SQL = None
 
 
+def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """docs with a number for each row, in a written table, and the name of that column."""
+    key = "row_number"
+    while key in docs.columns:
+        key += "_"
+    return stash(docs.withColumn(key, F.monotonically_increasing_id()), name), key
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model predicts toxic go. It learns from the labelled rows that op6 learns from."""
+    """Documents that the model predicts toxic go. It learns from the labelled rows that op6
+    learns from. Null and empty texts have no evidence and stay unless most labels are toxic;
+    texts of any length are read whole; repeated rows go or stay together."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(crc_mod("doc_id", 5) != 0).select("doc_id", "toxic")
     model = toxicity.train(labels.join(docs.select("doc_id", "text"), "doc_id"))
-    columns = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
-    return toxicity.evidence_of(docs, model, tuple(columns), with_text=True).filter("score < 0.5").select(*docs.columns)
+    # under other names, so that none clashes with those of the scorer
+    inner = {c: {"doc_id": "doc_id", "text": "text"}.get(c, f"column_{i}") for i, c in enumerate(docs.columns)}
+    extra = tuple(F.col(f"`{c}`").alias(name) for c, name in inner.items() if c not in ("doc_id", "text"))
+    scored = toxicity.evidence_of(docs, model, extra, with_text=True).filter("score < 0.5")
+    return scored.select(*[F.col(name).alias(c) for c, name in inner.items()])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays, the one that op7 keeps."""
-    kept = dedup.exact_dedup(docs).filter("kept").select("row_key").distinct()
-    return docs.withColumn("row_key", dedup.row_key("doc_id", "text")).join(kept, "row_key", "left_semi").select(*docs.columns)
+    """One row of each group of equal texts stays, the one that op7 keeps. Null and empty texts
+    are one group, as are texts of blanks; of rows that repeat, one stays."""
+    docs, key = _numbered(docs, "pipeline-copies")
+    kept = dedup.exact_dedup(docs, key_col=key).filter("kept").select(F.col("key").alias(key))
+    return docs.join(kept, key, "left_semi").drop(key)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five words, a similarity of 0.8: of each group the document with the smallest id stays;
-    documents without words are in no group and stay."""
-    found = ngram_join.ngram_components(docs, n=5, share=80)
-    gone = stash(found.filter("doc_id <> component_id").select("doc_id").distinct(), "pipeline-near")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Five words, a similarity of 0.8: of each group the row with the smallest id stays (rows
+    without an id after all others; of equal ids any one, the same in each rerun over the same
+    table). Documents without words are in no group and stay."""
+    docs, key = _numbered(docs, "pipeline-near")
+    found = stash(ngram_join.ngram_components(docs, n=5, share=80, key_col=key), "pipeline-near")
+    first = found.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"))
+    kept = first.select(F.col("first.key").alias(key)).unionByName(found.filter("component IS NULL").select(F.col("key").alias(key)))
+    return docs.join(stash(kept, "pipeline-near"), key, "left_semi").drop(key)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources come near their target weights in whole documents: each is repeated as often
-    as the mix takes its words, to the nearest whole number, and goes if that is 0.
-    Documents without words are taken once."""
-    taken = stash(mixing.mix_sources(docs), "pipeline-mix")
+    """Sources come near their target weights in whole documents: each row is repeated as often
+    as the mix takes its words, to the nearest whole number, and goes if that is 0. Of a source,
+    only the document at the end of what is taken is rounded, so the source misses its target
+    by half a document at most. Documents without words are taken once; a null source is one."""
+    docs, key = _numbered(docs, "pipeline-mix")
+    taken = mixing.mix_sources(docs, key_col=key)
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(1).cast("int")
-    copies = taken.groupBy("u", "t").agg(F.first(copies).alias("copies"))
-    keyed = docs.withColumn("u", F.xxhash64(F.lit(17), "doc_id")).withColumn("t", F.xxhash64(F.coalesce("text", F.lit(""))))
-    again = keyed.join(copies, ["u", "t"]).filter("copies > 0")
-    return again.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    times = key + "_times"
+    while times in docs.columns:
+        times += "_"
+    again = docs.join(taken.select(F.col("key").alias(key), copies.alias(times)).filter(F.col(times) > 0), key)
+    return again.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(key, times)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every row, and digests of the ids and of what they decode to."""
+    """Token ids of every row, and digests of the ids and of what they decode to. Null and empty
+    texts have no ids; other columns are not kept."""
     return bpe.encode_documents(docs)
 
 
