@@ -73,6 +73,10 @@ class WordHasher:
 
     def words(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all words in order, and for each text the number of words before it."""
+        return self.spans(texts)[:2]
+
+    def spans(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As words(), and where each word starts and stops in the texts joined by one byte."""
         ends = np.cumsum([len(t) + 1 for t in texts])
         data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
         self._grow(len(data) + 1)
@@ -82,7 +86,7 @@ class WordHasher:
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers[: len(data)], out=sums[1:])
         hashes = _mix((sums[stops] - sums[starts]) * self.inverses[starts])
-        return hashes, np.concatenate([[0], np.searchsorted(starts, ends)])
+        return hashes, np.concatenate([[0], np.searchsorted(starts, ends)]), starts, stops
 
 
 def ngram_sets(texts: list[str | None], n: int, hasher: WordHasher) -> Iterator[np.ndarray]:
