@@ -12,7 +12,10 @@ along their touching edge, from the later merge to the earlier, and any merge ac
 edge that would have come first rules the pair out.
 
 As a job: texts are encoded in Arrow batches inside tasks. Each match of the pattern is
-encoded by itself, results for frequent pieces are kept in a bounded cache per worker.
+encoded by itself. For short pieces the last tokens are kept by prefix and shared by all
+pieces that start alike, and only the prefixes that a piece needs are decided. Both caches
+are bounded: two generations each, so that what is used again survives when one is full.
+Ids pass through as Arrow columns, so they are exact beside nulls, whatever their size.
 
 Defined results: null and empty texts have no tokens (the digest of the empty string).
 Lone surrogates cannot occur in Spark strings. Rows that repeat give equal results. Extra
@@ -26,13 +29,15 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-#: Pieces that a worker remembers; the cache starts afresh when it is full.
-CACHE_PIECES = 150_000
+#: Pieces, and prefixes of pieces, in one generation of a worker's caches.
+CACHE_PIECES, CACHE_PREFIXES = 120_000, 100_000
+#: Bytes of a piece up to which its prefixes are looked up in the shared table.
+SHORT = 64
 #: Rows that a worker hands back at once.
 SLICE_ROWS = 256
 
@@ -172,37 +177,103 @@ class PrefixEncoder:
         return out
 
 
-def encode_piece(v: Vocabulary, piece: bytes) -> list[int]:
-    token = v.ranks.get(piece)
-    return [token] if token is not None else PrefixEncoder(v, piece).tokens()
+class Recent:
+    """A bounded table of what was used last: two generations, the older one goes."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def older(self, key):
+        """What the older generation knows; it is young again."""
+        got = self.old.get(key)
+        return got if got is None else self.put(key, got)
+
+    def put(self, key, value):
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+        return value
+
+
+class PieceEncoder:
+    """Encodes short pieces by a table of last tokens that all pieces share."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.v, self.last = vocabulary, Recent(CACHE_PREFIXES)
+        # how long a token can be that ends in these four bytes
+        self.reach: dict[bytes, int] = {}
+        for token in vocabulary.ranks:
+            if len(token) > 3:
+                self.reach[token[-4:]] = max(len(token), self.reach.get(token[-4:], 0))
+
+    def last_token(self, prefix: bytes) -> int:
+        known = self.last.young.get(prefix) or self.last.older(prefix)
+        if known is not None:
+            return known - 1
+        v, size = self.v, len(prefix)
+        rank_of, pair_known = v.ranks.get, v.known_pairs.get
+        for begin in range(max(0, size - self.reach.get(prefix[-4:], 3)), size):
+            token = rank_of(prefix[begin:])
+            if token is None:
+                continue
+            if begin:
+                before = self.last_token(prefix[:begin])
+                stands = pair_known(before << 32 | token)
+                if stands is None:
+                    stands = v.stands(before, token)
+            else:
+                stands = size == 1 or v.split(token) is not None
+            if stands:
+                self.last.put(prefix, token + 1)  # so that none is 0
+                return token
+        raise ValueError("the vocabulary has no token for a byte")
+
+    def __call__(self, piece: bytes) -> list[int]:
+        token = self.v.ranks.get(piece)
+        if token is not None:
+            return [token]
+        if len(piece) > SHORT:
+            return PrefixEncoder(self.v, piece).tokens()
+        found = []
+        while piece:
+            found.append(self.last_token(piece))
+            piece = piece[: -len(self.v.bytes_of[found[-1]])]
+        return found[::-1]
 
 
 class TextEncoder:
-    """Encodes whole texts piece by piece, as the pattern cuts them. For each piece it knows
-    the number of ids, the ids in decimal and the bytes that they decode to."""
+    """Encodes whole texts piece by piece, as the pattern cuts them."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.v, self.find = vocabulary, regex.compile(pattern).findall
-        self.known: dict[str, tuple[int, str, bytes]] = {}
-
-    def _learn(self, piece: str) -> tuple[int, str, bytes]:
-        ids = encode_piece(self.v, piece.encode())
-        if len(self.known) >= CACHE_PIECES:
-            self.known.clear()
-        got = len(ids), " ".join(map(str, ids)), self.decode(ids)
-        if len(piece) <= 64:
-            self.known[piece] = got
-        return got
+        self.piece, self.known = PieceEncoder(vocabulary), Recent(CACHE_PIECES)
+        # the bytes of all tokens in one array, by rank
+        tokens = [vocabulary.bytes_of.get(i, b"") for i in range(max(vocabulary.bytes_of) + 1)]
+        self.lengths = np.array([len(t) for t in tokens], np.int64)
+        self.starts, self.flat = np.cumsum(self.lengths) - self.lengths, np.frombuffer(b"".join(tokens), np.uint8)
+
+    def _learn(self, piece: str) -> str:
+        known = self.known.older(piece)
+        if known is None:
+            known = "".join([f" {i}" for i in self.piece(piece.encode())])
+            if len(piece) <= SHORT:
+                self.known.put(piece, known)
+        return known
 
-    def pieces(self, text: str) -> list[tuple[int, str, bytes]]:
-        known, learn = self.known.get, self._learn
-        return [known(p) or learn(p) for p in self.find(text)]
+    def line(self, text: str) -> str:
+        """The ids in decimal, one blank between two."""
+        known, learn = self.known, self._learn
+        return "".join([known.young.get(p) or learn(p) for p in self.find(text)])[1:]
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for _, ids, _ in self.pieces(text) for i in ids.split(" ")]
+        return list(map(int, self.line(text).split()))
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join([self.v.bytes_of[i] for i in ids])
+    def decode(self, ids: np.ndarray) -> bytes:
+        ids = np.asarray(ids, np.int64)
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        shift = np.repeat(self.starts[ids] - ends + lengths, lengths)
+        return self.flat[shift + np.arange(len(shift))].tobytes()
 
 
 _encoders: dict[tuple[str, str], TextEncoder] = {}
@@ -221,19 +292,19 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     schema = chosen.schema["doc_id"].dataType.simpleString()
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
         for batch in batches:
-            for start in range(0, len(batch), SLICE_ROWS):
-                part, out = batch.iloc[start : start + SLICE_ROWS], []
-                for text in part.text:
-                    counts, ids, decoded = zip(*enc.pieces(text), strict=True) if text else ((), (), ())
-                    line = " ".join(ids)
-                    row = (sum(counts), hashlib.sha256(line.encode()).hexdigest(), hashlib.sha256(b"".join(decoded)).hexdigest())
-                    out.append((np.fromstring(line, np.int32, sep=" "), *row) if with_ids else row)
-                frame = pd.DataFrame(out, columns=["ids"] * with_ids + ["n_tokens", "ids_sha256", "decoded_sha256"])
-                frame.insert(0, "doc_id", part.doc_id.to_numpy())
-                yield frame
-
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                ids, sums = [], []
+                for text in part.column("text").to_pylist():
+                    line = enc.line(text)
+                    ids.append(np.fromstring(line, np.int32, sep=" "))
+                    sums.append((len(ids[-1]), hashlib.sha256(line.encode()).hexdigest(), hashlib.sha256(enc.decode(ids[-1])).hexdigest()))
+                columns = [part.column("doc_id"), *([pa.array(ids, pa.list_(pa.int32()))] if with_ids else []), *map(pa.array, zip(*sums, strict=True))]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["doc_id", *["ids"] * with_ids, "n_tokens", "ids_sha256", "decoded_sha256"]
     ids = "ids array<int>, " if with_ids else ""
-    return chosen.mapInPandas(work, f"doc_id {schema}, {ids}n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return chosen.mapInArrow(work, f"doc_id {schema}, {ids}n_tokens long, ids_sha256 string, decoded_sha256 string")

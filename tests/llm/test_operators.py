@@ -57,10 +57,20 @@ def test_exact_dedup(awkward, empty):
         keep = min(members, key=lambda m: (-len(m[1]), math.inf if m[0] is None else m[0]))[0]
         mine = found[hashlib.sha256(norm.encode()).hexdigest()]
         assert len(mine) == len(members)
-        assert all(r.group_size == len(members) and r.keep_id == keep and r.kept == (r.doc_id == keep) for r in mine)
+        assert all(r.group_size == len(members) and r.keep_id == keep for r in mine)
+        # one row stays, also where rows repeat
+        assert [r.doc_id for r in mine if r.kept] == [keep]
     assert exact_dedup(empty).count() == 0
 
 
+def test_exact_dedup_keeps_one_row(spark):
+    from censuskit.llm.exact_dedup import exact_dedup
+
+    docs = frame(spark, [(5, "x y"), (5, "xy"), (None, "a b"), (None, "ab"), (7, "q"), (7, "q")]).withColumn("no", F.monotonically_increasing_id())
+    rows = exact_dedup(docs, key_col="no").filter("kept").join(docs.select("no", "text"), F.col("key") == F.col("no"))
+    assert sorted(r.text for r in rows.collect()) == ["a b", "q", "x y"]
+
+
 def test_mixing(spark, awkward, empty):
     from censuskit.llm.mixing import mix_sources, placed_documents, schedule
 
@@ -85,15 +95,34 @@ def test_mixing(spark, awkward, empty):
             assert r.target == pytest.approx(targets[source[r.doc_id]])
             assert r.source_size == sizes[source[r.doc_id]] and 0 <= r.taken <= 3 * r.size
             taken[source[r.doc_id]] += r.taken
-        assert all(abs(taken[s] - targets[s]) <= 1 for s in names)
+        # a slot more or less, of total / 65536 words
+        slack = 1 + total / 65536 if (total := sum(sizes.values())) else 0
+        assert all(abs(taken[s] - targets[s]) <= slack for s in names)
     assert mix_sources(empty).count() == 0
     # every stretch of the schedule is close to the targets
-    placed, t = placed_documents(docs, block_words=16)
-    slots = [r.s for r in schedule(t).orderBy("position").collect()]
+    placed, t = placed_documents(docs)
+    slots = [r.s for r in schedule(t, 4096).orderBy("position").collect()]
+    assert len(slots) == 4096
     share = collections.Counter(slots)
     for s, n in share.items():
         half = slots[: len(slots) // 2].count(s)
         assert abs(half - n / 2) <= 6
+    # the sequence decides what is taken, and where
+    first, again, other = ({r.doc_id: (r.taken, r.first_slot) for r in mix_sources(docs, point=p).collect()} for p in (None, None, F.lit(0.1)))
+    assert first == again and sum(first[i][0] != other[i][0] for i in first) > 50
+
+
+def test_mixing_targets_of_many_sources(spark):
+    from censuskit.llm.mixing import source_targets
+
+    rng = random.Random(5)
+    sizes = {f"h{i:05}": rng.choice([0, 1, 10, 1000, 50_000]) for i in range(9000)}
+    rows = source_targets(spark.createDataFrame(list(sizes.items()), "source string, size long")).orderBy("s").collect()
+    assert [r.source for r in rows] == sorted(sizes) and [r.s for r in rows] == list(range(9000))
+    weights = [(5, 2, 1)[i % 3] for i in range(9000)]
+    level = max(r.target / w for r, w in zip(rows, weights))
+    assert sum(r.target for r in rows) == pytest.approx(sum(sizes.values()))
+    assert all(r.target == pytest.approx(min(3 * sizes[r.source], level * w)) for r, w in zip(rows, weights))
 
 
 def test_bpe(awkward, empty):
@@ -157,46 +186,99 @@ def test_ngram_components(spark, awkward, empty):
     assert ngram_components(empty).count() == 0
 
 
-def test_katz(awkward, empty, spark):
+def test_ngram_components_just_below_the_threshold(spark):
+    """Many near copies around the threshold, on both sides of it, and a passage that most texts hold."""
+    from censuskit.llm.ngram_join import ngram_components
+
+    rng = random.Random(9)
+    words = [f"v{i}" for i in range(5000)]
+    passage, texts = rng.sample(words, 60), []
+    for g in range(4):
+        base = rng.sample(words, 70)
+        for k in range(60):
+            copy = list(base)
+            for _ in range(rng.randint(0, 5)):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            texts.append((1000 * g + k, " ".join((passage if k % 2 else []) + copy + rng.sample(words, rng.randint(0, 6)))))
+    texts += [(9000 + k, " ".join(passage + rng.sample(words, rng.randint(5, 16)))) for k in range(80)]
+    sets = {i: {tuple(w[k : k + 4]) for k in range(len(w) - 3)} for i, w in ((i, t.split(" ")) for i, t in texts)}
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    got = by_id(ngram_components(frame(spark, texts).repartition(3)))
+    assert {i: root(i) for i in sets} == {i: r.component_id for i, r in got.items()}
+    assert 20 < len({root(i) for i in sets}) < len(sets) - 50
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_katz(awkward, empty, spark, order):
     from censuskit.llm.common import crc_mod
-    from censuskit.llm.katz import discounts, score_documents
+    from censuskit.llm.katz import K, discounts, score_documents
 
     docs = awkward.unionByName(frame(spark, [(i, " ".join(random.Random(i % 40).choices("abcdefgh", k=30))) for i in range(20, 120)]))
     held = crc_mod("doc_id", 5) == 1
-    rows, model = score_documents(docs, held, batch_bytes=2000)
-    rows = rows.collect()
-    texts = [(r.doc_id, r.held, re.findall(r"[^\x20\x09-\x0D]+", (r.text or "").lower()) + ["$"]) for r in docs.withColumn("held", held).collect()]
-    c, pairs = collections.Counter(), collections.Counter()
+    rows, model = score_documents(docs, held, batch_bytes=2000, part_bytes=3000, order=order)
+    rows, t = rows.collect(), model.totals
+    assert t.parts > 3
+    texts = [(r.doc_id, r.held, re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or "")) + ["$"]) for r in docs.withColumn("held", held).collect()]
+    grams = collections.defaultdict(collections.Counter)  # by context, of up to order - 1 words
     for _, h, w in texts:
         if not h:
-            c.update(w)
-            pairs.update(zip(["^", *w], w))
-    starts = sum(not h for _, h, _ in texts)
-    t = model.totals
+            padded = ["^", *w]
+            for i in range(1, len(padded)):
+                for k in range(order):
+                    if i - k >= 0:
+                        grams[tuple(padded[i - k : i])][padded[i]] += 1
+    c, starts = grams[()], sum(not h for _, h, _ in texts)
     total = sum(c.values())
-    p = lambda w: t.word_d.get(c[w], 1.0) * c[w] * t.word_keep / total if c[w] else t.unknown
-    assert sum(map(p, c)) + t.unknown == pytest.approx(1)
-    after = collections.defaultdict(dict)
-    for (u, w), n in pairs.items():
-        if n >= 2:
-            after[u][w] = t.pair_d.get(n, 1.0) * n / (starts if u == "^" else c[u])
-    keep, alpha = {}, {}
-    for u, ws in after.items():
-        n = starts if u == "^" else c[u]
-        keep[u] = min(1, n / (n + 1) / sum(ws.values()))
-        alpha[u] = (1 - keep[u] * sum(ws.values())) / (1 - sum(map(p, ws)))
-        # exactly normalised over the vocabulary and the unknown word
-        assert keep[u] * sum(ws.values()) + alpha[u] * (1 - sum(map(p, ws))) == pytest.approx(1)
+    for n in range(1, order + 1):
+        counts = collections.Counter(x for u, ws in grams.items() if len(u) == n - 1 for x in ws.values())
+        assert t.d[n] == pytest.approx(discounts(counts))
+        if n > 1:
+            assert collections.Counter(r.c for r in model.grams(n).collect()) == counts
+    assert {r.word: r.c for r in model.words.collect()} == {w: n for w, n in c.items() if w != "$"} and c["$"] == starts
+
+    def p(u, w):
+        """By the definition, for any context."""
+        if not u:
+            return t.d[1].get(c[w], 1.0) * c[w] * t.word_keep / total if c[w] else t.unknown
+        after = grams.get(u)
+        if not after:
+            return p(u[1:], w)
+        n = sum(after.values())
+        keep = n / (n + 1) if min(after.values()) > K else 1.0
+        seen = {x: keep * t.d[len(u) + 1].get(k, 1.0) * k / n for x, k in after.items()}
+        if w in seen:
+            return seen[w]
+        return (1 - sum(seen.values())) / (1 - sum(p(u[1:], x) for x in seen)) * p(u[1:], w)
+
+    # exactly normalised over the vocabulary and the unknown word
+    for u in random.Random(1).sample(sorted(grams), 12):
+        assert sum(p(u, w) for w in [*c, "not a word"]) == pytest.approx(1)
     want = collections.Counter()
     for i, h, w in texts:
-        s = sum(math.log10(keep[u] * after[u][x]) if x in after.get(u, {}) else math.log10(alpha.get(u, 1.0) * p(x)) for u, x in zip(["^", *w], w))
+        padded, known = ["^", *w], {}
+        s = 0.0
+        for k in range(1, len(padded)):
+            at = tuple(padded[max(0, k - order + 1) : k]), padded[k]
+            known[at] = known.get(at) or math.log10(p(*at))
+            s += known[at]
         base = sum(math.log10((c[x] + 0.5) / (total + 0.5 * (len(c) + 1))) for x in w)
         want[(i, h, len(w), sum(c[x] > 0 for x in w), total, round(base, 5), round(s, 5))] += 1
     assert want == collections.Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5)) for r in rows)
-    assert score_documents(empty, held)[0].count() == 0
-    nothing, _ = score_documents(docs, F.lit(True), batch_bytes=2000)
+    assert score_documents(empty, held, order=order)[0].count() == 0
+    nothing, _ = score_documents(docs, F.lit(True), batch_bytes=2000, order=order)
     assert {(r.n_known, r.base_score, r.score) for r in nothing.collect()} == {(0, 0.0, 0.0)}
-    assert discounts({}) and all(0 < d <= 1 for d in discounts({1: 5, 2: 1}).values())
+    assert all(0 < d < 1 for n in ({}, {1: 5, 2: 1}, {1: 3}, {2: 4}) for d in discounts(n).values())
 
 
 def test_katz_query_uses_pairs_seen_once(spark, tmp_path):
@@ -219,7 +301,7 @@ def test_katz_query_uses_pairs_seen_once(spark, tmp_path):
     score = {r.doc_id: r.score for r in op2_katz_backoff(spark, str(tmp_path)).collect()}
     # the same words: only the pairs of one training text tell them apart
     assert score[a] > score[b] + 10
-    model = score_documents(docs, crc_mod("doc_id", 5) == 1, min_count=1)[1]
+    model = score_documents(docs, crc_mod("doc_id", 5) == 1)[1]
     pairs = collections.Counter(x for _, p in train for x in zip(["^", *p], [*p, "$"]))
     assert collections.Counter(r.c for r in model.pairs.collect()) == collections.Counter(pairs.values()) and model.totals.pair_d[1] > 0
 
@@ -324,8 +406,9 @@ def test_warc_zip(spark, tmp_path):
     assert want == collections.Counter((r.page_id, r.url, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, None if r.payload is None else bytes(r.payload)) for r in rows)
     # the files are ordinary ZIP files, and ordinary ones are read; compressed members are refused
     one = archives.first()
-    assert zipfile.ZipFile(io.BytesIO(one.content)).testzip() is None
-    (tmp_path / "a.zip").write_bytes(one.content)
+    content = open(one.archive.removeprefix("file://"), "rb").read()
+    assert archives.count() > 1 and zipfile.ZipFile(io.BytesIO(content)).testzip() is None
+    (tmp_path / "a.zip").write_bytes(content)
     assert read_archives(archive_files(spark, str(tmp_path))).count() == len([r for r in rows if r.archive == one.archive])
     packed = io.BytesIO()
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
@@ -358,6 +441,24 @@ def test_zip64_directory():
         d.range("m", 3, 3)
 
 
+def test_zip64_archive_beyond_four_gigabytes(spark, tmp_path):
+    """A sparse file whose index and last record lie past 4 GB is read by range."""
+    import gzip
+    import zipfile
+
+    from censuskit.llm.warc_zip import read_archives, warc_record
+
+    path, record = tmp_path / "big.zip", gzip.compress(warc_record(1 << 60, "u", b"hello", "D", None))
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("first", b"x")
+        z.fp.seek((4 << 30) + 10_000)  # a hole
+        z.start_dir = z.fp.tell()
+        z.writestr("archive/part-000.warc.gz", record)
+        z.writestr("indexes/index.cdx", f"archive/part-000.warc.gz 0 {len(record)}")
+    rows = read_archives(spark.createDataFrame([(f"file://{path}",)], "archive string"), with_payload=True).collect()
+    assert [(r.page_id, bytes(r.payload), r.record_offset) for r in rows] == [(1 << 60, b"hello", 0)]
+
+
 def test_toxicity(spark, awkward, empty):
     from censuskit.llm.toxicity import CharModel, evidence_of, restore, train, words_of
 
@@ -386,6 +487,71 @@ def test_toxicity_on_held_out_rows(spark):
     assert r.right > 0.97 and r.tp / r.p > 0.9 and r.tp / r.t > 0.85
 
 
+def test_toxicity_readings(spark):
+    from censuskit.llm.toxicity import CharModel, restore, words_of
+
+    m = CharModel({"idiot": 50, "the": 900, "clown": 40, "moron": 30, "hello": 80, "pathetic": 12, "stupid": 20, "rat": 30})
+    for text, word in {
+        "!diot": "idiot", "|diot": "idiot", "<lown": "clown", "(idiot)": "idiot", "idiot!!": "idiot", "1 d 1 0 t": "idiot", "i  d  i  o  t": "idiot", "i\td\ti\to\tt": "idiot",
+        "iiddiioott": "idiot", "ra+": "rat", "! d ! 0 t": "idiot", "id" + "i" * 60 + "ot": "idiot",
+    }.items():
+        assert word in words_of(f"you {text} there", m, {}), text
+    assert words_of("the committee said hello!", m, {}) == {"the", "committee", "said", "hello"}
+    # brute force over all letters for all places: the cheapest path is found
+    import itertools
+
+    from censuskit.llm.toxicity import LOOKS_LIKE, SWAP_COST
+
+    for observed in ("1d10t", "cl0wn", "r4t", "m0r0n", "8|0"):
+        options = [LOOKS_LIKE.get(c, c) for c in observed]
+        price = lambda w: sum(m.cost(("^^" + w)[i : i + 2], (w + "$")[i]) for i in range(len(w) + 1)) + SWAP_COST * sum(c in LOOKS_LIKE for c in observed)
+        best = min(itertools.product(*options), key=lambda w: price("".join(w)))
+        assert price(restore(observed, m)) == pytest.approx(price("".join(best)))
+    long = "".join(random.Random(1).choices("ab01", k=100_000))
+    assert len(restore(long, m)) > 50_000
+
+
+def test_ids_are_exact_beside_nulls(spark, tmp_path):
+    from censuskit.llm.bpe import encode_documents
+    from censuskit.llm.katz import score_documents
+    from censuskit.llm.language_id import identify
+    from censuskit.llm.ngram_join import ngram_components
+    from censuskit.llm.toxicity import ToxicModel, evidence_of
+    from censuskit.llm.warc_zip import read_archives, write_archives
+
+    big = (1 << 53) + 1
+    docs = frame(spark, [(big, BASE), (None, "other words in here"), (big + 2, BASE)]).coalesce(1)
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"))
+    warc = read_archives(write_archives(pages)).collect()
+    assert {(r.page_id, r.refers_to) for r in warc} == {(big, None), (None, None), (big + 2, big)}
+    near = ngram_components(docs).collect()
+    assert {(r.doc_id, r.component_id) for r in near} == {(big, big), (None, None), (big + 2, big)}
+    for out in (encode_documents(docs), score_documents(docs, F.lit(False))[0], identify(docs, [("a", b"abcdefgh" * 4)]), evidence_of(docs, ToxicModel(None, {}, 1.0, 0.0))):
+        assert {r.doc_id for r in out.collect()} == {big, None, big + 2}
+
+
+def test_language_id_against_brute_force(spark):
+    import zstandard
+
+    from censuskit.llm.language_id import MIN_MATCH, STRATEGY, identify
+
+    rng = random.Random(3)
+    dictionaries = [(f"x{i}", "".join(rng.choices("abcdefgh"[i:] + "  ", k=4000)).encode()) for i in range(3)]
+    dictionaries.append(("twin", dictionaries[2][1]))
+    texts = ["".join(rng.choices("abcdefgh"[i % 3 :] + " ", k=rng.choice([5, 60, 900, 9000]))) for i in range(40)]
+    odd = ["²", "½ ¹ 7", "Ⅷ", "\u0300", "12 34", "", None]
+    got = by_id(identify(frame(spark, list(enumerate(texts + odd))), dictionaries))
+    for i, t in enumerate(texts):
+        sizes = []
+        for _, data in dictionaries:
+            d = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            how = zstandard.ZstdCompressionParameters.from_level(3, source_size=4096, dict_size=len(data), min_match=MIN_MATCH, strategy=STRATEGY)
+            sizes.append(sum(len(zstandard.ZstdCompressor(compression_params=how, dict_data=d).compress(t[k : k + 4096].encode())) for k in range(0, len(t), 4096)))
+        # ties go to the first: never to the twin
+        assert got[i].lang_pred == dictionaries[sizes.index(min(sizes))][0] != "twin"
+    assert {got[len(texts) + i].lang_pred for i in range(len(odd))} == {"und"}
+
+
 def test_language_id(spark, awkward, empty):
     from censuskit.llm.language_id import identify, train_dictionaries
     from censuskit.llm.queries import op8_language_id
