@@ -6,10 +6,11 @@ cut the work for the next: a cheap pattern over the whole text finds the rows th
 any root keyword; on those rows, rules whose keyword occurs are kept; only these are run.
 All matches become intervals of characters. A detection is suppressed if another one of
 the same row contains its interval and is longer, or as long and earlier in the rules'
-order. What is left gives the labels.
+order; one sweep over the sorted intervals finds them. What is left gives the labels.
 
 The rules are families (name, versions) crossed with the phrasings by which licences are
-declared, from the most exact to the loosest, some hundreds in all.
+declared, from the most exact to the loosest, then sentences of licence texts, SPDX
+identifiers and addresses of licence texts, some hundreds in all.
 
 Base phrases are found on word positions instead: words are maximal runs of ASCII letters
 and digits and of characters beyond ASCII; a phrase is found where its words stand one
@@ -89,6 +90,19 @@ SPDX = [
     *[(f"cecill-{v}", rf"cecill-{v}") for v in ("1.0", "2.0", "2.1")], ("cecill", "cecill-b"), ("cecill", "cecill-c"), ("wtfpl", "wtfpl"), ("unlicense", "unlicense"), ("cc0-1.0", "cc0-1.0"),
     *[(f"{cc}-{v}", f"{cc}-{v}") for cc in ("cc-by", "cc-by-sa", "cc-by-nd", "cc-by-nc", "cc-by-nc-sa", "cc-by-nc-nd") for v in ("2.0", "2.5", "3.0", "4.0")],
 ]
+# Addresses of licence texts, as (label, pattern with blanks for slashes).
+ADDRESSES = [
+    ("apache-2.0", r"apache\.org licenses license-2\.0"), ("apache-1.1", r"apache\.org licenses license-1\.1"), ("apache-2.0", r"opensource\.org licenses? apache-2\.0"),
+    ("mit", r"opensource\.org licenses? mit(?:-license)?"), ("isc", r"opensource\.org licenses? isc(?:-license)?"), ("zlib", r"opensource\.org licenses? zlib"),
+    ("bsd-2-clause", r"opensource\.org licenses? bsd-2-clause"), ("bsd-3-clause", r"opensource\.org licenses? bsd-3-clause"), ("0bsd", r"opensource\.org licenses? 0bsd"),
+    ("mpl-2.0", r"mozilla\.org (?:en-us )?mpl 2\.0"), ("mpl-1.1", r"mozilla\.org (?:en-us )?mpl 1\.1"), ("mpl-2.0", r"opensource\.org licenses? mpl-2\.0"),
+    ("epl-1.0", r"eclipse\.org legal epl-v10"), ("epl-2.0", r"eclipse\.org legal epl-(?:v20|2\.0)"), ("boost-1.0", r"boost\.org license_1_0"), ("unlicense", r"unlicense\.org"), ("wtfpl", r"wtfpl\.net"),
+    ("gpl-2.0", r"gnu\.org licenses (?:old-licenses )?gpl-2\.0"), ("gpl-3.0", r"gnu\.org licenses gpl-3\.0"), ("gpl", r"gnu\.org (?:licenses|copyleft) gpl"), ("lgpl-2.1", r"gnu\.org licenses (?:old-licenses )?lgpl-2\.1"),
+    ("lgpl-3.0", r"gnu\.org licenses lgpl-3\.0"), ("lgpl", r"gnu\.org (?:licenses|copyleft) (?:lgpl|lesser)"), ("agpl-3.0", r"gnu\.org licenses agpl-3\.0"), ("agpl", r"gnu\.org licenses agpl"), ("gfdl-1.3", r"gnu\.org licenses fdl-1\.3"),
+    ("eupl-1.2", r"joinup\.ec\.europa\.eu [a-z -]{0,40}eupl"), ("artistic-2.0", r"opensource\.org licenses? artistic-2\.0"), ("cddl-1.0", r"opensource\.org licenses? cddl-1\.0"), ("cc0-1.0", r"creativecommons\.org publicdomain zero 1\.0"),
+    ("public-domain", r"creativecommons\.org publicdomain mark 1\.0"), ("odbl-1.0", r"opendatacommons\.org licenses odbl"), ("pddl-1.0", r"opendatacommons\.org licenses pddl"),
+    *[(f"cc-{kind}-{v}", rf"creativecommons\.org licenses {kind} {v[0]}\.{v[2]}") for kind in ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd") for v in ("2.0", "2.5", "3.0", "4.0")],
+]
 #: What an identifier follows: the tag, then other identifiers of the same expression.
 TAGGED = r"(?<=spdx-licen[sc]e-identifier:[ (]{0,3}" + r"(?:[a-z0-9.+-]{1,40}[ )]{1,3}(?:or|and|with)[ (]{1,3})?" * 8
 BARE = r"(?:mit|apache|gpl|gfdl|mpl|epl|cddl|eupl|osl|afl|artistic|bsl|odbl|pddl|psf|zpl|cecill|cc0)-[0-9]|cecill-[bc]|bsd-[234]-clause|0bsd|ms-[pr]l|cc-by"
@@ -105,7 +119,7 @@ FOLDED = r"[\s*#>/]+"
 #: for FOLDED, as in the text that the rules read.
 ROOTS = [
     "licen", "gpl", "gfdl", "cddl", "eupl", "odbl", "pddl", "cecill", "wtfpl", "cc0", "cc zero", "cc-by", "creative commons",
-    "permission is", "permission to", "redistribution and", "as-is", "unencumbered", "public domain", "all rights reserved", "proprietary",
+    "boost.org", "wtfpl.net", "gnu.org", "mozilla.org", "eclipse.org", "creativecommons.org", "europa.eu", "permission is", "permission to", "redistribution and", "as-is", "unencumbered", "public domain", "all rights reserved", "proprietary",
 ]
 #: Short names that are parts of common words: words of their own, or before a number.
 SHORT = r"(?<![\p{L}0-9])(?:(?:mpl|epl|osl|afl)(?!\p{L})|(?:apache|artistic|bsl|psf|zpl)-[0-9]|bsd-[234]-clause|0bsd|ms-[pr]l|mit-0)"
@@ -136,6 +150,7 @@ def rules() -> list[Rule]:
                 found.append((f"{label}-{version}", prefix + name + spoken + suffix, keyword, relevance))
             found.append((label, prefix + name + suffix, keyword, relevance - 0.05))
     found += [(label, pattern, keyword, relevance) for label, pattern, keyword, relevance in TEXTS]
+    found += [(label, pattern, r"\.(?:org|eu|net)", 0.9) for label, pattern in ADDRESSES]
     for label, name in SPDX:
         # without the tag: declared, or where the identifier is no common word
         whole = name.replace(".", r"\.") + r"(?:-only|-or-later|\+)?"
@@ -185,8 +200,19 @@ def detections(text_col: str, opened_col: str) -> Column:
     return F.when(F.size(opened) > 0, F.flatten(F.transform(cut, places))).otherwise(F.array().cast(FOUND))
 
 
-SUPPRESSED = """filter(found, d -> not exists(found, o -> o.start <= d.start and o.stop >= d.stop
-    and (o.stop - o.start > d.stop - d.start or o.order < d.order)))"""
+def unsuppressed(found: Column) -> Column:
+    """The detections that no other contains which is longer, or as long and earlier in the
+    rules' order: one sweep over them by start, longest first, then order. What contains a
+    detection comes before it, so it stays if it ends beyond all before it."""
+    order = F.transform(found, lambda d: F.struct(d["start"].alias("start"), (-d["stop"]).alias("inverse"), d["order"].alias("order"), d["label"].alias("label"), d["relevance"].alias("relevance")))
+
+    def step(acc: Column, d: Column) -> Column:
+        one = F.struct(d["order"].alias("order"), d["label"].alias("label"), d["relevance"].alias("relevance"), d["start"].alias("start"), (-d["inverse"]).alias("stop"))
+        longer = F.struct((-d["inverse"]).alias("reach"), F.concat(acc["out"], F.array(one)).alias("out"))
+        return F.when(-d["inverse"] > acc["reach"], longer).otherwise(acc)
+
+    begin = F.struct(F.lit(-1).cast("bigint").alias("reach"), F.array().cast(FOUND).alias("out"))
+    return F.aggregate(F.array_sort(order), begin, step, lambda acc: acc["out"])
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -215,7 +241,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base = F.array_compact(F.array(*[F.when(F.size(f"at{i}") > 0, F.lit(label)) for i, label in enumerate(BASE.values())]))
     rows = rows.select("doc_id", "n_words", places.alias("places"), F.array_sort(base).alias("base"), "flat", F.when(F.col("flat").isNotNull(), keywords("flat")).alias("opened"))
     rows = rows.withColumn("found", detections("flat", "opened"))
-    rows = rows.withColumn("detections", F.expr(SUPPRESSED))
+    rows = rows.withColumn("detections", unsuppressed(F.col("found")))
     labels = F.array_sort(F.array_union("base", F.transform("detections", lambda d: d["label"])))
     score = F.greatest(F.array_max(F.transform("detections", lambda d: d["relevance"])), F.when(F.size("base") > 0, 0.7), F.lit(0.0))
     return rows.select(
