@@ -11,7 +11,8 @@ A pair that does not peel is retried larger: both sets are split in four by bits
 digests and each part gets a whole sketch of its own, again for parts that still fail.
 The work stays linear in the number of lines at each step, for documents of any length.
 
-Likeness is Jaccard over the two sets, from the sizes and the recovered difference.
+Likeness is Jaccard over the two sets, from the sizes and the recovered difference. A text
+of one line and its edited form share no line, so their likeness is 0.
 
 Defined results: null counts as the empty text; two texts without lines have likeness 1,
 one without and one with lines 0. Repeated lines count once. Rows that share an id are
@@ -125,7 +126,9 @@ def with_next(rows: DataFrame, partitions: int) -> DataFrame:
     coarse, fine = F.array(*map(F.lit, marks[step - 1 :: step])).cast("array<bigint>"), F.array(*map(F.lit, marks)).cast("array<bigint>")
     below = lambda array: F.size(F.filter(array, lambda m: m < F.col("doc_id")))
     bucket = let(below(coarse), lambda c: c * step + below(F.slice(fine, c * step + 1, step)))
-    rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(bucket))
+    # rows without an id come last, by falling hash: they are dealt to ranges of the hash, which is even
+    nulls = -1 - F.floor((0.5 - F.col("h") / float(1 << 64)) * partitions).cast("int")
+    rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), nulls).otherwise(bucket))
     place = F.struct("doc_id", "h")
     edges = rows.groupBy("bucket").agg(F.max(place).alias("first"), F.min(place).alias("last")).orderBy(F.desc("bucket")).collect()  # one row per range
     order = W.partitionBy("bucket").orderBy(F.desc_nulls_last("doc_id"), F.desc("h"))
