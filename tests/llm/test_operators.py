@@ -358,6 +358,28 @@ def test_licenses_in_wrapped_and_short_forms(spark):
     assert [(c, ",".join(x for x in g.split(",") if x != "cc-by" or label == x)) for c, g, label in zip(cases, got, cases.values())] == list(cases.items())
 
 
+def test_license_suppression_against_brute_force(spark):
+    from censuskit.llm.licenses import FOUND, scan_licenses, unsuppressed
+
+    rng = random.Random(11)
+    rows = []
+    for k in range(60):
+        seen = {}
+        for _ in range(rng.randint(0, 40)):
+            a = rng.randint(0, 30)
+            seen[rng.randint(0, 12), a, a + rng.randint(1, 12)] = None
+        rows.append((k, [(o, f"l{o}", 0.5, a, b) for o, a, b in seen]))
+    got = spark.createDataFrame(rows, f"k int, found {FOUND}").select("k", unsuppressed(F.col("found")).alias("d")).collect()
+    for k, d in got:
+        found = rows[k][1]
+        want = {f for f in found if not any(o[3] <= f[3] and o[4] >= f[4] and (o[4] - o[3] > f[4] - f[3] or o[0] < f[0]) for o in found)}
+        assert {tuple(x) for x in d} == want
+    many = frame(spark, [(1, "licensed under the apache license, version 2.0. " * 4000)])
+    assert len(scan_licenses(many).first().detections) == 4000
+    at = {"see http://www.apache.org/licenses/LICENSE-2.0 for": "apache-2.0", "https://creativecommons.org/licenses/by-sa/4.0/": "cc-by-sa-4.0", "https://opensource.org/licenses/MIT": "mit", "<https://www.gnu.org/licenses/>": "", "http://www.boost.org/LICENSE_1_0.txt": "boost-1.0"}
+    assert [r.labels for r in scan_licenses(frame(spark, list(enumerate(at)))).orderBy("doc_id").collect()] == list(at.values())
+
+
 def test_iblt(awkward, empty, spark):
     from censuskit.llm.iblt import compare, fingerprint_documents
 
@@ -373,6 +395,10 @@ def test_iblt(awkward, empty, spark):
         e = t[: len(t) - half] + nxt[:half]
         want[(i, len(t), hashlib.sha256(e.encode()).hexdigest(), round(like(lines(t), lines(e)), 9), round(like(lines(t), lines(nxt)), 9))] += 1
     assert want == collections.Counter((r.doc_id, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9)) for r in rows)
+    # many rows without an id follow in an order of their own, whatever the ranges
+    loose = frame(spark, [(None, f"text {i}\nline {i % 3}") for i in range(50)] + [(i, f"t {i}") for i in range(5)])
+    chain = fingerprint_documents(loose)
+    assert chain.count() == 55 and chain.select("edited_sha256").distinct().count() > 45
     same = {r.fingerprint for r in rows if r.doc_id in (8, 9)}
     assert len(same) == 1
     assert fingerprint_documents(empty).count() == 0
