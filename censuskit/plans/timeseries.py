@@ -21,15 +21,15 @@ def _intervals(spark, d):
     return sp_.close_intervals(pr, "day", ["okey"], "2001-08-01", F.when(F.col("status") != "P", F.col("status")))
 
 
-@register("census_unroll", f"""{UNROLL_DUCK.replace('FROM pr)', 'FROM pr)')} , u AS (SELECT pid, okey, act, CAST(unnest(generate_series(b, e, INTERVAL 1 DAY)) AS DATE) AS day FROM g WHERE e >= b AND pid % 10 = 1) SELECT pid, okey, act, day FROM u""".replace("WITH iv", f"WITH {p.PR}, iv"))
+@register("census_unroll", f"""{UNROLL_DUCK.replace('FROM pr)', 'FROM pr)')} , u AS (SELECT pid, okey, act, CAST(unnest(generate_series(b, e, INTERVAL 1 DAY)) AS DATE) AS day FROM g WHERE e >= b) SELECT pid, okey, act, day FROM u""".replace("WITH iv", f"WITH {p.PR}, iv"))
 def census_unroll(spark, d):
-    return sp_.unroll(_intervals(spark, d).filter("pid % 10 = 1")).select("pid", "okey", "act", "day")
+    return sp_.unroll(_intervals(spark, d)).select("pid", "okey", "act", "day")
 
 
-@register("census_unroll_conditional", f"""{UNROLL_DUCK} , u AS (SELECT pid, okey, act, b, CAST(unnest(generate_series(b, e, INTERVAL 1 DAY)) AS DATE) AS day FROM g WHERE e >= b AND pid % 10 = 1) SELECT pid, okey, act, day FROM u WHERE day >= b + CAST(okey % 4 AS INT)""".replace("WITH iv", f"WITH {p.PR}, iv"))
+@register("census_unroll_conditional", f"""{UNROLL_DUCK} , u AS (SELECT pid, okey, act, b, CAST(unnest(generate_series(b, e, INTERVAL 1 DAY)) AS DATE) AS day FROM g WHERE e >= b) SELECT pid, okey, act, day FROM u WHERE day >= b + CAST(okey % 4 AS INT)""".replace("WITH iv", f"WITH {p.PR}, iv"))
 def census_unroll_conditional(spark, d):
     known = F.date_add("b", (F.col("okey") % 4).cast("int"))
-    return sp_.unroll(_intervals(spark, d).filter("pid % 10 = 1"), known).select("pid", "okey", "act", "day")
+    return sp_.unroll(_intervals(spark, d), known).select("pid", "okey", "act", "day")
 
 
 @register("facility_cutoff", f"""{UNROLL_DUCK}, c AS (SELECT fac, CASE WHEN extract(DAY FROM max(day)) <= 3 THEN CAST(date_trunc('month', max(day)) AS DATE) ELSE CAST(date_trunc('month', max(day)) + INTERVAL 1 MONTH AS DATE) END - 1 AS cutoff FROM pr GROUP BY fac)
