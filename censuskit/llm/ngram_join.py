@@ -4,22 +4,25 @@ A document is the set of its word n-grams (tokens, as 64-bit hashes). Two docume
 when ``share`` percent of their union is shared. The join finds every link class exactly:
 
 1. Documents with equal sets form a class and are one node from here on.
-2. The token order is: tokens of a fixed quarter of the hash range by how many nodes hold
-   them, then all others by hash. Only tokens that two nodes hold matter, so passages that
-   many documents share are last.
+2. Only tokens that two nodes hold matter. Of a fixed quarter of the hash range (or, where a
+   node has few there, of its first tokens by hash) these are counted and kept.
 3. Nodes are partitioned into groups: a node is in the group of its smallest shared token
    (by another hash, so that similar nodes meet) and its band of sizes. The token-group
-   matrix has a row for each token of a group's union, with the sizes of its holders.
-4. The smaller node of a pair is the query. Of the first n - ceil(share n) + 1 tokens of its
-   order it can miss n - o in a partner, where o is the common number that a link with the
-   smallest partner not below n needs. So a group is open only if its union has at least the
-   rest of them; for every other group the bound rules a link out, whoever is in it.
-5. The leader of an open group (its node with the most widely held tokens) is compared with
-   the query, set against set: most of a large class is linked by its leaders.
-6. The components so far, by band, are groups in turn: a second matrix bounds queries
-   against the unions of the other components. What is open now is compared in blocks of
-   queries and members inside tasks, and a query gives at most one link per block. Every
-   link between components is between such a query and such a member, so the result is exact.
+   matrix has a row for each token of a group's union. The first round asks it for the
+   largest group of each of a query's rarest tokens, and compares the query with the leaders
+   of the groups that share most: a leader is the node whose tokens are most widely held on
+   average, the original of its copies. Most of a large class is linked by its leaders.
+4. The smaller node of a pair is the query. A query of n tokens can miss at most n - o in a
+   partner, where o is the common number that a link with a partner not below n needs. So any
+   n - o + 1 tokens of it must meet the union of a group that holds a partner. Tokens that no
+   node of another component holds are met by no group that matters: a node with more than
+   n - ceil(share n) of them is closed, first by the kept tokens, then by its whole set.
+5. What is left gets groups and a matrix of its own, by whole sets: the group of a node is now
+   its most widely held token, so that a class has few groups. A query asks for its n - o + 1
+   tokens that the fewest nodes of other components hold; groups whose unions, without the
+   query's own component, have none of them stay closed. Open groups are compared in blocks
+   of queries and members inside tasks. Every link between components is between such a
+   query and such a member, so the result is exact.
 
 Comparisons count common tokens of whole sets. Components are found by repeated minimum
 labels with shortcuts, in written tables. Keys that many rows have (a shared passage, a
@@ -40,13 +43,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from censuskit.llm.common import stash
 
 #: Ids to verify are broadcast up to this number (8 MB); beyond it texts are joined by id.
 BROADCAST_IDS = 1_000_000
 _ROWS = 1024
+#: Open groups whose leaders a query is compared with; what they leave is found without them.
+LEADERS = 4
 _STEP, _CHUNK = np.uint64(0x9E3779B97F4A7C15), 1 << 20
 _BLANKS = np.zeros(256, bool)
 _BLANKS[[9, 10, 11, 12, 13, 32]] = True
@@ -125,11 +130,11 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.zeros(0, np.uint64)]).astype(np.int64)))
 
 
-def _tokens(docs: DataFrame, n: int, share: int) -> DataFrame:
-    """doc_id, key, n (set size), s1, s2 (order-free hashes of the set), quarter and tokens: those
-    of the first quarter of the hash range, ``quarter`` of them, then, where these are fewer than
-    the prefix, the smallest others up to its length."""
-    names = ["doc_id", "key", "n", "s1", "s2", "quarter", "tokens"]
+def _tokens(docs: DataFrame, n: int, share: int, with_tokens: bool) -> DataFrame:
+    """doc_id, key, n (set size), s1, s2 (order-free hashes of the set) and tokens: those of the
+    first quarter of the hash range, and the smallest others where these are fewer than a node
+    can miss and one."""
+    names = ["doc_id", "key", "n", "s1", "s2", *["tokens"] * with_tokens]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -140,11 +145,12 @@ def _tokens(docs: DataFrame, n: int, share: int) -> DataFrame:
                     for s in ngram_sets(part.column("text").to_pylist(), n, hasher):
                         prefix = len(s) - (share * len(s) + 99) // 100 + 1 if len(s) else 0
                         quarter = int(np.searchsorted(s, np.uint64(1 << 62)))
-                        sums.append((len(s), *_set_hashes(s), quarter))
-                        kept.append(s[: max(quarter, prefix)])
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), *[pa.array(c, pa.int64()) for c in zip(*sums, strict=True)], _lists(kept)], names)
+                        sums.append((len(s), *_set_hashes(s)))
+                        if with_tokens:
+                            kept.append(s[: max(quarter, prefix)])
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), *[pa.array(c, pa.int64()) for c in zip(*sums, strict=True)], *[_lists(kept)] * with_tokens], names)
 
-    return docs.mapInArrow(work, "doc_id long, key long, n long, s1 long, s2 long, quarter long, tokens array<long>")
+    return docs.mapInArrow(work, "doc_id long, key long, n long, s1 long, s2 long" + ", tokens array<long>" * with_tokens)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -217,84 +223,129 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _with_label(rows: DataFrame, comps: DataFrame) -> DataFrame:
-    """rows with the label of their node; a node without links is its own."""
+    """rows with the label of their node; a node without links is its own. comps is a table."""
+    if comps.count() <= BROADCAST_IDS:
+        comps = F.broadcast(comps)
     return rows.join(comps, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _placed(nodes: DataFrame, share: int) -> DataFrame:
-    """The tokens that two nodes or more hold, of all nodes: node, n, token, first (of the
-    quarter), place (in the node's order), length (of its prefix), quarter, band; and, the same
-    in all rows of a node, weight and pivot."""
-    held = nodes.select("node", "n", "quarter", F.posexplode("tokens").alias("pos", "token"))
-    held = held.withColumn("first", F.shiftrightunsigned("token", 62) == 0)
+def _shared(nodes: DataFrame) -> DataFrame:
+    """The tokens of nodes (node, n, tokens) that two nodes or more hold: node, n, known (how many
+    tokens of the node were looked at), token, df."""
+    held = nodes.select("node", "n", F.size("tokens").alias("known"), F.explode("tokens").alias("token"))
     counts = stash(held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "ngram-counts")
-    shared = salted(held, counts, ["token"], hot_keys(counts.withColumnRenamed("df", "rows"), ["token"]))
-    by_node = W.partitionBy("node")
-    ranked = shared.withColumns(
-        {
-            "rank": F.row_number().over(by_node.orderBy(F.desc("first"), "df", "token")),
-            # tokens that only this node holds come before in its order
-            "alone": F.col("quarter") - F.count_if("first").over(by_node),
-            "weight": F.sum("df").over(by_node),
-            "pivot": F.min(F.xxhash64("token")).over(by_node),
-        }
-    )
-    place = F.when(F.col("first"), F.col("rank") + F.col("alone")).otherwise(F.col("pos") + 1).cast("long")
+    return salted(held, counts, ["token"], hot_keys(counts.withColumnRenamed("df", "rows"), ["token"]))
+
+
+def _band(share: int) -> Column:
     # wider by a trifle, so that sizes of a link are in the same or the next band
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / share + 1e-6)))
-    return ranked.select("node", "n", "token", "first", place.alias("place"), (F.col("n") - F.ceil(F.col("n") * share / 100) + 1).alias("length"), "quarter", band.alias("band"), "weight", "pivot", (F.col("rank") == 1).alias("head"))
-
-
-def _open_groups(placed: DataFrame, group: str, share: int) -> DataFrame:
-    """Query nodes and the groups (group, band) that are open to them: node, n, group, band.
-
-    placed has a column ``group``, by which, with the band, its nodes are partitioned. The
-    matrix of tokens and groups gives the bound on what a query and a group's members share."""
-    matrix = placed.groupBy("token", "band", group).agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    own = [F.col(group).alias("own")] if group == "label" else []
-    asked = placed.filter("place <= length").select("node", "n", "first", "length", "quarter", "token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), *own)
-    met = salted(asked, stash(matrix, "ngram-matrix"), ["token", "band"]).filter("hi >= n")
-    if own:
-        met = met.filter(F.col("own") != F.col(group))
-    met = met.groupBy("node", "n", "band", group, F.least("length", "quarter").alias("asked"), *["own"] * len(own)).agg(F.count_if("first").alias("found"), F.min("lo").alias("lo"))
-    needed = F.ceil((F.col("n") + F.greatest("n", "lo")) * share / (100 + share))
-    return met.filter(F.col("found") >= F.col("asked") - (F.col("n") - needed)).select("node", "n", group, "band", *["own"] * len(own))
-
-
-def _block_links(docs: DataFrame, nodes: DataFrame, opened: DataFrame, members: DataFrame, n: int, share: int) -> DataFrame:
-    """Links (a, b) of queries (node, label, band) with members of the groups open to them; one
-    for each block of members in which a query has any. members: node, n, label, band."""
-    key = ["label", "band"]
+    return F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / share + 1e-6)))
+
+
+def _common(share: int) -> Column:
+    """The tokens that a link of a node with one not below it needs in common."""
+    return F.ceil(2 * F.col("n") * share / (100 + share))
+
+
+def _led(nodes: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
+    """The shared tokens (see _shared), and pairs (a, b) of queries and leaders."""
+    by_node = W.partitionBy("node")
+    found = _shared(nodes.select("node", "n", "tokens")).withColumns({"pivot": F.min(F.xxhash64("token")).over(by_node), "weight": F.sum("df").over(by_node) / F.col("n"), "rank": F.row_number().over(by_node.orderBy("df", "token")), "alone": F.col("known") - F.count(F.lit(1)).over(by_node)})
+    shared = stash(found.withColumn("band", _band(share)), "ngram-shared")
+    group = ["pivot", "band"]
+    leaders = shared.filter("rank = 1").groupBy(*group).agg(F.max(F.struct("weight", F.bitwise_not("node").alias("inverse"), F.col("n").alias("m"))).alias("top"))
+    leaders = stash(leaders.select(*group, F.bitwise_not("top.inverse").alias("leader"), F.col("top.m").alias("m"), F.col("top.weight").alias("lead")), "ngram-leaders")
+    # the matrix, and of each of its rows the largest group
+    matrix = shared.groupBy("token", *group).agg(F.count(F.lit(1)).alias("holders"))
+    largest = stash(matrix.groupBy("token", "band").agg(F.max(F.struct("holders", "pivot")).alias("top")).select("token", "band", "top.pivot"), "ngram-matrix")
+    # the rarest tokens, those that no other node holds before all others; as many as a link
+    # with a larger node leaves must be in the union
+    length = F.col("n") - F.ceil(F.col("n") * share / 100) + 1
+    asked = shared.filter(F.col("rank") + F.col("alone") <= length).select("node", "n", "known", "token", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+    met = salted(asked, largest, ["token", "band"]).groupBy("node", "n", "known", *group).agg(F.count(F.lit(1)).alias("found"))
+    met = met.filter(F.col("found") >= F.least(length, "known") - (F.col("n") - _common(share)))
+    led = salted(stash(met, "ngram-open"), leaders, group)
+    close = (share * F.col("n") <= 100 * F.col("m")) & (share * F.col("m") <= 100 * F.col("n")) & (F.col("node") != F.col("leader"))
+    best = W.partitionBy("node").orderBy(F.desc("lead"), "leader")
+    pairs = led.filter(close).withColumn("turn", F.dense_rank().over(best)).filter(F.col("turn") <= LEADERS)
+    return shared, pairs.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+
+
+def _foreign(labelled: DataFrame) -> DataFrame:
+    """labelled (node, n, token, label, ...) with ``others``, how many nodes of other labels hold
+    the token, where these are any."""
+    of_label = stash(labelled.groupBy("token", "label").agg(F.count(F.lit(1)).alias("mine")), "ngram-of-label")
+    of_token = of_label.groupBy("token").agg(F.sum("mine").alias("rows"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    of_token = stash(of_token, "ngram-of-token")
+    hot = hot_keys(of_token.select("token", "rows"), ["token"])
+    mixed = salted(of_label, of_token, ["token"], hot).select("token", "label", (F.col("rows") - F.col("mine")).alias("others"), F.col("mine").alias("rows"))
+    mixed = stash(mixed, "ngram-mixed")
+    return salted(labelled, mixed.drop("rows"), ["token", "label"], hot_keys(mixed.select("token", "label", "rows"), ["token", "label"]))
+
+
+def _open_groups(foreign: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
+    """Queries with the groups open to them, and the members of these: each node, n, label, pivot,
+    band. foreign: tokens of nodes (see _foreign)."""
+    by_node = W.partitionBy("node")
+    placed = foreign.withColumns({"pivot": F.max(F.struct("df", "token")).over(by_node)["token"], "rank": F.row_number().over(by_node.orderBy("others", "token")), "met": F.count(F.lit(1)).over(by_node)})
+    # a link with a smaller node allows a node to miss this many
+    placed = placed.filter(F.col("known") - F.col("met") <= F.col("n") - F.ceil(F.col("n") * share / 100))
+    placed = stash(placed.withColumn("band", _band(share)), "ngram-placed")
+    matrix = placed.groupBy("token", "band", "pivot").agg(F.max("n").alias("hi"), F.min("label").alias("low_label"), F.max("label").alias("high_label"))
+    # tokens that no other component holds are asked for first, and are met by none
+    asked = placed.filter(F.col("rank") + F.col("known") - F.col("met") <= F.col("n") - _common(share) + 1)
+    asked = asked.select("node", "n", "label", "token", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+    met = salted(asked, stash(matrix, "ngram-matrix"), ["token", "band"]).filter("hi >= n AND (label <> low_label OR label <> high_label)")
+    queries = stash(met.select("node", "n", "label", "pivot", "band").distinct(), "ngram-open")
+    members = placed.filter("rank = 1").select("node", "n", "label", "pivot", "band")
+    return queries, stash(salted(members, queries.select("pivot", "band").distinct(), ["pivot", "band"]), "ngram-others")
+
+
+def _block_links(sets: DataFrame, opened: DataFrame, members: DataFrame, share: int) -> DataFrame:
+    """Links (a, b) of queries (node, n, label, pivot, band) with members of other labels of the
+    groups open to them; as many in each block as join its labels. members have the same columns."""
+    key = ["pivot", "band"]
     limit = lambda size, name: F.ceil(F.greatest(F.count(F.lit(1)) / 256, F.sum(size) / 2_000_000.0)).cast("int").alias(name)
     groups = opened.groupBy(*key).agg(limit("n", "q_blocks")).join(members.groupBy(*key).agg(limit("n", "m_blocks")), key)
     groups = stash(groups, "ngram-groups")
-    asking, asked = salted(opened.select("node", *key), groups, key), salted(members.select("node", *key), groups, key)
+    asking, asked = salted(opened.select("node", "label", *key), groups, key), salted(members.select("node", "label", *key), groups, key)
     block = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
     each = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    asking = stash(asking.select("node", *key, block("q_blocks").alias("qb"), each("m_blocks").alias("mb")), "ngram-asking")
-    asked = stash(asked.select("node", *key, each("q_blocks").alias("qb"), block("m_blocks").alias("mb")), "ngram-asked")
-    sets = _sets(docs, nodes.join(asking.select("node").unionByName(asked.select("node")).distinct(), "node", "left_semi"), n)
+    asking = stash(asking.select("node", "label", *key, block("q_blocks").alias("qb"), each("m_blocks").alias("mb")), "ngram-asking")
+    asked = stash(asked.select("node", "label", *key, each("q_blocks").alias("qb"), block("m_blocks").alias("mb")), "ngram-asked")
 
     def compare(queries: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(held):
-            sizes = held.held.map(len).to_numpy()
+            sizes, labels, members = held.held.map(len).to_numpy(), held.other.to_numpy(), held.member.to_numpy()
             tokens, owner = np.concatenate(list(held.held)), np.repeat(np.arange(len(held)), sizes)
             order = np.argsort(tokens, kind="stable")
             tokens, owner = tokens[order], owner[order]
-            for node, own in zip(queries.node, queries.tokens, strict=True):
+            parent: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while (up := parent.get(x, x)) != x:
+                    parent[x] = parent.get(up, up)
+                    x = up
+                return x
+
+            for node, label, own in zip(queries.node, queries.label, queries.tokens, strict=True):
                 lo, hi = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
                 runs = hi - lo
                 at = np.repeat(lo - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
                 common = np.bincount(owner[at], minlength=len(held))
-                linked = np.flatnonzero(100 * common >= share * (sizes + len(own) - common))
-                if len(linked):
-                    out.append((node, held.member.iloc[linked[0]]))
+                linked = np.flatnonzero((100 * common >= share * (sizes + len(own) - common)) & (labels != label))
+                _, first = np.unique(labels[linked], return_index=True)
+                for m in linked[first]:
+                    mine, other = root(label), root(labels[m])
+                    if mine != other:
+                        parent[other] = mine
+                        out.append((node, members[m]))
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     place = [*key, "qb", "mb"]
     # columns of their own, or Spark could not tell the two sides' apart
-    asked = asked.join(sets, "node").select(*[F.col(c).alias(f"m_{c}") for c in place], F.col("node").alias("member"), F.col("tokens").alias("held"))
+    asked = asked.join(sets, "node").select(*[F.col(c).alias(f"m_{c}") for c in place], F.col("node").alias("member"), F.col("label").alias("other"), F.col("tokens").alias("held"))
     both = asking.join(sets, "node").groupBy(*place).cogroup(asked.groupBy(*[f"m_{c}" for c in place]))
     return stash(both.applyInPandas(compare, "a long, b long"), "ngram-links")
 
@@ -304,26 +355,24 @@ def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, id_col: str =
     links), key, component (a number for each component; null without words)."""
     key = F.col(key_col).cast("long") if key_col else F.lit(None).cast("long")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), F.col(text_col).alias("text"))
-    rows = stash(_tokens(docs, n, share), "ngram-rows")
-    classes = rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("quarter").alias("quarter"), F.first("tokens").alias("tokens"))
+    # hashed twice: writing the tokens of all rows costs more disk than hashing costs time
+    rows = stash(_tokens(docs, n, share, False), "ngram-rows")
+    classes = _tokens(docs, n, share, True).filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("tokens").alias("tokens"))
     nodes = stash(classes.withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
     names = nodes.select("node", "rep", "s1", "s2", "n")
-    placed = stash(_placed(nodes, share), "ngram-placed")
-    members = stash(placed.filter("head").select("node", "n", "weight", "pivot", "band"), "ngram-members")
-
-    # each open group's leader
-    opened = stash(_open_groups(placed, "pivot", share), "ngram-open")
-    leaders = members.groupBy("pivot", "band").agg(F.max(F.struct("weight", F.bitwise_not("node").alias("inverse"), F.col("n").alias("m"))).alias("top"))
-    led = salted(opened, leaders.select("pivot", "band", F.bitwise_not("top.inverse").alias("leader"), F.col("top.m").alias("m")), ["pivot", "band"])
-    close = (share * F.col("n") <= 100 * F.col("m")) & (share * F.col("m") <= 100 * F.col("n")) & (F.col("node") != F.col("leader"))
-    links = _links(docs, names, led.filter(close).select(F.col("node").alias("a"), F.col("leader").alias("b")), n, share)
+    shared, pairs = _led(nodes, share)
+    links = _links(docs, names, pairs, n, share)
     comps = components(links)
 
-    # components as groups, for what their leaders did not settle
-    opened = stash(_open_groups(_with_label(placed, comps), "label", share), "ngram-open")
-    if not opened.isEmpty():
-        others = _with_label(members, comps).join(opened.select("label", "band").distinct(), ["label", "band"], "left_semi")
-        more = _block_links(docs, names, opened, stash(others.select("node", "n", "label", "band"), "ngram-others"), n, share)
+    # what the leaders did not settle: by kept tokens, then by whole sets
+    few = _foreign(_with_label(shared.select("node", "n", "known", "token", "df"), comps))
+    queries, members = _open_groups(few, share)
+    if not queries.isEmpty():
+        opened = queries.select("node").unionByName(members.select("node")).distinct()
+        sets = _sets(docs, names.join(opened, "node", "left_semi"), n)
+        whole = _shared(sets.withColumn("n", F.size("tokens").cast("long")))
+        queries, members = _open_groups(_foreign(_with_label(whole, comps)), share)
+        more = _block_links(sets, queries, members, share)
         if not more.isEmpty():
             comps = components(links.unionByName(more))
 
