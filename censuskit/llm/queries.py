@@ -45,11 +45,11 @@ def op5_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from censuskit.llm.toxicity import evidence_of, train
+    from censuskit.llm.toxicity import evidence_of, train, with_labels
 
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     held_out = crc_mod("doc_id", 5) == 0
-    learn = labels.filter(~held_out).select("doc_id", "toxic").join(docs.select("doc_id", "text"), "doc_id")
+    learn = with_labels(docs, labels.filter(~held_out))
     scored = evidence_of(docs, train(learn), (held_out.alias("held_out"),))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

@@ -213,6 +213,13 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
+def with_labels(docs: DataFrame, labels: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """doc_id, text and toxic of the labelled documents. Up to ``most`` labels are broadcast, so
+    that no text is shuffled; beyond that both sides are joined by id."""
+    labels = labels.select("doc_id", "toxic")
+    return docs.select("doc_id", "text").join(F.broadcast(labels) if labels.count() <= most else labels, "doc_id")
+
+
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_docs: int = 20_000, min_surprise: float = 20.0, min_docs: int = 3) -> ToxicModel:
     """Learn from rows with a label of 0 or 1."""
     rows = labelled.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"), F.col(label_col).cast("int").alias("y"))
