@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,6 +13,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from censuskit.operators.scale import running_sums
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one that the cluster names; a temporary one only in local mode."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
+        base = "file://" + tempfile.mkdtemp(prefix="censuskit-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder, for plans that read it more than once."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_quoted_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV whose header and cells may carry quotes of either kind."""
     raw = spark.read.option("header", True).csv(path)
@@ -115,11 +134,12 @@ def drop_sparse(df: DataFrame, share: float) -> DataFrame:
 
 
 def group_counts(spark: SparkSession, before: Sequence[str], after: Sequence[str], groups: dict[str, str]) -> DataFrame:
-    """Columns per group of names, before and after dropping some."""
+    """Columns per group of names, before and after dropping some, and the percentage dropped."""
     names = spark.createDataFrame([(c, c in set(after)) for c in before], "name string, kept boolean")
     patterns = F.explode(F.array(*[F.struct(F.lit(g).alias("grp"), F.lit(p).alias("pattern")) for g, p in groups.items()])).alias("g")
     hits = names.select("name", "kept", patterns).filter(F.expr("name rlike g.pattern"))
-    return hits.groupBy("g.grp").agg(F.count(F.lit(1)).cast("int").alias("before"), F.count_if("kept").cast("int").alias("after"))
+    counts = hits.groupBy("g.grp").agg(F.count(F.lit(1)).cast("int").alias("before"), F.count_if("kept").cast("int").alias("after"))
+    return counts.withColumn("percent_dropped", F.round(100.0 * (F.col("before") - F.col("after")) / F.col("before"), 4))
 
 
 def null_flags(df: DataFrame) -> DataFrame:

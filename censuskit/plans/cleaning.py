@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import functions as F
 
 from censuskit.operators import frames
 from censuskit.plans.registry import register
@@ -13,12 +10,6 @@ from censuskit.plans.sqlviews import sql_query as q
 from censuskit.sources.tables import table
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one that the cluster names, for queries that write."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="censuskit-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # ---- sources and sinks
 q("src_parquet", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 q("src_sql_dataset", "SELECT o.o_orderkey, c.c_mktsegment, o.o_totalprice FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey WHERE o.o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' AND c.c_nationkey IN (1, 2, 3)")
@@ -27,7 +18,7 @@ q("src_sql_dataset", "SELECT o.o_orderkey, c.c_mktsegment, o.o_totalprice FROM o
 @register("src_csv_lookup", "SELECT p_partkey AS code, p_name AS label, p_type AS category FROM part")
 def src_csv_lookup(spark, d):
     """Codes written with quotes in header and cells come back without them."""
-    path = _folder(spark, "lookup")
+    path = frames.new_folder(spark, "lookup")
     quoted = lambda c: F.concat(F.lit("'"), F.col(c).cast("string"), F.lit("'"))
     table(spark, d, "part").select(quoted("p_partkey").alias("'code'"), quoted("p_name").alias("'label'"), quoted("p_type").alias("'category'")).write.option("header", True).csv(path)
     return frames.read_quoted_csv(spark, path).withColumn("code", F.col("code").cast("bigint"))
@@ -35,7 +26,7 @@ def src_csv_lookup(spark, d):
 
 @register("src_cache_strategy", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def src_cache_strategy(spark, d):
-    path = _folder(spark, "cache")
+    path = frames.new_folder(spark, "cache")
     build = lambda: table(spark, d, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
     frames.cached(spark, path, build, "check_cache_first")
     return frames.cached(spark, path, build, "only_use_cache")
@@ -43,21 +34,21 @@ def src_cache_strategy(spark, d):
 
 @register("sink_parquet", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
 def sink_parquet(spark, d):
-    path = _folder(spark, "sink")
+    path = frames.new_folder(spark, "sink")
     table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
     return spark.read.schema("o_orderkey long, o_totalprice double, o_orderstatus string").parquet(path)
 
 
 @register("sink_csv", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
 def sink_csv(spark, d):
-    path = _folder(spark, "csv")
+    path = frames.new_folder(spark, "csv")
     table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus").write.option("header", True).csv(path)
     return spark.read.option("header", True).schema("o_orderkey long, o_totalprice double, o_orderstatus string").csv(path)
 
 
 @register("sink_replace_slice", """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS price, o_orderstatus FROM orders""")
 def sink_replace_slice(spark, d):
-    path = _folder(spark, "slices")
+    path = frames.new_folder(spark, "slices")
     rows = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"), "o_orderstatus")
     rows.write.partitionBy("o_orderstatus").parquet(path)
     for _ in range(2):  # writing a slice again changes nothing
@@ -152,10 +143,18 @@ def drop_sparse_columns(spark, d):
     return frames.drop_sparse(_wide(spark, d), 0.999)
 
 
-@register("feature_group_counts", "SELECT * FROM (VALUES ('orders', 3, 2), ('vitals', 2, 1)) t(grp, before, after)")
+WIDE_GROUPS = {"orders": "^o_", "made": "^(empty|fixed|rare|days)$"}
+SPARSE = " UNION ALL ".join(
+    f"SELECT '{'orders' if c.startswith('o_') else 'made'}' AS grp, greatest(avg(CASE WHEN {c} = 0 THEN 1 ELSE 0 END), avg(CASE WHEN {c} = 9999 THEN 1 ELSE 0 END), avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)) AS top FROM w"
+    for c in ("o_orderkey", "o_custkey", "empty", "fixed", "rare", "days")
+)
+
+
+@register("feature_group_counts", f"WITH w AS ({q_wide}), s AS ({SPARSE}) SELECT grp, CAST(count(*) AS INT) AS before, CAST(count(*) FILTER (WHERE top < 0.999) AS INT) AS after, round(100.0 * count(*) FILTER (WHERE top >= 0.999) / count(*), 4) AS percent_dropped FROM s GROUP BY grp")
 def feature_group_counts(spark, d):
-    before, after = table(spark, d, "orders").columns[:3] + ["vtl_a", "vtl_b"], table(spark, d, "orders").columns[:2] + ["vtl_a"]
-    return frames.group_counts(spark, before, after, {"orders": "^o_", "vitals": "^vtl_"})
+    """Columns of each group before and after sparse ones are dropped by a test of all rows."""
+    wide = _wide(spark, d)
+    return frames.group_counts(spark, wide.columns, frames.drop_sparse(wide, 0.999).columns, WIDE_GROUPS)
 
 
 @register("na_indicators", "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_totalprice END AS price, o_orderkey % 4 = 0 AS na_indicator_price FROM orders")

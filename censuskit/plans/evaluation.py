@@ -8,8 +8,10 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import functions as F
 
 from censuskit.operators import metrics as m
+from censuskit.operators.models import cross_fitted
+from censuskit.operators.scale import global_rank
 from censuskit.plans.registry import register
-from censuskit.plans.sqlviews import sql_query as q
+from censuskit.plans.sqlviews import run, sql_query as q
 from censuskit.sources.tables import table
 
 #: Predictions ranked per client and day; the label says whether a transfer follows in 1 to 60 days.
@@ -82,8 +84,9 @@ def partial_auc_fpr25(spark, d):
 
 
 def _boot(spark, d):
-    y, s, b = F.col("label").cast("int"), (F.col("score") > 2000).cast("int"), (F.col("score") > 4000).cast("int")
-    return m.bootstrap(_labelled(spark, d), "source", {"recall": (y * s, y), "precision": (y * s, s), "recall_b": (y * b, y), "gain": (y * (s - b), y)})
+    """Patients are resampled with all their predictions; the second model shows only rank 1."""
+    y, s, b = F.col("label").cast("int"), F.col("shown").cast("int"), (F.col("rnk") <= 1).cast("int")
+    return m.bootstrap(run(spark, d, BASE + " SELECT pid, rnk, label, shown FROM f"), "pid", {"recall": (y * s, y), "precision": (y * s, s), "recall_b": (y * b, y), "gain": (y * (s - b), y)})
 
 
 @register("bootstrap_ci")
@@ -105,16 +108,15 @@ def _vectors(spark, d):
 
 @register("train_classifier")
 def train_classifier(spark, d):
-    rows = _vectors(spark, d)
-    model = GBTClassifier(maxIter=3, maxDepth=3, seed=1).fit(rows)
-    return model.transform(rows).select("l_orderkey", "l_linenumber", vector_to_array("probability")[1].alias("score"))
+    """Boosted trees; each order is scored by the model that has not seen it."""
+    scored = cross_fitted(_vectors(spark, d), "l_orderkey", GBTClassifier(maxIter=3, maxDepth=3, seed=1))
+    return scored.select("l_orderkey", "l_linenumber", vector_to_array("probability")[1].alias("score"))
 
 
 @register("batch_score")
 def batch_score(spark, d):
-    rows = _vectors(spark, d)
-    model = LogisticRegression(maxIter=5).fit(rows.filter("l_orderkey % 2 = 0"))
-    return model.transform(rows.filter("l_orderkey % 2 = 1")).select("l_orderkey", "l_linenumber", vector_to_array("probability")[1].alias("score"))
+    """All lines, each scored by a model fitted on other orders."""
+    return cross_fitted(_vectors(spark, d), "l_orderkey", LogisticRegression(maxIter=5)).select("l_orderkey", "l_linenumber", vector_to_array("probability")[1].alias("score"))
 
 
 @register("platt_fit")
@@ -153,7 +155,16 @@ q("attribution_transfer_map", """WITH u AS (SELECT pid, day, CAST(NULL AS DATE)
   SELECT pid, day, CASE WHEN last_day IS NULL THEN 'no transfer known' ELSE 'Transferred ' || CAST(DD(last_day, day) AS VARCHAR(10)) || ' days ago' END AS reason FROM w WHERE asked = 1""")
 
 # ---- privacy
-q("deid_sequence_mask", "SELECT s_suppkey, 'Facility #' || CAST(row_number() OVER (ORDER BY s_suppkey) AS VARCHAR(12)) AS name, CASE s_suppkey % 4 WHEN 0 THEN 'North' WHEN 1 THEN 'East' WHEN 2 THEN 'South' ELSE 'West' END AS unit FROM supplier")
+DEID = "SELECT s_suppkey, 'Facility #' || CAST(row_number() OVER (ORDER BY s_suppkey) AS VARCHAR(12)) AS name, CASE s_suppkey % 4 WHEN 0 THEN 'North' WHEN 1 THEN 'East' WHEN 2 THEN 'South' ELSE 'West' END AS unit FROM supplier"
+
+
+@register("deid_sequence_mask", DEID)
+def deid_sequence_mask(spark, d):
+    ranked = global_rank(table(spark, d, "supplier").select("s_suppkey"), "s_suppkey", "s_suppkey", "i", descending=False)
+    unit = F.element_at(F.array(*map(F.lit, ("North", "East", "South", "West"))), (F.col("s_suppkey") % 4 + 1).cast("int"))
+    return ranked.select("s_suppkey", F.concat(F.lit("Facility #"), F.col("i").cast("string")).alias("name"), unit.alias("unit"))
+
+
 q("deid_date_shift", "SELECT okey, DADD(day, -1 * (pid % 90)) AS day FROM pr".replace("DADD(day, -1 * (pid % 90))", "DADD(day, off)").replace("FROM pr", "FROM (SELECT okey, day, -1 * (pid % 90) AS off FROM pr) z"))
 q("duplicate_entity", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders UNION ALL SELECT o_orderkey + 1000000000 AS o_orderkey, o_custkey + 1000000000 AS o_custkey, o_totalprice FROM orders WHERE o_custkey IN (1, 2, 4)")
 
@@ -162,7 +173,6 @@ q("duplicate_entity", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders UN
 def deid_shuffle_names(spark, d):
     """Two pseudo-random orders of the same dimension, joined by place."""
     c = table(spark, d, "customer")
-    place = lambda x: F.expr(f"row_number() OVER (ORDER BY {x}, c_custkey)")
-    a = c.select("c_custkey", place("c_custkey * 2654435761 % 4294967296").alias("i"))
-    b = c.select("c_name", place("c_custkey * 40503 % 65536").alias("i"))
+    a = global_rank(c.select("c_custkey", F.expr("c_custkey * 2654435761 % 4294967296").alias("h")), "h", "c_custkey", "i", descending=False)
+    b = global_rank(c.select("c_name", "c_custkey", F.expr("c_custkey * 40503 % 65536").alias("h")), "h", "c_custkey", "i", descending=False).select("c_name", "i")
     return a.join(b, "i").select("c_custkey", "c_name")
