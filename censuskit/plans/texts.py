@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Window as W, functions as F
 
 from censuskit.functions import notes
+from censuskit.operators import frames
 from censuskit.plans.registry import register
 from censuskit.plans.sqlviews import sql_query as q
 from censuskit.sources.tables import table
@@ -31,15 +32,19 @@ def tokenize_clean(spark, d):
 KEYWORDS = [("idiot", "abuse"), ("moron", "abuse"), ("license", "legal"), ("licensed under", "legal"), ("token", "secret")]
 
 
+#: Fifty notes in a row stand for the notes of a patient.
+PATIENT = "floor(doc_id / 50)"
+
+
 @register("keyword_label_counts", """WITH k AS (SELECT * FROM (VALUES """ + ", ".join(f"('{a}', '{b}')" for a, b in KEYWORDS) + """) t(phrase, label)), c AS (SELECT d.doc_id, k.label, CAST(sum(len(regexp_extract_all(lower(d.text), '\\b' || k.phrase || '\\b')) - len(regexp_extract_all(lower(d.text), '\\b(?:no|not|by) ' || k.phrase || '\\b'))) AS BIGINT) AS n FROM documents d CROSS JOIN k GROUP BY 1, 2),
-  s AS (SELECT doc_id % 20 AS pid, doc_id, label, n FROM c) SELECT doc_id, label, n, CAST(sum(n) OVER (PARTITION BY pid, label ORDER BY doc_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS BIGINT) AS n_30, CAST(sum(n) OVER (PARTITION BY pid, label ORDER BY doc_id) AS BIGINT) AS n_all FROM s""".replace("\\\\b", "\\b"))
+  s AS (SELECT doc_id // 50 AS pid, doc_id, label, n FROM c) SELECT doc_id, label, n, CAST(sum(n) OVER (PARTITION BY pid, label ORDER BY doc_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS BIGINT) AS n_30, CAST(sum(n) OVER (PARTITION BY pid, label ORDER BY doc_id) AS BIGINT) AS n_all FROM s""".replace("\\\\b", "\\b"))
 def keyword_label_counts(spark, d):
     """Counts per label in one projection over the text; cues right before a phrase negate it."""
     labels = sorted({label for _, label in KEYWORDS})
     low = table(spark, d, "documents").select("doc_id", F.lower("text").alias("low"))
     wide = low.select("doc_id", *[notes.phrase_count(F.col("low"), [ph for ph, x in KEYWORDS if x == label]).cast("bigint").alias(label) for label in labels])
     long = wide.unpivot("doc_id", labels, "label", "n")
-    by = W.partitionBy(F.col("doc_id") % 20, "label").orderBy("doc_id")
+    by = W.partitionBy(F.expr(PATIENT), "label").orderBy("doc_id")
     return long.select("doc_id", "label", "n", F.sum("n").over(by.rowsBetween(-29, 0)).alias("n_30"), F.sum("n").over(by.rowsBetween(W.unboundedPreceding, 0)).alias("n_all"))
 
 
@@ -52,35 +57,43 @@ def doc_frequency_filter(spark, d):
 
 @register("tfidf", f"WITH w AS (SELECT doc_id, unnest({CLEAN}) AS word FROM documents), t AS (SELECT doc_id, word, count(*) AS tf FROM w GROUP BY 1, 2), c AS (SELECT word, count(*) AS df FROM t GROUP BY word HAVING count(*) >= 15) SELECT t.doc_id, t.word, t.tf, round(t.tf * ln(((SELECT count(*) FROM documents) + 1.0) / (c.df + 1.0)), 6) AS weight FROM t JOIN c USING (word)")
 def tfidf(spark, d):
-    tf = _tokens(spark, d).select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("tf"))
+    """Texts are cut into words once; the counts are written and read for both sides."""
+    tf = frames.written(_tokens(spark, d).select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("tf")), "tf")
     df = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df")).filter("df >= 15")
     n = table(spark, d, "documents").agg(F.count(F.lit(1)).alias("total"))
     return tf.join(df, "word").crossJoin(F.broadcast(n)).select("doc_id", "word", "tf", F.round(F.col("tf") * F.log((F.col("total") + 1.0) / (F.col("df") + 1.0)), 6).alias("weight"))
 
 
-def _bag(spark, d, size=2000):
+def _bag(spark, d, size=100_000):
     words = _tokens(spark, d)
     bag = CountVectorizer(inputCol="words", outputCol="tf", minDF=15, maxDF=0.5, vocabSize=size).fit(words).transform(words)
     return IDF(inputCol="tf", outputCol="features").fit(bag).transform(bag)
 
 
-@register("topic_model_lda")
-def topic_model_lda(spark, d):
+def _topics(spark, d):
     bag = _bag(spark, d)
     model = LDA(k=34, maxIter=3, optimizer="online", seed=7).fit(bag)
     return model.transform(bag).select("doc_id", vector_to_array("topicDistribution").alias("topics"))
 
 
-@register("topic_rolling_mean", f"WITH w AS (SELECT doc_id, doc_id % 20 AS pid, CAST(n_chars AS DOUBLE) AS topic FROM documents) SELECT doc_id, round(avg(topic) OVER (PARTITION BY pid ORDER BY doc_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS topic_mean FROM w")
+@register("topic_model_lda")
+def topic_model_lda(spark, d):
+    return _topics(spark, d)
+
+
+@register("topic_rolling_mean")
 def topic_rolling_mean(spark, d):
-    by = W.partitionBy(F.col("doc_id") % 20).orderBy("doc_id").rowsBetween(-6, 0)
-    return table(spark, d, "documents").select("doc_id", F.round(F.avg(F.col("n_chars").cast("double")).over(by), 6).alias("topic_mean"))
+    """Topic scores of the model, averaged over a patient's last seven notes."""
+    topics = _topics(spark, d).withColumn("pid", F.expr(PATIENT))
+    return notes.rolling_vectors(topics, "pid", "doc_id", "topics", 7).select("doc_id", "topics")
 
 
-@register("phrase_detection", f"""WITH w AS (SELECT doc_id, {CLEAN} AS ws FROM documents), u AS (SELECT unnest(ws) AS word FROM w), c AS (SELECT word, count(*) AS n FROM u GROUP BY word), v AS (SELECT count(*) AS v FROM c), b AS (SELECT unnest(list_zip(ws[1:len(ws) - 1], ws[2:])) AS p FROM w WHERE len(ws) > 1), p AS (SELECT p[1] AS a, p[2] AS b, count(*) AS n_ab FROM b GROUP BY 1, 2)
-  SELECT p.a, p.b, n_ab, round((n_ab - 5) * CAST(v AS DOUBLE) / (x.n * y.n), 6) AS score FROM p JOIN c x ON x.word = p.a JOIN c y ON y.word = p.b CROSS JOIN v WHERE n_ab > 5 AND (n_ab - 5) * CAST(v AS DOUBLE) / (x.n * y.n) > 10""")
+@register("phrase_detection", f"""WITH w AS (SELECT doc_id, {CLEAN} AS ws FROM documents), u AS (SELECT unnest(ws) AS word FROM w), c AS (SELECT word, count(*) AS n FROM u GROUP BY word), v AS (SELECT count(*) AS v FROM c), b AS (SELECT unnest(list_zip(ws[1:len(ws) - 1], ws[2:])) AS p FROM w WHERE len(ws) > 1), p AS (SELECT p[1] AS a, p[2] AS b, count(*) AS n_ab FROM b GROUP BY 1, 2),
+  k AS (SELECT p.a, p.b, n_ab, round((n_ab - 5) * CAST(v AS DOUBLE) / (x.n * y.n), 6) AS score FROM p JOIN c x ON x.word = p.a JOIN c y ON y.word = p.b CROSS JOIN v WHERE n_ab > 5 AND (n_ab - 5) * CAST(v AS DOUBLE) / (x.n * y.n) > 10),
+  t AS (SELECT unnest(list_zip(ws[1:len(ws) - 2], ws[2:len(ws) - 1], ws[3:])) AS p FROM w WHERE len(ws) > 2), q AS (SELECT p[1] AS a, p[2] AS b, p[3] AS z, count(*) AS n_abz FROM t GROUP BY 1, 2, 3)
+  SELECT * FROM k UNION ALL SELECT q.a || ' ' || q.b AS a, q.z AS b, n_abz AS n_ab, round((n_abz - 5) * CAST(v AS DOUBLE) / (k.n_ab * y.n), 6) AS score FROM q JOIN k ON k.a = q.a AND k.b = q.b JOIN c y ON y.word = q.z CROSS JOIN v WHERE n_abz > 5 AND (n_abz - 5) * CAST(v AS DOUBLE) / (k.n_ab * y.n) > 10""")
 def phrase_detection(spark, d):
-    return notes.phrases(_tokens(spark, d), "words", least=5, score=10.0)
+    return notes.phrases(frames.written(_tokens(spark, d), "words"), "words", least=5, score=10.0)
 
 
 @register("word_vectors")
@@ -91,7 +104,7 @@ def word_vectors(spark, d):
 
 @register("doc_vector_pool")
 def doc_vector_pool(spark, d):
-    """Mean vector of each document's words; unknown words take the average vector."""
+    """Mean, sum and largest values of the vectors of each document's words; unknown words take the average vector."""
     model = Word2Vec(vectorSize=16, minCount=15, maxIter=1, seed=3, inputCol="words", outputCol="v").fit(_tokens(spark, d))
     vectors = model.getVectors().select("word", vector_to_array("vector").alias("v"))
     return notes.pool(_tokens(spark, d), "words", vectors, 16)
