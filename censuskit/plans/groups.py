@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from censuskit.functions import codes
 from censuskit.operators import bitemporal as b
 from censuskit.plans import proxies as p
-from censuskit.plans.registry import register
+from censuskit.plans.registry import queries, register, registered_sql
 from censuskit.sources.tables import table
 
 EV, SP = p.EV, p.SP
@@ -96,17 +96,25 @@ def fg_demographics(spark, d):
     return p.spine(spark, d).join(rich, "pid", "left").select("pid", "day", F.date_diff("day", born).alias("age"), (F.col("pid") % 2 == 0).alias("female"), parts["m"].alias("m"), parts["wd"].alias("wd"), F.col("known").isNull().alias("na_indicator_payer"))
 
 
-VITALS = f"""WITH {EV}, c AS (SELECT pid, kind, e AS day, count(*) AS n, min(value) AS low, max(value) AS top, avg(value) AS mean FROM ev WHERE value BETWEEN 5 AND 300 GROUP BY 1, 2, 3),
-  w AS (SELECT pid, kind, day, n, round(low, 4) AS low, round(top, 4) AS top, round(mean - lag(mean) OVER (PARTITION BY pid, kind ORDER BY day), 6) AS diff_row, round(mean - max(mean) OVER (PARTITION BY pid, kind ORDER BY day RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING), 6) AS diff_day, CAST(sum(n) OVER (PARTITION BY pid, kind ORDER BY day RANGE BETWEEN INTERVAL 2 DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS n_3 FROM c) SELECT * FROM w"""
+DAYS = (1, 2, 3)
+RECENT = "(PARTITION BY pid, kind ORDER BY day RANGE BETWEEN INTERVAL {k} DAY PRECEDING AND CURRENT ROW)"
+VITALS = f"""WITH {EV}, c AS (SELECT pid, kind, e AS day, count(*) AS n, min(value) AS low, max(value) AS top, sum(value) AS total, avg(value) AS mean, count(*) FILTER (WHERE value > 200) AS warnings FROM ev WHERE value BETWEEN 5 AND 300 GROUP BY 1, 2, 3)
+  SELECT pid, kind, day, n, round(low, 4) AS low, round(top, 4) AS top, round(top - low, 4) AS spread, warnings, round(mean - lag(mean) OVER (PARTITION BY pid, kind ORDER BY day), 6) AS diff_row, round(mean - max(mean) OVER (PARTITION BY pid, kind ORDER BY day RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING), 6) AS diff_day,
+  """ + ", ".join(f"CAST(sum(n) OVER {RECENT.format(k=k - 1)} AS BIGINT) AS n_{k}, round(min(low) OVER {RECENT.format(k=k - 1)}, 4) AS low_{k}, round(max(top) OVER {RECENT.format(k=k - 1)}, 4) AS top_{k}, round(sum(total) OVER {RECENT.format(k=k - 1)} / sum(n) OVER {RECENT.format(k=k - 1)}, 4) AS mean_{k}" for k in DAYS) + " FROM c"
 
 
 @register("fg_vitals", VITALS)
 def fg_vitals(spark, d):
-    c = p.events(spark, d).filter("value BETWEEN 5 AND 300").groupBy("pid", "kind", F.col("e").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("top"), F.avg("value").alias("mean"))
+    """Per vital and day: range, warnings, change by row and by calendar day, and windows of one to three days."""
+    c = p.events(spark, d).filter("value BETWEEN 5 AND 300").groupBy("pid", "kind", F.col("e").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("top"), F.sum("value").alias("total"), F.avg("value").alias("mean"), F.count_if(F.col("value") > 200).alias("warnings"))
     rows, days = W.partitionBy("pid", "kind").orderBy("day"), W.partitionBy("pid", "kind").orderBy(F.unix_date("day"))
+    recent = []
+    for k in DAYS:
+        w = days.rangeBetween(1 - k, 0)
+        recent += [F.sum("n").over(w).alias(f"n_{k}"), F.round(F.min("low").over(w), 4).alias(f"low_{k}"), F.round(F.max("top").over(w), 4).alias(f"top_{k}"), F.round(F.sum("total").over(w) / F.sum("n").over(w), 4).alias(f"mean_{k}")]
     return c.select(
-        "pid", "kind", "day", "n", F.round("low", 4).alias("low"), F.round("top", 4).alias("top"), F.round(F.col("mean") - F.lag("mean").over(rows), 6).alias("diff_row"),
-        F.round(F.col("mean") - F.max("mean").over(days.rangeBetween(-1, -1)), 6).alias("diff_day"), F.sum("n").over(days.rangeBetween(-2, 0)).alias("n_3"),
+        "pid", "kind", "day", "n", F.round("low", 4).alias("low"), F.round("top", 4).alias("top"), F.round(F.col("top") - F.col("low"), 4).alias("spread"), "warnings",
+        F.round(F.col("mean") - F.lag("mean").over(rows), 6).alias("diff_row"), F.round(F.col("mean") - F.max("mean").over(days.rangeBetween(-1, -1)), 6).alias("diff_day"), *recent,
     )
 
 
@@ -141,9 +149,19 @@ def _carried(spark, d, name, missing):
     return rows.select("pid", "day", F.coalesce("x.v", F.lit(missing)).alias(name), F.coalesce(F.date_diff("day", F.to_date("x.ts")), F.lit(9999)).alias("since"))
 
 
-@register("fg_admissions", CARRY.format(missing="AdmittedFromUnknown", name="admitted_from"))
+ADMITTED = {"status": "CASE event_id % 2 WHEN 0 THEN 'Active' ELSE 'Discharged' END", "physician": "CASE WHEN event_id % 5 = 0 THEN NULL ELSE concat('Dr ', CAST(event_id % 11 AS VARCHAR(4))) END", "admitted_from": STATUS}
+LAST = "(SELECT arg_max({v}, struct_pack(a := ts, b := event_id)) FROM ev t WHERE t.pid = sp.pid AND t.kind = 'signup' AND t.e <= sp.day AND ({v}) IS NOT NULL)"
+
+
+@register("fg_admissions", f"WITH {EV}, {SP} SELECT sp.pid, sp.day, " + ", ".join(f"coalesce({LAST.format(v=v)}, '{name}_unknown') AS {name}" for name, v in ADMITTED.items()) + ", CAST(coalesce(sp.day - (SELECT max(e) FROM ev t WHERE t.pid = sp.pid AND t.kind = 'signup' AND t.e <= sp.day), 9999) AS INT) AS since FROM sp")
 def fg_admissions(spark, d):
-    return _carried(spark, d, "admitted_from", "AdmittedFromUnknown")
+    """Each attribute's last value that is not null is carried forward; all in one window."""
+    days = p.spine(spark, d).select("pid", "day")
+    value = lambda v: F.when(F.expr(v).isNotNull(), F.struct(F.col("ts"), F.col("event_id"), F.expr(v).alias("v")))
+    told = p.events(spark, d).filter("kind = 'signup'").select("pid", F.col("e").alias("day"), F.col("e").alias("at"), *[value(v).alias(name) for name, v in ADMITTED.items()])
+    rows = days.withColumn("asked", F.lit(True)).unionByName(told, allowMissingColumns=True)
+    last = rows.withColumns({c: F.max(c).over(p.running("pid")) for c in ("at", *ADMITTED)}).filter("asked")
+    return last.select("pid", "day", *[F.coalesce(f"{c}.v", F.lit(f"{c}_unknown")).alias(c) for c in ADMITTED], F.coalesce(F.date_diff("day", "at"), F.lit(9999)).alias("since"))
 
 
 @register("fg_adt", CARRY.format(missing="Unknown", name="arrival"))
@@ -166,12 +184,39 @@ def fg_mds(spark, d):
     return b.last_n(p.spine(spark, d), told, 2, order=("e", "r", "event_id")).withColumn("change", F.round(F.col("last_1") - F.col("last_2"), 6))
 
 
-@register("fg_final", f"""WITH a AS ({REHOSP}), n AS (WITH {EV} SELECT pid, e AS day, count(*) AS n_events, count(DISTINCT kind) AS n_kinds FROM ev GROUP BY 1, 2) SELECT a.pid, a.day, prior, since, target, coalesce(n_events, 0) AS n_events, coalesce(n_kinds, 0) AS n_kinds FROM a LEFT JOIN n ON n.pid = a.pid AND n.day = a.day""")
+#: Groups with one row per patient-day; those not on every day of the spine are filled or flagged.
+ON_SPINE = ("rehosp", "demographics", "orders", "meds", "alerts", "diagnosis", "risks", "labs", "assessments", "immunizations", "admissions", "adt", "notes", "mds")
+VITAL = ("n", "top", "warnings", "n_3", "top_3", "mean_3")
+COUNTS = ("n", "warnings", "n_3")
+
+
+def _final_sql() -> str:
+    texts = registered_sql()
+    one = lambda name: f"{name} AS (SELECT pid, day, COLUMNS(* EXCLUDE (pid, day)) AS '{name}_\\0' FROM ({texts[f'fg_{name}']}))"
+    wide = ", ".join(
+        f"CAST(coalesce(max({c}) FILTER (WHERE kind = '{k}'), 0) AS BIGINT) AS vitals_{k}_{c}" if c in COUNTS else f"max({c}) FILTER (WHERE kind = '{k}') AS vitals_{k}_{c}"
+        for k in p.KINDS for c in VITAL
+    )
+    counts = [f"vitals_{k}_{c}" for k in p.KINDS for c in COUNTS]
+    flags = ", ".join(f"vitals_{k}_n IS NULL OR vitals_{k}_n = 0 AS na_indicator_vitals_{k}" for k in p.KINDS)
+    filled = ", ".join(f"coalesce({c}, 0) AS {c}" for c in counts)
+    joins = " ".join(f"LEFT JOIN {g} USING (pid, day)" for g in (*ON_SPINE[1:], "census", "vitals"))
+    return f"""WITH {", ".join(one(g) for g in (*ON_SPINE, "census"))}, vitals AS (SELECT pid, day, {wide} FROM ({texts["fg_vitals"]}) GROUP BY pid, day)
+      SELECT * REPLACE (coalesce(census_bed, -1) AS census_bed, coalesce(census_streak, 0) AS census_streak, coalesce(census_payer, 'no payer info') AS census_payer, {filled}), {flags} FROM rehosp {joins}"""
+
+
+@register("fg_final", _final_sql())
 def fg_final(spark, d):
-    """Groups meet on the spine's key; all are partitioned by it already, so no frame is exchanged twice."""
-    n = p.events(spark, d).groupBy("pid", F.col("e").alias("day")).agg(F.count(F.lit(1)).alias("n_events"), F.count_distinct("kind").alias("n_kinds"))
-    whole = reduce(lambda x, y: x.join(y, ["pid", "day"], "left"), [_rehosp(spark, d), n])
-    return whole.fillna(0, ["n_events", "n_kinds"])
+    """All groups side by side on the spine. Each is partitioned by patient already and comes with
+    its name before its columns. Counts of days without a row are 0, and a missing vital has a flag."""
+    named = lambda df, name: df.select("pid", "day", *[F.col(c).alias(f"{name}_{c}") for c in df.columns if c not in ("pid", "day")])
+    build = queries()
+    groups = [named(build[f"fg_{g}"](spark, d), g) for g in (*ON_SPINE, "census")]
+    wide = build["fg_vitals"](spark, d).groupBy("pid", "day").pivot("kind", p.KINDS).agg(*[F.first(c).alias(c) for c in VITAL])
+    whole = reduce(lambda x, y: x.join(y, ["pid", "day"], "left"), [*groups, named(wide, "vitals")])
+    whole = whole.withColumns({f"na_indicator_vitals_{k}": F.coalesce(F.col(f"vitals_{k}_n"), F.lit(0)) == 0 for k in p.KINDS})
+    zeros = ["census_streak", *[f"vitals_{k}_{c}" for k in p.KINDS for c in COUNTS]]
+    return whole.fillna(0, zeros).fillna(-1, ["census_bed"]).fillna("no payer info", ["census_payer"])
 
 
 @register("score_card", f"""WITH {EV}, {SP}, s AS (SELECT sp.pid, sp.fac, sp.day, (SELECT count(*) FROM ev t WHERE t.pid = sp.pid AND t.kind = 'error' AND t.e < sp.day AND t.e >= sp.day - 5) AS alerts, coalesce(sp.day - (SELECT max(t.e) FROM ev t WHERE t.pid = sp.pid AND t.kind = 'signup' AND t.e <= sp.day), 181) AS days FROM sp),

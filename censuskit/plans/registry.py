@@ -25,6 +25,11 @@ def register(key: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+def registered_sql() -> dict[str, str]:
+    """The texts registered so far, for queries that are composed of others."""
+    return dict(_ORACLES)
+
+
 def _load() -> None:
     from censuskit.plans import modules
 
