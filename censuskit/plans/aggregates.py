@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from censuskit.operators.asof import next_after
 from censuskit.operators.scale import global_rank
 from censuskit.plans import proxies as p
 from censuskit.plans.registry import register
@@ -18,7 +19,14 @@ for unit in ("week", "month"):
 q("best_rank_rollup", """WITH r AS (SELECT *, CAST(row_number() OVER (PARTITION BY client, day ORDER BY score DESC, okey) AS INT) AS rnk FROM pr)
   SELECT t.okey, t.line, min(r.rnk) AS best, coalesce(bool_or(r.rnk <= 2), FALSE) AS shown, count(r.okey) AS n FROM tr t LEFT JOIN r ON r.pid = t.pid AND DD(r.day, t.day) BETWEEN 0 AND 60 GROUP BY t.okey, t.line""")
 q("bool_and_group", "SELECT pid, bool_and(status = 'F') AS all_f, bool_and(score > 1000) AS all_large FROM pr GROUP BY pid")
-q("conditional_min", "SELECT p.okey, p.day, min(CASE WHEN t.day >= p.day THEN t.day END) AS first_transfer FROM pr p LEFT JOIN tr t ON t.pid = p.pid GROUP BY p.okey, p.day")
+
+
+@register("conditional_min", duck_text("SELECT p.okey, p.day, min(CASE WHEN t.day >= p.day THEN t.day END) AS first_transfer FROM pr p LEFT JOIN tr t ON t.pid = p.pid GROUP BY p.okey, p.day"))
+def conditional_min(spark, d):
+    """The first transfer on or after each prediction: one union and one window per patient."""
+    asked = p.predictions(spark, d).select("pid", "day", "okey")
+    told = p.transfers(spark, d).select("pid", "day", F.col("day").alias("at"))
+    return next_after(asked, told, {"first_transfer": "at"}, strict=False).select("okey", "day", "first_transfer")
 
 
 @register("having_filter", duck_text("WITH r AS (SELECT pid, row_number() OVER (ORDER BY score DESC, okey) AS rnk FROM pr) SELECT pid, CAST(min(rnk) AS INT) AS best FROM r GROUP BY pid HAVING min(rnk) <= 1000"))

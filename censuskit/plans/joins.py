@@ -1,6 +1,6 @@
 """Joins (inventory 2.3), set operations (2.7) and sorts and limits (2.6)."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from censuskit.operators import asof
 from censuskit.plans import proxies as p
@@ -48,7 +48,17 @@ RANKED = """WITH r AS (SELECT *, CAST(row_number() OVER (PARTITION BY client, da
   best AS (SELECT t.okey, t.line, min(r.rnk) AS a, min(r.rnk_b) AS b FROM tr t LEFT JOIN r ON r.pid = t.pid AND DD(r.day, t.day) BETWEEN 0 AND 120 GROUP BY t.okey, t.line)"""
 q("self_compare_join", RANKED + """ SELECT count(*) FILTER (WHERE a <= 1 AND b <= 1) AS caught_both, count(*) FILTER (WHERE a <= 1 AND NOT coalesce(b <= 1, FALSE)) AS caught_a, count(*) FILTER (WHERE b <= 1 AND NOT coalesce(a <= 1, FALSE)) AS caught_b, count(*) AS n FROM best""")
 q("caught_missed_matrix", RANKED + " SELECT coalesce(a <= 1, FALSE) AS caught_a, coalesce(b <= 1, FALSE) AS caught_b, count(*) AS n FROM best GROUP BY 1, 2")
-q("lookback_count_last", """SELECT s.pid, s.day, count(v.event_id) AS n, max(v.e) AS last_day FROM sp s LEFT JOIN ev v ON v.pid = s.pid AND v.kind = 'error' AND v.e < s.day AND v.e >= DADD(s.day, -5) GROUP BY s.pid, s.day""")
+
+
+@register("lookback_count_last", duck_text("""SELECT s.pid, s.day, count(v.event_id) AS n, max(v.e) AS last_day FROM sp s LEFT JOIN ev v ON v.pid = s.pid AND v.kind = 'error' AND v.e < s.day AND v.e >= DADD(s.day, -5) GROUP BY s.pid, s.day"""))
+def lookback_count_last(spark, d):
+    """Number and last day of the events of five days before: one union and one window."""
+    days = p.spine(spark, d).select("pid", "day", F.lit(None).cast("date").alias("at"), F.lit(True).alias("asked"))
+    told = p.events(spark, d).filter("kind = 'error'").select("pid", F.col("e").alias("day"), F.col("e").alias("at"), F.lit(False).alias("asked"))
+    before = W.partitionBy("pid").orderBy(F.unix_date("day")).rangeBetween(-5, -1)
+    return days.unionByName(told).withColumns({"n": F.count("at").over(before), "last_day": F.max("at").over(before)}).filter("asked").select("pid", "day", "n", "last_day")
+
+
 
 # ---- set operations
 q("union_distinct_events", "SELECT pid, day FROM tr UNION SELECT pid, day FROM pr WHERE status = 'F'")

@@ -73,7 +73,16 @@ def rolling_stats_days(spark, d):
 
 
 DAILY = "dl AS (SELECT pid, kind, e AS day, avg(value) AS mean, count(*) AS n FROM ev GROUP BY pid, kind, e)"
-q("calendar_lag_diff", f"WITH {DAILY} SELECT a.pid, a.kind, a.day, round(a.mean - max(CASE WHEN DD(b.day, a.day) = 1 THEN b.mean END), 6) AS diff_1, round(a.mean - max(CASE WHEN DD(b.day, a.day) = 2 THEN b.mean END), 6) AS diff_2, round(a.mean - max(CASE WHEN DD(b.day, a.day) = 3 THEN b.mean END), 6) AS diff_3 FROM dl a LEFT JOIN dl b ON a.pid = b.pid AND a.kind = b.kind AND b.day < a.day AND b.day >= DADD(a.day, -3) GROUP BY a.pid, a.kind, a.day, a.mean")
+
+
+@register("calendar_lag_diff", duck_text(f"WITH {DAILY} SELECT a.pid, a.kind, a.day, round(a.mean - max(CASE WHEN DD(b.day, a.day) = 1 THEN b.mean END), 6) AS diff_1, round(a.mean - max(CASE WHEN DD(b.day, a.day) = 2 THEN b.mean END), 6) AS diff_2, round(a.mean - max(CASE WHEN DD(b.day, a.day) = 3 THEN b.mean END), 6) AS diff_3 FROM dl a LEFT JOIN dl b ON a.pid = b.pid AND a.kind = b.kind AND b.day < a.day AND b.day >= DADD(a.day, -3) GROUP BY a.pid, a.kind, a.day, a.mean"))
+def calendar_lag_diff(spark, d):
+    """The mean of exactly k days before, by a range of one day in one window."""
+    daily = p.events(spark, d).groupBy("pid", "kind", F.col("e").alias("day")).agg(F.avg("value").alias("mean"))
+    by = W.partitionBy("pid", "kind").orderBy(F.unix_date("day"))
+    return daily.select("pid", "kind", "day", *[F.round(F.col("mean") - F.max("mean").over(by.rangeBetween(-k, -k)), 6).alias(f"diff_{k}") for k in (1, 2, 3)])
+
+
 q("row_lag_diff", f"WITH {DAILY} SELECT pid, kind, day, round(mean - lag(mean, 1) OVER (PARTITION BY pid, kind ORDER BY day), 6) AS diff_1, round(mean - lag(mean, 2) OVER (PARTITION BY pid, kind ORDER BY day), 6) AS diff_2, round(mean - lag(mean, 3) OVER (PARTITION BY pid, kind ORDER BY day), 6) AS diff_3 FROM dl")
 RANGE = "OVER (PARTITION BY pid, kind ORDER BY day RANGE BETWEEN INTERVAL '{}' DAY PRECEDING AND CURRENT ROW)"
 q("rolling_event_count", f"WITH {DAILY} SELECT pid, kind, day, " + ", ".join(f"CAST(sum(n) {RANGE.format(k - 1)} AS BIGINT) AS n_{k}" for k in (2, 3, 4)) + " FROM dl")
@@ -182,22 +191,27 @@ for key, what, order, kinds in (
     register(key, duck_text(ASOF.format(what=what, order=order, kinds=kinds, last="last_value(what IGNORE NULLS) OVER (PARTITION BY pid ORDER BY day, asked)")))(_carry)
 
 
+#: Rows of a block of running weights.
+BLOCK = 700
+
+
 @register("ewm_halflife", f"""WITH {p.EV}, r AS (SELECT pid, event_id, value, row_number() OVER (PARTITION BY pid ORDER BY ts, event_id) AS i FROM ev WHERE kind = 'view')
   SELECT a.pid, a.event_id, round(sum(b.value * power(2.0, (b.i - a.i) / 7.0)) / sum(power(2.0, (b.i - a.i) / 7.0)), 6) AS ewm FROM r a JOIN r b ON a.pid = b.pid AND b.i <= a.i GROUP BY 1, 2""")
 def ewm_halflife(spark, d):
-    # weights are kept relative to the newest row of a block of rows, so they never overflow
+    """Running sums in blocks of rows: weights are relative to the block's first row, so that they
+    stay below 2 ** 100. Of earlier rows only the block before counts; what is older than that
+    weighs less than 2 ** -100."""
     by = W.partitionBy("pid").orderBy("ts", "event_id")
-    rows = p.events(spark, d).filter("kind = 'view'").withColumn("i", F.row_number().over(by))
-    top = F.max("i").over(W.partitionBy("pid"))
-    weight = F.pow(F.lit(2.0), (F.col("i") - top) / 7.0)
-    rows = rows.withColumn("w", weight).withColumn("far", top > 7000)
-    plain = F.sum(F.col("value") * F.col("w")).over(by) / F.sum("w").over(by)
-    # 7000 rows back a weight is 2 ** -1000: what is older cannot change a double
-    recent = by.rowsBetween(-1000, 0)
-    local = F.collect_list("value").over(recent)
-    n = F.size(local)
-    exact = F.aggregate(F.transform(local, lambda v, k: v * F.pow(F.lit(2.0), (k - n + 1) / 7.0)), F.lit(0.0), lambda a, x: a + x) / F.aggregate(F.transform(local, lambda v, k: F.pow(F.lit(2.0), (k - n + 1) / 7.0)), F.lit(0.0), lambda a, x: a + x)
-    return rows.select("pid", "event_id", F.round(F.when(F.col("far"), exact).otherwise(plain), 6).alias("ewm"))
+    rows = p.events(spark, d).filter("kind = 'view'").withColumn("at", F.row_number().over(by) - 1)
+    rows = rows.withColumns({"block": F.floor(F.col("at") / BLOCK), "at": F.col("at") % BLOCK})
+    grown, inside = F.pow(F.lit(2.0), F.col("at") / 7.0), W.partitionBy("pid", "block").orderBy("at").rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumns({"top": F.sum(F.col("value") * grown).over(inside) / grown, "weight": F.sum(grown).over(inside) / grown})
+    ends = F.when(F.col("at") == BLOCK - 1, F.struct("top", "weight"))
+    last = F.last(ends, ignorenulls=True).over(W.partitionBy("pid").orderBy("block", "at").rowsBetween(W.unboundedPreceding, -1))
+    shrunk = F.pow(F.lit(2.0), -(F.col("at") + 1) / 7.0)
+    carry = lambda c: F.coalesce(F.col(f"last.{c}") * shrunk, F.lit(0.0))
+    ewm = (F.coalesce("top", F.when(F.col("last.top").isNotNull(), 0.0)) + carry("top")) / (F.col("weight") + carry("weight"))
+    return rows.withColumn("last", last).select("pid", "event_id", F.round(ewm, 6).alias("ewm"))
 
 
 # ---- ranks
