@@ -177,11 +177,23 @@ def fg_notes(spark, d):
     return g.withColumn("views_7", F.sum("views").over(W.partitionBy("pid").orderBy("day").rowsBetween(-6, 0)))
 
 
-@register("fg_mds", f"""WITH {EV}, {SP}, j AS (SELECT sp.pid, sp.day, v.value, row_number() OVER (PARTITION BY sp.pid, sp.day ORDER BY v.e DESC, v.r DESC, v.event_id DESC) AS i FROM sp JOIN ev v ON v.pid = sp.pid AND v.kind = 'signup' AND greatest(v.e, v.r) <= sp.day)
-  SELECT sp.pid, sp.day, max(CASE WHEN i = 1 THEN value END) AS last_1, max(CASE WHEN i = 2 THEN value END) AS last_2, round(max(CASE WHEN i = 1 THEN value END) - max(CASE WHEN i = 2 THEN value END), 6) AS change FROM sp LEFT JOIN j ON j.pid = sp.pid AND j.day = sp.day GROUP BY 1, 2""")
+MDS = f"""WITH {EV}, {SP}, gone AS (SELECT sp.pid, sp.day, max(struct_pack(a := v.e, b := v.r, c := v.event_id)) AS top FROM sp JOIN ev v ON v.pid = sp.pid AND v.kind = 'error' AND greatest(v.e, v.r) <= sp.day GROUP BY 1, 2),
+  j AS (SELECT sp.pid, sp.day, v.value, row_number() OVER (PARTITION BY sp.pid, sp.day ORDER BY v.e DESC, v.r DESC, v.event_id DESC) AS i FROM sp LEFT JOIN gone ON gone.pid = sp.pid AND gone.day = sp.day JOIN ev v ON v.pid = sp.pid AND v.kind = 'signup' AND greatest(v.e, v.r) <= sp.day WHERE gone.top IS NULL OR struct_pack(a := v.e, b := v.r, c := v.event_id) > gone.top),
+  m AS (SELECT sp.pid, sp.day, max(CASE WHEN i = 1 THEN value END) AS last_1, max(CASE WHEN i = 2 THEN value END) AS last_2 FROM sp LEFT JOIN j ON j.pid = sp.pid AND j.day = sp.day GROUP BY 1, 2)
+  SELECT pid, day, last_1, last_2, round(last_1 - last_2, 6) AS change, CASE WHEN last_1 < 50 THEN 'A' WHEN last_1 < 150 THEN 'B' WHEN last_1 >= 150 THEN 'C' ELSE 'none' END AS code FROM m"""
+
+
+@register("fg_mds", MDS)
 def fg_mds(spark, d):
-    told = p.events(spark, d).filter("kind = 'signup'").select("pid", "e", "r", "event_id", "value")
-    return b.last_n(p.spine(spark, d), told, 2, order=("e", "r", "event_id")).withColumn("change", F.round(F.col("last_1") - F.col("last_2"), 6))
+    """The last two visible assessments, their difference and the code of the last; a stay in
+    hospital (error) resets them."""
+    ev = p.events(spark, d)
+    told = ev.filter("kind = 'signup'").select("pid", "e", "r", "event_id", "value")
+    resets = ev.filter("kind = 'error'").select("pid", "e", "r", "event_id")
+    last = b.last_n(p.spine(spark, d), told, 2, resets, order=("e", "r", "event_id"))
+    x = F.col("last_1")
+    code = F.when(x < 50, "A").when(x < 150, "B").when(x >= 150, "C").otherwise("none")
+    return last.withColumns({"change": F.round(x - F.col("last_2"), 6), "code": code})
 
 
 #: Groups with one row per patient-day; those not on every day of the spine are filled or flagged.
