@@ -1,10 +1,12 @@
 """Evaluation, scoring, attribution and privacy (inventory 2.10)."""
 
+from random import Random
+
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import functions as F
 
 from censuskit.operators import metrics as m
@@ -128,12 +130,12 @@ def platt_fit(spark, d):
 
 @register("hyperparameter_search")
 def hyperparameter_search(spark, d):
-    rows = _vectors(spark, d)
-    lr = LogisticRegression(maxIter=3)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1]).addGrid(lr.elasticNetParam, [0.0, 0.5]).build()
-    fit = TrainValidationSplit(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), trainRatio=0.75, seed=5).fit(rows)
-    found = [(float(g[lr.regParam]), float(g[lr.elasticNetParam]), float(v)) for g, v in zip(grid, fit.validationMetrics, strict=True)]
-    return spark.createDataFrame(found, "reg double, elastic double, auc double")
+    """Boosting parameters drawn at random, with a fixed seed, from their ranges."""
+    gbt, draw = GBTClassifier(maxIter=3, seed=1), Random(5)
+    tried = [{gbt.maxDepth: draw.randint(2, 5), gbt.stepSize: round(draw.uniform(0.05, 0.3), 3), gbt.subsamplingRate: round(draw.uniform(0.6, 1.0), 3)} for _ in range(4)]
+    fit = TrainValidationSplit(estimator=gbt, estimatorParamMaps=tried, evaluator=BinaryClassificationEvaluator(), trainRatio=0.75, seed=5).fit(_vectors(spark, d))
+    found = [(*g.values(), float(v)) for g, v in zip(tried, fit.validationMetrics, strict=True)]
+    return spark.createDataFrame(found, "depth int, step double, subsample double, auc double")
 
 
 # ---- attribution: lines of an order are the features' contributions

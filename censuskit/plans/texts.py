@@ -78,6 +78,7 @@ def _topics(spark, d):
 
 @register("topic_model_lda")
 def topic_model_lda(spark, d):
+    """The share of each topic; all zero for a document without a word of the vocabulary."""
     return _topics(spark, d)
 
 
