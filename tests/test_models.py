@@ -82,7 +82,7 @@ def test_topics_are_distributions_and_their_means(spark, sf_dir):
     raw = {r.doc_id: np.array(r.topics) for r in run(spark, sf_dir, "topic_model_lda").collect()}
     means = {r.doc_id: np.array(r.topics) for r in run(spark, sf_dir, "topic_rolling_mean").collect()}
     bare = {r.doc_id for r in texts._bag(spark, sf_dir).select("doc_id", "tf").collect() if not r.tf.numNonzeros()}
-    assert raw.keys() == means.keys() and all(len(v) == 34 and v.sum() == pytest.approx(i not in bare) for i, v in raw.items())
+    assert raw.keys() == means.keys() and all(len(v) == 34 and v.sum() == pytest.approx(float(i not in bare)) for i, v in raw.items())
     ids = sorted(i for i in raw if i // 50 == 1)
     assert means[ids[9]] == pytest.approx(np.mean([raw[i] for i in ids[3:10]], axis=0), abs=1e-6)
 
