@@ -7,13 +7,14 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import TrainValidationSplit
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from censuskit.operators import metrics as m
 from censuskit.operators.models import cross_fitted
 from censuskit.operators.scale import global_rank
+from censuskit.plans import proxies as p
 from censuskit.plans.registry import register
-from censuskit.plans.sqlviews import run, sql_query as q
+from censuskit.plans.sqlviews import duck_text, run, sql_query as q
 from censuskit.sources.tables import table
 
 #: Predictions ranked per client and day; the label says whether a transfer follows in 1 to 60 days.
@@ -151,7 +152,22 @@ def attribution_longform(spark, d):
 q("attribution_relevance", "SELECT l_orderkey, l_linenumber, CASE WHEN v IS NULL OR v = 9999 OR (v = 0 AND NOT feature LIKE 'days_since%') THEN 'NOT_RELEVANT' ELSE 'NOT_MAPPED' END AS status FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 5 = 0 THEN NULL WHEN l_partkey % 5 = 1 THEN 9999 WHEN l_partkey % 5 IN (2, 3) THEN 0 ELSE 3 END AS v, CASE WHEN l_partkey % 3 = 0 THEN 'days_since_x' ELSE 'count_x' END AS feature FROM lineitem) z")
 q("attribution_group_max", "SELECT l_orderkey, l_linenumber, max(l_extendedprice) OVER (PARTITION BY l_orderkey, l_suppkey % 3) AS top, l_extendedprice = max(l_extendedprice) OVER (PARTITION BY l_orderkey, l_suppkey % 3) AS is_top FROM lineitem")
 ASOF = """WITH a AS (SELECT s.pid, s.day, v.kind, v.event_id, v.value, row_number() OVER (PARTITION BY s.pid, s.day, v.kind ORDER BY v.e DESC, v.ts DESC, v.event_id DESC) AS rn FROM sp s JOIN ev v ON v.pid = s.pid AND v.e <= s.day AND v.e > DADD(s.day, -{w}) WHERE v.kind IN ({kinds}))"""
-q("attribution_event_asof", ASOF.format(w=7, kinds="'error', 'purchase'") + ", k AS (SELECT s.pid, s.day, x.kind FROM sp s CROSS JOIN (SELECT DISTINCT kind FROM ev WHERE kind IN ('error', 'purchase', 'signup')) x) SELECT k.pid, k.day, k.kind, a.event_id, CASE WHEN k.kind = 'signup' THEN 'NOT_MAPPED' WHEN a.event_id IS NULL THEN 'DATA_NOT_FOUND' WHEN a.value > 100 THEN 'MAPPED' ELSE 'DATA_FOUND' END AS status FROM k LEFT JOIN a ON a.pid = k.pid AND a.day = k.day AND a.kind = k.kind AND a.rn = 1")
+
+
+@register("attribution_event_asof", duck_text(ASOF.format(w=7, kinds="'error', 'purchase', 'view', 'click'") + ", k AS (SELECT s.pid, s.day, x.kind FROM sp s CROSS JOIN (SELECT DISTINCT kind FROM ev WHERE kind IN ('error', 'purchase', 'view', 'click', 'signup')) x) SELECT k.pid, k.day, k.kind, a.event_id, CASE WHEN k.kind = 'signup' THEN 'NOT_MAPPED' WHEN a.event_id IS NULL THEN 'DATA_NOT_FOUND' WHEN a.value > 100 THEN 'MAPPED' ELSE 'DATA_FOUND' END AS status FROM k LEFT JOIN a ON a.pid = k.pid AND a.day = k.day AND a.kind = k.kind AND a.rn = 1"))
+def attribution_event_asof(spark, d):
+    """The latest event of each kind in the seven days up to each day: one union and one window
+    per patient and kind. Kind signup stands for features without a map."""
+    kinds = ("error", "purchase", "view", "click")
+    ev = p.events(spark, d)
+    days = p.spine(spark, d).select("pid", "day", F.explode(F.array(*map(F.lit, (*kinds, "signup")))).alias("kind"), F.lit(True).alias("asked"))
+    told = ev.filter(F.col("kind").isin(*kinds)).select("pid", F.col("e").alias("day"), "kind", F.struct("ts", "event_id", "value").alias("found"))
+    week = W.partitionBy("pid", "kind").orderBy(F.unix_date("day")).rangeBetween(-6, 0)
+    rows = days.unionByName(told, allowMissingColumns=True).withColumn("found", F.max("found").over(week)).filter("asked")
+    status = F.when(F.col("kind") == "signup", "NOT_MAPPED").when(F.col("found").isNull(), "DATA_NOT_FOUND").when(F.col("found.value") > 100, "MAPPED").otherwise("DATA_FOUND")
+    return rows.select("pid", "day", "kind", F.col("found.event_id").alias("event_id"), status.alias("status"))
+
+
 q("attribution_vitals_map", ASOF.format(w=9, kinds="'view'") + " SELECT s.pid, s.day, a.event_id, a.value, CASE WHEN a.value < 20 OR a.value > 300 THEN 'MAPPED' WHEN a.event_id IS NULL THEN 'DATA_NOT_FOUND' ELSE 'DATA_FOUND' END AS status FROM sp s LEFT JOIN a ON a.pid = s.pid AND a.day = s.day AND a.rn = 1")
 q("attribution_transfer_map", """WITH u AS (SELECT pid, day, CAST(NULL AS DATE) AS moved, 1 AS asked FROM sp UNION ALL SELECT pid, e, e, 0 FROM ev WHERE kind = 'error'), w AS (SELECT pid, day, asked, max(moved) OVER (PARTITION BY pid ORDER BY day) AS last_day FROM u)
   SELECT pid, day, CASE WHEN last_day IS NULL THEN 'no transfer known' ELSE 'Transferred ' || CAST(DD(last_day, day) AS VARCHAR(10)) || ' days ago' END AS reason FROM w WHERE asked = 1""")
