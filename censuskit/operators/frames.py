@@ -91,7 +91,7 @@ def union_clients(frames: dict[str, DataFrame], ids: Sequence[str]) -> DataFrame
 
 def clip_to_ranges(df: DataFrame, ranges: DataFrame, key: str, value: str) -> DataFrame:
     """Values outside their kind's range become null; kinds without a range stay."""
-    both = df.join(F.broadcast(ranges), key, "left")
+    both = df.join(ranges, key, "left")  # Catalyst broadcasts ranges where they are small
     inside = F.col("low").isNull() | F.col(value).between(F.col("low"), F.col("high"))
     return both.withColumn(value, F.when(inside, F.col(value))).select(*df.columns)
 
