@@ -13,9 +13,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where none is set (tests)."""
+    """The folder that driver and executors share; a local one only where none is set in local mode."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
         path = "file://" + tempfile.mkdtemp(prefix="censuskit-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
