@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -23,14 +26,44 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: The tables written in the innermost brief() block.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: computed once, lineage cut."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def brief(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables stashed in the block are deleted when it ends. What is still needed then has to be
+    written by the function that the block gets, a stash() for the surrounding block: later
+    work reads that table alone, also where an executor is lost and tasks run again."""
+    outer, mine = _made.get(), []
+    token = _made.set(mine)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        inner = _made.set(outer)
+        try:
+            return stash(df, name)
+        finally:
+            _made.reset(inner)
+
+    try:
+        yield keep
+    finally:
+        _made.reset(token)
+        for folder in mine:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

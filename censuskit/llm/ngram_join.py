@@ -45,7 +45,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from censuskit.llm.common import stash
+from censuskit.llm.common import brief, stash
 
 #: Ids to verify are broadcast up to this number (8 MB); beyond it texts are joined by id.
 BROADCAST_IDS = 1_000_000
@@ -358,25 +358,26 @@ def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, id_col: str =
     # hashed twice: writing the tokens of all rows costs more disk than hashing costs time
     rows = stash(_tokens(docs, n, share, False), "ngram-rows")
     classes = _tokens(docs, n, share, True).filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("tokens").alias("tokens"))
-    nodes = stash(classes.withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
-    names = nodes.select("node", "rep", "s1", "s2", "n")
-    shared, pairs = _led(nodes, share)
-    links = _links(docs, names, pairs, n, share)
-    comps = components(links)
-
-    # what the leaders did not settle: by kept tokens, then by whole sets
-    few = _foreign(_with_label(shared.select("node", "n", "known", "token", "df"), comps))
-    queries, members = _open_groups(few, share)
-    if not queries.isEmpty():
-        opened = queries.select("node").unionByName(members.select("node")).distinct()
-        sets = _sets(docs, names.join(opened, "node", "left_semi"), n)
-        whole = _shared(sets.withColumn("n", F.size("tokens").cast("long")))
-        queries, members = _open_groups(_foreign(_with_label(whole, comps)), share)
-        more = _block_links(sets, queries, members, share)
-        if not more.isEmpty():
-            comps = components(links.unionByName(more))
-
-    labelled = _with_label(nodes.select("s1", "s2", "n", "node", "rep", "rows"), comps)
+    with brief(docs.sparkSession) as keep:
+        nodes = stash(classes.withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
+        names = keep(nodes.drop("tokens"), "ngram-names")
+        shared, pairs = _led(nodes, share)
+        links = keep(_links(docs, names.drop("rows"), pairs, n, share), "ngram-links")
+        comps = keep(components(links), "ngram-labels")
+        # what the leaders did not settle: by kept tokens, then by whole sets
+        few = _foreign(_with_label(shared.select("node", "n", "known", "token", "df"), comps))
+        queries, members = _open_groups(few, share)
+        opened = keep(queries.select("node").unionByName(members.select("node")).distinct(), "ngram-opened")
+    if not opened.isEmpty():
+        with brief(docs.sparkSession) as keep:
+            sets = _sets(docs, names.drop("rows").join(opened, "node", "left_semi"), n)
+            whole = _shared(sets.withColumn("n", F.size("tokens").cast("long")))
+            queries, members = _open_groups(_foreign(_with_label(whole, comps)), share)
+            more = _block_links(sets, queries, members, share)
+            if not more.isEmpty():
+                comps = keep(components(links.unionByName(more)), "ngram-labels")
+
+    labelled = _with_label(names, comps)
     named = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
     final = stash(salted(labelled, named, ["label"]), "ngram-final")
     hot = hot_keys(final.select("s1", "s2", "n", "rows"), ["s1", "s2", "n"])
