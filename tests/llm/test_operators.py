@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -609,3 +610,18 @@ def test_language_dictionaries_come_from_all_over_the_texts(spark):
     # no language is left out
     many = spark.createDataFrame([(i, f"words of language {i}", f"l{i:03}") for i in range(520)], schema)
     assert len(train_dictionaries(many)) == 520
+
+
+def test_brief_deletes_its_tables_but_keeps_results(spark):
+    from censuskit.llm.common import brief, stash
+
+    with brief(spark) as keep:
+        first = stash(spark.range(10), "brief-first")
+        with brief(spark) as keep_inner:
+            second = stash(first.filter("id > 3"), "brief-second")
+            third = keep_inner(second.filter("id > 5"), "brief-third")
+        folder = Path(second.inputFiles()[0].removeprefix("file://")).parent
+        assert not folder.exists()
+        last = keep(third.join(first, "id"), "brief-last")
+    assert not Path(third.inputFiles()[0].removeprefix("file://")).parent.exists()
+    assert sorted(r.id for r in last.collect()) == [6, 7, 8, 9]
