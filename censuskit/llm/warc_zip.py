@@ -223,7 +223,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "p
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("html"), F.sha1(payload.cast("binary")).alias("sha1"), F.octet_length(payload).alias("n"), F.xxhash64(payload).alias("h"))
     firsts = rows.groupBy("sha1", "n", "h").agg(F.min("page_id").alias("first_id"))
     # the join side with one row per payload is small; a payload that most pages share is split by AQE
-    both = rows.join(firsts.hint("merge"), ["sha1", "n", "h"]).withColumn("refers_to", F.when((F.col("n") >= min_revisit_bytes) & (F.col("page_id") != F.col("first_id")), F.col("first_id")))
+    both = rows.join(firsts.hint("merge"), ["sha1", "n", "h"]).withColumn("refers_to", F.when((F.col("n") >= min_revisit_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")))
     both = both.select("page_id", "url", "html", "sha1", "refers_to")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
