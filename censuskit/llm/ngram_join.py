@@ -4,8 +4,9 @@ A document is the set of its word n-grams (tokens, as 64-bit hashes). Two docume
 when ``share`` percent of their union is shared. The join finds every link class exactly:
 
 1. Documents with equal sets form a class and are one node from here on.
-2. Only tokens that two nodes hold matter. Of a fixed quarter of the hash range (or, where a
-   node has few there, of its first tokens by hash) these are counted and kept.
+2. Only tokens that two nodes hold matter. A node keeps those of a fixed quarter of the hash
+   range (its sure tokens: whoever else holds one keeps it too) and, where they are few, its
+   first tokens by hash, as many as a link can miss and one.
 3. Nodes are partitioned into groups: a node is in the group of its smallest shared token
    (by another hash, so that similar nodes meet) and its band of sizes. The token-group
    matrix has a row for each token of a group's union. The first round asks it for the
@@ -14,9 +15,11 @@ when ``share`` percent of their union is shared. The join finds every link class
    average, the original of its copies. Most of a large class is linked by its leaders.
 4. The smaller node of a pair is the query. A query of n tokens can miss at most n - o in a
    partner, where o is the common number that a link with a partner not below n needs. So any
-   n - o + 1 tokens of it must meet the union of a group that holds a partner. Tokens that no
-   node of another component holds are met by no group that matters: a node with more than
-   n - ceil(share n) of them is closed, first by the kept tokens, then by its whole set.
+   n - o + 1 tokens of it must meet the union of a group that holds a partner. Sure tokens that
+   no node of another component holds are met by no group that matters: a node with more than
+   n - ceil(share n) of them is closed, first by the kept tokens, then by its whole set. A query
+   asks for sure tokens; one with fewer than n - o + 1 of these asks for all that it keeps: the
+   smallest token that it has in common with a partner is among the kept ones of both.
 5. What is left gets groups and a matrix of its own, by whole sets: the group of a node is now
    its most widely held token, so that a class has few groups. A query asks for its n - o + 1
    tokens that the fewest nodes of other components hold; groups whose unions, without the
@@ -50,6 +53,8 @@ from censuskit.llm.common import brief, stash
 #: Ids to verify are broadcast up to this number (8 MB); beyond it texts are joined by id.
 BROADCAST_IDS = 1_000_000
 _ROWS = 1024
+#: Every node keeps its tokens below this bound.
+_SURE = 1 << 62
 #: Open groups whose leaders a query is compared with; what they leave is found without them.
 LEADERS = 4
 _STEP, _CHUNK = np.uint64(0x9E3779B97F4A7C15), 1 << 20
@@ -144,7 +149,7 @@ def _tokens(docs: DataFrame, n: int, share: int, with_tokens: bool) -> DataFrame
                     part, sums, kept = batch.slice(start, _ROWS), [], []
                     for s in ngram_sets(part.column("text").to_pylist(), n, hasher):
                         prefix = len(s) - (share * len(s) + 99) // 100 + 1 if len(s) else 0
-                        quarter = int(np.searchsorted(s, np.uint64(1 << 62)))
+                        quarter = int(np.searchsorted(s, np.uint64(_SURE)))
                         sums.append((len(s), *_set_hashes(s)))
                         if with_tokens:
                             kept.append(s[: max(quarter, prefix)])
@@ -229,10 +234,12 @@ def _with_label(rows: DataFrame, comps: DataFrame) -> DataFrame:
     return rows.join(comps, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _shared(nodes: DataFrame) -> DataFrame:
+def _shared(nodes: DataFrame, whole: bool = False) -> DataFrame:
     """The tokens of nodes (node, n, tokens) that two nodes or more hold: node, n, known (how many
-    tokens of the node were looked at), token, df."""
-    held = nodes.select("node", "n", F.size("tokens").alias("known"), F.explode("tokens").alias("token"))
+    sure tokens the node has), token, sure (every node that holds the token is counted in df:
+    all tokens of whole sets, else those of the fixed quarter), df."""
+    below = lambda t: F.lit(whole) | ((t >= 0) & (t < _SURE))
+    held = nodes.select("node", "n", F.size(F.filter("tokens", below)).alias("known"), F.explode("tokens").alias("token")).withColumn("sure", below(F.col("token")))
     counts = stash(held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "ngram-counts")
     return salted(held, counts, ["token"], hot_keys(counts.withColumnRenamed("df", "rows"), ["token"]))
 
@@ -250,7 +257,7 @@ def _common(share: int) -> Column:
 def _led(nodes: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
     """The shared tokens (see _shared), and pairs (a, b) of queries and leaders."""
     by_node = W.partitionBy("node")
-    found = _shared(nodes.select("node", "n", "tokens")).withColumns({"pivot": F.min(F.xxhash64("token")).over(by_node), "weight": F.sum("df").over(by_node) / F.col("n"), "rank": F.row_number().over(by_node.orderBy("df", "token")), "alone": F.col("known") - F.count(F.lit(1)).over(by_node)})
+    found = _shared(nodes.select("node", "n", "tokens")).withColumns({"pivot": F.min(F.xxhash64("token")).over(by_node), "weight": F.sum("df").over(by_node) / F.col("n"), "rank": F.row_number().over(by_node.orderBy("df", "token")), "alone": F.col("known") - F.count_if("sure").over(by_node)})
     shared = stash(found.withColumn("band", _band(share)), "ngram-shared")
     group = ["pivot", "band"]
     leaders = shared.filter("rank = 1").groupBy(*group).agg(F.max(F.struct("weight", F.bitwise_not("node").alias("inverse"), F.col("n").alias("m"))).alias("top"))
@@ -287,13 +294,15 @@ def _open_groups(foreign: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
     """Queries with the groups open to them, and the members of these: each node, n, label, pivot,
     band. foreign: tokens of nodes (see _foreign)."""
     by_node = W.partitionBy("node")
-    placed = foreign.withColumns({"pivot": F.max(F.struct("df", "token")).over(by_node)["token"], "rank": F.row_number().over(by_node.orderBy("others", "token")), "met": F.count(F.lit(1)).over(by_node)})
+    placed = foreign.withColumns({"pivot": F.max(F.struct("df", "token")).over(by_node)["token"], "rank": F.row_number().over(by_node.orderBy(F.desc("sure"), "others", "token")), "met": F.count_if("sure").over(by_node)})
     # a link with a smaller node allows a node to miss this many
     placed = placed.filter(F.col("known") - F.col("met") <= F.col("n") - F.ceil(F.col("n") * share / 100))
     placed = stash(placed.withColumn("band", _band(share)), "ngram-placed")
     matrix = placed.groupBy("token", "band", "pivot").agg(F.max("n").alias("hi"), F.min("label").alias("low_label"), F.max("label").alias("high_label"))
-    # tokens that no other component holds are asked for first, and are met by none
-    asked = placed.filter(F.col("rank") + F.col("known") - F.col("met") <= F.col("n") - _common(share) + 1)
+    # sure tokens that no other component holds are asked for first, and are met by none; where
+    # the sure ones do not suffice, all that are kept are asked for
+    need = F.col("n") - _common(share) + 1
+    asked = placed.filter((F.col("known") < need) | (F.col("rank") + F.col("known") - F.col("met") <= need))
     asked = asked.select("node", "n", "label", "token", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
     met = salted(asked, stash(matrix, "ngram-matrix"), ["token", "band"]).filter("hi >= n AND (label <> low_label OR label <> high_label)")
     queries = stash(met.select("node", "n", "label", "pivot", "band").distinct(), "ngram-open")
@@ -365,13 +374,13 @@ def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, id_col: str =
         links = keep(_links(docs, names.drop("rows"), pairs, n, share), "ngram-links")
         comps = keep(components(links), "ngram-labels")
         # what the leaders did not settle: by kept tokens, then by whole sets
-        few = _foreign(_with_label(shared.select("node", "n", "known", "token", "df"), comps))
+        few = _foreign(_with_label(shared.select("node", "n", "known", "token", "sure", "df"), comps))
         queries, members = _open_groups(few, share)
         opened = keep(queries.select("node").unionByName(members.select("node")).distinct(), "ngram-opened")
     if not opened.isEmpty():
         with brief(docs.sparkSession) as keep:
             sets = _sets(docs, names.drop("rows").join(opened, "node", "left_semi"), n)
-            whole = _shared(sets.withColumn("n", F.size("tokens").cast("long")))
+            whole = _shared(sets.withColumn("n", F.size("tokens").cast("long")), whole=True)
             queries, members = _open_groups(_foreign(_with_label(whole, comps)), share)
             more = _block_links(sets, queries, members, share)
             if not more.isEmpty():

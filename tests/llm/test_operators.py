@@ -187,6 +187,39 @@ def test_ngram_components(spark, awkward, empty):
     assert ngram_components(empty).count() == 0
 
 
+@pytest.mark.parametrize(("n", "share"), [(4, 85), (5, 80)])
+def test_ngram_components_of_all_small_sizes(spark, n, share):
+    """Pairs of 1 to 60 words and one more, one word less in the middle or one exchanged at the
+    end, some with others that hold a few of their n-grams: no link is lost, none made up."""
+    from censuskit.llm.ngram_join import ngram_components
+
+    rng = random.Random(n)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    texts, groups = [], []
+    for k in range(1, 61):
+        for turn in range(100):
+            a = [word() for _ in range(k)]
+            b = [a + [word()], a[: k // 2] + a[k // 2 + 1 :], a[:-1] + [word()], a[1:]][turn % 4]
+            some = [a, b]
+            if turn % 5 == 0 and k > n:
+                at = rng.randrange(k - n)
+                some += [[word() for _ in range(k)] + a[at : at + n], a[at : at + n] + [word() for _ in range(2 * k)]]
+            groups.append(range(len(texts), len(texts) + len(some)))
+            texts += some
+    sets = [{tuple(t[i : i + n]) for i in range(len(t) - n + 1)} if len(t) >= n else {tuple(t)} - {()} for t in texts]
+    want = {}
+    for group in groups:
+        root = {i: i for i in group}
+        for a in group:
+            for b in group:
+                if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= share * len(sets[a] | sets[b]):
+                    low, high = sorted((root[a], root[b]))
+                    root = {i: low if r == high else r for i, r in root.items()}
+        want |= root
+    got = by_id(ngram_components(frame(spark, [(i, " ".join(t)) for i, t in enumerate(texts)]).repartition(4), n, share))
+    assert {i: (len(s), want[i]) for i, s in enumerate(sets)} == {i: (r.n_shingles, r.component_id) for i, r in got.items()}
+
+
 def test_ngram_components_just_below_the_threshold(spark):
     """Many near copies around the threshold, on both sides of it, and a passage that most texts hold."""
     from censuskit.llm.ngram_join import ngram_components
@@ -416,7 +449,7 @@ def test_warc_zip(spark, tmp_path):
     from censuskit.llm.common import stash
     from censuskit.llm.warc_zip import ZipDirectory, archive_files, read_archives, write_archives
 
-    pages = [(i, None if i % 7 == 0 else f"http://h/{i}", [None, "", "<p>same</p>", f"<p>{i} é</p>", "x" * 5000][i % 5]) for i in range(60)] + [(3, "http://h/3", "<p>3 é</p>"), (None, "u", "<p>no id</p>")]
+    pages = [(i, None if i % 7 == 0 else f"http://h/{i}", [None, "", "<p>same</p>", f"<p>{i} é</p>", "x" * 5000][i % 5]) for i in range(60)] + [(3, "http://h/3", "<p>3 é</p>"), (None, "u", "<p>no id</p>"), (None, "v", "<p>same</p>"), (None, "w", "<p>no id</p>")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("payload_bytes", F.lit(1))
     archives = stash(write_archives(df, archive_bytes=20_000, member_bytes=6_000), "test-warc")
     rows = read_archives(archives, with_payload=True).collect()
@@ -428,7 +461,7 @@ def test_warc_zip(spark, tmp_path):
     want = collections.Counter()
     for i, u, h in pages:
         b, f = (h or "").encode(), first.get(h or "")
-        revisit = i is not None and f is not None and f != i
+        revisit = f is not None and f != i
         want[(i, u, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "revisit" if revisit else "response", f if revisit else None, None if revisit else b)] += 1
     assert want == collections.Counter((r.page_id, r.url, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, None if r.payload is None else bytes(r.payload)) for r in rows)
     # the files are ordinary ZIP files, and ordinary ones are read; compressed members are refused
