@@ -20,11 +20,17 @@ from censuskit.llm.common import crc_mod, documents, stash
 ORACLE_SQL = None
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A name that no column of docs has, whatever its case: Spark's names are alike in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     """docs with a number for each row, in a written table, and the name of that column."""
-    key = "row_number"
-    while key in docs.columns:
-        key += "_"
+    key = _free(docs, "row_number")
     return stash(docs.withColumn(key, F.monotonically_increasing_id()), name), key
 
 
@@ -68,9 +74,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs, key = _numbered(docs, "pipeline-mix")
     taken = mixing.mix_sources(docs, key_col=key)
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(1).cast("int")
-    times = key + "_times"
-    while times in docs.columns:
-        times += "_"
+    times = _free(docs, key + "_times")
     again = docs.join(taken.select(F.col("key").alias(key), copies.alias(times)).filter(F.col(times) > 0), key)
     return again.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(key, times)
 
