@@ -80,6 +80,22 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).drop("key")
 
 
+def op12_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from censuskit.llm.whitening import whiten
+
+    white = whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from censuskit.llm.hard_negatives import mine, mined_rows
+
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = mined_rows(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), moved)
+    return mine(rows, F.col("vec_id") % 100 == 0)
+
+
 OP7_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents)
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
@@ -88,13 +104,27 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)
 """
 
 
+OP13_SQL = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, c -> CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, CAST(list_sum(list_transform(list_zip(a.x, r.x), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM r AS a JOIN r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER w <= 10 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return import_module("corpus_pipeline").run(spark, sf_dir)
 
 
 ALL = [
     op1_license_scan, op2_katz_backoff, op3_iblt_fingerprint, op4_byte_bpe, op5_warc_zip, op6_toxicity,
-    op7_exact_dedup, op8_language_id, op9_ngram_join, op10_source_mixing, pipeline,
+    op7_exact_dedup, op8_language_id, op9_ngram_join, op10_source_mixing,
+    op12_feast_whitening, op13_hard_negatives, pipeline,
 ]
 
 
@@ -104,4 +134,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     pipeline_sql = import_module("corpus_pipeline").ORACLE_SQL
-    return {"op7_exact_dedup": OP7_SQL} | ({"pipeline": pipeline_sql} if pipeline_sql else {})
+    return {"op7_exact_dedup": OP7_SQL, "op13_hard_negatives": OP13_SQL} | ({"pipeline": pipeline_sql} if pipeline_sql else {})
