@@ -80,6 +80,16 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).drop("key")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from censuskit.llm.pii import BASE, find_personal_data
+
+    found = find_personal_data(documents(spark, sf_dir))
+    base = F.filter("detections", lambda s: s["base"])
+    joined = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])))
+    counts = [F.size(F.array_remove(F.transform(base, lambda s: s["kind"] == F.lit(kind)), False)).cast("long").alias(f"n_{kind}") for kind in BASE]  # noqa: B023
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("detections")).alias("spans"))
+
+
 def op12_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from censuskit.llm.whitening import whiten
 
@@ -124,7 +134,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL = [
     op1_license_scan, op2_katz_backoff, op3_iblt_fingerprint, op4_byte_bpe, op5_warc_zip, op6_toxicity,
     op7_exact_dedup, op8_language_id, op9_ngram_join, op10_source_mixing,
-    op12_feast_whitening, op13_hard_negatives, pipeline,
+    op11_personal_data, op12_feast_whitening, op13_hard_negatives, pipeline,
 ]
 
 
