@@ -136,10 +136,10 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _tokens(docs: DataFrame, n: int, share: int, with_tokens: bool) -> DataFrame:
-    """doc_id, key, n (set size), s1, s2 (order-free hashes of the set) and tokens: those of the
-    first quarter of the hash range, and the smallest others where these are fewer than a node
-    can miss and one."""
-    names = ["doc_id", "key", "n", "s1", "s2", *["tokens"] * with_tokens]
+    """doc_id, key, n (set size), s1, s2 (order-free hashes of the set) and, if asked for, tokens:
+    the sure ones of the first quarter of the hash range, whose number is ``known``, and the
+    smallest others where these are fewer than a node can miss and one."""
+    names = ["doc_id", "key", "n", "s1", "s2", *["known", "tokens"] * with_tokens]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -150,12 +150,12 @@ def _tokens(docs: DataFrame, n: int, share: int, with_tokens: bool) -> DataFrame
                     for s in ngram_sets(part.column("text").to_pylist(), n, hasher):
                         prefix = len(s) - (share * len(s) + 99) // 100 + 1 if len(s) else 0
                         quarter = int(np.searchsorted(s, np.uint64(_SURE)))
-                        sums.append((len(s), *_set_hashes(s)))
+                        sums.append((len(s), *_set_hashes(s), *[quarter] * with_tokens))
                         if with_tokens:
                             kept.append(s[: max(quarter, prefix)])
                     yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), *[pa.array(c, pa.int64()) for c in zip(*sums, strict=True)], *[_lists(kept)] * with_tokens], names)
 
-    return docs.mapInArrow(work, "doc_id long, key long, n long, s1 long, s2 long" + ", tokens array<long>" * with_tokens)
+    return docs.mapInArrow(work, "doc_id long, key long, n long, s1 long, s2 long" + ", known long, tokens array<long>" * with_tokens)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -235,11 +235,10 @@ def _with_label(rows: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _shared(nodes: DataFrame, whole: bool = False) -> DataFrame:
-    """The tokens of nodes (node, n, tokens) that two nodes or more hold: node, n, known (how many
-    sure tokens the node has), token, sure (every node that holds the token is counted in df:
-    all tokens of whole sets, else those of the fixed quarter), df."""
-    below = lambda t: F.lit(whole) | ((t >= 0) & (t < _SURE))
-    held = nodes.select("node", "n", F.size(F.filter("tokens", below)).alias("known"), F.explode("tokens").alias("token")).withColumn("sure", below(F.col("token")))
+    """The tokens of nodes (node, n, known, tokens) that two nodes or more hold: node, n, known (how
+    many sure tokens the node has), token, sure (every node that holds the token is counted in
+    df: all tokens of whole sets, else those of the fixed quarter), df."""
+    held = nodes.select("node", "n", "known", F.explode("tokens").alias("token")).withColumn("sure", F.lit(whole) | F.col("token").between(0, _SURE - 1))
     counts = stash(held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "ngram-counts")
     return salted(held, counts, ["token"], hot_keys(counts.withColumnRenamed("df", "rows"), ["token"]))
 
@@ -257,7 +256,7 @@ def _common(share: int) -> Column:
 def _led(nodes: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
     """The shared tokens (see _shared), and pairs (a, b) of queries and leaders."""
     by_node = W.partitionBy("node")
-    found = _shared(nodes.select("node", "n", "tokens")).withColumns({"pivot": F.min(F.xxhash64("token")).over(by_node), "weight": F.sum("df").over(by_node) / F.col("n"), "rank": F.row_number().over(by_node.orderBy("df", "token")), "alone": F.col("known") - F.count_if("sure").over(by_node)})
+    found = _shared(nodes.select("node", "n", "known", "tokens")).withColumns({"pivot": F.min(F.xxhash64("token")).over(by_node), "weight": F.sum("df").over(by_node) / F.col("n"), "rank": F.row_number().over(by_node.orderBy("df", "token")), "alone": F.col("known") - F.count_if("sure").over(by_node)})
     shared = stash(found.withColumn("band", _band(share)), "ngram-shared")
     group = ["pivot", "band"]
     leaders = shared.filter("rank = 1").groupBy(*group).agg(F.max(F.struct("weight", F.bitwise_not("node").alias("inverse"), F.col("n").alias("m"))).alias("top"))
@@ -366,10 +365,10 @@ def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, id_col: str =
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), F.col(text_col).alias("text"))
     # hashed twice: writing the tokens of all rows costs more disk than hashing costs time
     rows = stash(_tokens(docs, n, share, False), "ngram-rows")
-    classes = _tokens(docs, n, share, True).filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("tokens").alias("tokens"))
+    classes = _tokens(docs, n, share, True).filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("known").alias("known"), F.first("tokens").alias("tokens"))
     with brief(docs.sparkSession) as keep:
         nodes = stash(classes.withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
-        names = keep(nodes.drop("tokens"), "ngram-names")
+        names = keep(nodes.drop("known", "tokens"), "ngram-names")
         shared, pairs = _led(nodes, share)
         links = keep(_links(docs, names.drop("rows"), pairs, n, share), "ngram-links")
         comps = keep(components(links), "ngram-labels")
@@ -380,7 +379,8 @@ def ngram_components(docs: DataFrame, n: int = 4, share: int = 85, id_col: str =
     if not opened.isEmpty():
         with brief(docs.sparkSession) as keep:
             sets = _sets(docs, names.drop("rows").join(opened, "node", "left_semi"), n)
-            whole = _shared(sets.withColumn("n", F.size("tokens").cast("long")), whole=True)
+            size = F.size("tokens").cast("long")
+            whole = _shared(sets.withColumns({"n": size, "known": size}), whole=True)
             queries, members = _open_groups(_foreign(_with_label(whole, comps)), share)
             more = _block_links(sets, queries, members, share)
             if not more.isEmpty():
