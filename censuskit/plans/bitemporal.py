@@ -88,6 +88,21 @@ def bitemporal_window_agg(spark, d):
     return b.window_agg(spine(spark, d), events(spark, d), 7, {"span": F.round(F.min("value") + F.max("value"), 4), "kinds": F.concat(F.min("kind"), F.max("kind")), "n": F.count(F.lit(1))})
 
 
+@register("conditional_aggregator", f"""WITH {EV}, {SP}, g AS (SELECT sp.pid, sp.day, count(ev.event_id) AS n, sum(value) AS total, min(value) AS low, max(value) AS top, string_agg(kind, '>' ORDER BY ev.e, ev.r, event_id) AS path
+  FROM sp LEFT JOIN ev ON ev.pid = sp.pid AND greatest(ev.e, ev.r) <= sp.day AND ev.e > sp.day - 7 AND (ev.x IS NULL OR sp.day < ev.x) GROUP BY 1, 2)
+  SELECT pid, day, round(CASE WHEN n > 2 THEN (total - low - top) / (n - 2) WHEN n > 0 THEN total / n END, 4) AS trimmed, path FROM g""")
+def conditional_aggregator(spark, d):
+    """An opaque function of a week's visible events: their mean without the lowest and highest
+    value, and their kinds in order."""
+
+    def trimmed(seen):
+        v = sorted(seen["value"])
+        v = v[1:-1] if len(v) > 2 else v
+        return round(sum(v) / len(v), 4), ">".join(seen.sort_values(["e", "r", "event_id"])["kind"])
+
+    return b.window_apply(spine(spark, d), events(spark, d), 7, trimmed, "trimmed double, path string")
+
+
 @register("conditional_featurizer_all", f"""WITH {EV}, {SP}, g AS (SELECT sp.pid, sp.day, ev.kind, count(*) AS n_all, count(*) FILTER (WHERE ev.e > sp.day - 7) AS n_7, sp.day - max(ev.e) AS since
   FROM sp JOIN ev ON ev.pid = sp.pid AND greatest(ev.e, ev.r) <= sp.day GROUP BY 1, 2, 3)
   SELECT sp.pid, sp.day, {", ".join(f"CAST(coalesce(max(CASE WHEN kind = '{k}' THEN n_all END), 0) AS BIGINT) AS {k}_all, CAST(coalesce(max(CASE WHEN kind = '{k}' THEN n_7 END), 0) AS BIGINT) AS {k}_7, CAST(coalesce(max(CASE WHEN kind = '{k}' THEN since END), 9999) AS INT) AS {k}_since" for k in KINDS)}

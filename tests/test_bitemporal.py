@@ -1,5 +1,10 @@
-"""Literal frames of FIXTURES.md."""
+"""Literal frames of FIXTURES.md, and histories of many events against plain loops."""
 
+import datetime
+import random
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from censuskit.operators import bitemporal as b
@@ -76,3 +81,68 @@ def test_days_since(spark):
     events = spark.createDataFrame(F2, "pid long, e string, r string")
     (got,) = in_order(b.days_since(spine_of(spark, DAYS), events), DAYS, "days_since")
     assert got == (0, 1, 1, 9999, 0, 0, 9999, 22, 38)
+
+
+def plain_last(days, events, resets, n):
+    """pid, day -> the last n values, day by day over all events."""
+    out = {}
+    for pid, day in days:
+        seen = [(e, r, k, v) for p, e, r, x, k, v in events if p == pid and max(e, r) <= day and (x is None or day < x)]
+        seen += [(e, r, k, None) for p, e, r, k in resets if p == pid and max(e, r) <= day]
+        got = []
+        for *_, v in sorted(seen, reverse=True)[:n]:
+            if v is None:
+                break
+            got.append(v)
+        out[pid, day] = (*got, *[None] * (n - len(got)))
+    return out
+
+
+@pytest.mark.parametrize("piece", [50_000, 40, 1])
+def test_last_n_in_pieces(spark, piece):
+    """Deletions, resets, nulls, many events on one day, patients without events or days."""
+    rng, zero = random.Random(piece), datetime.date(2020, 1, 1)
+    day = lambda i: zero + datetime.timedelta(days=i)
+    events, resets = [], []
+    for k in range(900):
+        pid = rng.choice([1, 1, 1, 2, 3, 5])
+        e = 50 if k % 5 == 0 else rng.randrange(120)
+        r = e + rng.choice([-1, 0, 0, 1, 5])
+        x = r + rng.choice([1, 2, 10, 60]) if rng.random() < 0.6 else None
+        events.append((pid, day(e), day(r), None if x is None else day(x), k, None if rng.random() < 0.05 else f"v{k}"))
+        if rng.random() < 0.02:
+            resets.append((pid, day(e), day(r), k + 10_000))
+    days = [(pid, day(i)) for pid in (1, 2, 3, 4) for i in range(-3, 130)]
+    got = b.last_n(
+        spark.createDataFrame(days, "pid long, day date"), spark.createDataFrame(events, "pid long, e date, r date, x date, k long, value string"), 3,
+        spark.createDataFrame(resets, "pid long, e date, r date, k long"), ("e", "r", "k"), piece,
+    ).collect()
+    assert len(got) == len(days)
+    assert {(r.pid, r.day): (r.last_1, r.last_2, r.last_3) for r in got} == plain_last(days, events, resets, 3)
+
+
+def test_last_n_time_follows_the_history(spark):
+    took = []
+    for n in (10_000, 100_000):
+        events = spark.range(n).select(F.lit(1).cast("long").alias("pid"), F.expr("date_add(DATE'1900-01-01', cast(id * 7919 % 36500 as int))").alias("e"), F.col("id").alias("value")).withColumns({"r": F.expr("date_add(e, cast(value % 5 as int))"), "x": F.expr("CASE WHEN value % 3 = 0 THEN date_add(e, cast(5 + value % 900 as int)) END")})
+        days = spark.range(36_500).select(F.lit(1).cast("long").alias("pid"), F.expr("date_add(DATE'1900-01-01', cast(id as int))").alias("day"))
+        began = time.time()
+        got = b.last_n(days, events, 3, order=("e", "r", "value"), piece=5_000).agg(F.count(F.lit(1)), F.count("last_3")).first()
+        took.append(time.time() - began)
+        assert got[0] == 36_500 and got[1] > 30_000
+    assert took[1] < 60
+
+
+def test_window_apply(spark):
+    stamp = lambda s: None if s == "-" else f"2020-01-{s[:2]} {s[3:]}:00:00"
+    rows = [r.split() for line in F3.split("\n") for r in line.split(";")]
+    events = spark.createDataFrame([(int(p), stamp(e), stamp(r), stamp(x), v, int(n)) for p, e, r, x, v, n in rows], "pid long, e string, r string, x string, v string, n long")
+    fn = lambda seen: (seen["v"].min() + seen["v"].max(), int(seen["n"].min() + seen["n"].max()))
+    got = b.window_apply(spine_of(spark, F3_DAYS), events, 7, fn, "a string, b long")
+    a, c = in_order(got, F3_DAYS, "a", "b")
+    assert [x or "-" for x in a] == R1
+    assert ["-" if x is None else str(x) for x in c] == R2
+    # without a window: all that is visible
+    ever = b.window_apply(spine_of(spark, F3_DAYS), events, None, lambda seen: (len(seen),), "n long")
+    agg = b.window_agg(spine_of(spark, F3_DAYS), events, 10_000, {"n": F.count(F.lit(1))})
+    assert sorted(map(str, ever.collect())) == sorted(map(str, agg.collect()))
