@@ -178,7 +178,8 @@ def slices(v: np.ndarray, k: int) -> list[tuple[float, float, int]]:
     while todo:
         a, b, n, left = todo.pop()
         if n > SLICE and left and b - a > 1e-6 * size:
-            m = above(v, mid := max(a, _settled(v, (a + b) / 2, size)))
+            mid = max(a, _settled(v, (a + b) / 2, size))
+            m = above(v, mid) - above(v, b)
             todo += [(a, mid, n - m, left - 1), (mid, b, m, left - 1)] if mid > a else [(a, b, n, 0)]
         elif n:
             out.append((a, b, n))
