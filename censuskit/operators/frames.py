@@ -153,20 +153,6 @@ def plain_names(df: DataFrame) -> DataFrame:
     return df.toDF(*map(plain, df.columns))
 
 
-def profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Per column: null, zero and outlier percentages (1.5 interquartile ranges) and bias-corrected skew; two passes."""
-    quartiles = df.agg(*[F.percentile(c, [0.25, 0.75]).alias(c) for c in names]).first()
-    share = lambda x: F.round(100.0 * F.avg(F.coalesce(x, F.lit(False)).cast("int")), 4)
-
-    def one(c: str) -> Column:
-        (a, b), n = quartiles[c], F.count(F.col(c)).cast("double")
-        skew = F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2)
-        outside = (F.col(c) < a - 1.5 * (b - a)) | (F.col(c) > b + 1.5 * (b - a))
-        return F.struct(F.lit(c).alias("col"), share(F.col(c).isNull()).alias("null_pct"), share(F.col(c) == 0).alias("zero_pct"), share(outside).alias("outlier_pct"), F.round(skew, 4).alias("skew"))
-
-    return df.agg(F.array(*map(one, names)).alias("rows")).select(F.inline("rows"))
-
-
 def average_ranks(df: DataFrame, name: str) -> DataFrame:
     """value -> average rank, by distinct values and over ranges of them."""
     counts = df.groupBy(F.col(name).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))

@@ -76,7 +76,6 @@ q("text_to_number_max", """WITH v AS (SELECT pid, e AS day, CASE WHEN event_id %
 q("daily_multi_agg_pivot", "SELECT pid, e AS day, " + ", ".join(f"round(percentile_cont(0.5) WITHIN GROUP (ORDER BY CASE WHEN kind = '{k}' THEN value END), 6) AS {k}_median, round(stddev_samp(CASE WHEN kind = '{k}' THEN value END), 6) AS {k}_std, max(CASE WHEN kind = '{k}' THEN value END) AS {k}_max, min(CASE WHEN kind = '{k}' THEN value END) AS {k}_min" for k in ("click", "purchase")) + " FROM ev GROUP BY pid, e")
 q("binary_correlation", """WITH b AS (SELECT CAST(count(*) FILTER (WHERE x AND y) AS DOUBLE) AS a, CAST(count(*) FILTER (WHERE x AND NOT y) AS DOUBLE) AS b, CAST(count(*) FILTER (WHERE NOT x AND y) AS DOUBLE) AS c, CAST(count(*) FILTER (WHERE NOT x AND NOT y) AS DOUBLE) AS d
   FROM (SELECT status = 'F' AS x, score > 100000 AS y FROM pr) z) SELECT round((a * d - b * c) / sqrt((a + b) * (a + c) * (d + b) * (d + c)), 6) AS phi FROM b""")
-q("target_correlation", "SELECT round(corr(l_quantity, y), 6) AS quantity, round(corr(l_extendedprice, y), 6) AS price, round(corr(l_discount, y), 6) AS discount, round(corr(l_tax, y), 6) AS tax FROM (SELECT *, CASE WHEN l_returnflag = 'R' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS y FROM lineitem) z")
 q("fold_text_by_rest", """SELECT user_id, CAST(ts AS DATE) AS day, CASE WHEN count(CASE WHEN event_id % 11 = 0 THEN 1 END) > 0 THEN NULL ELSE array_join(transform(array_sort(collect_list(struct(event_id, event_type))), x -> x.event_type), '') END AS warnings FROM events GROUP BY user_id, CAST(ts AS DATE)""",
   """SELECT user_id, CAST(ts AS DATE) AS day, CASE WHEN count(CASE WHEN event_id % 11 = 0 THEN 1 END) > 0 THEN NULL ELSE string_agg(event_type, '' ORDER BY event_id) END AS warnings FROM events GROUP BY user_id, CAST(ts AS DATE)""")
 q("mutual_information", """WITH j AS (SELECT CAST(floor(l_quantity / 10) AS INT) AS b, l_returnflag AS y, count(*) AS n FROM lineitem GROUP BY 1, 2), m AS (SELECT b, y, CAST(n AS DOUBLE) AS n, CAST(sum(n) OVER (PARTITION BY b) AS DOUBLE) AS nb, CAST(sum(n) OVER (PARTITION BY y) AS DOUBLE) AS ny, CAST(sum(n) OVER () AS DOUBLE) AS t FROM j)

@@ -90,7 +90,7 @@ def bitemporal_window_agg(spark, d):
 
 @register("conditional_aggregator", f"""WITH {EV}, {SP}, g AS (SELECT sp.pid, sp.day, count(ev.event_id) AS n, sum(value) AS total, min(value) AS low, max(value) AS top, string_agg(kind, '>' ORDER BY ev.e, ev.r, event_id) AS path
   FROM sp LEFT JOIN ev ON ev.pid = sp.pid AND greatest(ev.e, ev.r) <= sp.day AND ev.e > sp.day - 7 AND (ev.x IS NULL OR sp.day < ev.x) GROUP BY 1, 2)
-  SELECT pid, day, round(CASE WHEN n > 2 THEN (total - low - top) / (n - 2) WHEN n > 0 THEN total / n END, 4) AS trimmed, path FROM g""")
+  SELECT pid, day, CASE WHEN n > 2 THEN round(total - low - top, 2) / (n - 2) WHEN n > 0 THEN round(total, 2) / n END AS trimmed, path FROM g""")
 def conditional_aggregator(spark, d):
     """An opaque function of a week's visible events: their mean without the lowest and highest
     value, and their kinds in order."""
@@ -98,7 +98,7 @@ def conditional_aggregator(spark, d):
     def trimmed(seen):
         v = sorted(seen["value"])
         v = v[1:-1] if len(v) > 2 else v
-        return round(sum(v) / len(v), 4), ">".join(seen.sort_values(["e", "r", "event_id"])["kind"])
+        return round(sum(v), 2) / len(v), ">".join(seen.sort_values(["e", "r", "event_id"])["kind"])
 
     return b.window_apply(spine(spark, d), events(spark, d), 7, trimmed, "trimmed double, path string")
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from censuskit.operators import frames
+from censuskit.operators import frames, wide
 from censuskit.plans.registry import register
-from censuskit.plans.sqlviews import sql_query as q
+from censuskit.plans.sqlviews import run, sql_query as q
 from censuskit.sources.tables import table
 
 
@@ -164,8 +164,23 @@ def na_indicators(spark, d):
 
 
 GAPS = "SELECT o_orderkey, o_custkey % 25 AS fac, CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_totalprice END AS price, o_orderdate < TIMESTAMP '1999-01-01' AS train FROM orders"
-q("fill_median_train", f"WITH g AS ({GAPS.replace(chr(39) + '1999-01-01' + chr(39), chr(39) + '1999-01-01 00:00:00' + chr(39))}), m AS (SELECT percentile_cont(0.5) WITHIN GROUP (ORDER BY price) AS med FROM g WHERE train) SELECT o_orderkey, round(coalesce(price, med), 4) AS price FROM g CROSS JOIN m")
-q("fill_group_mean", f"WITH g AS ({GAPS.replace(chr(39) + '1999-01-01' + chr(39), chr(39) + '1999-01-01 00:00:00' + chr(39))}) SELECT o_orderkey, price IS NULL AS was_null, round(coalesce(price, avg(price) OVER (PARTITION BY fac)), 4) AS price FROM g")
+_GAPS = GAPS.replace("'1999-01-01'", "'1999-01-01 00:00:00'")
+
+
+@register("fill_median_train", f"WITH g AS ({_GAPS}), m AS (SELECT quantile_cont(price, 0.5) AS med FROM g WHERE train) SELECT o_orderkey, round(coalesce(price, med), 4) AS price FROM g CROSS JOIN m")
+def fill_median_train(spark, d):
+    """The median of the training rows, found by ranges, fills the gaps of all."""
+    rows = run(spark, d, _GAPS)
+    (median,) = wide.quantiles(rows.filter("train"), ["price"], [0.5])["price"]
+    return rows.select("o_orderkey", F.round(F.coalesce("price", F.lit(median)), 4).alias("price"))
+
+
+@register("fill_group_mean", f"WITH g AS ({_GAPS}) SELECT o_orderkey, price IS NULL AS was_null, round(coalesce(price, avg(price) OVER (PARTITION BY fac)), 4) AS price FROM g")
+def fill_group_mean(spark, d):
+    """Means are aggregated, a row for each facility, and joined; no task has a whole facility."""
+    rows = run(spark, d, _GAPS)
+    means = rows.groupBy("fac").agg(F.avg("price").alias("mean"))
+    return rows.join(means, "fac", "left").select("o_orderkey", F.col("price").isNull().alias("was_null"), F.round(F.coalesce("price", "mean"), 4).alias("price"))
 
 
 def _bins(key, edges, labels):
@@ -209,10 +224,20 @@ q("allergy_count", "WITH a AS (SELECT o_custkey, CASE WHEN o_orderkey % 5 = 0 TH
 NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@register("column_profile", " UNION ALL ".join(f"""SELECT '{c}' AS col, round(100.0 * avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 4) AS null_pct, round(100.0 * avg(CASE WHEN {c} = 0 THEN 1 ELSE 0 END), 4) AS zero_pct,
-  round(100.0 * avg(CASE WHEN {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1) THEN 1 ELSE 0 END), 4) AS outlier_pct, round(skewness({c}), 4) AS skew FROM lineitem, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM lineitem)""" for c in NUM))
+#: Columns with missing values, ties and zeros, made from a line's numbers.
+MADE = {f"x{i}": f"CASE WHEN (l_orderkey + {i}) % 11 = 0 THEN NULL ELSE CAST((l_partkey * {i} + l_suppkey * l_linenumber) % {5 + 3 * i} AS DOUBLE) END" for i in range(1, 13)}
+MANY = [*NUM, *MADE]
+LINES = f"w AS (SELECT *, {', '.join(f'{x} AS {c}' for c, x in MADE.items())} FROM lineitem)"
+
+
+def _many(spark, d):
+    return table(spark, d, "lineitem").select("*", *[F.expr(x).alias(c) for c, x in MADE.items()])
+
+
+@register("column_profile", f"WITH {LINES}, " + ", ".join(f"m_{c} AS (SELECT {c} AS v, count(*) AS n, sum(count(*)) OVER () AS total FROM w WHERE {c} <> 0 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1)" for c in MANY) + " " + " UNION ALL ".join(f"""SELECT '{c}' AS col, round(100.0 * avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 4) AS null_pct, round(100.0 * avg(CASE WHEN {c} = 0 THEN 1 ELSE 0 END), 4) AS zero_pct,
+  round(100.0 * avg(CASE WHEN {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1) THEN 1 ELSE 0 END), 4) AS outlier_pct, round(skewness({c}), 4) AS skew, (SELECT v FROM m_{c}) AS mode, round((SELECT 100.0 * n / total FROM m_{c}), 4) AS mode_pct FROM w, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM w)""" for c in MANY))
 def column_profile(spark, d):
-    return frames.profile(table(spark, d, "lineitem"), NUM)
+    return wide.profile(_many(spark, d), MANY)
 
 
 @register("row_profile", "SELECT l_orderkey, l_linenumber, CAST((CASE WHEN l_discount = 0 THEN 1 ELSE 0 END) + (CASE WHEN l_tax = 0 THEN 1 ELSE 0 END) AS INT) AS zeros, round((l_quantity + l_extendedprice + l_discount + l_tax) / 4, 6) AS mean, greatest(l_quantity, l_extendedprice, l_discount, l_tax) AS top FROM lineitem")
@@ -229,14 +254,27 @@ def rank_correlation(spark, d):
     return frames.spearman(table(spark, d, "lineitem").withColumn("y", F.col("l_returnflag") == "R"), NUM[:3], "y")
 
 
-PAIRS = [(a, b) for i, a in enumerate(NUM) for b in NUM[i + 1 :]]
+PAIRS = [(a, b) for i, a in enumerate(MANY) for b in MANY[i + 1 :]]
 
 
-@register("correlated_pairs", " UNION ALL ".join(f"SELECT * FROM (SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 5) AS r FROM lineitem) WHERE abs(r) >= 0.1" for a, b in PAIRS))
+@register("correlated_pairs", f"WITH {LINES} " + " UNION ALL ".join(f"SELECT * FROM (SELECT '{a}' AS a, '{b}' AS b, count(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN 1 END) AS n, round(corr({a}, {b}), 5) AS r FROM w) WHERE abs(r) >= 0.01" for a, b in PAIRS))
 def correlated_pairs(spark, d):
-    one = table(spark, d, "lineitem").agg(*[F.round(F.corr(a, b), 5).alias(f"{a}|{b}") for a, b in PAIRS])
-    long = one.select(F.explode(F.create_map(*[x for a, b in PAIRS for x in (F.lit(f"{a}|{b}"), F.col(f"{a}|{b}"))])).alias("k", "r"))
-    return long.select(F.split_part("k", F.lit("|"), F.lit(1)).alias("a"), F.split_part("k", F.lit("|"), F.lit(2)).alias("b"), "r").filter("abs(r) >= 0.1")
+    """All pairs of columns from sums of products of column blocks."""
+    return wide.correlations(_many(spark, d), MANY).withColumn("r", F.round("r", 5)).filter("abs(r) >= 0.01")
+
+
+@register("target_correlation", f"WITH {LINES} " + " UNION ALL ".join(f"SELECT '{c}' AS col, round(corr({c}, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END), 6) AS r FROM w" for c in MANY))
+def target_correlation(spark, d):
+    rows = _many(spark, d).withColumn("y", (F.col("l_returnflag") == "R").cast("double"))
+    return wide.correlations(rows, MANY, target="y").select(F.col("b").alias("col"), F.round("r", 6).alias("r"))
+
+
+@register("exact_quantiles", f"WITH {LINES} " + " UNION ALL ".join(f"SELECT '{c}' AS col, {', '.join(f'round(quantile_cont({c}, {p}), 6) AS q{int(100 * p)}' for p in (0.01, 0.25, 0.5, 0.9))} FROM w" for c in MANY))
+def exact_quantiles(spark, d):
+    """Quantiles of many columns by narrowing ranges; small ranges here, so that they are narrowed."""
+    found = wide.quantiles(_many(spark, d), MANY, [0.01, 0.25, 0.5, 0.9], few=50)
+    rows = spark.createDataFrame([(c, *v) for c, v in found.items()], "col string, q1 double, q25 double, q50 double, q90 double")
+    return rows.select("col", *[F.round(c, 6).alias(c) for c in rows.columns[1:]])
 
 
 @register("duplicate_columns", "SELECT * FROM (VALUES ('a', 'c')) t(a, b)")

@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Window as W, functions as F
 
 from censuskit.functions import notes
+from censuskit.functions.keywords import keyword_counts, label_count
 from censuskit.operators import frames
 from censuskit.plans.registry import register
 from censuskit.plans.sqlviews import sql_query as q
@@ -29,21 +30,24 @@ def tokenize_clean(spark, d):
     return _tokens(spark, d).select("doc_id", F.size("words").alias("n"), F.sha2(F.array_join("words", " "), 256).alias("words_sha"))
 
 
-KEYWORDS = [("idiot", "abuse"), ("moron", "abuse"), ("license", "legal"), ("licensed under", "legal"), ("token", "secret")]
-
-
 #: Fifty notes in a row stand for the notes of a patient.
 PATIENT = "floor(doc_id / 50)"
+#: Keywords by hand; the first words of each benchmark passage, two and three of them, are phrases too.
+KEYWORDS = [("idiot", "abuse"), ("moron", "abuse"), ("license", "legal"), ("licensed under", "legal"), ("token", "secret")]
+FIRST = r"regexp_extract(lower(text), '^([a-z]+ [a-z]+(?: [a-z]+){{{n}}})\b', 1)"
 
 
-@register("keyword_label_counts", """WITH k AS (SELECT * FROM (VALUES """ + ", ".join(f"('{a}', '{b}')" for a, b in KEYWORDS) + """) t(phrase, label)), c AS (SELECT d.doc_id, k.label, CAST(sum(len(regexp_extract_all(lower(d.text), '\\b' || k.phrase || '\\b')) - len(regexp_extract_all(lower(d.text), '\\b(?:no|not|by) ' || k.phrase || '\\b'))) AS BIGINT) AS n FROM documents d CROSS JOIN k GROUP BY 1, 2),
-  s AS (SELECT doc_id // 50 AS pid, doc_id, label, n FROM c) SELECT doc_id, label, n, CAST(sum(n) OVER (PARTITION BY pid, label ORDER BY doc_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS BIGINT) AS n_30, CAST(sum(n) OVER (PARTITION BY pid, label ORDER BY doc_id) AS BIGINT) AS n_all FROM s""".replace("\\\\b", "\\b"))
+@register("keyword_label_counts", """WITH b AS (""" + " UNION ".join(f"SELECT {FIRST.format(n=n)} AS phrase, 'topic_' || item_id % 3 AS label FROM benchmark" for n in (0, 1)) + """), k AS (SELECT * FROM (VALUES """ + ", ".join(f"('{a}', '{b}')" for a, b in KEYWORDS) + r""") t(phrase, label) UNION SELECT * FROM b WHERE phrase <> ''),
+  c AS (SELECT d.doc_id, k.label, CAST(sum(len(regexp_extract_all(lower(d.text), '\b' || k.phrase || '\b')) - len(regexp_extract_all(lower(d.text), '\b(?:no|not|by) ' || k.phrase || '\b'))) AS BIGINT) AS n FROM documents d CROSS JOIN k GROUP BY 1, 2),
+  s AS (SELECT doc_id // 50 AS pid, doc_id, label, n FROM c) SELECT doc_id, label, n, CAST(sum(n) OVER (PARTITION BY pid, label ORDER BY doc_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS BIGINT) AS n_30, CAST(sum(n) OVER (PARTITION BY pid, label ORDER BY doc_id) AS BIGINT) AS n_all FROM s""")
 def keyword_label_counts(spark, d):
-    """Counts per label in one projection over the text; cues right before a phrase negate it."""
-    labels = sorted({label for _, label in KEYWORDS})
-    low = table(spark, d, "documents").select("doc_id", F.lower("text").alias("low"))
-    wide = low.select("doc_id", *[notes.phrase_count(F.col("low"), [ph for ph, x in KEYWORDS if x == label]).cast("bigint").alias(label) for label in labels])
-    long = wide.unpivot("doc_id", labels, "label", "n")
+    """Phrases of a keyword table counted by label in one pass over each text; a cue right before
+    a phrase negates it."""
+    firsts = [table(spark, d, "benchmark").select(F.expr(FIRST.format(n=n).replace("\\b", "\\\\b")).alias("phrase"), F.concat(F.lit("topic_"), F.expr("item_id % 3")).alias("label")) for n in (0, 1)]
+    keywords = spark.createDataFrame(KEYWORDS, "phrase string, label string").unionByName(firsts[0]).unionByName(firsts[1])
+    labels = ["abuse", "legal", "secret", "topic_0", "topic_1", "topic_2"]
+    found = keyword_counts(table(spark, d, "documents").select("doc_id", "text"), "text", keywords, window=1)
+    long = found.select("doc_id", *[label_count("counts", label).alias(label) for label in labels]).unpivot("doc_id", labels, "label", "n")
     by = W.partitionBy(F.expr(PATIENT), "label").orderBy("doc_id")
     return long.select("doc_id", "label", "n", F.sum("n").over(by.rowsBetween(-29, 0)).alias("n_30"), F.sum("n").over(by.rowsBetween(W.unboundedPreceding, 0)).alias("n_all"))
 
@@ -89,12 +93,20 @@ def topic_rolling_mean(spark, d):
     return notes.rolling_vectors(topics, "pid", "doc_id", "topics", 7).select("doc_id", "topics")
 
 
-@register("phrase_detection", f"""WITH w AS (SELECT doc_id, {CLEAN} AS ws FROM documents), u AS (SELECT unnest(ws) AS word FROM w), c AS (SELECT word, count(*) AS n FROM u GROUP BY word), v AS (SELECT count(*) AS v FROM c), b AS (SELECT unnest(list_zip(ws[1:len(ws) - 1], ws[2:])) AS p FROM w WHERE len(ws) > 1), p AS (SELECT p[1] AS a, p[2] AS b, count(*) AS n_ab FROM b GROUP BY 1, 2),
-  k AS (SELECT p.a, p.b, n_ab, round((n_ab - 5) * CAST(v AS DOUBLE) / (x.n * y.n), 6) AS score FROM p JOIN c x ON x.word = p.a JOIN c y ON y.word = p.b CROSS JOIN v WHERE n_ab > 5 AND (n_ab - 5) * CAST(v AS DOUBLE) / (x.n * y.n) > 10),
-  t AS (SELECT unnest(list_zip(ws[1:len(ws) - 2], ws[2:len(ws) - 1], ws[3:])) AS p FROM w WHERE len(ws) > 2), q AS (SELECT p[1] AS a, p[2] AS b, p[3] AS z, count(*) AS n_abz FROM t GROUP BY 1, 2, 3)
-  SELECT * FROM k UNION ALL SELECT q.a || ' ' || q.b AS a, q.z AS b, n_abz AS n_ab, round((n_abz - 5) * CAST(v AS DOUBLE) / (k.n_ab * y.n), 6) AS score FROM q JOIN k ON k.a = q.a AND k.b = q.b JOIN c y ON y.word = q.z CROSS JOIN v WHERE n_abz > 5 AND (n_abz - 5) * CAST(v AS DOUBLE) / (k.n_ab * y.n) > 10""")
+def _found(words: str, n: str) -> str:
+    """Counts and scored pairs of a table of words in order (doc_id, pos, word)."""
+    return f"""u{n} AS (SELECT *, lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM {words}), c{n} AS (SELECT word, count(*) AS n FROM {words} GROUP BY word), v{n} AS (SELECT count(*) AS v FROM c{n}), p{n} AS (SELECT word AS a, nxt AS b, count(*) AS n_ab FROM u{n} WHERE nxt IS NOT NULL GROUP BY 1, 2),
+  k{n} AS (SELECT p{n}.a, p{n}.b, n_ab, round((n_ab - 5) * CAST(v AS DOUBLE) / (x.n * y.n), 6) AS score FROM p{n} JOIN c{n} x ON x.word = p{n}.a JOIN c{n} y ON y.word = p{n}.b CROSS JOIN v{n} WHERE n_ab > 5 AND (n_ab - 5) * CAST(v AS DOUBLE) / (x.n * y.n) > 10)"""
+
+
+@register("phrase_detection", f"""WITH w AS (SELECT doc_id, {CLEAN} AS ws FROM documents), t AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM w), {_found("t", "1")},
+  f AS (SELECT u1.doc_id, u1.pos FROM u1 JOIN k1 ON a = word AND b = nxt), g AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM f),
+  h AS (SELECT doc_id, pos FROM (SELECT *, min(pos) OVER (PARTITION BY doc_id, run) AS first FROM g) WHERE (pos - first) % 2 = 0),
+  m AS (SELECT u1.doc_id, u1.pos, CASE WHEN h.pos IS NOT NULL THEN word || '_' || nxt ELSE word END AS word FROM u1 LEFT JOIN h ON h.doc_id = u1.doc_id AND h.pos = u1.pos LEFT JOIN h AS l ON l.doc_id = u1.doc_id AND l.pos = u1.pos - 1 WHERE l.pos IS NULL), {_found("m", "2")}
+  SELECT 1 AS turn, * FROM k1 UNION ALL SELECT 2 AS turn, * FROM k2""")
 def phrase_detection(spark, d):
-    return notes.phrases(frames.written(_tokens(spark, d), "words"), "words", least=5, score=10.0)
+    words = frames.written(_tokens(spark, d).withColumn("row", F.monotonically_increasing_id()), "words")
+    return notes.phrases(words, "row", "words", least=5, score=10.0)
 
 
 @register("word_vectors")
