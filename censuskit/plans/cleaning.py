@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from censuskit.operators import frames, wide
 from censuskit.plans.registry import register
 from censuskit.plans.sqlviews import run, sql_query as q
+from censuskit.sources import database
 from censuskit.sources.tables import table
 
 
@@ -15,6 +16,16 @@ q("src_parquet", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 q("src_sql_dataset", "SELECT o.o_orderkey, c.c_mktsegment, o.o_totalprice FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey WHERE o.o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' AND c.c_nationkey IN (1, 2, 3)")
 
 
+@register("src_jdbc_dataset", "SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_totalprice > 100000 AND o_orderstatus <> 'P'")
+def src_jdbc_dataset(spark, d):
+    """Orders written to a database and read back in eight parts; the database applies the filters."""
+    connection = database.database_url(spark)
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("day"), "o_orderstatus")
+    database.write_table(orders, "orders_copy", connection, types="o_orderstatus VARCHAR(32)")
+    read = database.read_table(spark, "orders_copy", connection, key="o_orderkey")
+    return read.filter("o_totalprice > 100000 AND o_orderstatus <> 'P'").select("o_orderkey", "o_totalprice", "day")
+
+
 @register("src_csv_lookup", "SELECT p_partkey AS code, p_name AS label, p_type AS category FROM part")
 def src_csv_lookup(spark, d):
     """Codes written with quotes in header and cells come back without them."""

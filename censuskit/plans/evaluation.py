@@ -1,5 +1,6 @@
 """Evaluation, scoring, attribution and privacy (inventory 2.10)."""
 
+from functools import reduce
 from random import Random
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -7,9 +8,10 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import TrainValidationSplit
-from pyspark.sql import Window as W, functions as F
+from pyspark.sql import functions as F
 
-from censuskit.operators import metrics as m
+from censuskit.operators import metrics as m, privacy
+from censuskit.operators.attribution import event_reasons, parse_features
 from censuskit.operators.models import cross_fitted
 from censuskit.operators.scale import global_rank
 from censuskit.plans import proxies as p
@@ -151,24 +153,40 @@ def attribution_longform(spark, d):
 
 q("attribution_relevance", "SELECT l_orderkey, l_linenumber, CASE WHEN v IS NULL OR v = 9999 OR (v = 0 AND NOT feature LIKE 'days_since%') THEN 'NOT_RELEVANT' ELSE 'NOT_MAPPED' END AS status FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 5 = 0 THEN NULL WHEN l_partkey % 5 = 1 THEN 9999 WHEN l_partkey % 5 IN (2, 3) THEN 0 ELSE 3 END AS v, CASE WHEN l_partkey % 3 = 0 THEN 'days_since_x' ELSE 'count_x' END AS feature FROM lineitem) z")
 q("attribution_group_max", "SELECT l_orderkey, l_linenumber, max(l_extendedprice) OVER (PARTITION BY l_orderkey, l_suppkey % 3) AS top, l_extendedprice = max(l_extendedprice) OVER (PARTITION BY l_orderkey, l_suppkey % 3) AS is_top FROM lineitem")
-ASOF = """WITH a AS (SELECT s.pid, s.day, v.kind, v.event_id, v.value, row_number() OVER (PARTITION BY s.pid, s.day, v.kind ORDER BY v.e DESC, v.ts DESC, v.event_id DESC) AS rn FROM sp s JOIN ev v ON v.pid = s.pid AND v.e <= s.day AND v.e > DADD(s.day, -{w}) WHERE v.kind IN ({kinds}))"""
 
 
-@register("attribution_event_asof", duck_text(ASOF.format(w=7, kinds="'error', 'purchase', 'view', 'click'") + ", k AS (SELECT s.pid, s.day, x.kind FROM sp s CROSS JOIN (SELECT DISTINCT kind FROM ev WHERE kind IN ('error', 'purchase', 'view', 'click', 'signup')) x) SELECT k.pid, k.day, k.kind, a.event_id, CASE WHEN k.kind = 'signup' THEN 'NOT_MAPPED' WHEN a.event_id IS NULL THEN 'DATA_NOT_FOUND' WHEN a.value > 100 THEN 'MAPPED' ELSE 'DATA_FOUND' END AS status FROM k LEFT JOIN a ON a.pid = k.pid AND a.day = k.day AND a.kind = k.kind AND a.rn = 1"))
+FEATURES = ["cumsum_error_7_day", "cumsum_error_14_day", "days_since_last_purchase", "cumsum_purchase_2_day", "view_count_30_day", "view_count_90_day", "cumsum_click_1_day", "signup_indicator_3_day", "census_bed", "age"]
+PATTERNS = {"error": "error", "purchase": "purchase", "^view_count": "view", "click": "click", "signup": "signup"}
+VITALS = ["vtl_view_max_9_day", "vtl_view_min_2_day", "vtl_click_max_14_day"]
+USUAL = {"view": (20.0, 300.0), "error": (0.0, 100.0), "click": (0.0, 100.0), "purchase": (10.0, 100.0)}
+RULES = parse_features(FEATURES, PATTERNS, USUAL)
+VITAL_RULES = parse_features(VITALS, {"view": "view", "click": "click"}, USUAL)
+
+
+def _reasons_sql(rules) -> str:
+    cell = lambda x: "NULL" if x is None else f"'{x}'" if isinstance(x, str) else str(x)
+    values = ", ".join("(" + ", ".join(map(cell, r)) + ")" for r in rules)
+    return f"""WITH {p.EV}, {p.SP}, r AS (SELECT feature, CAST(kind AS VARCHAR) AS kind, win, CAST(low AS DOUBLE) AS low, CAST(high AS DOUBLE) AS high FROM (VALUES {values}) t(feature, kind, win, low, high)),
+      j AS (SELECT sp.pid, sp.day, r.*, v.e, v.event_id, v.value, row_number() OVER (PARTITION BY sp.pid, sp.day, r.feature ORDER BY v.e DESC NULLS LAST, v.ts DESC, v.event_id DESC) AS i FROM sp CROSS JOIN r LEFT JOIN ev v ON v.pid = sp.pid AND v.kind = r.kind AND v.e <= sp.day AND v.e > sp.day - r.win)
+      SELECT pid, day, feature, kind, event_id, CAST(day - e AS INT) AS days, CASE WHEN kind IS NULL THEN 'NOT_MAPPED' WHEN event_id IS NULL THEN 'DATA_NOT_FOUND' WHEN value < low OR value > high THEN 'MAPPED' ELSE 'DATA_FOUND' END AS status FROM j WHERE i = 1"""
+
+
+def _told(spark, d):
+    return p.events(spark, d).select("pid", F.col("e").alias("day"), "kind", "ts", "event_id", "value")
+
+
+@register("attribution_event_asof", _reasons_sql(RULES))
 def attribution_event_asof(spark, d):
-    """The latest event of each kind in the seven days up to each day: one union and one window
-    per patient and kind. Kind signup stands for features without a map."""
-    kinds = ("error", "purchase", "view", "click")
-    ev = p.events(spark, d)
-    days = p.spine(spark, d).select("pid", "day", F.explode(F.array(*map(F.lit, (*kinds, "signup")))).alias("kind"), F.lit(True).alias("asked"))
-    told = ev.filter(F.col("kind").isin(*kinds)).select("pid", F.col("e").alias("day"), "kind", F.struct("ts", "event_id", "value").alias("found"))
-    week = W.partitionBy("pid", "kind").orderBy(F.unix_date("day")).rangeBetween(-6, 0)
-    rows = days.unionByName(told, allowMissingColumns=True).withColumn("found", F.max("found").over(week)).filter("asked")
-    status = F.when(F.col("kind") == "signup", "NOT_MAPPED").when(F.col("found").isNull(), "DATA_NOT_FOUND").when(F.col("found.value") > 100, "MAPPED").otherwise("DATA_FOUND")
-    return rows.select("pid", "day", "kind", F.col("found.event_id").alias("event_id"), status.alias("status"))
-
-
-q("attribution_vitals_map", ASOF.format(w=9, kinds="'view'") + " SELECT s.pid, s.day, a.event_id, a.value, CASE WHEN a.value < 20 OR a.value > 300 THEN 'MAPPED' WHEN a.event_id IS NULL THEN 'DATA_NOT_FOUND' ELSE 'DATA_FOUND' END AS status FROM sp s LEFT JOIN a ON a.pid = s.pid AND a.day = s.day AND a.rn = 1")
+    """Features of five kinds of events with windows of a day to all time, read from their names."""
+    return event_reasons(p.spine(spark, d), _told(spark, d), RULES)
+
+
+@register("attribution_vitals_map", _reasons_sql(VITAL_RULES))
+def attribution_vitals_map(spark, d):
+    """Vitals: the last value in the feature's window, mapped if it is outside the usual bounds."""
+    return event_reasons(p.spine(spark, d), _told(spark, d), VITAL_RULES)
+
+
 q("attribution_transfer_map", """WITH u AS (SELECT pid, day, CAST(NULL AS DATE) AS moved, 1 AS asked FROM sp UNION ALL SELECT pid, e, e, 0 FROM ev WHERE kind = 'error'), w AS (SELECT pid, day, asked, max(moved) OVER (PARTITION BY pid ORDER BY day) AS last_day FROM u)
   SELECT pid, day, CASE WHEN last_day IS NULL THEN 'no transfer known' ELSE 'Transferred ' || CAST(DD(last_day, day) AS VARCHAR(10)) || ' days ago' END AS reason FROM w WHERE asked = 1""")
 
@@ -183,8 +201,41 @@ def deid_sequence_mask(spark, d):
     return ranked.select("s_suppkey", F.concat(F.lit("Facility #"), F.col("i").cast("string")).alias("name"), unit.alias("unit"))
 
 
-q("deid_date_shift", "SELECT okey, DADD(day, -1 * (pid % 90)) AS day FROM pr".replace("DADD(day, -1 * (pid % 90))", "DADD(day, off)").replace("FROM pr", "FROM (SELECT okey, day, -1 * (pid % 90) AS off FROM pr) z"))
-q("duplicate_entity", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders UNION ALL SELECT o_orderkey + 1000000000 AS o_orderkey, o_custkey + 1000000000 AS o_custkey, o_totalprice FROM orders WHERE o_custkey IN (1, 2, 4)")
+#: The tables of a customer: orders by key, their lines by the order, events by another name.
+ALIASES = {"user_id": "custkey"}
+SHOWN = {
+    "customer": ("c_custkey", "c_nationkey", None), "orders": ("o_orderkey", "o_custkey", "o_orderdate"),
+    "lineitem": ("l_orderkey", "l_partkey", "l_shipdate"), "events": ("event_id", "user_id", "ts"),
+}
+
+
+def _tables(spark, d):
+    return {t: table(spark, d, t) for t in SHOWN}
+
+
+def _shown(tables):
+    """One frame of all tables: name, two keys and a date."""
+    rows = [tables[t].select(F.lit(t).alias("name"), F.col(a).cast("long").alias("k1"), F.col(b).cast("long").alias("k2"), (F.col(day) if day else F.lit(None)).cast("timestamp_ntz").alias("moment")) for t, (a, b, day) in SHOWN.items()]
+    return reduce(lambda x, y: x.unionByName(y), rows)
+
+
+@register("deid_date_shift", """SELECT 'customer' AS name, c_custkey AS k1, c_nationkey AS k2, CAST(NULL AS TIMESTAMP) AS moment FROM customer UNION ALL SELECT 'orders', o_orderkey, o_custkey, CAST(o_orderdate AS TIMESTAMP) - to_days(CAST(o_custkey % 90 AS INT)) FROM orders
+  UNION ALL SELECT 'lineitem', l_orderkey, l_partkey, CAST(l_shipdate AS TIMESTAMP) - to_days(CAST(coalesce(o_custkey, 0) % 90 AS INT)) FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey UNION ALL SELECT 'events', event_id, user_id, CAST(ts AS TIMESTAMP) - to_days(CAST(user_id % 90 AS INT)) FROM events""")
+def deid_date_shift(spark, d):
+    """Every date column of the tables of a customer is moved by the customer's number of days."""
+    return _shown(privacy.shift_dates(_tables(spark, d), "custkey", lambda pid: -(pid % 90), ALIASES))
+
+
+COPY = 1_000_000_000
+
+
+@register("duplicate_entity", f"""WITH c AS (SELECT * FROM (VALUES (1), (2), (4)) t(pid)), a AS (SELECT 'customer' AS name, c_custkey AS k1, c_nationkey AS k2, CAST(NULL AS TIMESTAMP) AS moment, c_custkey AS pid, {COPY} AS o1, 0 AS o2 FROM customer
+  UNION ALL SELECT 'orders', o_orderkey, o_custkey, CAST(o_orderdate AS TIMESTAMP), o_custkey, {COPY}, {COPY} FROM orders UNION ALL SELECT 'lineitem', l_orderkey, l_partkey, CAST(l_shipdate AS TIMESTAMP), o_custkey, {COPY}, 0 FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+  UNION ALL SELECT 'events', event_id, user_id, CAST(ts AS TIMESTAMP), user_id, {COPY}, {COPY} FROM events)
+  SELECT name, CAST(k1 AS BIGINT) AS k1, CAST(k2 AS BIGINT) AS k2, moment FROM a UNION ALL SELECT name, CAST(k1 + o1 AS BIGINT), CAST(k2 + o2 AS BIGINT), moment FROM a WHERE pid IN (SELECT pid FROM c)""")
+def duplicate_entity(spark, d):
+    """The rows of three customers in four tables once more, under new ids that match each other."""
+    return _shown(privacy.duplicate_entities(_tables(spark, d), "custkey", lambda pid: pid.isin(1, 2, 4), COPY, ALIASES))
 
 
 @register("deid_shuffle_names", "WITH a AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey * 2654435761 % 4294967296, c_custkey) AS i FROM customer), b AS (SELECT c_name, row_number() OVER (ORDER BY c_custkey * 40503 % 65536, c_custkey) AS i FROM customer) SELECT c_custkey, c_name FROM a JOIN b USING (i)")

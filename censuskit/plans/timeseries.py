@@ -2,6 +2,7 @@
 
 from pyspark.sql import Window as W, functions as F
 
+from censuskit.functions import codes
 from censuskit.operators import asof, ranking, spine as sp_
 from censuskit.plans import proxies as p
 from censuskit.plans.registry import register
@@ -41,10 +42,10 @@ def facility_cutoff(spark, d):
     return sp_.cut_at(_intervals(spark, d), cut, "fac").select("okey", "pid", "b", "e")
 
 
-@register("calendar_spine", f"""WITH {p.EV}, cal AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-05', INTERVAL 1 DAY)) AS DATE) AS day), c AS (SELECT DISTINCT pid, e AS day FROM ev WHERE kind = 'view'), t AS (SELECT DISTINCT pid, e AS day FROM ev WHERE kind = 'error'),
+@register("calendar_spine", f"""WITH {p.EV}, cal AS (SELECT CAST(unnest(generate_series(min(e), max(e), INTERVAL 1 DAY)) AS DATE) AS day FROM ev), c AS (SELECT DISTINCT pid, e AS day FROM ev WHERE kind = 'view'), t AS (SELECT DISTINCT pid, e AS day FROM ev WHERE kind = 'error'),
   f AS (SELECT coalesce(c.pid, t.pid) AS pid, coalesce(c.day, t.day) AS day, t.pid IS NOT NULL AS moved FROM c FULL JOIN t ON c.pid = t.pid AND c.day = t.day) SELECT cal.day, f.pid, f.moved FROM cal LEFT JOIN f ON f.day = cal.day""")
 def calendar_spine(spark, d):
-    cal = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-02-05')) AS day")
+    cal = p.events(spark, d).agg(F.explode(F.sequence(F.min("e"), F.max("e"))).alias("day"))
     seen = p.events(spark, d).filter("kind IN ('view', 'error')").groupBy("pid", F.col("e").alias("day")).agg(F.bool_or(F.col("kind") == "error").alias("moved"))
     return cal.join(seen, "day", "left").select("day", "pid", "moved")
 
@@ -258,12 +259,20 @@ def rank_series_label(spark, d):
     return ranked.select("pid", "day", F.concat_ws("-", *[label(at(k)) for k in (3, 2, 1, 0)]).alias("series"))
 
 
-@register("holiday_distance", """WITH c AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-12-31', INTERVAL 1 DAY)) AS DATE) AS day), h AS (SELECT day FROM c WHERE (month(day) = 1 AND day(day) = 1) OR (month(day) = 7 AND day(day) = 4) OR (month(day) = 12 AND day(day) = 25) OR isodow(day) IN (6, 7)), e AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)
-  SELECT e.day, CAST(e.day - (SELECT max(h.day) FROM h WHERE h.day <= e.day) AS INT) AS since, CAST((SELECT min(h.day) FROM h WHERE h.day >= e.day) - e.day AS INT) AS until FROM e""")
+NTH = "(month(day) = {m} AND isodow(day) = {w} AND day(day) BETWEEN {a} AND {b})"
+HOLIDAYS = " OR ".join(["(month(day) = 1 AND day(day) = 1)", "(month(day) = 6 AND day(day) = 19 AND year(day) >= 2021)", "(month(day) = 7 AND day(day) = 4)", "(month(day) = 11 AND day(day) = 11)", "(month(day) = 12 AND day(day) = 25)", *[NTH.format(m=m, w=w, a=a, b=b) for m, w, a, b in ((1, 1, 15, 21), (2, 1, 15, 21), (5, 1, 25, 31), (9, 1, 1, 7), (10, 1, 8, 14), (11, 4, 22, 28))]])
+
+
+@register("holiday_distance", f"""WITH e AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events UNION SELECT DISTINCT CAST(o_orderdate AS DATE) FROM orders), c AS (SELECT CAST(unnest(generate_series(min(day) - 400, max(day) + 400, INTERVAL 1 DAY)) AS DATE) AS day FROM e), f AS (SELECT day FROM c WHERE {HOLIDAYS}), h AS (SELECT day FROM f UNION SELECT day FROM c WHERE isodow(day) IN (6, 7))
+  SELECT e.day, CAST(e.day - (SELECT max(h.day) FROM h WHERE h.day <= e.day) AS INT) AS since, CAST((SELECT min(h.day) FROM h WHERE h.day >= e.day) - e.day AS INT) AS until, CAST((SELECT min(f.day) FROM f WHERE f.day >= e.day) - e.day AS INT) AS until_holiday FROM e""")
 def holiday_distance(spark, d):
-    free = (F.weekday("day") >= 5) | ((F.month("day") == 1) & (F.day("day") == 1)) | ((F.month("day") == 7) & (F.day("day") == 4)) | ((F.month("day") == 12) & (F.day("day") == 25))
-    cal = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-12-31')) AS day, 0 AS one")
-    w = W.partitionBy("one").orderBy("day")
-    off = F.when(free, F.col("day"))
-    cal = cal.select("day", F.date_diff("day", F.last(off, True).over(w)).alias("since"), F.date_diff(F.first(off, True).over(w.rowsBetween(0, W.unboundedFollowing)), "day").alias("until"))
-    return table(spark, d, "events").select(F.to_date("ts").alias("day")).distinct().join(F.broadcast(cal), "day")
+    """Days to the last and next day off (weekends and federal holidays), and to the next federal
+    holiday, for all days of events and orders; the calendar spans them and a year around."""
+    days = table(spark, d, "events").select(F.to_date("ts").alias("day")).unionByName(table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day"))).distinct()
+    cal = days.agg(F.explode(F.sequence(F.date_sub(F.min("day"), 400), F.date_add(F.max("day"), 400))).alias("day"))
+    holiday = codes.us_federal_holiday(F.col("day"))
+    year = W.partitionBy(F.lit(1)).orderBy("day")  # a row for each day of the calendar
+    ahead = year.rowsBetween(0, W.unboundedFollowing)
+    off, named = F.when(holiday | (F.weekday("day") >= 5), F.col("day")), F.when(holiday, F.col("day"))
+    cal = cal.select("day", F.date_diff("day", F.last(off, True).over(year)).alias("since"), F.date_diff(F.first(off, True).over(ahead), "day").alias("until"), F.date_diff(F.first(named, True).over(ahead), "day").alias("until_holiday"))
+    return days.join(cal, "day")
