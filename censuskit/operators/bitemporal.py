@@ -73,11 +73,12 @@ def _told(events: DataFrame) -> DataFrame:
     return told.filter("pid IS NOT NULL AND v_ <= until_")
 
 
-def _stretches(spine: DataFrame, events: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """Spine days and events with c - window < e, each with stretch_, a piece of time as long as the
-    window: an event is in those (three at most, whatever the history) whose days can see it."""
+def _stretches(spine: DataFrame, events: DataFrame, window: int, length: int) -> tuple[DataFrame, DataFrame]:
+    """Spine days and events with c - window < e, each with stretch_, a piece of time of length days,
+    not less than the window: an event is in those (three at most, whatever the history) whose
+    days can see it."""
     told = _told(events).withColumn("until_", F.least("until_", F.unix_date(F.to_date("e")) + (window - 1))).filter("v_ <= until_")
-    piece = lambda c: F.floor(F.col(c) / window).cast("int")
+    piece = lambda c: F.floor(F.col(c) / length).cast("int")
     told = told.withColumn("stretch_", F.explode(F.sequence(piece("v_"), piece("until_"))))
     days = spine.select("pid", "day", F.unix_date("day").alias("day_")).withColumn("stretch_", piece("day_"))
     return days, told
@@ -85,7 +86,7 @@ def _stretches(spine: DataFrame, events: DataFrame, window: int) -> tuple[DataFr
 
 def window_agg(spine: DataFrame, events: DataFrame, window: int, aggs: dict[str, Callable[[str], Column] | Column]) -> DataFrame:
     """Aggregates of the visible events with c - window < e <= c; null where there is none."""
-    days, told = _stretches(spine, events, window)
+    days, told = _stretches(spine, events, window, window)
     seen = days.join(told, ["pid", "stretch_"]).filter("day_ BETWEEN v_ AND until_")
     found = seen.groupBy("pid", "day").agg(*[a.alias(n) for n, a in aggs.items()])
     return spine.select("pid", "day").join(found, ["pid", "day"], "left")
@@ -96,13 +97,13 @@ def window_apply(spine: DataFrame, events: DataFrame, window: int | None, fn: Ca
     that are visible), in the order of e and r: one value for each column of schema, nulls where
     there is none. For functions that no Column expresses.
 
-    A group is a patient and a stretch of days as long as the window, with the events that it can
-    see; without a window it is all that a patient has, as the function is free to use it."""
+    A group is a patient and a stretch of 60 days (or of the window, if longer), with the events
+    that it can see; without a window it is all that a patient has, as the function is free to use it."""
     if window is None:
         days = spine.select("pid", "day", F.unix_date("day").alias("day_"), F.lit(0).alias("stretch_"))
         told = _told(events).withColumn("stretch_", F.lit(0))
     else:
-        days, told = _stretches(spine, events, window)
+        days, told = _stretches(spine, events, window, max(window, 60))
     names = [*events.columns]
     out = StructType([spine.schema["pid"], spine.schema["day"], *StructType.fromDDL(schema)])
 

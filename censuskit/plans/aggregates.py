@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from censuskit.operators import information
 from censuskit.operators.asof import next_after
 from censuskit.operators.scale import global_rank
 from censuskit.plans import proxies as p
 from censuskit.plans.registry import register
 from censuskit.plans.sqlviews import duck_text, sql_query as q
+from censuskit.sources.tables import table
 
 KINDS = ["click", "error", "purchase", "signup", "view"]
 q("pivot_event_count", "SELECT pid, e AS day, " + ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS cnt_{k}, CAST(max(CASE WHEN kind = '{k}' THEN 1 ELSE 0 END) AS INT) AS any_{k}" for k in KINDS) + " FROM ev GROUP BY pid, e")
@@ -78,8 +80,21 @@ q("binary_correlation", """WITH b AS (SELECT CAST(count(*) FILTER (WHERE x AND y
   FROM (SELECT status = 'F' AS x, score > 100000 AS y FROM pr) z) SELECT round((a * d - b * c) / sqrt((a + b) * (a + c) * (d + b) * (d + c)), 6) AS phi FROM b""")
 q("fold_text_by_rest", """SELECT user_id, CAST(ts AS DATE) AS day, CASE WHEN count(CASE WHEN event_id % 11 = 0 THEN 1 END) > 0 THEN NULL ELSE array_join(transform(array_sort(collect_list(struct(event_id, event_type))), x -> x.event_type), '') END AS warnings FROM events GROUP BY user_id, CAST(ts AS DATE)""",
   """SELECT user_id, CAST(ts AS DATE) AS day, CASE WHEN count(CASE WHEN event_id % 11 = 0 THEN 1 END) > 0 THEN NULL ELSE string_agg(event_type, '' ORDER BY event_id) END AS warnings FROM events GROUP BY user_id, CAST(ts AS DATE)""")
-q("mutual_information", """WITH j AS (SELECT CAST(floor(l_quantity / 10) AS INT) AS b, l_returnflag AS y, count(*) AS n FROM lineitem GROUP BY 1, 2), m AS (SELECT b, y, CAST(n AS DOUBLE) AS n, CAST(sum(n) OVER (PARTITION BY b) AS DOUBLE) AS nb, CAST(sum(n) OVER (PARTITION BY y) AS DOUBLE) AS ny, CAST(sum(n) OVER () AS DOUBLE) AS t FROM j)
-  SELECT round(sum(n / t * ln(n * t / (nb * ny))), 8) AS mi FROM m""")
+#: Digamma of whole numbers by harmonic sums; at and near the third neighbour of a class.
+NEAR = """WITH r AS (SELECT event_id AS id, value AS x, event_type AS y FROM events WHERE value IS NOT NULL), z AS (SELECT y, count(*) AS size FROM r GROUP BY y HAVING count(*) > 1),
+  g AS (SELECT a.id, a.x, z.size, least(3, z.size - 1) AS k, abs(a.x - b.x) AS gap, row_number() OVER (PARTITION BY a.id ORDER BY abs(a.x - b.x)) AS i FROM r a JOIN r b ON a.y = b.y AND a.id <> b.id JOIN z ON z.y = a.y),
+  d AS (SELECT id, x, size, k, gap AS dist FROM g WHERE i = k), m AS (SELECT d.id, any_value(d.size) AS size, any_value(d.k) AS k, count(*) AS m FROM d JOIN d p ON p.x = d.x OR (p.x > d.x - d.dist AND p.x < d.x + d.dist) GROUP BY d.id),
+  h AS (SELECT n, sum(1.0::DOUBLE / greatest(n - 1, 1) * CASE WHEN n > 1 THEN 1 ELSE 0 END) OVER (ORDER BY n) - 0.5772156649015329 AS psi FROM range(1, (SELECT count(*) + 1 FROM r)) t(n))
+  SELECT round(greatest(0, (SELECT psi FROM h WHERE n = (SELECT count(*) FROM m)) + avg(a.psi) - avg(b.psi) - avg(c.psi)), 6) AS mi FROM m JOIN h a ON a.n = m.k JOIN h b ON b.n = m.size JOIN h c ON c.n = m.m"""
+
+
+@register("mutual_information", NEAR)
+def mutual_information(spark, d):
+    """Between the value and the type of events, from the third neighbours of each type."""
+    mi = information.mutual_information(table(spark, d, "events"), "value", "event_type")
+    return spark.createDataFrame([(round(mi, 6),)], "mi double")
+
+
 q("chi2_score", """WITH f AS (SELECT l_returnflag AS y, sum(l_quantity) AS a, sum(l_tax) AS b, CAST(count(*) AS DOUBLE) AS n FROM lineitem GROUP BY l_returnflag), e AS (SELECT *, sum(a) OVER () * n / sum(n) OVER () AS ea, sum(b) OVER () * n / sum(n) OVER () AS eb FROM f)
   SELECT round(sum((a - ea) * (a - ea) / ea), 4) AS quantity, round(sum((b - eb) * (b - eb) / eb), 4) AS tax FROM e""")
 q("cramers_v", """WITH j AS (SELECT l_returnflag AS a, l_linestatus AS b, CAST(count(*) AS DOUBLE) AS n FROM lineitem GROUP BY 1, 2), r AS (SELECT a, sum(n) AS na FROM j GROUP BY a), c AS (SELECT b, sum(n) AS nb FROM j GROUP BY b), t AS (SELECT sum(n) AS n FROM j),

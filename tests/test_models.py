@@ -67,7 +67,8 @@ def test_platt_fit_has_no_gradient(spark, sf_dir):
 
 def test_search_tries_different_parameters(spark, sf_dir):
     got = run(spark, sf_dir, "hyperparameter_search").toPandas()
-    assert len(got) == 4 and got[["depth", "step", "subsample"]].drop_duplicates().shape[0] == 4
+    assert len(got) == 6 and got[["depth", "step", "subsample"]].drop_duplicates().shape[0] == 6
+    assert got.best.any() and (got[got.best].auc == got.auc.max()).all() and got.rounds.ge(1).all()
     assert got.auc.between(0, 1).all()
 
 
