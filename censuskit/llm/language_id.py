@@ -8,8 +8,8 @@ margins are marked as rejected (the choice is still returned).
 
 Learning reads all labelled rows and takes pieces of ``piece_chars`` characters from all
 over their texts, chosen by a hash with a share that follows from the language's bytes; a
-dictionary is at most ``dict_bytes`` of them. Languages with less text are taken whole. Every
-language has a dictionary. Prediction reads whole texts.
+dictionary is at most ``dict_bytes`` of them. Languages with less text are taken whole, however
+little it is. Every language has a dictionary. Prediction reads whole texts.
 
 Defined results: a text that is null or has no letter gets ``und``, score 0, rejected. If
 nothing can be learned, every text gets ``und``. With one language learned, it is chosen
@@ -52,7 +52,8 @@ def train_dictionaries(rows: DataFrame, id_col: str = "doc_id", text_col: str =
     for r in counts:
         pieces = dict.fromkeys(piece for _, piece in sorted(parts.get(r.lang, [])))
         out.append((r.lang, "\n".join(pieces).lower().encode()[-dict_bytes:]))
-    return [(lang, data) for lang, data in out if len(data) >= 8]
+    # zstandard takes no dictionary below eight bytes: a shorter one is repeated
+    return [(lang, data if len(data) >= 8 else (data + b"\n") * 8) for lang, data in out]
 
 
 class Identifier:
