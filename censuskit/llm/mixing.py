@@ -102,7 +102,8 @@ def placed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Documents at their places in their source's shuffled stream (start counts words from 0),
     and the targets. key_col: a column to keep."""
     size = F.expr(f"regexp_count(coalesce(`{text_col}`, ''), r'{WORD}')").cast("long")
-    shuffled = F.xxhash64(F.lit(seed), F.col(id_col))
+    # with the text, so that rows without an id, or with one that many have, are dealt out too
+    shuffled = F.xxhash64(F.lit(seed), F.col(id_col), F.coalesce(text_col, F.lit("")))
     key = F.col(key_col) if key_col else F.lit(None).cast("long")
     sizes = docs.select(F.col(id_col).alias("doc_id"), key.alias("key"), F.col(source_col).alias("source"), size.alias("size"), shuffled.alias("u"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("t"))
     sizes = stash(sizes, "mix-sizes")
