@@ -658,3 +658,24 @@ def test_brief_deletes_its_tables_but_keeps_results(spark):
         last = keep(third.join(first, "id"), "brief-last")
     assert not Path(third.inputFiles()[0].removeprefix("file://")).parent.exists()
     assert sorted(r.id for r in last.collect()) == [6, 7, 8, 9]
+
+
+def test_languages_with_hardly_any_text_have_a_dictionary(spark):
+    from censuskit.llm.language_id import identify, train_dictionaries
+
+    rows = [(i, "en", "the quick brown fox jumps over the lazy dog " * 3) for i in range(4)] + [(10, "xx", "ñ"), (11, "yy", "  "), (12, "zz", "")]
+    learned = train_dictionaries(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert [lang for lang, _ in learned] == ["en", "xx", "yy"] and all(len(data) >= 8 for _, data in learned)
+    got = {r.doc_id: r.lang_pred for r in identify(spark.createDataFrame([(1, "ñ ñ ñ ñ"), (2, "the lazy dog jumps over the quick brown fox")], "doc_id long, text string"), learned).collect()}
+    assert got[2] == "en"
+
+
+def test_mixing_deals_out_rows_without_an_id(spark):
+    from censuskit.llm.mixing import mix_sources, placed_documents
+
+    docs = frame(spark, [(None if i % 2 else 7, f"w{i} " * (5 + i % 7)) for i in range(400)]).withColumn("source", F.lit("s"))
+    placed, _ = placed_documents(docs)
+    starts = [r.start for r in placed.collect()]
+    assert len(set(starts)) == len(starts) == 400
+    rows = mix_sources(docs).collect()
+    assert sum(r.taken for r in rows) == pytest.approx(rows[0].target, abs=2)
