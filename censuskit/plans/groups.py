@@ -74,19 +74,26 @@ def fg_immunizations(spark, d):
     return p.spine(spark, d).join(seen, "pid", "left").select("pid", "day", flag("a").alias("flu"), flag("c").alias("covid"))
 
 
-CENSUS = f"""WITH {EV}, x AS (SELECT pid, e AS day, max(event_id) AS last_id, max(event_id) % 3 AS bed, count(*) AS n FROM ev GROUP BY 1, 2), c AS (SELECT *, CASE WHEN lag(bed) OVER w = bed AND day - lag(day) OVER w = 1 THEN 0 ELSE 1 END AS fresh FROM x WINDOW w AS (PARTITION BY pid ORDER BY day)),
-  g AS (SELECT *, sum(fresh) OVER (PARTITION BY pid ORDER BY day) AS grp FROM c) SELECT g.pid, g.day, bed, CAST(row_number() OVER (PARTITION BY g.pid, grp ORDER BY g.day) - 1 AS INT) AS streak, CASE WHEN c_custkey IS NULL THEN 'no payer info' WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'long' ELSE 'short' END AS payer FROM g LEFT JOIN customer ON c_custkey = g.pid"""
+#: What an order says of allergies: not known, none, or a list.
+SAID = "CASE WHEN o_orderkey % 5 = 0 THEN 'unknown' WHEN o_orderkey % 5 = 1 THEN 'none' ELSE repeat('x,', CAST(o_orderkey % 4 AS INT)) || 'y' END"
+ALLERGIES = "CASE WHEN t = 'unknown' THEN -1 WHEN t = 'none' THEN 0 ELSE length(t) - length(replace(t, ',', '')) + 1 END"
+CENSUS = f"""WITH {EV}, al AS (SELECT pid, CAST(max({ALLERGIES}) AS INT) AS allergies FROM (SELECT o_custkey AS pid, {SAID} AS t FROM orders) GROUP BY pid), x AS (SELECT pid, e AS day, max(event_id) AS last_id, max(event_id) % 3 AS bed, count(*) AS n FROM ev GROUP BY 1, 2), c AS (SELECT *, CASE WHEN lag(bed) OVER w = bed AND day - lag(day) OVER w = 1 THEN 0 ELSE 1 END AS fresh FROM x WINDOW w AS (PARTITION BY pid ORDER BY day)),
+  g AS (SELECT *, sum(fresh) OVER (PARTITION BY pid ORDER BY day) AS grp FROM c) SELECT g.pid, g.day, bed, CAST(row_number() OVER (PARTITION BY g.pid, grp ORDER BY g.day) - 1 AS INT) AS streak, CASE WHEN c_custkey IS NULL THEN 'no payer info' WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'long' ELSE 'short' END AS payer, coalesce(allergies, -1) AS allergies FROM g LEFT JOIN customer ON c_custkey = g.pid LEFT JOIN al ON al.pid = g.pid"""
 
 
 @register("fg_census", CENSUS)
 def fg_census(spark, d):
+    """Bed, days in it, payer, and the largest number of allergies that is known (-1: none is)."""
     x = p.events(spark, d).groupBy("pid", F.col("e").alias("day")).agg((F.max("event_id") % 3).alias("bed"))
     by = W.partitionBy("pid").orderBy("day")
     same = (F.lag("bed").over(by) == F.col("bed")) & (F.date_diff("day", F.lag("day").over(by)) == 1)
     runs = x.withColumn("grp", F.sum(F.when(same, 0).otherwise(1)).over(by))
     payer = table(spark, d, "customer").select(F.col("c_custkey").alias("pid"), F.when(F.col("c_mktsegment").isin("AUTOMOBILE", "MACHINERY"), "long").otherwise("short").alias("payer"))
+    said = table(spark, d, "orders").select(F.col("o_custkey").alias("pid"), F.expr(SAID).alias("t"))
+    allergies = said.groupBy("pid").agg(F.max(F.expr(ALLERGIES)).cast("int").alias("allergies"))
     streak = F.row_number().over(W.partitionBy("pid", "grp").orderBy("day")) - 1
-    return runs.withColumn("streak", streak).join(payer, "pid", "left").select("pid", "day", "bed", "streak", F.coalesce("payer", F.lit("no payer info")).alias("payer"))
+    both = runs.withColumn("streak", streak).join(payer, "pid", "left").join(allergies, "pid", "left")
+    return both.select("pid", "day", "bed", "streak", F.coalesce("payer", F.lit("no payer info")).alias("payer"), F.coalesce("allergies", F.lit(-1)).alias("allergies"))
 
 
 @register("fg_demographics", f"""WITH {EV}, {SP} SELECT sp.pid, sp.day, CAST(sp.day - (DATE '1930-01-01' + CAST(sp.pid * 37 % 9000 AS INT)) AS INT) AS age, sp.pid % 2 = 0 AS female, CAST(month(sp.day) AS INT) AS m, CAST(isodow(sp.day) - 1 AS INT) AS wd, c_custkey IS NULL AS na_indicator_payer FROM sp LEFT JOIN customer ON c_custkey = sp.pid AND c_acctbal > 0""")
@@ -195,18 +202,21 @@ def fg_notes(spark, d):
     return g.join(last, ["pid", "day"]).select("pid", "day", "views", "clicks", "views_7", "since", rounded("total"), rounded("ewm"))
 
 
+#: Types of assessments; those of the last kind carry no scores.
+TYPE = "CASE event_id % 3 WHEN 0 THEN 'annual' WHEN 1 THEN 'quarterly' ELSE 'entry' END"
+SCORED = f"{TYPE} IN ('annual', 'quarterly')"
 MDS = f"""WITH {EV}, {SP}, gone AS (SELECT sp.pid, sp.day, max(struct_pack(a := v.e, b := v.r, c := v.event_id)) AS top FROM sp JOIN ev v ON v.pid = sp.pid AND v.kind = 'error' AND greatest(v.e, v.r) <= sp.day GROUP BY 1, 2),
-  j AS (SELECT sp.pid, sp.day, v.value, row_number() OVER (PARTITION BY sp.pid, sp.day ORDER BY v.e DESC, v.r DESC, v.event_id DESC) AS i FROM sp LEFT JOIN gone ON gone.pid = sp.pid AND gone.day = sp.day JOIN ev v ON v.pid = sp.pid AND v.kind = 'signup' AND greatest(v.e, v.r) <= sp.day WHERE gone.top IS NULL OR struct_pack(a := v.e, b := v.r, c := v.event_id) > gone.top),
+  j AS (SELECT sp.pid, sp.day, v.value, row_number() OVER (PARTITION BY sp.pid, sp.day ORDER BY v.e DESC, v.r DESC, v.event_id DESC) AS i FROM sp LEFT JOIN gone ON gone.pid = sp.pid AND gone.day = sp.day JOIN ev v ON v.pid = sp.pid AND v.kind = 'signup' AND {SCORED.replace("event_id", "v.event_id")} AND greatest(v.e, v.r) <= sp.day WHERE gone.top IS NULL OR struct_pack(a := v.e, b := v.r, c := v.event_id) > gone.top),
   m AS (SELECT sp.pid, sp.day, max(CASE WHEN i = 1 THEN value END) AS last_1, max(CASE WHEN i = 2 THEN value END) AS last_2 FROM sp LEFT JOIN j ON j.pid = sp.pid AND j.day = sp.day GROUP BY 1, 2)
   SELECT pid, day, last_1, last_2, round(last_1 - last_2, 6) AS change, CASE WHEN last_1 < 50 THEN 'A' WHEN last_1 < 150 THEN 'B' WHEN last_1 >= 150 THEN 'C' ELSE 'none' END AS code FROM m"""
 
 
 @register("fg_mds", MDS)
 def fg_mds(spark, d):
-    """The last two visible assessments, their difference and the code of the last; a stay in
+    """The last two visible assessments of the types that carry scores, their difference and the code of the last; a stay in
     hospital (error) resets them."""
     ev = p.events(spark, d)
-    told = ev.filter("kind = 'signup'").select("pid", "e", "r", "event_id", "value")
+    told = ev.filter(f"kind = 'signup' AND {SCORED}").select("pid", "e", "r", "event_id", "value")
     resets = ev.filter("kind = 'error'").select("pid", "e", "r", "event_id")
     last = b.last_n(p.spine(spark, d), told, 2, resets, order=("e", "r", "event_id"))
     x = F.col("last_1")
@@ -222,7 +232,7 @@ COUNTS = ("n", "warnings", "n_3")
 
 def _final_sql() -> str:
     texts = registered_sql()
-    one = lambda name: f"{name} AS (SELECT pid, day, COLUMNS(* EXCLUDE (pid, day)) AS '{name}_\\0' FROM ({texts[f'fg_{name}']}))"
+    one = lambda name: f"g_{name} AS (SELECT pid, day, COLUMNS(* EXCLUDE (pid, day)) AS '{name}_\\0' FROM ({texts[f'fg_{name}']}))"
     wide = ", ".join(
         f"CAST(coalesce(max({c}) FILTER (WHERE kind = '{k}'), 0) AS BIGINT) AS vitals_{k}_{c}" if c in COUNTS else f"max({c}) FILTER (WHERE kind = '{k}') AS vitals_{k}_{c}"
         for k in p.KINDS for c in VITAL
@@ -230,23 +240,25 @@ def _final_sql() -> str:
     counts = [f"vitals_{k}_{c}" for k in p.KINDS for c in COUNTS]
     flags = ", ".join(f"vitals_{k}_n IS NULL OR vitals_{k}_n = 0 AS na_indicator_vitals_{k}" for k in p.KINDS)
     filled = ", ".join(f"coalesce({c}, 0) AS {c}" for c in counts)
-    joins = " ".join(f"LEFT JOIN {g} USING (pid, day)" for g in (*ON_SPINE[1:], "census", "vitals"))
-    return f"""WITH {", ".join(one(g) for g in (*ON_SPINE, "census"))}, vitals AS (SELECT pid, day, {wide} FROM ({texts["fg_vitals"]}) GROUP BY pid, day)
-      SELECT * REPLACE (coalesce(census_bed, -1) AS census_bed, coalesce(census_streak, 0) AS census_streak, coalesce(census_payer, 'no payer info') AS census_payer, {filled}), {flags} FROM rehosp {joins}"""
+    joins = " ".join(f"LEFT JOIN g_{g} USING (pid, day)" for g in (*ON_SPINE[1:], "census", "vitals"))
+    return f"""WITH {", ".join(one(g) for g in (*ON_SPINE, "census"))}, g_vitals AS (SELECT pid, day, {wide} FROM ({texts["fg_vitals"]}) GROUP BY pid, day)
+      SELECT * REPLACE (coalesce(census_bed, -1) AS census_bed, coalesce(census_streak, 0) AS census_streak, coalesce(census_payer, 'no payer info') AS census_payer, coalesce(census_allergies, -1) AS census_allergies, {filled}), {flags} FROM g_rehosp {joins}"""
 
 
 @register("fg_final", _final_sql())
 def fg_final(spark, d):
-    """All groups side by side on the spine. Each is partitioned by patient already and comes with
-    its name before its columns. Counts of days without a row are 0, and a missing vital has a flag."""
+    """All groups side by side on the spine, which is written once, as the events are. Each group is
+    partitioned by patient already and comes with its name before its columns. Counts of days without a row are 0, and a missing vital has a flag."""
     named = lambda df, name: df.select("pid", "day", *[F.col(c).alias(f"{name}_{c}") for c in df.columns if c not in ("pid", "day")])
     build = queries()
-    groups = [named(build[f"fg_{g}"](spark, d), g) for g in (*ON_SPINE, "census")]
-    wide = build["fg_vitals"](spark, d).groupBy("pid", "day").pivot("kind", p.KINDS).agg(*[F.first(c).alias(c) for c in VITAL])
+    with p.written_once(spark, d):
+        groups = [named(build[f"fg_{g}"](spark, d), g) for g in (*ON_SPINE, "census")]
+        vitals = build["fg_vitals"](spark, d)
+    wide = vitals.groupBy("pid", "day").pivot("kind", p.KINDS).agg(*[F.first(c).alias(c) for c in VITAL])
     whole = reduce(lambda x, y: x.join(y, ["pid", "day"], "left"), [*groups, named(wide, "vitals")])
     whole = whole.withColumns({f"na_indicator_vitals_{k}": F.coalesce(F.col(f"vitals_{k}_n"), F.lit(0)) == 0 for k in p.KINDS})
     zeros = ["census_streak", *[f"vitals_{k}_{c}" for k in p.KINDS for c in COUNTS]]
-    return whole.fillna(0, zeros).fillna(-1, ["census_bed"]).fillna("no payer info", ["census_payer"])
+    return whole.fillna(0, zeros).fillna(-1, ["census_bed", "census_allergies"]).fillna("no payer info", ["census_payer"])
 
 
 @register("score_card", f"""WITH {EV}, {SP}, s AS (SELECT sp.pid, sp.fac, sp.day, (SELECT count(*) FROM ev t WHERE t.pid = sp.pid AND t.kind = 'error' AND t.e < sp.day AND t.e >= sp.day - 5) AS alerts, coalesce(sp.day - (SELECT max(t.e) FROM ev t WHERE t.pid = sp.pid AND t.kind = 'signup' AND t.e <= sp.day), 181) AS days FROM sp),

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from censuskit.operators.frames import written
 from censuskit.sources.tables import table
 
+#: Events and spine of a folder, where they are tables already.
+_tables: ContextVar[tuple[str, DataFrame, DataFrame] | None] = ContextVar("tables", default=None)
+
 KINDS = ["click", "error", "purchase", "signup", "view"]
 
 #: Events: pid, fac, kind, e (event day), r (reported), x (deleted or null), value, ts, event_id.
@@ -21,7 +29,22 @@ TR = """tr AS (SELECT o_custkey AS pid, CAST(l_shipdate AS DATE) AS day, l_order
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag IN ('R', 'A'))"""
 
 
+@contextmanager
+def written_once(spark: SparkSession, d: str) -> Iterator[None]:
+    """Plans that are made in the block read events and spine from tables that are written first,
+    instead of building them again each."""
+    told = written(events(spark, d), "events")
+    token = _tables.set((d, told, told))
+    try:
+        _tables.set((d, told, written(spine(spark, d), "spine")))
+        yield
+    finally:
+        _tables.reset(token)
+
+
 def events(spark: SparkSession, d: str) -> DataFrame:
+    if (known := _tables.get()) and known[0] == d:
+        return known[1]
     day = F.to_date("ts")
     told = F.date_add(day, (F.col("event_id") % 4).cast("int"))
     return table(spark, d, "events").select(
@@ -31,6 +54,8 @@ def events(spark: SparkSession, d: str) -> DataFrame:
 
 
 def spine(spark: SparkSession, d: str) -> DataFrame:
+    if (known := _tables.get()) and known[0] == d and known[2] is not known[1]:
+        return known[2]
     ends = events(spark, d).groupBy("pid", "fac").agg(F.min("e").alias("a"), F.max("e").alias("b"))
     return ends.select("pid", "fac", F.explode(F.sequence("a", "b")).alias("day"))
 
