@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from censuskit.operators import metrics as m, privacy
 from censuskit.operators.attribution import event_reasons, parse_features
@@ -24,7 +24,8 @@ INC = BASE + ", i AS (SELECT pid, incident, min(rnk) AS best, bool_or(shown) AS
 q("performance_base", BASE + " SELECT okey, pid, client, day, rnk, label, shown FROM f")
 q("convert_to_events", INC + " SELECT pid, incident, best, caught, last_day FROM i")
 R = "round(avg(CASE WHEN {w} THEN CASE WHEN caught THEN CAST(1 AS DOUBLE) ELSE 0 END END), 6)"
-q("incident_recall", INC + f" SELECT {R.format(w='TRUE')} AS recall, {R.format(w='DD(last_day, incident) <= 30')} AS recall_short, {R.format(w='DD(last_day, incident) > 30')} AS recall_long, count(*) AS incidents FROM i")
+q("incident_recall", INC + f""" SELECT {R.format(w='TRUE')} AS recall, {R.format(w='DD(last_day, incident) <= 30')} AS recall_short, {R.format(w='DD(last_day, incident) > 30')} AS recall_long, {R.format(w="stay = 'long'")} AS recall_long_stay, {R.format(w="stay = 'short'")} AS recall_short_stay, {R.format(w="stay = 'no payer info'")} AS recall_no_payer, count(*) AS incidents
+  FROM (SELECT i.*, CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'long' WHEN c_mktsegment = 'BUILDING' OR c_mktsegment IS NULL THEN 'no payer info' ELSE 'short' END AS stay FROM i LEFT JOIN customer ON c_custkey = i.pid) z""")
 q("precision_at_cutoff", BASE + " SELECT client, round(avg(CASE WHEN shown THEN CASE WHEN label THEN CAST(1 AS DOUBLE) ELSE 0 END END), 6) AS precision_shown, count(*) AS n FROM f GROUP BY client")
 GRID = "generate_series(1, 20)"
 HITS = BASE + ", h AS (SELECT client, rnk, count(*) AS n, count(CASE WHEN label THEN 1 END) AS hits FROM f GROUP BY client, rnk), g AS (SELECT c.client, r.rnk FROM (SELECT DISTINCT client FROM pr) c CROSS JOIN (SELECT explode(sequence(1, 20)) AS rnk) r), w AS (SELECT g.client, g.rnk, coalesce(h.n, 0) AS n, coalesce(h.hits, 0) AS hits FROM g LEFT JOIN h ON h.client = g.client AND h.rnk = g.rnk), t AS (SELECT client, count(CASE WHEN label THEN 1 END) AS total FROM f GROUP BY client)"
@@ -62,11 +63,20 @@ def roc_auc(spark, d):
     return m.roc_auc(_labelled(spark, d)).select(F.round("auc", 6).alias("auc"))
 
 
-@register("per_facility_model_table", f"WITH {LAB}, c AS (SELECT source, count(*) FILTER (WHERE y) AS pos, count(*) FILTER (WHERE NOT y) AS neg FROM l GROUP BY source), a AS (SELECT a.source, sum(CASE WHEN a.s > b.s THEN 1.0 WHEN a.s = b.s THEN 0.5 ELSE 0 END) AS u FROM l a JOIN l b ON a.source = b.source AND a.y AND NOT b.y GROUP BY a.source) SELECT c.source, round(a.u / (pos * neg), 6) AS auc FROM c LEFT JOIN a USING (source)")
+@register("per_facility_model_table", f"""WITH {LAB}, c AS (SELECT source, count(*) FILTER (WHERE y) AS pos, count(*) FILTER (WHERE NOT y) AS neg FROM l GROUP BY source), a AS (SELECT a.source, sum(CASE WHEN a.s > b.s THEN 1.0 WHEN a.s = b.s THEN 0.5 ELSE 0 END) AS u FROM l a JOIN l b ON a.source = b.source AND a.y AND NOT b.y GROUP BY a.source),
+  d AS (SELECT doc_id, source, doc_id % 7 AS day, CAST(n_chars AS DOUBLE) AS s, quality = 1 AS y FROM documents JOIN labels USING (doc_id)), k AS (SELECT source, greatest(1, floor(0.15 * median(n))) AS cutoff FROM (SELECT source, day, count(*) AS n FROM d GROUP BY 1, 2) GROUP BY source),
+  t AS (SELECT source, y, row_number() OVER (PARTITION BY source, day ORDER BY s DESC, doc_id) AS i FROM d), r AS (SELECT source, sum(CASE WHEN y AND i <= cutoff THEN 1.0 ELSE 0 END) / nullif(sum(CASE WHEN y THEN 1 ELSE 0 END), 0) AS recall FROM t JOIN k USING (source) GROUP BY source)
+  SELECT c.source, 'length' AS model, round(a.u / (pos * neg), 6) AS auc, round(r.recall, 6) AS recall FROM c LEFT JOIN a USING (source) LEFT JOIN r USING (source)""")
 def per_facility_model_table(spark, d):
+    """AUC, and recall of the first 15 % of the median daily census, per facility and model."""
     labelled = _labelled(spark, d)
     auc = m.by_score(labelled, groups=["source"]).groupBy("source").agg((F.sum(F.col("n") * (F.col("tp") - F.col("p") / 2.0)) / F.nullif(F.first("pos") * F.first("neg"), F.lit(0))).alias("auc"))
-    return auc.select("source", F.round("auc", 6).alias("auc"))
+    days = labelled.withColumn("day", F.col("doc_id") % 7)
+    median = days.groupBy("source", "day").agg(F.count(F.lit(1)).alias("n")).groupBy("source").agg(F.percentile("n", 0.5).alias("m"))
+    cutoffs = median.select("source", F.greatest(F.lit(1), F.floor(0.15 * F.col("m"))).alias("cutoff"))
+    ranked = days.withColumn("i", F.row_number().over(W.partitionBy("source", "day").orderBy(F.desc("score"), "doc_id"))).join(cutoffs, "source")
+    recall = ranked.groupBy("source").agg((F.count_if(F.col("label") & (F.col("i") <= F.col("cutoff"))) / F.nullif(F.count_if("label"), F.lit(0))).alias("recall"))
+    return auc.join(recall, "source", "left").select("source", F.lit("length").alias("model"), F.round("auc", 6).alias("auc"), F.round("recall", 6).alias("recall"))
 
 
 @register("average_precision", f"WITH {STEPS} SELECT round(sum(p * tp / (CAST(pos AS DOUBLE) * (tp + fp))), 6) AS ap FROM c, n")
