@@ -76,7 +76,7 @@ def _bag(spark, d, size=100_000):
 
 def _topics(spark, d):
     bag = _bag(spark, d)
-    model = LDA(k=34, maxIter=3, optimizer="online", seed=7).fit(bag)
+    model = LDA(k=34, maxIter=20, optimizer="online", seed=7).fit(bag)
     return model.transform(bag).select("doc_id", vector_to_array("topicDistribution").alias("topics"))
 
 
@@ -111,14 +111,14 @@ def phrase_detection(spark, d):
 
 @register("word_vectors")
 def word_vectors(spark, d):
-    model = Word2Vec(vectorSize=16, minCount=15, maxIter=1, seed=3, inputCol="words", outputCol="v").fit(_tokens(spark, d))
+    model = Word2Vec(vectorSize=16, minCount=15, maxIter=5, seed=3, inputCol="words", outputCol="v").fit(_tokens(spark, d))
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
 @register("doc_vector_pool")
 def doc_vector_pool(spark, d):
     """Mean, sum and largest values of the vectors of each document's words; unknown words take the average vector."""
-    model = Word2Vec(vectorSize=16, minCount=15, maxIter=1, seed=3, inputCol="words", outputCol="v").fit(_tokens(spark, d))
+    model = Word2Vec(vectorSize=16, minCount=15, maxIter=5, seed=3, inputCol="words", outputCol="v").fit(_tokens(spark, d))
     vectors = model.getVectors().select("word", vector_to_array("vector").alias("v"))
     return notes.pool(_tokens(spark, d), "words", vectors, 16)
 
