@@ -38,8 +38,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model predicts toxic go. It learns from the labelled rows that op6
     learns from. Null and empty texts have no evidence and stay unless most labels are toxic;
     texts of any length are read whole; repeated rows go or stay together."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(crc_mod("doc_id", 5) != 0).select("doc_id", "toxic")
-    model = toxicity.train(labels.join(docs.select("doc_id", "text"), "doc_id"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(crc_mod("doc_id", 5) != 0)
+    model = toxicity.train(toxicity.with_labels(docs, labels))
     # under other names, so that none clashes with those of the scorer
     inner = {c: {"doc_id": "doc_id", "text": "text"}.get(c, f"column_{i}") for i, c in enumerate(docs.columns)}
     extra = tuple(F.col(f"`{c}`").alias(name) for c, name in inner.items() if c not in ("doc_id", "text"))
