@@ -168,8 +168,10 @@ def quantiles(df: DataFrame, names: Sequence[str], shares: Sequence[float], few:
 
         def counted(x: np.ndarray, edges: np.ndarray = edges, lo: np.ndarray = lo, hi: np.ndarray = hi) -> np.ndarray:
             out = np.zeros((len(rank), _FINE + 1))
-            for j, i in enumerate(column):
-                keys = np.sort(_ordered(x[~np.isnan(x[:, i]), i]))
+            keys, last = np.zeros(0, np.int64), -1
+            for j, i in enumerate(column):  # targets of a column stand together
+                if i != last:
+                    keys, last = np.sort(_ordered(x[~np.isnan(x[:, i]), i])), i
                 upto = np.searchsorted(keys, [lo[j] - 1, *edges[j], hi[j]], side="right")
                 out[j] = [upto[0], *np.diff(upto)]
             return out
