@@ -28,3 +28,17 @@ def test_notes_round_to_one_zero(spark, tmp_path):
     told = con.execute(f"SELECT total, ewm FROM ({registry.oracle_sql()['fg_notes']}) ORDER BY pid, day").fetchall()
     assert [(str(r.total), str(r.ewm)) for r in got] == [(str(a), str(b)) for a, b in told]
     assert str(got[0].total[0]) == "0.0"
+
+
+def test_mds_sees_every_assessment(spark, tmp_path):
+    rng = random.Random(7)
+    events = [(i, i % 2, rng.choice(["signup", "signup", "error"]) if i > 12 else "signup", i // 4, float(rng.randrange(300))) for i in range(60)]
+    con = tables(spark, tmp_path, events, [(0, [1.0] * 8)])
+    got = registry.queries()["fg_mds"](spark, str(tmp_path)).orderBy("pid", "day")
+    told = con.execute(f"SELECT pid, day, last_1, last_2, change, code FROM ({registry.oracle_sql()['fg_mds']}) ORDER BY pid, day").fetchall()
+    assert [tuple(r) for r in got.select("pid", "day", "last_1", "last_2", "change", "code").collect()] == told
+    # all three events of patient 0 that are known on the third day, the newest of them first
+    known = sorted(((day, day + i % 4, i), value) for i, u, kind, day, value in events if u == 0 and kind == "signup" and max(day, day + i % 4) <= 2)
+    assert got.filter(F.col("pid") == 0).collect()[2].last_1 == known[-1][1]
+    third = [i for (_, _, i), _ in known[-2:] if i % 3 == 2]
+    assert third, "an event with a number that leaves 2 on division by 3 is among the last two"
