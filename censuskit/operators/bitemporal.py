@@ -16,6 +16,7 @@ from heapq import heappop, heappush
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 NEVER = 9999
@@ -119,6 +120,40 @@ def window_apply(spine: DataFrame, events: DataFrame, window: int | None, fn: Ca
     return days.groupBy("pid", "stretch_").cogroup(told.groupBy("pid", "stretch_")).applyInPandas(apply, out)
 
 
+def window_lists(spine: DataFrame, events: DataFrame, window: int, fn: Callable[..., tuple], schema: str, columns: Sequence[str], order: Sequence[str] = ("e", "r")) -> DataFrame:
+    """As window_apply, for functions of lists: fn gets the values of each of columns, of the visible
+    events in the given order (nulls first). Events and days are united and sorted by patient and
+    stretch, events first; a task holds the events of one stretch and makes no frame for a day."""
+    days, told = _stretches(spine, events, window, max(window, 60))
+    out = StructType([spine.schema["pid"], spine.schema["day"], *StructType.fromDDL(schema)])
+    types = [f.type for f in to_arrow_schema(out)][2:]
+    keys, names = [f"k{i}_" for i in range(len(order))], [f"c{i}_" for i in range(len(columns))]
+    changes = told.select("pid", "stretch_", F.lit(False).alias("asked_"), "v_", "until_", *[F.col(c).alias(k) for c, k in zip(order, keys, strict=True)], *[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)])
+    asked = days.select("pid", "stretch_", F.lit(True).alias("asked_"), "day", "day_")
+    rows = changes.unionByName(asked, allowMissingColumns=True).repartition("pid", "stretch_").sortWithinPartitions("pid", "stretch_", "asked_", *keys).drop(*keys)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, seen = None, []
+        for batch in batches:
+            places, found = [], []
+            column = [batch.column(c).to_pylist() for c in ("pid", "stretch_", "asked_", "day_", "v_", "until_", *names)]
+            for i, (pid, stretch, ask, number, *event) in enumerate(zip(*column, strict=True)):
+                if place != (pid, stretch):
+                    place, seen = (pid, stretch), []
+                if not ask:
+                    seen.append(event)
+                    continue
+                inside = [x[2:] for x in seen if x[0] <= number <= x[1]]
+                places.append(i)
+                found.append(fn(*map(list, zip(*inside, strict=True))) if inside else [None] * len(types))
+            if places:
+                at = pa.array(places)
+                made = [pa.array([f[k] for f in found], t) for k, t in enumerate(types)]
+                yield pa.RecordBatch.from_arrays([batch.column("pid").take(at), batch.column("day").take(at), *made], out.names)
+
+    return rows.mapInArrow(walk, out)
+
+
 class _Newest:
     """An event in a heap whose smallest member is the newest; stop ends the list of values."""
 

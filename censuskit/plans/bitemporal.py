@@ -95,12 +95,12 @@ def conditional_aggregator(spark, d):
     """An opaque function of a week's visible events: their mean without the lowest and highest
     value, and their kinds in order."""
 
-    def trimmed(seen):
-        v = sorted(seen["value"])
+    def trimmed(values, kinds):
+        v = sorted(values)
         v = v[1:-1] if len(v) > 2 else v
-        return round(sum(v), 2) / len(v), ">".join(seen.sort_values(["e", "r", "event_id"])["kind"])
+        return round(sum(v), 2) / len(v), ">".join(kinds)
 
-    return b.window_apply(spine(spark, d), events(spark, d), 7, trimmed, "trimmed double, path string")
+    return b.window_lists(spine(spark, d), events(spark, d), 7, trimmed, "trimmed double, path string", ["value", "kind"], ["e", "r", "event_id"])
 
 
 @register("conditional_featurizer_all", f"""WITH {EV}, {SP}, g AS (SELECT sp.pid, sp.day, ev.kind, count(*) AS n_all, count(*) FILTER (WHERE ev.e > sp.day - 7) AS n_7, sp.day - max(ev.e) AS since

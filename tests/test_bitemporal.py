@@ -146,3 +146,15 @@ def test_window_apply(spark):
     ever = b.window_apply(spine_of(spark, F3_DAYS), events, None, lambda seen: (len(seen),), "n long")
     agg = b.window_agg(spine_of(spark, F3_DAYS), events, 10_000, {"n": F.count(F.lit(1))})
     assert sorted(map(str, ever.collect())) == sorted(map(str, agg.collect()))
+
+
+def test_window_lists_as_window_apply_without_frames(spark, monkeypatch):
+    rng = random.Random(11)
+    at = lambda i: datetime.date(2020, 1, 1) + datetime.timedelta(days=i)
+    rows = [(rng.choice([1, 2, 3, None]), at(d := rng.randrange(150)), at(d + rng.randrange(4)), at(d + 9) if k % 5 == 0 else None, k, rng.choice(["a", "b", None])) for k in range(300)]
+    events = spark.createDataFrame(rows, "pid long, e date, r date, x date, n long, v string")
+    spine = spark.createDataFrame([(p, at(i)) for p in (1, 2, 4, None) for i in range(160)], "pid long, day date")
+    framed = b.window_apply(spine, events, 7, lambda seen: (len(seen), ",".join(map(str, seen.sort_values(["e", "r", "n"])["n"]))), "size long, path string")
+    monkeypatch.setattr(b, "pd", None)  # no frame is made
+    got = b.window_lists(spine, events, 7, lambda n, v: (len(v), ",".join(map(str, n))), "size long, path string", ["n", "v"], ["e", "r", "n"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, framed.collect()))
