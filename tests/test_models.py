@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, Word2Vec
 from pyspark.sql import functions as F
 
 from censuskit.functions import notes
@@ -125,3 +125,11 @@ def test_running_weights_over_many_blocks(spark, tmp_path):
     for i in (0, 5, 699, 700, 701, 1399, 1400, 2299):
         w = 2.0 ** (np.arange(-i, 1) / 7.0)
         assert got[i] == pytest.approx((values[: i + 1] * w).sum() / w.sum(), abs=1e-6)
+
+
+def test_word_vectors_are_trained_in_all_tasks(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(texts, "Word2Vec", lambda numPartitions=1, **more: asked.append(numPartitions) or Word2Vec(numPartitions=numPartitions, **more))
+    words = spark.createDataFrame([(["left", "right", f"w{i % 3}"],) for i in range(60)], "words array<string>")
+    assert {r.word for r in texts._word_vectors(words).collect()} == {"left", "right", "w0", "w1", "w2"}
+    assert asked == [spark.sparkContext.defaultParallelism] and asked[0] > 1
