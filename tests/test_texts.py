@@ -61,3 +61,13 @@ def test_merge_pairs(spark):
                 out.append(ws[at])
                 at += 1
         assert got[i] == (None if ws is None else out)
+
+
+def test_clean_tokens_against_a_plain_filter(spark):
+    stop = ["the", "and", "for"]
+    rows = ["The cat (and dogs) sat", "ab abc abc1 1abc a1bc the1 thes the for-and", "", None, "[x\ny] naïve Straße (open", "İstanbul the\tand  theand", "fort for  1 and2 foré"]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, text string")
+    bare = F.regexp_replace(F.regexp_replace(F.lower("text"), r"\[[^\]]*\]|\([^)]*\)", " "), "[^a-z0-9 ]+", " ")
+    plain = F.filter(F.split(bare, " "), lambda w: (F.length(w) > 2) & ~w.rlike("[0-9]") & ~w.isin(*stop))
+    for r in df.select(notes.clean_tokens(F.col("text"), stop).alias("a"), plain.alias("b")).collect():
+        assert r.a == r.b
