@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 BLOCK, HELD, CELLS = 128, 128 << 20, 4 << 20
 #: Values of one quantile's range that are counted one by one; wider ranges are narrowed first.
 FEW = 100_000
-#: Ranges that a range is cut into when it is narrowed.
-_FINE = 64
+#: Ranges that a range is cut into when it is narrowed: at least and at most, and bytes of their counts.
+_FINE, _FINEST, _COUNTS = 64, 1024, 8 << 20
 
 
 def blocks(batches: Iterator[pa.RecordBatch], names: Sequence[str]) -> Iterator[np.ndarray]:
@@ -151,7 +151,7 @@ def quantiles(df: DataFrame, names: Sequence[str], shares: Sequence[float], few:
     """Exact quantiles, between two values by linear interpolation; None for empty columns.
 
     The ranks wanted of each column are looked for in ranges: one pass counts the values below
-    and in 64 parts of each range, and the part with the rank is the next range, until at most
+    and in 64 to 1024 parts of each range, and the part with the rank is the next range, until at most
     ``few`` values or one value are left in it. The last pass counts these one by one."""
     n, _ = _counts_and_means(df, names)
     ranks = lambda p, m: (floor(p * (m - 1)), ceil(p * (m - 1)))
@@ -162,34 +162,38 @@ def quantiles(df: DataFrame, names: Sequence[str], shares: Sequence[float], few:
     ends = _ends(df, names)
     lo, hi = _ordered(ends[column, 0]), _ordered(ends[column, 1])
     below, inside = np.zeros(len(rank), np.int64), n[column].astype(np.int64)
-    while ((inside > few) & (lo < hi)).any():
-        cuts = [[int(a) + (int(b) - int(a)) * j // _FINE for j in range(1, _FINE)] for a, b in zip(lo, hi, strict=True)]
-        edges = np.array(cuts, np.int64)
-
-        def counted(x: np.ndarray, edges: np.ndarray = edges, lo: np.ndarray = lo, hi: np.ndarray = hi) -> np.ndarray:
-            out = np.zeros((len(rank), _FINE + 1))
+    while len(turn := np.flatnonzero((inside > few) & (lo < hi))):
+        fine = max(_FINE, min(_FINEST, _COUNTS // (8 * len(turn))))
+        cuts = [[int(lo[j]) + (int(hi[j]) - int(lo[j])) * k // fine for k in range(1, fine)] for j in turn]
+        # ranks of a column that are still in one range are counted once
+        ranges = list(dict.fromkeys((int(column[j]), int(lo[j]), int(hi[j])) for j in turn))
+        place = {r: k for k, r in enumerate(ranges)}
+        edges = {place[int(column[j]), int(lo[j]), int(hi[j])]: np.array(c, np.int64) for j, c in zip(turn, cuts, strict=True)}
+
+        def counted(x: np.ndarray, ranges: list = ranges, edges: dict = edges, fine: int = fine) -> np.ndarray:
+            out = np.zeros((len(ranges), fine + 1))
             keys, last = np.zeros(0, np.int64), -1
-            for j, i in enumerate(column):  # targets of a column stand together
+            for k, (i, a, b) in enumerate(ranges):  # ranges of a column stand together
                 if i != last:
-                    keys, last = np.sort(_ordered(x[~np.isnan(x[:, i]), i])), i
-                upto = np.searchsorted(keys, [lo[j] - 1, *edges[j], hi[j]], side="right")
-                out[j] = [upto[0], *np.diff(upto)]
+                    keys, last = _ordered(x[~np.isnan(x[:, i]), i]), i
+                within = keys[(keys >= a) & (keys <= b)]
+                out[k, 0] = np.count_nonzero(keys < a)
+                out[k, 1:] = np.bincount(np.searchsorted(edges[k], within), minlength=fine)
             return out
 
         got = np.rint(_target_sums(df, names, counted)).astype(np.int64)
-        for j in range(len(rank)):
-            passed, bounds = int(got[j, 0]), [int(lo[j]) - 1, *cuts[j], int(hi[j])]
-            for part in range(_FINE):
-                if rank[j] < passed + got[j, part + 1]:
-                    lo[j], hi[j], below[j], inside[j] = bounds[part] + 1, bounds[part + 1], passed, got[j, part + 1]
-                    break
-                passed += int(got[j, part + 1])
+        for j, c in zip(turn, cuts, strict=True):
+            counts = got[place[int(column[j]), int(lo[j]), int(hi[j])]]
+            upto, bounds = np.cumsum(counts), [int(lo[j]) - 1, *c, int(hi[j])]
+            part = int(np.searchsorted(upto[1:], rank[j], side="right"))
+            lo[j], hi[j], below[j], inside[j] = bounds[part] + 1, bounds[part + 1], upto[part], counts[part + 1]
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in blocks(batches, names):
+            keys, last = np.zeros(0, np.int64), -1
             for j, i in enumerate(column):
-                values = x[~np.isnan(x[:, i]), i]
-                keys = _ordered(values)
+                if i != last:
+                    keys, last = _ordered(x[~np.isnan(x[:, i]), i]), i
                 values, counts = np.unique(keys[(keys >= lo[j]) & (keys <= hi[j])], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), j, np.int32)), pa.array(values), pa.array(counts)], ["j", "key", "n"])
 
@@ -237,10 +241,16 @@ def _ends(df: DataFrame, names: Sequence[str]) -> np.ndarray:
 
 def modes(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """col, the most common value that is neither missing nor 0 (the smallest of equally common
-    ones), and its share of such values in percent. Values are counted with a map-side combine
-    for all columns at once, then the most common count of each column is taken."""
-    long = _plain(df, names).select(F.posexplode("x").alias("i", "value")).filter("value <> 0 AND NOT isnan(value)")
-    counts = long.groupBy("i", "value").agg(F.count(F.lit(1)).alias("n"))
+    ones), and its share of such values in percent. Tasks count the values of each block that they
+    read, all columns at once; these counts are added up, and the most common of each column is taken."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in blocks(batches, names):
+            for i in range(len(names)):
+                values, n = np.unique(x[(x[:, i] != 0) & ~np.isnan(x[:, i]), i], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), i, np.int32)), pa.array(values), pa.array(n)], ["i", "value", "n"])
+
+    counts = _plain(df, names).mapInArrow(counted, "i int, value double, n long").groupBy("i", "value").agg(F.sum("n").alias("n"))
     top = counts.groupBy("i").agg(F.max(F.struct("n", (-F.col("value")).alias("back"))).alias("top"), F.sum("n").alias("total"))
     named = F.get(F.array(*map(F.lit, names)), F.col("i"))
     return top.select(named.alias("col"), (-F.col("top.back")).alias("mode"), (100.0 * F.col("top.n") / F.col("total")).alias("mode_pct"))

@@ -90,3 +90,15 @@ def test_all_pairs_of_a_wide_table(spark, tmp_path):
     for i, (a, b) in enumerate(some):
         assert got[f"x{a}", f"x{b}"] == (want[2 * i], pytest.approx(want[2 * i + 1], abs=1e-9))
     pairs.unpersist()
+
+
+def test_quantiles_take_few_passes(spark, monkeypatch):
+    passes = []
+    whole = wide._target_sums
+    monkeypatch.setattr(wide, "_target_sums", lambda *a: passes.append(1) or whole(*a))
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1e6, 3000)
+    df = spark.createDataFrame([(float(v), float(round(v / 1e5))) for v in x], "a double, b double")
+    got = wide.quantiles(df, ["a", "b"], [0.01, 0.5, 0.9], few=5)
+    assert got["a"] == pytest.approx(np.quantile(x, [0.01, 0.5, 0.9])) and got["b"] == pytest.approx(np.quantile(np.round(x / 1e5), [0.01, 0.5, 0.9]))
+    assert len(passes) <= 7
