@@ -6,6 +6,7 @@ from censuskit.operators import asof
 from censuskit.plans import proxies as p
 from censuskit.plans.registry import register
 from censuskit.plans.sqlviews import duck_text, sql_query as q
+from censuskit.sources.tables import table
 
 # ---- joins
 q("crosswalk_join", "SELECT o.o_orderkey, o.o_custkey, c.c_nationkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey")
@@ -67,11 +68,23 @@ q("select_distinct", "SELECT DISTINCT p.client, p.fac, p.status, t.reason, t.pla
 q("symmetric_difference", """WITH a AS (SELECT o_custkey AS k, o_orderstatus AS s FROM orders WHERE o_orderkey % 2 = 0), b AS (SELECT o_custkey AS k, o_orderstatus AS s FROM orders WHERE o_orderkey % 2 = 1)
   SELECT k, s, 'a' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) x UNION ALL SELECT k, s, 'b' AS side FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) y""")
 q("set_intersection", "SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F' INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'")
-q("table_diff", """WITH a AS (SELECT o_orderkey AS k, o_totalprice AS price, o_orderstatus AS status FROM orders), b AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 WHEN o_orderkey % 10 = 1 THEN o_totalprice + 0.0001 ELSE o_totalprice END AS price,
+@register("table_diff", """WITH a AS (SELECT o_orderkey AS k, o_totalprice AS price, o_orderstatus AS status FROM orders), b AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 WHEN o_orderkey % 10 = 1 THEN o_totalprice + 0.0001 ELSE o_totalprice END AS price,
     CASE WHEN o_orderkey % 15 = 0 THEN NULL ELSE o_orderstatus END AS status FROM orders WHERE o_orderkey % 20 <> 7),
   j AS (SELECT coalesce(a.k, b.k) AS k, a.k IS NULL AS no_a, b.k IS NULL AS no_b, a.price AS pa, b.price AS pb, a.status AS sa, b.status AS sb FROM a FULL OUTER JOIN b ON a.k = b.k)
   SELECT k, 'price' AS col FROM j WHERE NOT no_a AND NOT no_b AND (abs(pa - pb) > 0.001 OR (pa IS NULL) <> (pb IS NULL)) UNION ALL SELECT k, 'status' AS col FROM j WHERE NOT no_a AND NOT no_b AND sa IS DISTINCT FROM sb
   UNION ALL SELECT k, CASE WHEN no_a THEN 'only in b' ELSE 'only in a' END AS col FROM j WHERE no_a OR no_b""")
+def table_diff(spark, d):
+    """Keys in one table only, and columns that differ: one join, each row told once for each difference."""
+    o, k = table(spark, d, "orders"), F.col("o_orderkey")
+    price = F.when(k % 10 == 0, F.col("o_totalprice") + 1).when(k % 10 == 1, F.col("o_totalprice") + 0.0001).otherwise(F.col("o_totalprice"))
+    a = o.select(k.alias("ka"), F.col("o_totalprice").alias("pa"), F.col("o_orderstatus").alias("sa"))
+    b = o.filter(k % 20 != 7).select(k.alias("kb"), price.alias("pb"), F.when(k % 15 == 0, F.lit(None)).otherwise(F.col("o_orderstatus")).alias("sb"))
+    no_a, no_b = F.col("ka").isNull(), F.col("kb").isNull()
+    moved = (F.abs(F.col("pa") - F.col("pb")) > 0.001) | (F.col("pa").isNull() != F.col("pb").isNull())
+    told = F.array(
+        F.when(~no_a & ~no_b & moved, "price"), F.when(~no_a & ~no_b & ~F.col("sa").eqNullSafe(F.col("sb")), "status"), F.when(no_a, "only in b").when(no_b, "only in a")
+    )
+    return a.join(b, F.col("ka") == F.col("kb"), "full").select(F.coalesce("ka", "kb").alias("k"), F.explode(F.array_compact(told)).alias("col"))
 
 # ---- top-k, sorts
 q("topk_per_group_metric", "WITH r AS (SELECT *, row_number() OVER (PARTITION BY fac, day ORDER BY score DESC, okey) AS rn FROM pr) SELECT fac, day, okey, score FROM r WHERE rn <= 3")
