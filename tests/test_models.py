@@ -133,3 +133,8 @@ def test_word_vectors_are_trained_in_all_tasks(spark, monkeypatch):
     words = spark.createDataFrame([(["left", "right", f"w{i % 3}"],) for i in range(60)], "words array<string>")
     assert {r.word for r in texts._word_vectors(words).collect()} == {"left", "right", "w0", "w1", "w2"}
     assert asked == [spark.sparkContext.defaultParallelism] and asked[0] > 1
+
+
+def test_iterations_of_the_topic_model_read_a_table(spark, sf_dir):
+    plan = texts._bag(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "regexp" not in plan and "documents.parquet" not in plan
