@@ -5,17 +5,21 @@ rows with the columns of documents. ORACLE_SQL is None: scoring, n-gram componen
 byte-pair encoding have no SQL form, so a brute-force version tests the pipeline.
 
 Rows are told apart by a number that a stage gives them, never by their id: rows without an
-id, with an id that others have, or equal in everything take part like all others. Columns
+id, with an id that others have, or equal in everything take part like all others. The number
+is a row's place in its Parquet file, where docs are all rows of such files; other rows are
+written with a number first. A stage deletes the tables that led to its list of rows to keep,
+so that stages do not add up on disk. Columns
 are passed on as they are, whatever their names; only doc_id, text and source are read. An
 empty table gives an empty result in every stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from censuskit.llm import bpe, exact_dedup as dedup, mixing, ngram_join, toxicity
-from censuskit.llm.common import crc_mod, documents, stash
+from censuskit.llm.common import brief, crc_mod, documents, stash
 
 ORACLE_SQL = None
 
@@ -28,10 +32,30 @@ def _free(docs: DataFrame, name: str) -> str:
     return name
 
 
+def _files(docs: DataFrame, name: str) -> DataFrame | None:
+    """The files of docs, with a number each, if docs have each row of some Parquet files once."""
+    try:
+        place = docs.metadataColumn("_metadata")
+        places = docs.select(place["file_path"].alias("file"), place["row_index"].alias("row"))
+        rows = docs.sparkSession.read.parquet(*docs.inputFiles()).count()
+    except AnalysisException:
+        return None
+    files = stash(places.distinct().groupBy("file").agg(F.count(F.lit(1)).alias("rows")), name)
+    if not rows == docs.count() == (files.agg(F.sum("rows")).first()[0] or 0):
+        return None
+    return files.select("file", (F.row_number().over(W.orderBy("file")) - 1).cast("long").alias("number"))
+
+
 def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """docs with a number for each row, in a written table, and the name of that column."""
+    """docs with a number for each row, the same whenever they are read, and the name of that column."""
     key = _free(docs, "row_number")
-    return stash(docs.withColumn(key, F.monotonically_increasing_id()), name), key
+    files = _files(docs, name)
+    if files is None:
+        return stash(docs.withColumn(key, F.monotonically_increasing_id()), name), key
+    place, of = docs.metadataColumn("_metadata"), _free(docs, "row_file")
+    placed = docs.withColumns({key: place["row_index"], of: place["file_path"]})
+    files = F.broadcast(stash(files, name).select(F.col("file").alias(of), F.shiftleft("number", 40).alias(f"{of}_number")))
+    return placed.join(files, of).withColumn(key, F.col(key) + F.col(f"{of}_number")).drop(of, f"{of}_number"), key
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +75,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays, the one that op7 keeps. Null and empty texts
     are one group, as are texts of blanks; of rows that repeat, one stays."""
     docs, key = _numbered(docs, "pipeline-copies")
-    kept = dedup.exact_dedup(docs, key_col=key).filter("kept").select(F.col("key").alias(key))
+    with brief(spark) as keep:
+        kept = keep(dedup.exact_dedup(docs, key_col=key).filter("kept").select(F.col("key").alias(key)), "pipeline-copies")
     return docs.join(kept, key, "left_semi").drop(key)
 
 
@@ -60,7 +85,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     without an id after all others; of equal ids any one, the same in each rerun over the same
     table). Documents without words are in no group and stay."""
     docs, key = _numbered(docs, "pipeline-near")
-    found = stash(ngram_join.ngram_components(docs, n=5, share=80, key_col=key), "pipeline-near")
+    with brief(spark) as keep:
+        found = keep(ngram_join.ngram_components(docs, n=5, share=80, key_col=key), "pipeline-near")
     first = found.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"))
     kept = first.select(F.col("first.key").alias(key)).unionByName(found.filter("component IS NULL").select(F.col("key").alias(key)))
     return docs.join(stash(kept, "pipeline-near"), key, "left_semi").drop(key)
@@ -72,10 +98,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     only the document at the end of what is taken is rounded, so the source misses its target
     by half a document at most. Documents without words are taken once; a null source is one."""
     docs, key = _numbered(docs, "pipeline-mix")
-    taken = mixing.mix_sources(docs, key_col=key)
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(1).cast("int")
     times = _free(docs, key + "_times")
-    again = docs.join(taken.select(F.col("key").alias(key), copies.alias(times)).filter(F.col(times) > 0), key)
+    with brief(spark) as keep:
+        taken = mixing.mix_sources(docs, key_col=key)
+        taken = keep(taken.select(F.col("key").alias(key), copies.alias(times)).filter(F.col(times) > 0), "pipeline-mix")
+    again = docs.join(taken, key)
     return again.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(key, times)
 
 

@@ -7,6 +7,7 @@ import re
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from censuskit.llm.bpe import Vocabulary
 
@@ -101,6 +102,39 @@ def test_stages(spark, corpus):
         before = after
 
 
+@pytest.mark.parametrize("name", ["exact dedup", "n-gram Jaccard join", "mixing"])
+def test_stages_leave_no_texts(spark, corpus, name):
+    """What a stage leaves in the shared folder is lists of rows, not the documents."""
+    import glob
+    import os
+
+    import corpus_pipeline
+    from censuskit.llm.common import documents, shared_dir
+
+    base = shared_dir(spark).removeprefix("file://")
+    old = set(os.listdir(base))
+    dict(corpus_pipeline.STAGES)[name](spark, documents(spark, corpus), corpus).collect()
+    tables = [spark.read.parquet(f"file://{base}/{t}") for t in set(os.listdir(base)) - old if glob.glob(f"{base}/{t}/*.parquet")]
+    assert tables and not any("text" in t.columns or t.count() > 242 for t in tables)
+
+
+def test_rows_are_numbered_alike_however_they_are_read(spark, corpus):
+    """Numbers are places in files where docs are whole files; else they are written down once."""
+    import corpus_pipeline
+    from censuskit.llm.common import documents
+
+    docs = documents(spark, corpus)
+    whole = {"whole": docs, "filtered": docs.filter("doc_id % 3 > 0"), "twice": docs.unionByName(docs), "joined": docs.join(spark.range(2), F.lit(True)), "made": spark.createDataFrame([(1, "a"), (1, "a")], "row_file long, text string")}
+    for name, df in whole.items():
+        got, key = corpus_pipeline._numbered(df, f"test-{name}")
+        first = {r[key]: r for r in got.collect()}
+        assert len(first) == df.count() and set(got.columns) == {*df.columns, key}, name
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        again = {r[key]: r for r in got.repartition(7).collect()}
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert first == again, name
+
+
 def test_run_gives_the_last_stage(spark, corpus):
     import corpus_pipeline
 
