@@ -10,7 +10,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 def close_intervals(rows: DataFrame, begin: str, order: Sequence[str], last_day: str, action: Column) -> DataFrame:
     """Each row opens an interval that its patient's next row closes (a day before); the last
     one stays open until last_day. A null action is the previous one; rows before any
-    action are dropped. Adds b, e and act."""
+    action are dropped. Adds b, e and act.
+
+    Patients are dealt to all shuffle partitions, however small the rows are: the days that
+    unroll() makes of them are hundreds of times as many, and follow the tasks chosen here."""
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "pid")
     by = W.partitionBy("pid").orderBy(begin, *order)
     end = F.coalesce(F.date_sub(F.lead(begin).over(by), 1), F.to_date(F.lit(last_day)))
     return rows.withColumns({"b": F.col(begin), "e": end, "act": F.last(action, ignorenulls=True).over(by)}).filter("act IS NOT NULL")
