@@ -47,11 +47,16 @@ def search(rows: DataFrame, date: str, trials: int, rounds: int = ROUNDS, seed:
     model of the best one. rows: features, label and a date."""
     parts = written(by_date(rows, date, [0.6, 0.8]).withColumn("late", F.col("part") == 1), "search-rows")
     known, later = parts.filter("part < 2"), parts.filter("part = 2")
+    # kept decoded for all trials, in memory or on local disk; a lost part is read from the table again
+    known = known.select("features", "label", "late").persist()
     draw, tried, best = Random(seed), [], None
-    for _ in range(trials):
-        chosen = {"depth": draw.randint(2, 5), "step": round(draw.uniform(0.05, 0.3), 3), "subsample": round(draw.uniform(0.6, 1.0), 3)}
-        model = boosted(rounds, **chosen).fit(known)
-        tried.append(chosen | {"rounds": model.getNumTrees, "auc": auc(model.transform(later))})
-        if best is None or tried[-1]["auc"] > best[0]:
-            best = tried[-1]["auc"], model
+    try:
+        for _ in range(trials):
+            chosen = {"depth": draw.randint(2, 5), "step": round(draw.uniform(0.05, 0.3), 3), "subsample": round(draw.uniform(0.6, 1.0), 3)}
+            model = boosted(rounds, **chosen).fit(known)
+            tried.append(chosen | {"rounds": model.getNumTrees, "auc": auc(model.transform(later))})
+            if best is None or tried[-1]["auc"] > best[0]:
+                best = tried[-1]["auc"], model
+    finally:
+        known.unpersist()
     return tried, best[1]

@@ -78,3 +78,11 @@ def test_search_takes_the_best_on_the_latest_dates(spark):
     assert len(tried) == 3 and len({(t["depth"], t["step"]) for t in tried}) == 3
     later = models.by_date(rows, "day", [0.6, 0.8]).filter("part = 2")
     assert models.auc(best.transform(later)) == pytest.approx(max(t["auc"] for t in tried), abs=1e-9)
+
+
+def test_search_decodes_its_rows_once_for_all_trials(spark, monkeypatch):
+    seen, plain = [], models.GBTClassifier.fit
+    monkeypatch.setattr(models.GBTClassifier, "fit", lambda self, rows: seen.append((rows, rows.storageLevel.useMemory)) or plain(self, rows))
+    tried, _ = models.search(made(spark, 600, 0.2), "day", trials=2, rounds=2)
+    assert len(tried) == 2 and [kept for _, kept in seen] == [True, True]
+    assert not any(rows.storageLevel.useMemory for rows, _ in seen), "rows stay in memory after the search"
