@@ -8,13 +8,18 @@ Rows are told apart by a number that a stage gives them, never by their id: rows
 id, with an id that others have, or equal in everything take part like all others. The number
 is a row's place in its Parquet file, where docs are all rows of such files; other rows are
 written with a number first. A stage deletes the tables that led to its list of rows to keep,
-so that stages do not add up on disk. Columns
+so that stages do not add up on disk, and tells all tasks by a bit for each row which rows stay,
+so that texts are not shuffled by it. Columns
 are passed on as they are, whatever their names; only doc_id, text and source are read. An
 empty table gives an empty result in every stage.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import add
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
@@ -22,6 +27,8 @@ from censuskit.llm import bpe, exact_dedup as dedup, mixing, ngram_join, toxicit
 from censuskit.llm.common import brief, crc_mod, documents, stash
 
 ORACLE_SQL = None
+#: Lists of rows are sent to all tasks up to this many blocks of 64 rows; beyond it texts are joined by row.
+BROADCAST_BLOCKS = 1_000_000
 
 
 def _free(docs: DataFrame, name: str) -> str:
@@ -58,6 +65,28 @@ def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     return placed.join(files, of).withColumn(key, F.col(key) + F.col(f"{of}_number")).drop(of, f"{of}_number"), key
 
 
+def _as_often(docs: DataFrame, key: str, taken: DataFrame, name: str, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """docs without key, each row as often as taken (key, times) says, rows that it lacks not at all.
+    A block of 64 rows is one number for each binary digit of times; keep writes what is needed later."""
+    taken = stash(taken.select("key", F.col("times").cast("int")), name)
+    digits = range(int(taken.agg(F.max("times")).first()[0] or 1).bit_length())
+    one = F.expr("shiftleft(1L, CAST(key & 63 AS INT))")
+    marks = [F.bit_or(F.when(F.getbit("times", F.lit(i)) == 1, one).otherwise(F.lit(0).cast("long"))).alias(f"digit_{i}") for i in digits]
+    blocks = keep(taken.groupBy(F.shiftright("key", 6).alias("block")).agg(*marks), name)
+    times, block = _free(docs, key + "_times"), _free(docs, key + "_block")
+    if blocks.count() > BROADCAST_BLOCKS:
+        again = docs.join(keep(taken, name).select(F.col("key").alias(key), F.col("times").alias(times)), key)
+    else:
+        marked = blocks.select(F.col("block").alias(block), *[F.col(f"digit_{i}").alias(f"{block}_{i}") for i in digits])
+        placed = docs.withColumn(block, F.shiftright(key, 6)).join(F.broadcast(marked), block)
+        place = F.col(key).bitwiseAND(63).cast("int")
+        often = [F.getbit(f"{block}_{i}", place).cast("int") * 2**i for i in digits]
+        again = placed.withColumn(times, reduce(add, often)).filter(F.col(times) > 0).drop(block, *[f"{block}_{i}" for i in digits])
+    if len(digits) > 1:
+        again = again.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return again.drop(key, times)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model predicts toxic go. It learns from the labelled rows that op6
     learns from. Null and empty texts have no evidence and stay unless most labels are toxic;
@@ -76,8 +105,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     are one group, as are texts of blanks; of rows that repeat, one stays."""
     docs, key = _numbered(docs, "pipeline-copies")
     with brief(spark) as keep:
-        kept = keep(dedup.exact_dedup(docs, key_col=key).filter("kept").select(F.col("key").alias(key)), "pipeline-copies")
-    return docs.join(kept, key, "left_semi").drop(key)
+        kept = dedup.exact_dedup(docs, key_col=key).filter("kept")
+        return _as_often(docs, key, kept.select("key", F.lit(1).alias("times")), "pipeline-copies", keep)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -86,10 +115,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     table). Documents without words are in no group and stay."""
     docs, key = _numbered(docs, "pipeline-near")
     with brief(spark) as keep:
-        found = keep(ngram_join.ngram_components(docs, n=5, share=80, key_col=key), "pipeline-near")
-    first = found.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"))
-    kept = first.select(F.col("first.key").alias(key)).unionByName(found.filter("component IS NULL").select(F.col("key").alias(key)))
-    return docs.join(stash(kept, "pipeline-near"), key, "left_semi").drop(key)
+        found = stash(ngram_join.ngram_components(docs, n=5, share=80, key_col=key), "pipeline-near")
+        first = found.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"))
+        kept = first.select("first.key").unionByName(found.filter("component IS NULL").select("key"))
+        return _as_often(docs, key, kept.withColumn("times", F.lit(1)), "pipeline-near", keep)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -99,12 +128,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     by half a document at most. Documents without words are taken once; a null source is one."""
     docs, key = _numbered(docs, "pipeline-mix")
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(1).cast("int")
-    times = _free(docs, key + "_times")
     with brief(spark) as keep:
-        taken = mixing.mix_sources(docs, key_col=key)
-        taken = keep(taken.select(F.col("key").alias(key), copies.alias(times)).filter(F.col(times) > 0), "pipeline-mix")
-    again = docs.join(taken, key)
-    return again.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(key, times)
+        taken = mixing.mix_sources(docs, key_col=key).select("key", copies.alias("times")).filter("times > 0")
+        return _as_often(docs, key, taken, "pipeline-mix", keep)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,6 +118,37 @@ def test_stages_leave_no_texts(spark, corpus, name):
     assert tables and not any("text" in t.columns or t.count() > 242 for t in tables)
 
 
+@pytest.mark.parametrize("name", ["exact dedup", "n-gram Jaccard join", "mixing"])
+def test_lists_of_rows_shuffle_no_texts(spark, corpus, name):
+    """However large the tables are that Spark joins by a shuffle, the texts stay where they are read."""
+    import corpus_pipeline
+    from censuskit.llm.common import documents
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = dict(corpus_pipeline.STAGES)[name](spark, documents(spark, corpus), corpus)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastExchange" in plan and not re.search(r"\bExchange ", plan)
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_rows_are_taken_as_often_as_listed(spark, corpus, monkeypatch, limit):
+    """Sent in blocks or, where these are too many, joined by row: 0 to 9 times, or once."""
+    import corpus_pipeline
+    from censuskit.llm.common import brief, documents
+
+    monkeypatch.setattr(corpus_pipeline, "BROADCAST_BLOCKS", limit)
+    docs, key = corpus_pipeline._numbered(documents(spark, corpus), "test-often")
+    for most in (9, 1):
+        times = (F.col("doc_id") % (most + 1)).alias("times")
+        with brief(spark) as keep:
+            got = corpus_pipeline._as_often(docs, key, docs.select(F.col(key).alias("key"), times).filter("times > 0"), "test-often", keep)
+        assert got.columns == documents(spark, corpus).columns
+        assert collections.Counter(r.doc_id for r in got.collect()) == collections.Counter({i: i % (most + 1) for i in range(242) if i % (most + 1)})
+
+
 def test_rows_are_numbered_alike_however_they_are_read(spark, corpus):
     """Numbers are places in files where docs are whole files; else they are written down once."""
     import corpus_pipeline
