@@ -209,12 +209,16 @@ def _cut(told: DataFrame, asked: DataFrame, n: int, piece: int) -> tuple[DataFra
     Long histories are cut at quantiles of their changes and days. An event belongs to the
     pieces in which it appears or goes. Of those that are visible all through a piece only the n
     newest matter: they are found for the nodes of a binary tree over the pieces, of which some
-    twenty cover any run, and handed down to the pieces below each node."""
+    twenty cover any run, and handed down to the pieces below each node.
+
+    There are at most one long history and three cuts for each ``piece`` changes and days, so
+    both go to all tasks, and the other histories are not sorted or shuffled here."""
     times = told.select("pid", F.explode(F.array("v_", "until_")).alias("t")).filter(F.col("t") < _END).unionByName(asked.select("pid", F.col("day_").alias("t")))
     long = times.groupBy("pid").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > piece)
-    marks = times.join(long, "pid").groupBy("pid").agg(F.percentile_approx("t", [i / _CUTS for i in range(_CUTS)], 10_000).alias("marks"), F.min("t").alias("first"), F.first("rows").alias("rows"))
+    marks = times.join(F.broadcast(long), "pid").groupBy("pid").agg(F.percentile_approx("t", [i / _CUTS for i in range(_CUTS)], 10_000).alias("marks"), F.min("t").alias("first"), F.first("rows").alias("rows"))
     step = F.greatest(F.lit(1), F.floor(F.lit(_CUTS * piece) / F.col("rows"))).cast("int")
     cuts = marks.select("pid", step.alias("step"), "first", "marks").select("pid", F.array_sort(F.array_distinct(F.concat(F.array(F.col("first") - 1), F.filter("marks", lambda m, i: i % F.col("step") == 0)))).alias("cuts"))
+    cuts = F.broadcast(cuts)
     none = F.array().cast("array<int>")
     number = lambda c: F.size(F.filter("cuts", lambda x: x < F.col(c)))
     told = told.join(cuts, "pid", "left").withColumn("cuts", F.coalesce("cuts", none)).withColumns({"a_": number("v_"), "b_": number("until_")})

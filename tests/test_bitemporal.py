@@ -121,6 +121,22 @@ def test_last_n_in_pieces(spark, piece):
     assert {(r.pid, r.day): (r.last_1, r.last_2, r.last_3) for r in got} == plain_last(days, events, resets, 3)
 
 
+def test_last_n_does_not_sort_short_histories_for_the_cuts(spark):
+    """One long history beside short ones; tables count as too large to be sent, as they are at size."""
+    number = lambda c: F.expr(f"date_add(DATE'2020-01-01', cast({c} as int))")
+    events = spark.range(600).select(F.expr("CASE WHEN id < 400 THEN 0 ELSE id % 50 END").alias("pid"), number("id * 7 % 90").alias("e"), F.col("id").alias("value")).withColumns({"r": F.expr("date_add(e, cast(value % 5 as int))"), "x": F.expr("CASE WHEN value % 3 = 0 THEN date_add(e, 20) END")})
+    days = spark.range(50 * 90).select((F.col("id") % 50).alias("pid"), number("floor(id / 50)").alias("day"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cut, whole = (b.last_n(days, events, 3, order=("e", "r", "value"), piece=piece) for piece in (200, 50_000))
+        rows = cut.collect()
+        assert sorted(map(str, rows)) == sorted(map(str, whole.collect())) and len(rows) == 50 * 90
+        assert "SortMergeJoin" not in cut._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_last_n_time_follows_the_history(spark):
     took = []
     for n in (10_000, 100_000):
