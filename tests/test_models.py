@@ -1,5 +1,7 @@
 """Queries that SQL cannot express: models, vectors and resampling, against plain recomputation."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression
@@ -97,6 +99,14 @@ def test_pool_against_plain_sums(spark):
     assert got[3].vector == [2.0, 1.0]
 
 
+def test_pool_shuffles_no_words(spark):
+    docs = spark.createDataFrame([(i, ["a", f"w{i}"]) for i in range(20)], "doc_id int, words array<string>")
+    vectors = spark.createDataFrame([("a", [1.0, 4.0])], "word string, v array<double>")
+    plan = notes.pool(docs, "words", vectors, 2)._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"hashpartitioning\((.*)\)", plan)
+    assert keys and not any("word" in k for k in keys)
+
+
 def test_word_vectors_cover_frequent_words(spark, sf_dir):
     got = {r.word: r.vector for r in run(spark, sf_dir, "word_vectors").collect()}
     words = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.explode(notes.clean_tokens(F.col("text"), ["the", "and", "for", "was", "with"])).alias("word"))
