@@ -5,7 +5,9 @@ import re
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler, Word2Vec
+from pyspark.ml.clustering import LDA
+from pyspark.ml.feature import CountVectorizer, VectorAssembler, Word2Vec
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from censuskit.functions import notes
@@ -148,3 +150,28 @@ def test_word_vectors_are_trained_in_all_tasks(spark, monkeypatch):
 def test_iterations_of_the_topic_model_read_a_table(spark, sf_dir):
     plan = texts._bag(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "regexp" not in plan and "documents.parquet" not in plan
+
+
+def test_vocabulary_is_bounded_by_a_number_of_texts(spark, sf_dir, monkeypatch):
+    asked = []
+    monkeypatch.setattr(texts, "CountVectorizer", lambda **more: asked.append(more["maxDF"]) or CountVectorizer(**more))
+    bag = texts._bag(spark, sf_dir)
+    assert asked == [0.5 * bag.count()] and asked[0] >= 15  # a share would make it keep all words in memory
+    words = texts._tokens(spark, sf_dir).select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").count()
+    assert bag.first().tf.size == words.filter(F.col("count").between(15, asked[0])).count()
+
+
+def test_topic_model_has_no_more_parts_than_tasks(spark, monkeypatch):
+    parts = []
+
+    class Fitted(LDA):
+        def fit(self, rows):
+            parts.append(rows.rdd.getNumPartitions())
+            return super().fit(rows)
+
+    rows = [(i, Vectors.sparse(40, [i % 40], [2.0])) for i in range(400)]
+    bag = spark.createDataFrame(rows, ["doc_id", "features"]).repartition(16)
+    monkeypatch.setattr(texts, "LDA", Fitted)
+    monkeypatch.setattr(texts, "_bag", lambda spark, d: bag)
+    assert {r.doc_id for r in texts._topics(spark, "").collect()} == set(range(400))
+    assert parts == [spark.sparkContext.defaultParallelism]
