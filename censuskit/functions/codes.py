@@ -49,4 +49,5 @@ def first_rule(values: DataFrame, name: str, rules: Sequence[tuple[str, str, str
 def unit_vector(v: Column) -> Column:
     """v divided by its length; a zero vector stays."""
     norm = F.sqrt(F.aggregate(F.transform(v, lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
-    return F.when(norm > 0, F.transform(v, lambda x: x / norm)).otherwise(v)
+    unit = lambda n: F.when(n > 0, F.transform(v, lambda x: x / n)).otherwise(v)
+    return F.get(F.transform(F.array(norm), unit), F.lit(0))  # a variable, as an expression would be computed for each x

@@ -18,10 +18,11 @@ def day_sums(notes: DataFrame, dims: int) -> DataFrame:
     return rows.groupBy("pid", "day").agg(F.array(*[F.sum(F.get("v", F.lit(i))) for i in range(dims)]).alias("total"))
 
 
-def carried_vectors(spine: DataFrame, notes: DataFrame, dims: int, halflife: float = 7.0) -> DataFrame:
+def carried_vectors(spine: DataFrame, notes: DataFrame, dims: int, halflife: float = 7.0, places: int | None = None) -> DataFrame:
     """For each spine day, of the last day with notes up to it: since (days), total (the sum of its
     unit vectors) and ewm (the mean of totals so far, weighing half for every halflife days
-    with notes further back). Nulls before the first one.
+    with notes further back). Nulls before the first one. places: both come rounded, half away from
+    zero, once for each day with notes.
 
     Days with notes and asked days are united and sorted by patient and day; one pass keeps a
     weighted sum and its weight for each patient, in all dimensions at once, so that a history
@@ -32,6 +33,9 @@ def carried_vectors(spine: DataFrame, notes: DataFrame, dims: int, halflife: flo
     out = StructType([spine.schema["pid"], spine.schema["day"], *StructType.fromDDL("since int, total array<double>, ewm array<double>")])
     shrink = 0.5 ** (1 / halflife)
 
+    def rounded(v: np.ndarray) -> np.ndarray:
+        return v if places is None else np.trunc(v * 10.0**places + np.copysign(0.5, v)) / 10.0**places + 0.0  # one zero
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, last, total, ewm = None, None, None, None
         top, weight = np.zeros(dims), 0.0
@@ -44,7 +48,7 @@ def carried_vectors(spine: DataFrame, notes: DataFrame, dims: int, halflife: flo
                 if not ask:
                     total = batch.column("total")[i].values.to_numpy(zero_copy_only=False)
                     top, weight, last = top * shrink + total, weight * shrink + 1.0, day
-                    ewm = top / weight
+                    total, ewm = rounded(total), rounded(top / weight)
                     continue
                 places.append(i)
                 since.append(None if last is None else day - last)

@@ -6,6 +6,7 @@ import random
 import duckdb
 from pyspark.sql import functions as F
 
+from censuskit.functions.codes import unit_vector
 from censuskit.plans import registry
 
 
@@ -55,3 +56,15 @@ def test_notes_take_every_vector_in_all_dimensions(spark, tmp_path):
     assert got[0].total == [round(a + b, 5) for a, b in zip(unit[620], unit[622], strict=True)] and len(got[0].ewm) == 12
     # the last day of patient 1: notes 717 and 719 begin again at vector 0
     assert got[49].total == [round(a + b, 5) for a, b in zip(unit[17], unit[19], strict=True)]
+
+
+def test_notes_without_vectors(spark, tmp_path):
+    tables(spark, tmp_path, [(0, 1, "view", 0, 1.0), (1, 1, "click", 1, 1.0)], spark.createDataFrame([], "vec_id long, embedding array<float>").collect())
+    got = registry.queries()["fg_notes"](spark, str(tmp_path)).orderBy("pid", "day").select("views", "clicks", "since", "total").collect()
+    assert [tuple(r) for r in got] == [(1, 0, None, None), (0, 1, None, None)]
+
+
+def test_the_length_of_a_vector_is_computed_once(spark):
+    rows = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],), ([],), (None,)], "v array<double>").select(unit_vector(F.col("v")).alias("u"))
+    assert rows._jdf.queryExecution().analyzed().toString().lower().count("sqrt") == 1
+    assert [r.u for r in rows.collect()] == [[0.6, 0.8], [0.0, 0.0], [], None]
